@@ -6,7 +6,9 @@ expressions. The SQL twins are in ``oracle.py``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -35,8 +37,23 @@ STORAGE_COLUMNS = (
 )
 
 
+# Stated schemas: reading a table then needs no job that opens its footers.
+GIVEN_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+}
+
+
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{table}.parquet")
+    return spark.read.schema(GIVEN_SCHEMAS[table]).parquet(f"{sf}/{table}.parquet")
 
 
 def _text(*parts: Column | str) -> Column:
@@ -161,16 +178,23 @@ def table_props(spark: SparkSession, sf: str) -> DataFrame:
 def storage_columns(spark: SparkSession, sf: str) -> DataFrame:
     supplier, line = F.col("l_suppkey"), F.col("l_linenumber")
     names = F.array(*[F.lit(c) for c in STORAGE_COLUMNS])
-    slot = ((supplier + line * (supplier % 5 + 1)) % 10 + 1).cast("int")
-    return (
+    hot = supplier % 10 == 0
+    # Grouped on numbers; the names are written once per group.
+    grouped = (
         _read(spark, sf, "lineitem")
         .groupBy(
-            _storage_schema(supplier).alias("table_schema"),
-            _storage_table(supplier, _size_bucket(F.col("l_orderkey"))).alias("table_name"),
-            F.element_at(names, slot).alias("column_name"),
+            F.when(hot, 0).otherwise(supplier).alias("supplier"),
+            F.when(hot, 0).otherwise(_size_bucket(F.col("l_orderkey"))).alias("bucket"),
+            ((supplier + line * (supplier % 5 + 1)) % 10 + 1).cast("int").alias("slot"),
         )
         .agg(F.min("l_linenumber").alias("ordinal_position"))
     )
+    return grouped.select(
+        _storage_schema(F.col("supplier")).alias("table_schema"),
+        _storage_table(F.col("supplier"), F.col("bucket")).alias("table_name"),
+        F.element_at(names, F.col("slot")).alias("column_name"),
+        "ordinal_position",
+    )
 
 
 # --- catalogue -----------------------------------------------------------------------------------
@@ -266,44 +290,40 @@ def views(spark: SparkSession, sf: str) -> DataFrame:
 # --- snapshots -----------------------------------------------------------------------------------
 
 
-def _order_schema() -> Column:
-    return _text("r", F.col("o_custkey") % 2)
-
-
-def _order_table() -> Column:
-    return _text("tbl_", F.col("o_custkey"), "_", F.col("o_orderkey") % 2)
+def _order_names(customer: Column, parity: Column) -> list[Column]:
+    return [_text("r", customer % 2).alias("table_schema"), _text("tbl_", customer, "_", parity).alias("table_name")]
 
 
 def order_columns(orders: DataFrame, *more: Column) -> DataFrame:
     """Columns of the tables in ``orders``, one row per (more, schema, table, column)."""
-    return (
-        orders.groupBy(
-            *more,
-            _order_schema().alias("table_schema"),
-            _order_table().alias("table_name"),
-            _text("col_", F.col("o_orderkey") % 8).alias("column_name"),
-        )
-        .agg(
-            F.min("o_orderpriority").alias("full_data_type"),
-            F.min((F.col("o_orderkey") % 8).cast("int")).alias("ordinal_position"),
-            F.max("o_orderstatus").alias("is_nullable"),
-        )
-        .withColumn("comment", F.lit(None).cast("string"))
+    slot = F.col("slot")
+    # Grouped on numbers; the names are written once per group.
+    grouped = orders.groupBy(*more, "o_custkey", (F.col("o_orderkey") % 8).alias("slot")).agg(
+        F.min("o_orderpriority").alias("full_data_type"), F.max("o_orderstatus").alias("is_nullable")
+    )
+    return grouped.select(
+        *grouped.columns[: len(more)],
+        *_order_names(F.col("o_custkey"), slot % 2),
+        _text("col_", slot).alias("column_name"),
+        "full_data_type",
+        slot.cast("int").alias("ordinal_position"),
+        "is_nullable",
+        F.lit(None).cast("string").alias("comment"),
     )
 
 
 def order_tables(orders: DataFrame, *more: Column) -> DataFrame:
+    keys = orders.select(*more, "o_custkey", (F.col("o_orderkey") % 2).alias("parity")).distinct()
     kind = F.col("o_custkey") % 3
     table_type = F.when(kind == 0, "MANAGED").when(kind == 1, "EXTERNAL").otherwise("VIEW")
-    return orders.select(
-        *more,
-        _order_schema().alias("table_schema"),
-        _order_table().alias("table_name"),
+    return keys.select(
+        *keys.columns[: len(more)],
+        *_order_names(F.col("o_custkey"), F.col("parity")),
         table_type.alias("table_type"),
         F.when(kind != 2, "DELTA").alias("data_source_format"),
         _ntz("2023-01-01").alias("created"),
         _ntz("2024-01-31").alias("last_altered"),
-    ).distinct()
+    )
 
 
 def current_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,8 +353,14 @@ def monthly_tables(spark: SparkSession, sf: str) -> DataFrame:
 # --- history, lineage, audit ---------------------------------------------------------------------
 
 
+def _history_slot() -> Column:
+    """A third of the whole log belongs to one table."""
+    event = F.col("event_id")
+    return F.when(event % 3 == 0, 0).otherwise(event % 997)
+
+
 def history(spark: SparkSession, sf: str) -> DataFrame:
-    slot = F.col("event_id") % 997
+    slot = _history_slot()
     kind = F.col("event_type")
     operation = (
         F.when(kind == "click", "WRITE")
@@ -361,26 +387,26 @@ def history(spark: SparkSession, sf: str) -> DataFrame:
 
 def history_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Catalogue rows of the tables with a history; every seventh is a view."""
-    slot = F.col("event_id") % 997
+    slot = _history_slot()
     return _read(spark, sf, "events").select(
         F.lit("raw_schema").alias("table_schema"),
         _text("t_", slot).alias("table_name"),
-        F.when(slot % 7 == 0, "VIEW").otherwise("MANAGED").alias("table_type"),
+        F.when(slot % 7 == 3, "VIEW").otherwise("MANAGED").alias("table_type"),
         F.lit("DELTA").alias("data_source_format"),
         _ntz("2023-01-01").alias("created"),
         _ntz("2024-01-31").alias("last_altered"),
     ).distinct()
 
 
-def _lineage_source() -> Column:
+def _lineage_source(parity: Column) -> Column:
     part = F.col("l_partkey")
-    return _text("source_catalog.r", part % 2, ".tbl_", part, "_", F.col("l_orderkey") % 2)
+    return _text("source_catalog.r", part % 2, ".tbl_", part, "_", parity)
 
 
 def access_edges(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.col("l_returnflag")
     return _read(spark, sf, "lineitem").select(
-        _lineage_source().alias("source_table_full_name"),
+        _lineage_source(F.col("l_orderkey") % 2).alias("source_table_full_name"),
         F.when(flag == "A", "NOTEBOOK").when(flag == "R", "JOB").otherwise("TABLE").alias("entity_type"),
         F.col("l_suppkey").cast("string").alias("entity_id"),
         F.date_add(F.to_date("l_shipdate"), SHIP_SHIFT_DAYS).alias("event_date"),
@@ -402,14 +428,16 @@ def lineage_pages(spark: SparkSession, sf: str, days: int | None = None) -> Data
     kinds = kinds.when(F.col("l_linestatus") == "F", F.array(F.lit("DOWNSTREAM"), F.lit("UPSTREAM")))
     place = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice"]
     entities = lines.select(
-        _lineage_source().alias("table_name"),
+        "l_partkey",
+        (F.col("l_orderkey") % 2).alias("parity"),
         F.explode(kinds.otherwise(F.array(F.lit("DOWNSTREAM")))).alias("kind"),
         *place,
     )
-    page = latest_per_key(entities, ["table_name", "kind"], [F.col(c).asc() for c in place], PAYLOAD_PAGE)
+    page = latest_per_key(entities, ["l_partkey", "parity", "kind"], [F.col(c).asc() for c in place], PAYLOAD_PAGE)
     kind = F.col("kind")
     described = page.select(
-        "table_name",
+        "l_partkey",
+        "parity",
         "kind",
         F.struct(
             *place,
@@ -427,7 +455,7 @@ def lineage_pages(spark: SparkSession, sf: str, days: int | None = None) -> Data
     def shaped(entities: str, *fields: str) -> Column:
         return F.transform(entities, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
 
-    documents = described.groupBy("table_name").agg(
+    documents = described.groupBy("l_partkey", "parity").agg(
         listed("DOWNSTREAM").alias("down"), listed("UPSTREAM").alias("up"), listed("NOTEBOOK", "JOB").alias("read")
     )
     document = F.struct(
@@ -435,7 +463,7 @@ def lineage_pages(spark: SparkSession, sf: str, days: int | None = None) -> Data
         shaped("up", "name").alias("upstreams"),
         shaped("read", "entity_type", "path", "name").alias("entity_lineage"),
     )
-    return documents.select("table_name", F.to_json(document).alias("payload"))
+    return documents.select(_lineage_source(F.col("parity")).alias("table_name"), F.to_json(document).alias("payload"))
 
 
 def audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -465,31 +493,60 @@ def user_ids(spark: SparkSession, sf: str) -> DataFrame:
 # --- inputs of the two analyses ------------------------------------------------------------------
 
 
-def optimization_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {
-        "tables": platform_tables(spark, sf),
-        "columns": storage_columns(spark, sf),
-        "files": files(spark, sf),
-        "table_props": table_props(spark, sf),
-        "jobs": jobs(spark, sf),
-        "runs": runs(spark, sf),
-    }
-
-
-def metadata_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    still = part_tables(spark, sf).unionByName(history_tables(spark, sf))
-    return {
-        "tables": still.unionByName(order_tables(current_orders(spark, sf))),
-        "columns": part_columns(spark, sf).unionByName(order_columns(current_orders(spark, sf))),
-        "prev_tables": _stamped(still.unionByName(order_tables(previous_orders(spark, sf))), PREVIOUS),
-        "prev_columns": _stamped(
-            part_columns(spark, sf).unionByName(order_columns(previous_orders(spark, sf))), PREVIOUS
-        ),
-        "views": views(spark, sf),
-        "history": history(spark, sf),
-        "access_lineage": access_edges(spark, sf),
-        "lineage_payload": lineage_pages(spark, sf, days=30),
-        "audit": audit(spark, sf),
-        "workspace_listing": workspace_listing(spark, sf),
-        "jobs": jobs(spark, sf),
-    }
+class Inputs(Mapping[str, DataFrame]):
+    """Named relations, each built when it is first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def optimization_inputs(spark: SparkSession, sf: str) -> Inputs:
+    return Inputs(
+        {
+            "tables": partial(platform_tables, spark, sf),
+            "columns": partial(storage_columns, spark, sf),
+            "files": partial(files, spark, sf),
+            "table_props": partial(table_props, spark, sf),
+            "jobs": partial(jobs, spark, sf),
+            "runs": partial(runs, spark, sf),
+        }
+    )
+
+
+def metadata_inputs(spark: SparkSession, sf: str) -> Inputs:
+    """Both dates of the catalogue, in which only the order tables differ, and the logs."""
+
+    def tables(orders: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+        same = part_tables(spark, sf).unionByName(history_tables(spark, sf))
+        return same.unionByName(order_tables(orders(spark, sf)))
+
+    def columns(orders: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+        return part_columns(spark, sf).unionByName(order_columns(orders(spark, sf)))
+
+    return Inputs(
+        {
+            "tables": partial(tables, current_orders),
+            "columns": partial(columns, current_orders),
+            "prev_tables": lambda: _stamped(tables(previous_orders), PREVIOUS),
+            "prev_columns": lambda: _stamped(columns(previous_orders), PREVIOUS),
+            "views": partial(views, spark, sf),
+            "history": partial(history, spark, sf),
+            "access_lineage": partial(access_edges, spark, sf),
+            "lineage_payload": partial(lineage_pages, spark, sf, days=30),
+            "audit": partial(audit, spark, sf),
+            "workspace_listing": partial(workspace_listing, spark, sf),
+            "jobs": partial(jobs, spark, sf),
+        }
+    )

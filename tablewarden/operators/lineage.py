@@ -84,14 +84,19 @@ def lineage_counts(lineage: DataFrame) -> DataFrame:
     )
 
 
-def impact(changes: DataFrame, lineage: DataFrame) -> DataFrame:
-    """One row per changed table: its change kinds, asset counts and risk level."""
-    joined = change_summary(changes).join(lineage_counts(lineage), "fqn", "left")
+def rated_impact(summary: DataFrame, lineage: DataFrame) -> DataFrame:
+    """A change summary with its asset counts and risk level."""
+    joined = summary.join(lineage_counts(lineage), "fqn", "left")
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_downstream", "n_upstream", "n_notebooks", "n_jobs")]
     rated = joined.select("fqn", "change_summary", "n_changes", "breaking", *counts)
     return rated.withColumn("risk", risk_level(F.col("breaking"), F.col("n_downstream")))
 
 
+def impact(changes: DataFrame, lineage: DataFrame) -> DataFrame:
+    """One row per changed table: its change kinds, asset counts and risk level. Both sides are aggregated first."""
+    return rated_impact(change_summary(changes), lineage)
+
+
 def affected_assets(lineage: DataFrame) -> DataFrame:
     """One row: downstream tables, notebooks and jobs summed over all tables, repeats included."""
     return lineage.agg(F.count_if(F.col("asset_kind").isin("DOWNSTREAM", "NOTEBOOK", "JOB")).alias("affected_assets"))

@@ -130,18 +130,20 @@ RELATIONS["prev_tables"] = f"SELECT DISTINCT {_ORDER_TABLES} FROM orders WHERE {
 RELATIONS["monthly_columns"] = f"SELECT {_MONTH}, {_ORDER_COLUMNS} FROM orders GROUP BY 1, 2, 3, 4"
 RELATIONS["monthly_tables"] = f"SELECT DISTINCT {_MONTH}, {_ORDER_TABLES} FROM orders"
 
-RELATIONS["in_history"] = """
-SELECT 'raw_schema' AS table_schema, 't_' || (event_id % 997) AS table_name, event_id AS version,
-       ts - to_days(CAST((event_id % 997) % 120 AS INTEGER)) AS written,
+_SLOT = "CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 997 END"
+
+RELATIONS["in_history"] = f"""
+SELECT 'raw_schema' AS table_schema, 't_' || ({_SLOT}) AS table_name, event_id AS version,
+       ts - to_days(CAST(({_SLOT}) % 120 AS INTEGER)) AS written,
        CASE event_type WHEN 'click' THEN 'WRITE' WHEN 'purchase' THEN 'merge' WHEN 'signup' THEN 'OPTIMIZE'
             WHEN 'view' THEN 'VACUUM END' ELSE 'SET TBLPROPERTIES' END AS operation,
        CASE WHEN event_type IN ('click', 'purchase') THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS rows_written
 FROM events
 """
 
-RELATIONS["history_tables"] = """
-SELECT DISTINCT 'raw_schema' AS table_schema, 't_' || (event_id % 997) AS table_name,
-       CASE WHEN (event_id % 997) % 7 = 0 THEN 'VIEW' ELSE 'MANAGED' END AS table_type,
+RELATIONS["history_tables"] = f"""
+SELECT DISTINCT 'raw_schema' AS table_schema, 't_' || ({_SLOT}) AS table_name,
+       CASE WHEN ({_SLOT}) % 7 = 3 THEN 'VIEW' ELSE 'MANAGED' END AS table_type,
        'DELTA' AS data_source_format, TIMESTAMP '2023-01-01' AS created, TIMESTAMP '2024-01-31' AS last_altered
 FROM events
 """

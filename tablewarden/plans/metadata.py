@@ -2,87 +2,134 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
 from tablewarden.config import WatchConfig
 from tablewarden.operators import drift, freshness, lineage as lineage_ops, rules, summary as totals
-from tablewarden.plans.optimization import _as_is
+from tablewarden.plans.sharing import Share, as_is
 from tablewarden.sources import catalog
 from tablewarden.sources.logs import access_lineage
 from tablewarden.sources.payloads import lineage_from_payload
 from tablewarden.state.store import COLUMN_SNAPSHOT, TABLE_SNAPSHOT, WatchStore, cut_lineage, snapshot_at
 
 
-def metadata_analysis(
-    inputs: Mapping[str, DataFrame],
-    curr_t: DataFrame,
-    curr_c: DataFrame,
-    prev_t: DataFrame | None,
-    prev_c: DataFrame | None,
-    cfg: WatchConfig,
-    share: Callable[[DataFrame], DataFrame] = _as_is,
-) -> dict[str, DataFrame]:
-    """All sections as lazy DataFrames.
+@dataclass(frozen=True)
+class MetadataAnalysis:
+    """The sections as DataFrames, each built when it is first asked for.
 
-    ``inputs``: views, history, access_lineage, lineage_payload, audit, workspace_listing, jobs.
-    Without a previous snapshot this is a baseline run, whose schema diff is empty.
+    ``inputs``: views, history, access_lineage, lineage_payload, audit, workspace_listing, jobs. Without a
+    previous snapshot this is a baseline run, whose schema diff is empty. ``share`` materialises what
+    several sections read; without it everything stays lazy.
     """
-    baseline = prev_t is None or prev_c is None
-    diff = drift.schema_diff(
-        curr_t, curr_t if baseline else prev_t, curr_c, curr_c if baseline else prev_c
-    )
-    if baseline:
-        diff = diff.filter(F.lit(False))
-    raw_names = rules.raw_table_violations(curr_t, cfg)
-    raw_columns = rules.raw_column_violations(curr_c, cfg, limit=None)
-    transform_names = rules.transform_name_violations(curr_t, cfg, limit=None)
-    governance = rules.view_governance_violations(inputs["views"], cfg, limit=None)
-    stale = freshness.data_freshness(inputs["history"], catalog.base_tables(curr_t), cfg)
-
-    diff = share(diff)
-    changes = drift.change_log(diff, raw_names, transform_names, governance, cfg)
-    changed = changes.select("fqn").distinct()
-    payload = lineage_from_payload(
-        inputs["lineage_payload"].join(changed.withColumnRenamed("fqn", "table_name"), "table_name", "left_semi"),
-        cfg.payload_cap,
-    )
-    access = share(access_lineage(inputs["access_lineage"], changed, cfg))
-    notebooks = lineage_ops.resolve_notebooks(
-        access.filter(F.col("entity_type") == "NOTEBOOK"), inputs["audit"], inputs["workspace_listing"], cfg
-    )
-    jobs = lineage_ops.resolve_jobs(access.filter(F.col("entity_type") == "JOB"), inputs["jobs"])
-    lineage = share(lineage_ops.merge_lineage(payload, lineage_ops.name_access(access, notebooks, jobs)))
-
-    counters = totals.change_counters(diff, raw_names, raw_columns, transform_names, governance)
-    assets = lineage_ops.affected_assets(lineage)
-
-    def of_kind(kind: str) -> DataFrame:
-        return diff.filter(F.col("change_type") == kind)
-
-    return {
-        "diff": diff,
-        "new_tables": of_kind("NEW TABLE"),
-        "removed_tables": of_kind("REMOVED"),
-        "added_columns": of_kind("COL ADDED"),
-        "removed_columns": of_kind("COL REMOVED"),
-        "changed_columns": of_kind("TYPE CHANGE"),
-        "raw_tables": raw_names,
-        "raw_columns": raw_columns,
-        "transform_names": transform_names,
-        "governance": governance,
-        "stale_data": stale,
-        "changes": changes,
-        "lineage": lineage,
-        "impact": lineage_ops.impact(changes, lineage),
-        "affected_distinct": lineage_ops.affected_distinct(lineage),
-        "totals": totals.change_totals(counters),
-        "dashboard": totals.metadata_dashboard(counters, assets, stale),
-    }
-
-
-def run_metadata(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore) -> dict[str, DataFrame]:
+
+    inputs: Mapping[str, DataFrame]
+    curr_tables: DataFrame
+    curr_columns: DataFrame
+    prev_tables: DataFrame | None
+    prev_columns: DataFrame | None
+    cfg: WatchConfig
+    share: Share = as_is
+
+    # --- changes ---
+
+    @cached_property
+    def diff(self) -> DataFrame:
+        if self.prev_tables is None or self.prev_columns is None:
+            same = drift.schema_diff(self.curr_tables, self.curr_tables, self.curr_columns, self.curr_columns)
+            return same.filter(F.lit(False))
+        return self.share(
+            drift.schema_diff(self.curr_tables, self.prev_tables, self.curr_columns, self.prev_columns)
+        )
+
+    def of_kind(self, kind: str) -> DataFrame:
+        return self.diff.filter(F.col("change_type") == kind)
+
+    @cached_property
+    def raw_tables(self) -> DataFrame:
+        return rules.raw_table_violations(self.curr_tables, self.cfg)
+
+    @cached_property
+    def raw_columns(self) -> DataFrame:
+        return rules.raw_column_violations(self.curr_columns, self.cfg, limit=None)
+
+    @cached_property
+    def transform_names(self) -> DataFrame:
+        return rules.transform_name_violations(self.curr_tables, self.cfg, limit=None)
+
+    @cached_property
+    def governance(self) -> DataFrame:
+        # The definitions are the widest text of all inputs: read once.
+        return self.share(rules.view_governance_violations(self.inputs["views"], self.cfg, limit=None))
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        return drift.change_log(self.diff, self.raw_tables, self.transform_names, self.governance, self.cfg)
+
+    @cached_property
+    def change_summary(self) -> DataFrame:
+        return self.share(drift.change_summary(self.changes))
+
+    # --- freshness ---
+
+    @cached_property
+    def stale_data(self) -> DataFrame:
+        base = catalog.base_tables(self.curr_tables)
+        return freshness.data_freshness(self.inputs["history"], base, self.cfg)
+
+    # --- lineage of the changed tables ---
+
+    @cached_property
+    def access(self) -> DataFrame:
+        changed = self.change_summary.select("fqn")
+        return self.share(access_lineage(self.inputs["access_lineage"], changed, self.cfg))
+
+    @cached_property
+    def lineage(self) -> DataFrame:
+        changed = self.change_summary.select(F.col("fqn").alias("table_name"))
+        pages = self.inputs["lineage_payload"].join(changed, "table_name", "left_semi")
+        payload = lineage_from_payload(pages, self.cfg.payload_cap)
+        notebook_ids = self.access.filter(F.col("entity_type") == "NOTEBOOK")
+        notebooks = lineage_ops.resolve_notebooks(
+            notebook_ids, self.inputs["audit"], self.inputs["workspace_listing"], self.cfg
+        )
+        jobs = lineage_ops.resolve_jobs(self.access.filter(F.col("entity_type") == "JOB"), self.inputs["jobs"])
+        named = lineage_ops.name_access(self.access, notebooks, jobs)
+        return self.share(lineage_ops.merge_lineage(payload, named))
+
+    @cached_property
+    def impact(self) -> DataFrame:
+        return lineage_ops.rated_impact(self.change_summary, self.lineage)
+
+    @cached_property
+    def affected_assets(self) -> DataFrame:
+        return lineage_ops.affected_assets(self.lineage)
+
+    @cached_property
+    def affected_distinct(self) -> DataFrame:
+        return lineage_ops.affected_distinct(self.lineage)
+
+    # --- totals ---
+
+    @cached_property
+    def counters(self) -> DataFrame:
+        return totals.change_counters(
+            self.diff, self.raw_tables, self.raw_columns, self.transform_names, self.governance
+        )
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return totals.change_totals(self.counters)
+
+    @cached_property
+    def dashboard(self) -> DataFrame:
+        return totals.metadata_dashboard(self.counters, self.affected_assets, self.stale_data)
+
+
+def run_metadata(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore) -> MetadataAnalysis:
     """One nightly run: compare with the greatest earlier date, save what was compared, retain, compact."""
     store.ensure_tables()
     curr_t = cut_lineage(catalog.current_table_snapshot(inputs["tables"], cfg))
@@ -92,11 +139,13 @@ def run_metadata(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: Watch
     if previous is not None:
         prev_t = snapshot_at(store.table(TABLE_SNAPSHOT), previous)
         prev_c = snapshot_at(store.table(COLUMN_SNAPSHOT), previous)
-    result = metadata_analysis(inputs, curr_t, curr_c, prev_t, prev_c, cfg, share=cut_lineage)
+    analysis = MetadataAnalysis(inputs, curr_t, curr_c, prev_t, prev_c, cfg, share=cut_lineage)
+    # The diff is the only section that reads the stored dates: it is taken before they change.
+    _ = analysis.diff
 
     for snapshot, table in ((curr_c, COLUMN_SNAPSHOT), (curr_t, TABLE_SNAPSHOT)):
         store.save_snapshot(snapshot, table, cfg.run_date)
         store.apply_retention(table, cfg.run_date, cfg.retention_days)
         # A save is already written at the advisory size; only a date fragmented otherwise is rewritten.
         store.compact_snapshot(table, store.fragmented_dates(table, [cfg.run_date]))
-    return result
+    return analysis

@@ -2,67 +2,111 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from tablewarden.config import WatchConfig
 from tablewarden.operators import jobs as job_ops, storage as storage_ops, summary as totals
+from tablewarden.plans.sharing import Share, as_is
 from tablewarden.sources.catalog import table_inventory, view_inventory
 from tablewarden.sources.files import storage_detail
 from tablewarden.state.store import WatchStore, cut_lineage
 
 
-def _as_is(df: DataFrame) -> DataFrame:
-    return df
-
-
-def optimization_analysis(
-    inputs: Mapping[str, DataFrame],
-    cfg: WatchConfig,
-    since: date,
-    share: Callable[[DataFrame], DataFrame] = _as_is,
-) -> dict[str, DataFrame]:
-    """All sections as lazy DataFrames.
+@dataclass(frozen=True)
+class OptimizationAnalysis:
+    """The sections as lazy DataFrames, each built when it is first asked for.
 
     ``inputs``: tables, columns, files, table_props, jobs, runs. ``share`` materialises what many sections
     read: the table detail and the latest runs, both reduced to a bounded number of rows per key.
     """
-    inventory = table_inventory(inputs["tables"], cfg.schemas)
-    views = view_inventory(inputs["tables"], cfg.schemas)
-    detail = share(
-        storage_ops.table_detail(inventory, storage_detail(inputs["files"], inputs["table_props"]))
-    )
-    jobs = inputs["jobs"]
-    latest = share(job_ops.latest_runs(inputs["runs"], cfg.runs_per_job))
-    summary = job_ops.job_summary(jobs, job_ops.run_stats(latest), cfg)
-    failures = job_ops.period_failures(latest, jobs, cfg, since)
-    counters = totals.optimization_counters(detail, views, summary, failures, cfg)
-    return {
-        "detail": detail,
-        "views": views,
-        "job_summary": summary,
-        "small_files": storage_ops.small_files(detail, cfg),
-        "unclustered": storage_ops.recommend_clustering(detail, inputs["columns"], cfg),
-        "long_running": job_ops.long_running_jobs(summary, cfg),
-        "failing": job_ops.failing_jobs(summary, cfg),
-        "period_failures": failures,
-        "stale_tables": storage_ops.stale_tables(detail, cfg),
-        "stale_views": storage_ops.stale_views(views, cfg),
-        "stale_jobs": job_ops.stale_jobs(summary, cfg),
-        "cost": job_ops.cost_estimate(summary, cfg),
-        "totals": totals.platform_totals(counters),
-        "dashboard": totals.optimization_dashboard(counters),
-        "run_summary": totals.run_summary(counters, cfg.run_date),
-    }
-
-
-def run_optimization(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore) -> dict[str, DataFrame]:
+
+    inputs: Mapping[str, DataFrame]
+    cfg: WatchConfig
+    since: date
+    share: Share = as_is
+
+    @cached_property
+    def views(self) -> DataFrame:
+        return view_inventory(self.inputs["tables"], self.cfg.schemas)
+
+    @cached_property
+    def detail(self) -> DataFrame:
+        inventory = table_inventory(self.inputs["tables"], self.cfg.schemas)
+        stored = storage_detail(self.inputs["files"], self.inputs["table_props"])
+        return self.share(storage_ops.table_detail(inventory, stored))
+
+    @cached_property
+    def latest_runs(self) -> DataFrame:
+        return self.share(job_ops.latest_runs(self.inputs["runs"], self.cfg.runs_per_job))
+
+    @cached_property
+    def job_summary(self) -> DataFrame:
+        return job_ops.job_summary(self.inputs["jobs"], job_ops.run_stats(self.latest_runs), self.cfg)
+
+    @cached_property
+    def small_files(self) -> DataFrame:
+        return storage_ops.small_files(self.detail, self.cfg)
+
+    @cached_property
+    def unclustered(self) -> DataFrame:
+        return storage_ops.recommend_clustering(self.detail, self.inputs["columns"], self.cfg)
+
+    @cached_property
+    def long_running(self) -> DataFrame:
+        return job_ops.long_running_jobs(self.job_summary, self.cfg)
+
+    @cached_property
+    def failing(self) -> DataFrame:
+        return job_ops.failing_jobs(self.job_summary, self.cfg)
+
+    @cached_property
+    def period_failures(self) -> DataFrame:
+        return job_ops.period_failures(self.latest_runs, self.inputs["jobs"], self.cfg, self.since)
+
+    @cached_property
+    def stale_tables(self) -> DataFrame:
+        return storage_ops.stale_tables(self.detail, self.cfg)
+
+    @cached_property
+    def stale_views(self) -> DataFrame:
+        return storage_ops.stale_views(self.views, self.cfg)
+
+    @cached_property
+    def stale_jobs(self) -> DataFrame:
+        return job_ops.stale_jobs(self.job_summary, self.cfg)
+
+    @cached_property
+    def cost(self) -> DataFrame:
+        return job_ops.cost_estimate(self.job_summary, self.cfg)
+
+    @cached_property
+    def counters(self) -> DataFrame:
+        return totals.optimization_counters(
+            self.detail, self.views, self.job_summary, self.period_failures, self.cfg
+        )
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return totals.platform_totals(self.counters)
+
+    @cached_property
+    def dashboard(self) -> DataFrame:
+        return totals.optimization_dashboard(self.counters)
+
+    @cached_property
+    def run_summary(self) -> DataFrame:
+        return totals.run_summary(self.counters, self.cfg.run_date)
+
+
+def run_optimization(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore) -> OptimizationAnalysis:
     """One nightly run: look back to the last one, analyse, and record the run as the last step."""
     store.ensure_tables()
     since = store.lookback_start(cfg.run_date)
-    result = optimization_analysis(inputs, cfg, since, share=cut_lineage)
-    result["run_summary"] = cut_lineage(result["run_summary"])
-    store.append_tracker(result["run_summary"], cfg)
-    return result
+    analysis = OptimizationAnalysis(inputs, cfg, since, share=cut_lineage)
+    store.append_tracker(analysis.run_summary, cfg)
+    return analysis

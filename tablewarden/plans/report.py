@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewarden.operators.freshness import freshness_order
 from tablewarden.operators.storage import small_file_order, unclustered_order
 from tablewarden.operators.topk import ranked_top_n
+from tablewarden.plans.metadata import MetadataAnalysis
+from tablewarden.plans.optimization import OptimizationAnalysis
 
 # Listing limits of the report sections.
 SMALL_FILE_ROWS, SMALL_FILE_COMMANDS = 15, 10
@@ -22,15 +24,15 @@ TRANSFORM_NAME_ROWS = 50
 GOVERNANCE_ROWS, GOVERNANCE_PREVIEW_CHARS = 30, 120
 
 
-def optimization_sections(result: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    small = ranked_top_n(result["small_files"], small_file_order(), SMALL_FILE_ROWS)
-    large = ranked_top_n(result["unclustered"], unclustered_order(), UNCLUSTERED_ROWS)
+def optimization_sections(result: OptimizationAnalysis) -> dict[str, DataFrame]:
+    small = ranked_top_n(result.small_files, small_file_order(), SMALL_FILE_ROWS)
+    large = ranked_top_n(result.unclustered, unclustered_order(), UNCLUSTERED_ROWS)
     newest = [F.col("start_time").desc(), F.col("run_id").desc()]
     oldest = [F.col("last_altered"), F.col("table_schema"), F.col("table_name")]
     idle = [F.col("last_ts"), F.col("job_id")]
     commands = F.concat_ws("\n", "alter_cmd", "opt_cmd")
     return {
-        "dashboard": result["dashboard"],
+        "dashboard": result.dashboard,
         "small_files": small.select(
             "rank", "table_schema", "table_name", "size_mb", "files", "avg_file_mb", "severity", "gain_pct"
         ),
@@ -42,62 +44,62 @@ def optimization_sections(result: Mapping[str, DataFrame]) -> dict[str, DataFram
         "cluster_commands": large.filter((F.col("rank") <= UNCLUSTERED_COMMANDS) & (F.col("alter_cmd") != "")).select(
             "rank", "fqn", commands.alias("cmd")
         ),
-        "cost": result["cost"],
-        "long_running": result["long_running"].select(
+        "cost": result.cost,
+        "long_running": result.long_running.select(
             "job_id", "job_name", "avg_min", "max_min", "schedule_label", "fail_rate"
         ),
-        "failing": result["failing"].select(
+        "failing": result.failing.select(
             "job_id", "job_name", "fail_rate", "failed_of_total", "avg_min", "schedule_label", "last_run"
         ),
-        "period_failures": ranked_top_n(result["period_failures"], newest, FAILURE_ROWS).select(
+        "period_failures": ranked_top_n(result.period_failures, newest, FAILURE_ROWS).select(
             "rank", "job_name", "date", "duration", "run_id", "url",
             F.substring("error", 1, FAILURE_MESSAGE_CHARS).alias("error"),
         ),
-        "stale_tables": ranked_top_n(result["stale_tables"], oldest, STALE_ASSET_ROWS).select(
+        "stale_tables": ranked_top_n(result.stale_tables, oldest, STALE_ASSET_ROWS).select(
             "rank", "table_schema", "table_name", "size_mb", "last_altered"
         ),
-        "stale_views": ranked_top_n(result["stale_views"], oldest, STALE_ASSET_ROWS).select(
+        "stale_views": ranked_top_n(result.stale_views, oldest, STALE_ASSET_ROWS).select(
             "rank", "table_schema", "table_name", "last_altered"
         ),
-        "stale_jobs": ranked_top_n(result["stale_jobs"], idle, STALE_ASSET_ROWS).select(
+        "stale_jobs": ranked_top_n(result.stale_jobs, idle, STALE_ASSET_ROWS).select(
             "rank", "job_id", "job_name", "schedule_label", "last_run"
         ),
-        "totals": result["totals"],
+        "totals": result.totals,
     }
 
 
-def metadata_sections(result: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def metadata_sections(result: MetadataAnalysis) -> dict[str, DataFrame]:
     table = [F.col("table_schema"), F.col("table_name")]
     column = [*table, F.col("column_name")]
     preview = F.substring("definition_preview", 1, GOVERNANCE_PREVIEW_CHARS)
     return {
-        "dashboard": result["dashboard"],
-        "new_tables": result["new_tables"].orderBy(*table).select(*table, "table_type", "data_source_format"),
-        "removed_tables": result["removed_tables"].orderBy(*table).select(*table, "table_type", "data_source_format"),
-        "added_columns": result["added_columns"].orderBy(*column).select(*column, "new_type", "new_nullable"),
-        "removed_columns": result["removed_columns"].orderBy(*column).select(*column, "old_type", "old_nullable"),
-        "changed_columns": result["changed_columns"].orderBy(*column).select(
+        "dashboard": result.dashboard,
+        "new_tables": result.of_kind("NEW TABLE").orderBy(*table).select(*table, "table_type", "data_source_format"),
+        "removed_tables": result.of_kind("REMOVED").orderBy(*table).select(*table, "table_type", "data_source_format"),
+        "added_columns": result.of_kind("COL ADDED").orderBy(*column).select(*column, "new_type", "new_nullable"),
+        "removed_columns": result.of_kind("COL REMOVED").orderBy(*column).select(*column, "old_type", "old_nullable"),
+        "changed_columns": result.of_kind("TYPE CHANGE").orderBy(*column).select(
             *column, "old_type", "new_type", "old_nullable", "new_nullable"
         ),
-        "impact": result["impact"].orderBy("fqn").select(
+        "impact": result.impact.orderBy("fqn").select(
             "fqn", "change_summary", "n_downstream", "n_notebooks", "n_jobs", "risk"
         ),
-        "change_items": result["changes"].orderBy("fqn", "change_type", "col"),
-        "lineage_items": result["lineage"].orderBy("fqn", "asset_kind", "asset"),
-        "stale_data": ranked_top_n(result["stale_data"], freshness_order(), STALE_DATA_ROWS).select(
+        "change_items": result.changes.orderBy("fqn", "change_type", "col"),
+        "lineage_items": result.lineage.orderBy("fqn", "asset_kind", "asset"),
+        "stale_data": ranked_top_n(result.stale_data, freshness_order(), STALE_DATA_ROWS).select(
             "rank", "table_schema", "table_name", "fmt", "last_write", "last_op", "rows_written", "days_since", "severity"
         ),
-        "raw_tables": result["raw_tables"].orderBy("table_name").select("table_name", "issue"),
-        "raw_columns": ranked_top_n(result["raw_columns"], column[1:], RAW_COLUMN_ROWS).select(
+        "raw_tables": result.raw_tables.orderBy("table_name").select("table_name", "issue"),
+        "raw_columns": ranked_top_n(result.raw_columns, column[1:], RAW_COLUMN_ROWS).select(
             "rank", "table_name", "column_name", "issue"
         ),
-        "transform_names": ranked_top_n(result["transform_names"], table[1:], TRANSFORM_NAME_ROWS).select(
+        "transform_names": ranked_top_n(result.transform_names, table[1:], TRANSFORM_NAME_ROWS).select(
             "rank", "table_name", "table_type", "issue"
         ),
-        "governance": ranked_top_n(result["governance"], table[1:], GOVERNANCE_ROWS).select(
+        "governance": ranked_top_n(result.governance, table[1:], GOVERNANCE_ROWS).select(
             "rank", "table_name", preview.alias("definition_preview")
         ),
-        "totals": result["totals"],
+        "totals": result.totals,
     }
 
 

@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablewarden import adapters as given
 from tablewarden.adapters import CONFIG, DRIFT_CONFIG, SINCE
 from tablewarden.functions.schedule import schedule_label
-from tablewarden.operators import drift, freshness, jobs as job_ops, lineage, rules, storage, summary
-from tablewarden.plans.metadata import metadata_analysis
-from tablewarden.plans.optimization import optimization_analysis
+from tablewarden.operators import drift, freshness, jobs as job_ops, lineage, rules, storage
+from tablewarden.plans.metadata import MetadataAnalysis
+from tablewarden.plans.optimization import OptimizationAnalysis
 from tablewarden.plans.report import metadata_sections, optimization_sections, report_sections
+from tablewarden.plans.sharing import Share, as_is
 from tablewarden.sources import catalog, logs, payloads
 from tablewarden.sources.files import storage_detail
 from tablewarden.state.store import (
     COLUMN_SNAPSHOT,
     TABLE_SNAPSHOT,
     WatchStore,
+    cut_lineage,
     lookback_start,
     previous_snapshot_date,
     shared_folder,
@@ -367,89 +369,89 @@ def resolve_jobs(spark, sf):
 # --- the two analyses ----------------------------------------------------------------------------
 
 
-def _optimization(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return optimization_analysis(given.optimization_inputs(spark, sf), CONFIG, SINCE)
+def _optimization(spark: SparkSession, sf: str) -> OptimizationAnalysis:
+    return OptimizationAnalysis(given.optimization_inputs(spark, sf), CONFIG, SINCE)
 
 
-def _metadata(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _metadata(spark: SparkSession, sf: str, share: Share = as_is) -> MetadataAnalysis:
     inputs = given.metadata_inputs(spark, sf)
-    return metadata_analysis(
+    return MetadataAnalysis(
         inputs,
         catalog.current_table_snapshot(inputs["tables"], DRIFT_CONFIG),
         catalog.current_column_snapshot(inputs["columns"], DRIFT_CONFIG),
         inputs["prev_tables"],
         inputs["prev_columns"],
         DRIFT_CONFIG,
+        share,
     )
 
 
 @query
 def platform_totals(spark, sf):
-    return _optimization(spark, sf)["totals"]
+    return _optimization(spark, sf).totals
 
 
 @query
 def optimization_dashboard(spark, sf):
-    return _optimization(spark, sf)["dashboard"]
+    return _optimization(spark, sf).dashboard
 
 
 @query
 def run_summary(spark, sf):
-    return _optimization(spark, sf)["run_summary"]
+    return _optimization(spark, sf).run_summary
 
 
 @query
 def tracker_roundtrip(spark, sf):
     """Append the run summary to the tracker as JSON and read it back."""
     store = _fresh_store(spark)
-    store.append_tracker(_optimization(spark, sf)["run_summary"], CONFIG)
+    store.append_tracker(_optimization(spark, sf).run_summary, CONFIG)
     return store.tracker_history().drop("created_at")
 
 
 @query
 def change_log(spark, sf):
-    return _metadata(spark, sf)["changes"]
+    return _metadata(spark, sf).changes
 
 
 @query
 def change_summary(spark, sf):
-    return drift.change_summary(_metadata(spark, sf)["changes"])
+    return _metadata(spark, sf).change_summary
 
 
 @query
 def change_totals(spark, sf):
-    return _metadata(spark, sf)["totals"]
+    return _metadata(spark, sf).totals
 
 
 @query
 def access_lineage(spark, sf):
-    changed = _metadata(spark, sf)["changes"]
-    return logs.access_lineage(given.access_edges(spark, sf), changed, DRIFT_CONFIG)
+    return _metadata(spark, sf).access
 
 
 @query
 def merge_lineage(spark, sf):
-    return _metadata(spark, sf)["lineage"]
+    return _metadata(spark, sf, cut_lineage).lineage
 
 
 @query
 def impact_risk(spark, sf):
-    return _metadata(spark, sf)["impact"]
+    return _metadata(spark, sf, cut_lineage).impact
 
 
 @query
 def affected_assets(spark, sf):
-    return lineage.affected_assets(_metadata(spark, sf)["lineage"])
+    return _metadata(spark, sf, cut_lineage).affected_assets
 
 
 @query
 def affected_distinct(spark, sf):
-    return _metadata(spark, sf)["affected_distinct"]
+    return _metadata(spark, sf, cut_lineage).affected_distinct
 
 
 @query
 def metadata_dashboard(spark, sf):
-    return _metadata(spark, sf)["dashboard"]
+    return _metadata(spark, sf, cut_lineage).dashboard
 
 
 @query
