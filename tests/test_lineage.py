@@ -1,0 +1,178 @@
+from __future__ import annotations
+
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablewarden.operators import lineage
+from tablewarden.sources.logs import access_lineage, audit_notebook_opens, workspace_paths
+from tablewarden.sources.payloads import jobs_from_payload, lineage_from_payload, runs_from_payload
+
+EDGES = "source_table_full_name STRING, entity_type STRING, entity_id STRING, event_date DATE"
+AUDIT = "event_time TIMESTAMP_NTZ, action_name STRING, request_params MAP<STRING,STRING>"
+LISTING = "object_id STRING, object_type STRING, path STRING"
+LINEAGE = "fqn STRING, asset_kind STRING, pos BIGINT, asset STRING"
+NAMED = "fqn STRING, asset_kind STRING, asset STRING"
+
+
+def collected(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_access_log_window_kinds_and_changed_tables(rows, cfg):
+    edges = rows(
+        EDGES,
+        ("a", "NOTEBOOK", "1", date(2024, 1, 1)),
+        ("a", "NOTEBOOK", "1", date(2024, 1, 20)),
+        ("a", "NOTEBOOK", "2", date(2023, 12, 31)),
+        ("a", "TABLE", "3", date(2024, 1, 20)),
+        ("a", "JOB", "4", date(2024, 1, 20)),
+        ("b", "JOB", "4", date(2024, 1, 20)),
+    )
+    changed = rows("fqn STRING", ("a",), ("a",), ("c",))
+    assert collected(access_lineage(edges, changed, cfg)) == [("a", "JOB", "4", 1), ("a", "NOTEBOOK", "1", 2)]
+    assert access_lineage(edges, changed.filter("false"), cfg).count() == 0
+
+
+def test_notebook_resolution_order(rows, cfg):
+    ids = rows("entity_id STRING", *[(i,) for i in "1123456"])
+    audit = rows(
+        AUDIT,
+        (datetime(2024, 1, 1), "getNotebook", {"notebookId": "1", "path": "/Repos/old"}),
+        (datetime(2024, 1, 2), "getNotebook", {"notebookId": "1", "path": "/Repos/r/new"}),
+        (datetime(2024, 1, 3), "deleteNotebook", {"notebookId": "1", "path": "/gone"}),
+        (datetime(2024, 1, 1), "getNotebook", {"notebookId": "2", "path": "/Repos/r/two"}),
+        # The newest event decides, also when it has no path.
+        (datetime(2024, 1, 2), "getNotebook", {"notebookId": "2"}),
+        (datetime(2024, 1, 1), "getNotebook", {"path": "/no/id"}),
+    )
+    listing = rows(
+        LISTING,
+        ("1", "NOTEBOOK", "/Users/a/shadowed"),
+        ("2", "NOTEBOOK", "/Users/a/b/two"),
+        ("3", "NOTEBOOK", "/Users/a/b/c/too_deep"),
+        ("4", "NOTEBOOK", "/Usersx/a"),
+        ("5", "DIRECTORY", "/Shared/x/"),
+    )
+    resolved = lineage.resolve_notebooks(ids, audit, listing, cfg)
+    assert collected(resolved.select("entity_id", "notebook_name")) == [
+        ("1", "new"),
+        ("2", "two"),
+        ("3", "Notebook #3"),
+        ("4", "Notebook #4"),
+        ("5", "x"),
+        ("6", "Notebook #6"),
+    ]
+    assert collected(lineage.unresolved_ids(ids, resolved)) == [("3",), ("4",), ("6",)]
+
+
+@pytest.mark.parametrize(
+    ("path", "found"),
+    [
+        ("/Repos/repo_path/a/b/c/d", True),
+        ("/Repos/repo_path/a/b/c/d/e", False),
+        ("/Repos/a/b", True),
+        ("/Repos/a/b/c", False),
+        ("/Users/a/b/c", True),
+        ("/Users/a/b/c/d", False),
+        ("/Shared/a", True),
+        ("/Users", False),
+        ("/Else/a", False),
+    ],
+)
+def test_workspace_depth(rows, cfg, path, found):
+    assert workspace_paths(rows(LISTING, ("1", "NOTEBOOK", path)), cfg.workspace_roots).count() == int(found)
+
+
+def test_audit_parameters_as_json_text(rows):
+    text = AUDIT.replace("MAP<STRING,STRING>", "STRING")
+    audit = rows(text, (datetime(2024, 1, 1), "getNotebook", json.dumps({"notebookId": "9", "path": "/p"})))
+    assert collected(audit_notebook_opens(audit).select("notebook_id", "notebook_path")) == [("9", "/p")]
+
+
+def test_job_names(rows):
+    ids = rows("entity_id STRING", ("1",), ("1",), ("2",))
+    assert collected(lineage.resolve_jobs(ids, rows("job_id BIGINT, name STRING", (1, "load")))) == [("1", "load"), ("2", "Job #2")]
+
+
+def test_merge_counts_a_notebook_of_both_sources_once(rows):
+    payload = rows(
+        LINEAGE,
+        ("t", "NOTEBOOK", 1, "/Repos/r/nb"),
+        ("t", "JOB", 1, "load"),
+        ("t", "DOWNSTREAM", 1, "x"),
+        ("t", "DOWNSTREAM", 2, "x"),
+        ("t", "UPSTREAM", 1, "u"),
+    )
+    access = rows(NAMED, ("t", "NOTEBOOK", "nb"), ("t", "NOTEBOOK", "other"), ("t", "JOB", "load"), ("v", "JOB", "load"))
+    merged = lineage.merge_lineage(payload, access)
+    assert collected(merged) == [
+        ("t", "DOWNSTREAM", "x"),
+        ("t", "DOWNSTREAM", "x"),
+        ("t", "JOB", "load"),
+        ("t", "NOTEBOOK", "nb"),
+        ("t", "NOTEBOOK", "other"),
+        ("t", "UPSTREAM", "u"),
+        ("v", "JOB", "load"),
+    ]
+    assert lineage.affected_assets(merged).first()[0] == 6
+    assert tuple(lineage.affected_distinct(merged).first()) == (2, 1)
+
+
+def test_impact(rows):
+    changes = rows(
+        "fqn STRING, change_type STRING, col STRING, detail STRING",
+        ("a", "COL ADDED", "", ""),
+        ("a", "TYPE CHANGE", "", ""),
+        ("b", "REMOVED", "", ""),
+        ("c", "COL REMOVED", "", ""),
+        ("d", "COL REMOVED", "", ""),
+    )
+    assets = [("a", "DOWNSTREAM", "1")] + [("b", "DOWNSTREAM", str(i)) for i in range(5)] + [("c", "DOWNSTREAM", str(i)) for i in range(3)]
+    rated = lineage.impact(changes, rows(NAMED, *assets, ("d", "JOB", "j")))
+    assert {r.fqn: (r.risk, r.n_downstream, r.n_jobs) for r in rated.collect()} == {
+        "a": ("HIGH", 1, 0),
+        "b": ("MEDIUM", 5, 0),
+        "c": ("CRITICAL", 3, 0),
+        "d": ("LOW", 0, 1),
+    }
+
+
+def test_lineage_payload_caps_and_order(rows):
+    document = {
+        "downstreams": [{"name": f"d{i}"} for i in range(20)],
+        "upstreams": None,
+        "entity_lineage": [{"entity_type": "JOB", "name": "j"}, {"entity_type": "QUERY", "name": "q"}]
+        + [{"entity_type": "NOTEBOOK", "path": f"/n{i}"} for i in range(16)]
+        + [{"entity_type": "JOB"}],
+    }
+    raw = rows("table_name STRING, payload STRING", ("t", json.dumps(document)), ("broken", "{oops"), ("none", None), ("empty", "{}"))
+    found = lineage_from_payload(raw)
+    assert found.filter(F.col("fqn") != "t").count() == 0
+    by_kind = {k: [r.asset for r in found.filter(F.col("asset_kind") == k).orderBy("pos").collect()] for k in ("DOWNSTREAM", "UPSTREAM", "NOTEBOOK", "JOB")}
+    assert by_kind == {"DOWNSTREAM": [f"d{i}" for i in range(15)], "UPSTREAM": [], "NOTEBOOK": [f"/n{i}" for i in range(15)], "JOB": ["j", ""]}
+
+
+def test_jobs_pages(rows):
+    page = {
+        "jobs": [
+            {"job_id": 1, "settings": {"name": "keep", "schedule": {"quartz_cron_expression": "0 0 1 * * ?"}}},
+            {"job_id": 2, "settings": {"name": "skip"}},
+            {"job_id": 3, "settings": {}},
+            {"job_id": 4},
+        ],
+        "has_more": False,
+    }
+    raw = rows("payload STRING", (json.dumps(page),), ("{}",), ("not json",))
+    assert collected(jobs_from_payload(raw, ["skip"])) == [(1, "keep", "0 0 1 * * ?"), (3, "Job #3", ""), (4, "Job #4", "")]
+
+
+def test_runs_pages(rows):
+    page = {"runs": [{"run_id": 5, "start_time": 10, "end_time": 20, "state": {"result_state": "FAILED", "state_message": "m"}, "run_page_url": "u"}, {"run_id": 6}]}
+    raw = rows("job_id BIGINT, payload STRING", (1, json.dumps(page)), (2, "{}"))
+    assert [tuple(r) for r in runs_from_payload(raw).orderBy("run_id").collect()] == [
+        (1, 5, 10, 20, "FAILED", "m", "u"),
+        (1, 6, 0, 0, None, None, ""),
+    ]
