@@ -30,7 +30,7 @@ def last_writes(history: DataFrame, cfg: WatchConfig) -> DataFrame:
 
 
 def data_freshness(history: DataFrame, base: DataFrame, cfg: WatchConfig) -> DataFrame:
-    """Base tables whose last write is too old, oldest first. A table without any history is not reported."""
+    """Base tables whose last write is too old. A table without any history is not reported."""
     checked = last_writes(history, cfg).join(base.select(*TABLE_KEY), TABLE_KEY, "left_semi")
     days = F.coalesce("days_since", F.lit(NEVER_WRITTEN_DAYS).cast("bigint"))
     reported = checked.withColumn("days_since", days).filter(F.col("days_since") > cfg.stale_data_days)
@@ -43,8 +43,9 @@ def data_freshness(history: DataFrame, base: DataFrame, cfg: WatchConfig) -> Dat
         F.coalesce("rows_written", F.lit(NO_VALUE)).alias("rows_written"),
         "days_since",
         freshness_severity(F.col("days_since")).alias("severity"),
-    ).orderBy(*freshness_order())
+    )
 
 
 def freshness_order() -> list[Column]:
+    """Oldest first."""
     return [F.col("days_since").desc(), F.col("fqn")]

@@ -75,16 +75,22 @@ def stale_job_rule(cfg: WatchConfig) -> Column:
 
 
 def long_running_jobs(summary: DataFrame, cfg: WatchConfig) -> DataFrame:
-    return summary.filter(long_running_rule(cfg)).orderBy(F.col("avg_min").desc(), "job_id")
+    return summary.filter(long_running_rule(cfg))
+
+
+def long_running_order() -> list[Column]:
+    """Longest first."""
+    return [F.col("avg_min").desc(), F.col("job_id")]
 
 
 def failing_jobs(summary: DataFrame, cfg: WatchConfig) -> DataFrame:
     ratio = F.concat_ws("/", F.col("n_failed").cast("string"), F.col("n_runs").cast("string"))
-    return (
-        summary.filter(failing_rule(cfg))
-        .withColumn("failed_of_total", ratio)
-        .orderBy(F.col("fail_rate").desc(), "job_id")
-    )
+    return summary.filter(failing_rule(cfg)).withColumn("failed_of_total", ratio)
+
+
+def failing_order() -> list[Column]:
+    """Worst rate first."""
+    return [F.col("fail_rate").desc(), F.col("job_id")]
 
 
 def stale_jobs(summary: DataFrame, cfg: WatchConfig) -> DataFrame:

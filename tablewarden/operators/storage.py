@@ -50,19 +50,19 @@ def stale_rule(relation: DataFrame, cfg: WatchConfig) -> Column:
 
 
 def small_files(detail: DataFrame, cfg: WatchConfig) -> DataFrame:
-    """Tables made of too many or too small files, worst first."""
+    """Tables made of too many or too small files."""
     files, avg_mb, name = F.col("files"), F.col("avg_file_mb"), _fqn(cfg)
-    found = detail.filter(small_file_rule()).select(
+    return detail.filter(small_file_rule()).select(
         *TABLE_KEY, "size_mb", "files", "avg_file_mb",
         name.alias("fqn"),
         small_file_severity(files, avg_mb).alias("severity"),
         scan_gain(avg_mb).alias("gain_pct"),
         optimize_cmd(name).alias("cmd"),
     )
-    return found.orderBy(*small_file_order())
 
 
 def small_file_order() -> list[Column]:
+    """Worst first: by severity, then by number of files."""
     return [severity_rank(F.col("severity")).desc(), F.col("files").desc(), F.col("fqn")]
 
 
@@ -98,7 +98,7 @@ def clustering_keys(columns: DataFrame) -> DataFrame:
 
 
 def recommend_clustering(detail: DataFrame, columns: DataFrame, cfg: WatchConfig) -> DataFrame:
-    """Unclustered large tables with their recommended keys and commands, largest first."""
+    """Unclustered large tables with their recommended keys and commands."""
     large = unclustered(detail, cfg)
     keys = F.coalesce("rec_cols", F.array().cast("array<string>"))
     return (
@@ -106,11 +106,11 @@ def recommend_clustering(detail: DataFrame, columns: DataFrame, cfg: WatchConfig
         .withColumn("rec_cols", keys)
         .withColumn("alter_cmd", cluster_cmd(F.col("fqn"), F.col("rec_cols")))
         .withColumn("opt_cmd", optimize_cmd(F.col("fqn")))
-        .orderBy(*unclustered_order())
     )
 
 
 def unclustered_order() -> list[Column]:
+    """Largest first."""
     return [F.col("size_mb").desc(), F.col("fqn")]
 
 

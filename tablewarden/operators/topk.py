@@ -17,7 +17,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_position", position).filter(F.col("_position") <= n).drop("_position")
 
 
-def top_n(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
+def top_n(df: DataFrame, order: Sequence[Column], n: int | None = None) -> DataFrame:
     """Ordered rows, cut to ``n`` when given; the order must be total for a repeatable cut."""
     ordered = df.orderBy(*order)
     return ordered if n is None else ordered.limit(n)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewarden.config import WatchConfig
 from tablewarden.operators import drift, freshness, lineage as lineage_ops, rules, summary as totals
+from tablewarden.operators.topk import top_n
 from tablewarden.plans.sharing import Share, as_is
 from tablewarden.sources import catalog
 from tablewarden.sources.logs import access_lineage
@@ -78,7 +79,8 @@ class MetadataAnalysis:
     @cached_property
     def stale_data(self) -> DataFrame:
         base = catalog.base_tables(self.curr_tables)
-        return freshness.data_freshness(self.inputs["history"], base, self.cfg)
+        found = freshness.data_freshness(self.inputs["history"], base, self.cfg)
+        return top_n(found, freshness.freshness_order())
 
     # --- lineage of the changed tables ---
 

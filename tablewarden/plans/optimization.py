@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from tablewarden.config import WatchConfig
 from tablewarden.operators import jobs as job_ops, storage as storage_ops, summary as totals
+from tablewarden.operators.topk import top_n
 from tablewarden.plans.sharing import Share, as_is
 from tablewarden.sources.catalog import table_inventory, view_inventory
 from tablewarden.sources.files import storage_detail
@@ -22,7 +23,8 @@ class OptimizationAnalysis:
     """The sections as lazy DataFrames, each built when it is first asked for.
 
     ``inputs``: tables, columns, files, table_props, jobs, runs. ``share`` materialises what many sections
-    read: the table detail and the latest runs, both reduced to a bounded number of rows per key.
+    read: the table detail and the latest runs, both reduced to a bounded number of rows per key. Findings
+    are ordered here, not in the operators: a count or a top-n over them drops the sort.
     """
 
     inputs: Mapping[str, DataFrame]
@@ -50,19 +52,20 @@ class OptimizationAnalysis:
 
     @cached_property
     def small_files(self) -> DataFrame:
-        return storage_ops.small_files(self.detail, self.cfg)
+        return top_n(storage_ops.small_files(self.detail, self.cfg), storage_ops.small_file_order())
 
     @cached_property
     def unclustered(self) -> DataFrame:
-        return storage_ops.recommend_clustering(self.detail, self.inputs["columns"], self.cfg)
+        found = storage_ops.recommend_clustering(self.detail, self.inputs["columns"], self.cfg)
+        return top_n(found, storage_ops.unclustered_order())
 
     @cached_property
     def long_running(self) -> DataFrame:
-        return job_ops.long_running_jobs(self.job_summary, self.cfg)
+        return top_n(job_ops.long_running_jobs(self.job_summary, self.cfg), job_ops.long_running_order())
 
     @cached_property
     def failing(self) -> DataFrame:
-        return job_ops.failing_jobs(self.job_summary, self.cfg)
+        return top_n(job_ops.failing_jobs(self.job_summary, self.cfg), job_ops.failing_order())
 
     @cached_property
     def period_failures(self) -> DataFrame:

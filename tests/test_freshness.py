@@ -4,7 +4,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from tablewarden.operators.freshness import data_freshness
+from tablewarden.operators.freshness import data_freshness, freshness_order
+from tablewarden.operators.topk import top_n
 
 HISTORY = (
     "table_schema STRING, table_name STRING, version BIGINT, timestamp TIMESTAMP_NTZ, operation STRING, "
@@ -21,7 +22,7 @@ def entry(version, age_days, operation="WRITE", metrics=None, table="t"):
 def checked(rows, cfg):
     def check(*entries, tables=("t",)):
         base = rows("table_schema STRING, table_name STRING", *[("s", t) for t in tables])
-        return data_freshness(rows(HISTORY, *entries), base, cfg).collect()
+        return top_n(data_freshness(rows(HISTORY, *entries), base, cfg), freshness_order()).collect()
 
     return check
 

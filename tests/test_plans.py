@@ -9,8 +9,10 @@ import pytest
 from tablewarden import adapters as given
 from tablewarden.adapters import CONFIG
 from tablewarden.operators import jobs, lineage
+from tablewarden.plans.optimization import OptimizationAnalysis
+from tablewarden.plans.report import optimization_sections
 from tablewarden.registry import QUERIES
-from tablewarden.sources import logs
+from tablewarden.sources import logs, payloads
 from tablewarden.sources.files import storage_detail
 
 SF = "/root/testdata/sf0.001"
@@ -72,3 +74,16 @@ def test_stored_snapshot_is_read_by_partition(spark, store):
 
 def test_capped_sections_use_a_top_n(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["view_governance_violations"](spark, SF))
+
+
+def test_counting_findings_does_not_sort_them(spark):
+    inputs = given.optimization_inputs(spark, SF)
+    analysis = OptimizationAnalysis(inputs, CONFIG, given.SINCE)
+    assert "rangepartitioning" in plan(analysis.small_files)
+    assert "rangepartitioning" not in plan(analysis.small_files.groupBy().count())
+    assert "rangepartitioning" not in plan(optimization_sections(analysis)["small_files"])
+
+
+def test_a_landed_document_is_parsed_once(rows):
+    landed = rows("table_name STRING, payload STRING", ("t", "{}"))
+    assert plan(payloads.lineage_from_payload(landed)).count("from_json") == 1

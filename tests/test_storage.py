@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewarden.operators import storage
+from tablewarden.operators.topk import top_n
 from tablewarden.sources.files import file_inventory, storage_detail
 
 FILES = "table_schema STRING, table_name STRING, file_path STRING, size_bytes BIGINT"
@@ -48,7 +49,7 @@ def test_small_files_are_ordered_by_severity_then_files(rows, cfg):
         ("s", "high", 900.0, 300, 3.0, [], []),
         ("s", "fine", 900.0, 3, 300.0, [], []),
     )
-    found = storage.small_files(detail, cfg).collect()
+    found = top_n(storage.small_files(detail, cfg), storage.small_file_order()).collect()
     assert [(r.table_name, r.severity) for r in found] == [("many", "CRITICAL"), ("tiny", "CRITICAL"), ("high", "HIGH")]
     assert found[0].cmd == "OPTIMIZE source_catalog.s.many;"
 
