@@ -32,7 +32,7 @@ SHIP_SHIFT_DAYS = 8218
 PAYLOAD_PAGE = 20
 
 STORAGE_COLUMNS = (
-    "created_date", "Customer_Id", "amount", "account", "order_number",
+    "created_date", "Customer_Id", "amount", "account", "region",
     "load_tmst", "status", "plan_number", "updated_time", "notes",
 )
 
@@ -398,15 +398,20 @@ def history_tables(spark: SparkSession, sf: str) -> DataFrame:
     ).distinct()
 
 
-def _lineage_source(parity: Column) -> Column:
-    part = F.col("l_partkey")
+def _lineage_key() -> list[Column]:
+    """The source table of a line, as numbers. A third of all lines reads the two tables of one part."""
+    order = F.col("l_orderkey")
+    return [F.when(order % 3 == 0, 0).otherwise(F.col("l_partkey")).alias("part"), (order % 2).alias("parity")]
+
+
+def _lineage_source(part: Column, parity: Column) -> Column:
     return _text("source_catalog.r", part % 2, ".tbl_", part, "_", parity)
 
 
 def access_edges(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.col("l_returnflag")
     return _read(spark, sf, "lineitem").select(
-        _lineage_source(F.col("l_orderkey") % 2).alias("source_table_full_name"),
+        _lineage_source(*_lineage_key()).alias("source_table_full_name"),
         F.when(flag == "A", "NOTEBOOK").when(flag == "R", "JOB").otherwise("TABLE").alias("entity_type"),
         F.col("l_suppkey").cast("string").alias("entity_id"),
         F.date_add(F.to_date("l_shipdate"), SHIP_SHIFT_DAYS).alias("event_date"),
@@ -428,15 +433,14 @@ def lineage_pages(spark: SparkSession, sf: str, days: int | None = None) -> Data
     kinds = kinds.when(F.col("l_linestatus") == "F", F.array(F.lit("DOWNSTREAM"), F.lit("UPSTREAM")))
     place = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice"]
     entities = lines.select(
-        "l_partkey",
-        (F.col("l_orderkey") % 2).alias("parity"),
+        *_lineage_key(),
         F.explode(kinds.otherwise(F.array(F.lit("DOWNSTREAM")))).alias("kind"),
         *place,
     )
-    page = latest_per_key(entities, ["l_partkey", "parity", "kind"], [F.col(c).asc() for c in place], PAYLOAD_PAGE)
+    page = latest_per_key(entities, ["part", "parity", "kind"], [F.col(c).asc() for c in place], PAYLOAD_PAGE)
     kind = F.col("kind")
     described = page.select(
-        "l_partkey",
+        "part",
         "parity",
         "kind",
         F.struct(
@@ -455,7 +459,7 @@ def lineage_pages(spark: SparkSession, sf: str, days: int | None = None) -> Data
     def shaped(entities: str, *fields: str) -> Column:
         return F.transform(entities, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
 
-    documents = described.groupBy("l_partkey", "parity").agg(
+    documents = described.groupBy("part", "parity").agg(
         listed("DOWNSTREAM").alias("down"), listed("UPSTREAM").alias("up"), listed("NOTEBOOK", "JOB").alias("read")
     )
     document = F.struct(
@@ -463,7 +467,7 @@ def lineage_pages(spark: SparkSession, sf: str, days: int | None = None) -> Data
         shaped("up", "name").alias("upstreams"),
         shaped("read", "entity_type", "path", "name").alias("entity_lineage"),
     )
-    return documents.select(_lineage_source(F.col("parity")).alias("table_name"), F.to_json(document).alias("payload"))
+    return documents.select(_lineage_source(F.col("part"), F.col("parity")).alias("table_name"), F.to_json(document).alias("payload"))
 
 
 def audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -544,7 +548,7 @@ def metadata_inputs(spark: SparkSession, sf: str) -> Inputs:
             "views": partial(views, spark, sf),
             "history": partial(history, spark, sf),
             "access_lineage": partial(access_edges, spark, sf),
-            "lineage_payload": partial(lineage_pages, spark, sf, days=30),
+            "lineage_payload": partial(lineage_pages, spark, sf, days=90),
             "audit": partial(audit, spark, sf),
             "workspace_listing": partial(workspace_listing, spark, sf),
             "jobs": partial(jobs, spark, sf),

@@ -64,7 +64,7 @@ FROM storage_tables
 
 RELATIONS["in_storage_columns"] = f"""
 SELECT {_LINE_TABLE},
-       (['created_date', 'Customer_Id', 'amount', 'account', 'order_number',
+       (['created_date', 'Customer_Id', 'amount', 'account', 'region',
          'load_tmst', 'status', 'plan_number', 'updated_time', 'notes'])
          [CAST((l_suppkey + l_linenumber * (l_suppkey % 5 + 1)) % 10 + 1 AS INTEGER)] AS column_name,
        min(l_linenumber) AS ordinal_position
@@ -148,7 +148,8 @@ SELECT DISTINCT 'raw_schema' AS table_schema, 't_' || ({_SLOT}) AS table_name,
 FROM events
 """
 
-_SOURCE = "'source_catalog.r' || (l_partkey % 2) || '.tbl_' || l_partkey || '_' || (l_orderkey % 2)"
+_PART = "(CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END)"
+_SOURCE = f"'source_catalog.r' || ({_PART} % 2) || '.tbl_' || {_PART} || '_' || (l_orderkey % 2)"
 
 RELATIONS["in_edges"] = f"""
 SELECT {_SOURCE} AS fqn,
@@ -169,7 +170,7 @@ FROM lineitem, (VALUES ('NOTEBOOK'), ('JOB'), ('DOWNSTREAM'), ('UPSTREAM')) AS k
 WHERE CASE kind WHEN 'NOTEBOOK' THEN l_returnflag = 'A' WHEN 'JOB' THEN l_returnflag = 'R'
                 WHEN 'DOWNSTREAM' THEN l_returnflag = 'N' ELSE l_returnflag = 'N' AND l_linestatus = 'F' END
 """
-_RECENT = "CAST(l_shipdate + to_days(8218) AS DATE) >= DATE '2024-01-01'"
+_RECENT = "CAST(l_shipdate + to_days(8218) AS DATE) >= DATE '2023-11-02'"
 
 RELATIONS["payload"] = f"SELECT * FROM ({_ENTITIES}) AS entities WHERE pos <= 15"
 RELATIONS["recent_payload"] = f"SELECT * FROM ({_ENTITIES} AND {_RECENT}) AS entities WHERE pos <= 15"
