@@ -9,7 +9,11 @@ from tablewarden.sources.catalog import TABLE_KEY
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """One row per data file under ``root/<schema>/<table>/``; only the listing is read, never the content."""
+    """One row per data file under ``root/<schema>/<table>/``; only the listing is read, never the content.
+
+    Spark keeps a listing on the driver, so this serves one schema or table folder at a time. Beyond a few
+    million files, read the inventory that the object store lands as a table.
+    """
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

@@ -83,8 +83,9 @@ class WatchStore:
         if day is not None and df.isEmpty():
             self._drop_dates(table, [day])
             return
-        # One output file per date until a date outgrows the advisory partition size.
-        rows = df.hint("rebalance", "snapshot_date")
+        # One output file per date until it outgrows the advisory partition size. A single date is spread
+        # without a key: keyed by its date, all rows would meet in one partition first.
+        rows = df.hint("rebalance") if day is not None else df.hint("rebalance", "snapshot_date")
         self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
     def snapshot_dates(self, table: str) -> list[date]:
