@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablewarden.config import WatchConfig
 from tablewarden.operators import drift, freshness, lineage as lineage_ops, rules, summary as totals
 from tablewarden.operators.topk import top_n
-from tablewarden.plans.sharing import Share, as_is
+from tablewarden.plans.sharing import Share, as_is, materialise
 from tablewarden.sources import catalog
 from tablewarden.sources.logs import access_lineage
 from tablewarden.sources.payloads import lineage_from_payload
@@ -42,9 +42,8 @@ class MetadataAnalysis:
         if self.prev_tables is None or self.prev_columns is None:
             same = drift.schema_diff(self.curr_tables, self.curr_tables, self.curr_columns, self.curr_columns)
             return same.filter(F.lit(False))
-        return self.share(
-            drift.schema_diff(self.curr_tables, self.prev_tables, self.curr_columns, self.prev_columns)
-        )
+        diff = drift.schema_diff(self.curr_tables, self.prev_tables, self.curr_columns, self.prev_columns)
+        return self.share("diff", diff)
 
     def of_kind(self, kind: str) -> DataFrame:
         return self.diff.filter(F.col("change_type") == kind)
@@ -64,7 +63,8 @@ class MetadataAnalysis:
     @cached_property
     def governance(self) -> DataFrame:
         # The definitions are the widest text of all inputs: read once.
-        return self.share(rules.view_governance_violations(self.inputs["views"], self.cfg, limit=None))
+        found = rules.view_governance_violations(self.inputs["views"], self.cfg, limit=None)
+        return self.share("governance", found)
 
     @cached_property
     def changes(self) -> DataFrame:
@@ -72,7 +72,7 @@ class MetadataAnalysis:
 
     @cached_property
     def change_summary(self) -> DataFrame:
-        return self.share(drift.change_summary(self.changes))
+        return self.share("change_summary", drift.change_summary(self.changes))
 
     # --- freshness ---
 
@@ -87,7 +87,7 @@ class MetadataAnalysis:
     @cached_property
     def access(self) -> DataFrame:
         changed = self.change_summary.select("fqn")
-        return self.share(access_lineage(self.inputs["access_lineage"], changed, self.cfg))
+        return self.share("access", access_lineage(self.inputs["access_lineage"], changed, self.cfg))
 
     @cached_property
     def lineage(self) -> DataFrame:
@@ -100,7 +100,7 @@ class MetadataAnalysis:
         )
         jobs = lineage_ops.resolve_jobs(self.access.filter(F.col("entity_type") == "JOB"), self.inputs["jobs"])
         named = lineage_ops.name_access(self.access, notebooks, jobs)
-        return self.share(lineage_ops.merge_lineage(payload, named))
+        return self.share("lineage", lineage_ops.merge_lineage(payload, named))
 
     @cached_property
     def impact(self) -> DataFrame:
@@ -141,7 +141,7 @@ def run_metadata(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: Watch
     if previous is not None:
         prev_t = snapshot_at(store.table(TABLE_SNAPSHOT), previous)
         prev_c = snapshot_at(store.table(COLUMN_SNAPSHOT), previous)
-    analysis = MetadataAnalysis(inputs, curr_t, curr_c, prev_t, prev_c, cfg, share=cut_lineage)
+    analysis = MetadataAnalysis(inputs, curr_t, curr_c, prev_t, prev_c, cfg, share=materialise)
     # The diff is the only section that reads the stored dates: it is taken before they change.
     _ = analysis.diff
 

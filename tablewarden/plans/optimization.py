@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from tablewarden.config import WatchConfig
 from tablewarden.operators import jobs as job_ops, storage as storage_ops, summary as totals
 from tablewarden.operators.topk import top_n
-from tablewarden.plans.sharing import Share, as_is
+from tablewarden.plans.sharing import Share, as_is, materialise
 from tablewarden.sources.catalog import table_inventory, view_inventory
 from tablewarden.sources.files import storage_detail
-from tablewarden.state.store import WatchStore, cut_lineage
+from tablewarden.state.store import WatchStore
 
 
 @dataclass(frozen=True)
@@ -40,11 +40,11 @@ class OptimizationAnalysis:
     def detail(self) -> DataFrame:
         inventory = table_inventory(self.inputs["tables"], self.cfg.schemas)
         stored = storage_detail(self.inputs["files"], self.inputs["table_props"])
-        return self.share(storage_ops.table_detail(inventory, stored))
+        return self.share("detail", storage_ops.table_detail(inventory, stored))
 
     @cached_property
     def latest_runs(self) -> DataFrame:
-        return self.share(job_ops.latest_runs(self.inputs["runs"], self.cfg.runs_per_job))
+        return self.share("latest_runs", job_ops.latest_runs(self.inputs["runs"], self.cfg.runs_per_job))
 
     @cached_property
     def job_summary(self) -> DataFrame:
@@ -110,6 +110,6 @@ def run_optimization(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: W
     """One nightly run: look back to the last one, analyse, and record the run as the last step."""
     store.ensure_tables()
     since = store.lookback_start(cfg.run_date)
-    analysis = OptimizationAnalysis(inputs, cfg, since, share=cut_lineage)
+    analysis = OptimizationAnalysis(inputs, cfg, since, share=materialise)
     store.append_tracker(analysis.run_summary, cfg)
     return analysis

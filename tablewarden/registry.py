@@ -14,14 +14,13 @@ from tablewarden.operators import drift, freshness, jobs as job_ops, lineage, ru
 from tablewarden.plans.metadata import MetadataAnalysis
 from tablewarden.plans.optimization import OptimizationAnalysis
 from tablewarden.plans.report import metadata_sections, optimization_sections, report_sections
-from tablewarden.plans.sharing import Share, as_is
+from tablewarden.plans.sharing import Share, as_is, materialise_only
 from tablewarden.sources import catalog, logs, payloads
 from tablewarden.sources.files import storage_detail
 from tablewarden.state.store import (
     COLUMN_SNAPSHOT,
     TABLE_SNAPSHOT,
     WatchStore,
-    cut_lineage,
     lookback_start,
     previous_snapshot_date,
     shared_folder,
@@ -373,6 +372,11 @@ def _optimization(spark: SparkSession, sf: str) -> OptimizationAnalysis:
     return OptimizationAnalysis(given.optimization_inputs(spark, sf), CONFIG, SINCE)
 
 
+# What the queries below read more than once.
+_LINEAGE_READS = materialise_only("change_summary", "access")
+_DASHBOARD_READS = materialise_only("diff", "governance", "change_summary", "access")
+
+
 def _metadata(spark: SparkSession, sf: str, share: Share = as_is) -> MetadataAnalysis:
     inputs = given.metadata_inputs(spark, sf)
     return MetadataAnalysis(
@@ -431,27 +435,27 @@ def access_lineage(spark, sf):
 
 @query
 def merge_lineage(spark, sf):
-    return _metadata(spark, sf, cut_lineage).lineage
+    return _metadata(spark, sf, _LINEAGE_READS).lineage
 
 
 @query
 def impact_risk(spark, sf):
-    return _metadata(spark, sf, cut_lineage).impact
+    return _metadata(spark, sf, _LINEAGE_READS).impact
 
 
 @query
 def affected_assets(spark, sf):
-    return _metadata(spark, sf, cut_lineage).affected_assets
+    return _metadata(spark, sf, _LINEAGE_READS).affected_assets
 
 
 @query
 def affected_distinct(spark, sf):
-    return _metadata(spark, sf, cut_lineage).affected_distinct
+    return _metadata(spark, sf, _LINEAGE_READS).affected_distinct
 
 
 @query
 def metadata_dashboard(spark, sf):
-    return _metadata(spark, sf, cut_lineage).dashboard
+    return _metadata(spark, sf, _DASHBOARD_READS).dashboard
 
 
 @query
