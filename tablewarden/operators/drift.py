@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewarden.config import WatchConfig
 from tablewarden.functions.labels import BREAKING_KINDS, CHANGE_KINDS, GOVERNANCE_DETAIL, change_detail
 from tablewarden.functions.storage import fqn
+from tablewarden.operators.joins import spread_join
 from tablewarden.sources.catalog import COLUMN_KEY, TABLE_KEY
 
 _TABLE_VALUES = ["table_type", "data_source_format"]
@@ -28,10 +29,15 @@ def common_tables(curr: DataFrame, prev: DataFrame) -> DataFrame:
     return curr.select(*TABLE_KEY).join(prev, TABLE_KEY, "left_semi")
 
 
+def _within(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """Column rows of the common tables; one table may own a large share of them."""
+    return spread_join(rows, common, TABLE_KEY, ["column_name"], "left_semi")
+
+
 def added_columns(curr: DataFrame, prev: DataFrame, common: DataFrame) -> DataFrame:
     """Columns only in ``curr``, of tables in both snapshots."""
     fresh = curr.join(prev, COLUMN_KEY, "left_anti").select(*COLUMN_KEY, *_COLUMN_VALUES)
-    return fresh.join(common, TABLE_KEY, "left_semi")
+    return _within(fresh, common)
 
 
 def removed_columns(curr: DataFrame, prev: DataFrame, common: DataFrame) -> DataFrame:
@@ -50,7 +56,7 @@ def changed_columns(curr: DataFrame, prev: DataFrame, common: DataFrame) -> Data
     differing = old.join(new, COLUMN_KEY).filter(
         _changed("old_type", "new_type") | _changed("old_nullable", "new_nullable")
     )
-    return differing.join(common, TABLE_KEY, "left_semi").select(
+    return _within(differing, common).select(
         *COLUMN_KEY, "old_type", "new_type", "old_nullable", "new_nullable"
     )
 
@@ -90,7 +96,7 @@ def _column_changes(curr: DataFrame, prev: DataFrame, common: DataFrame) -> Data
     )
     # Unchanged columns go before the table restriction: what is joined again is the diff, not the snapshot.
     changed = both.withColumn("change_type", kind).filter(F.col("change_type").isNotNull())
-    return changed.join(common, TABLE_KEY, "left_semi").select(
+    return _within(changed, common).select(
         "change_type",
         *COLUMN_KEY,
         *[F.lit(None).cast("string").alias(c) for c in _TABLE_VALUES],

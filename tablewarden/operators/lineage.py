@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablewarden.config import WatchConfig
 from tablewarden.functions.labels import last_segment, notebook_label, risk_level
 from tablewarden.operators.drift import change_summary
+from tablewarden.operators.joins import spread_join
 from tablewarden.operators.topk import latest_per_key
 from tablewarden.sources.logs import audit_notebook_opens, workspace_paths
 
@@ -59,7 +60,9 @@ def name_access(access: DataFrame, notebooks: DataFrame, jobs: DataFrame) -> Dat
 
     def named(kind: str, names: DataFrame, column: str) -> DataFrame:
         edges = access.filter(F.col("entity_type") == kind).select("fqn", "entity_id")
-        return edges.join(names, "entity_id").select("fqn", F.lit(kind).alias("asset_kind"), F.col(column).alias("asset"))
+        # One notebook may read a large share of all tables.
+        found = spread_join(edges, names, ["entity_id"], ["fqn"], "inner")
+        return found.select("fqn", F.lit(kind).alias("asset_kind"), F.col(column).alias("asset"))
 
     return named("NOTEBOOK", notebooks, "notebook_name").unionByName(named("JOB", jobs, "job_name"))
 

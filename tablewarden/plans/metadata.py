@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
@@ -15,7 +16,7 @@ from tablewarden.plans.sharing import Share, as_is, materialise
 from tablewarden.sources import catalog
 from tablewarden.sources.logs import access_lineage
 from tablewarden.sources.payloads import lineage_from_payload
-from tablewarden.state.store import COLUMN_SNAPSHOT, TABLE_SNAPSHOT, WatchStore, cut_lineage, snapshot_at
+from tablewarden.state.store import COLUMN_SNAPSHOT, TABLE_SNAPSHOT, WatchStore, snapshot_at
 
 
 @dataclass(frozen=True)
@@ -132,22 +133,34 @@ class MetadataAnalysis:
 
 
 def run_metadata(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore) -> MetadataAnalysis:
-    """One nightly run: compare with the greatest earlier date, save what was compared, retain, compact."""
-    store.ensure_tables()
-    curr_t = cut_lineage(catalog.current_table_snapshot(inputs["tables"], cfg))
-    curr_c = cut_lineage(catalog.current_column_snapshot(inputs["columns"], cfg))
-    previous = store.previous_date(cfg.run_date)
-    prev_t = prev_c = None
-    if previous is not None:
-        prev_t = snapshot_at(store.table(TABLE_SNAPSHOT), previous)
-        prev_c = snapshot_at(store.table(COLUMN_SNAPSHOT), previous)
-    analysis = MetadataAnalysis(inputs, curr_t, curr_c, prev_t, prev_c, cfg, share=materialise)
-    # The diff is the only section that reads the stored dates: it is taken before they change.
-    _ = analysis.diff
+    """One nightly run: save today's snapshot, compare it with the greatest earlier date, retain.
 
-    for snapshot, table in ((curr_c, COLUMN_SNAPSHOT), (curr_t, TABLE_SNAPSHOT)):
-        store.save_snapshot(snapshot, table, cfg.run_date)
-        store.apply_retention(table, cfg.run_date, cfg.retention_days)
+    The catalogue is read once. What is compared is the stored snapshot itself, so a repeated run compares
+    and saves the same rows, and no other copy of them is written.
+    """
+    store.ensure_tables()
+    today = cfg.run_date
+    previous = store.previous_date(today)
+    store.save_snapshot(catalog.current_column_snapshot(inputs["columns"], cfg), COLUMN_SNAPSHOT, today)
+    store.save_snapshot(catalog.current_table_snapshot(inputs["tables"], cfg), TABLE_SNAPSHOT, today)
+    for table in (COLUMN_SNAPSHOT, TABLE_SNAPSHOT):
         # A save is already written at the advisory size; only a date fragmented otherwise is rewritten.
-        store.compact_snapshot(table, store.fragmented_dates(table, [cfg.run_date]))
+        store.compact_snapshot(table, store.fragmented_dates(table, [today]))
+
+    def stored(table: str, day: date | None) -> DataFrame | None:
+        return None if day is None else snapshot_at(store.table(table), day)
+
+    analysis = MetadataAnalysis(
+        inputs,
+        stored(TABLE_SNAPSHOT, today),
+        stored(COLUMN_SNAPSHOT, today),
+        stored(TABLE_SNAPSHOT, previous),
+        stored(COLUMN_SNAPSHOT, previous),
+        cfg,
+        share=materialise,
+    )
+    # The diff is the only section that reads the earlier date: it is taken before that date may go.
+    _ = analysis.diff
+    for table in (COLUMN_SNAPSHOT, TABLE_SNAPSHOT):
+        store.apply_retention(table, today, cfg.retention_days)
     return analysis

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tablewarden.config import WatchConfig
+from tablewarden.operators.joins import spread_join
 from tablewarden.operators.topk import latest_per_key
 from tablewarden.sources.catalog import TABLE_KEY
 
@@ -31,7 +32,7 @@ def access_lineage(edges: DataFrame, changed: DataFrame, cfg: WatchConfig) -> Da
     distinct_edges = recent.groupBy(
         F.col("source_table_full_name").alias("fqn"), "entity_type", "entity_id"
     ).agg(F.count(F.lit(1)).alias("n_reads"))
-    return distinct_edges.join(changed.select("fqn").distinct(), "fqn", "left_semi")
+    return spread_join(distinct_edges, changed.select("fqn").distinct(), ["fqn"], ["entity_id"], "left_semi")
 
 
 def audit_notebook_opens(audit: DataFrame) -> DataFrame:

@@ -78,14 +78,14 @@ class WatchStore:
     def save_snapshot(self, df: DataFrame, table: str, day: date | None = None) -> None:
         """Replace the dates in ``df``, matching columns by name.
 
-        ``day`` names the run date, whose old rows must also go when ``df`` is empty.
+        ``day`` names the run date, whose old rows go first: an empty ``df`` brings no partition that would
+        replace them. ``df`` must then not read that date of the same table.
         """
-        if day is not None and df.isEmpty():
+        if day is not None:
             self._drop_dates(table, [day])
-            return
         # One output file per date until it outgrows the advisory partition size. A single date is spread
         # without a key: keyed by its date, all rows would meet in one partition first.
-        rows = df.hint("rebalance") if day is not None else df.hint("rebalance", "snapshot_date")
+        rows = df.hint("rebalance", "snapshot_date") if day is None else df.hint("rebalance")
         self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
     def snapshot_dates(self, table: str) -> list[date]:
