@@ -10,20 +10,20 @@ from collections.abc import Callable, Iterator, Mapping
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewarden.config import WatchConfig
 from tablewarden.operators.topk import latest_per_key
 
 AS_OF = datetime(2024, 1, 31)
 SINCE = date(2024, 1, 30)
-PREVIOUS = date(2024, 1, 30)
+PREVIOUS_DATE = date(2024, 1, 30)
 CONFIG = WatchConfig(as_of=AS_OF, excluded_jobs=("Customer#000000007",))
 DRIFT_CONFIG = WatchConfig(as_of=AS_OF, schemas=("raw_schema", "transform_schema", "r0", "r1"))
 
 # Both snapshots together cover every order.
-PREVIOUS_UNTIL = "1998-07-01"
-CURRENT_FROM = "1998-01-01"
+PREVIOUS = "o_orderdate < TIMESTAMP_NTZ'1998-07-01 00:00:00'"
+CURRENT = "o_orderdate >= TIMESTAMP_NTZ'1998-01-01 00:00:00'"
 STATE_AS_OF = date(1998, 6, 1)
 RETENTION_AS_OF = date(2001, 8, 1)
 # 2001-08-01, the last order day, falls on the run date.
@@ -31,12 +31,6 @@ SHIP_SHIFT_DAYS = 8218
 # More than the operators keep (15), so their own cap decides.
 PAYLOAD_PAGE = 20
 
-STORAGE_COLUMNS = (
-    "created_date", "Customer_Id", "amount", "account", "region",
-    "load_tmst", "status", "plan_number", "updated_time", "notes",
-)
-
-
 # Stated schemas: reading a table then needs no job that opens its footers.
 GIVEN_SCHEMAS = {
     "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
@@ -56,215 +50,160 @@ def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.schema(GIVEN_SCHEMAS[table]).parquet(f"{sf}/{table}.parquet")
 
 
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def _ntz(day: str) -> Column:
-    return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
-
-
-def _back(days: Column) -> Column:
-    return F.make_dt_interval(days)
-
-
 # --- jobs and runs -------------------------------------------------------------------------------
 
+_START = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
-    start = F.timestamp_diff("MILLISECOND", _ntz("1970-01-01"), F.col("ts"))
-    kind = F.col("event_type")
-    return _read(spark, sf, "events").select(
-        F.col("user_id").alias("job_id"),
-        F.col("event_id").alias("run_id"),
-        start.alias("start_time"),
-        (start + F.round(F.col("value") * 15000).cast("bigint")).alias("end_time"),
-        F.when(kind == "error", "FAILED").when(kind == "signup", "CANCELED").otherwise("SUCCESS").alias("result_state"),
-        F.col("props").alias("state_message"),
-        _text("https://workspace/#job/", F.col("user_id"), "/run/", F.col("event_id")).alias("run_page_url"),
+    return _read(spark, sf, "events").selectExpr(
+        "user_id AS job_id",
+        "event_id AS run_id",
+        f"{_START} AS start_time",
+        f"{_START} + CAST(round(value * 15000) AS BIGINT) AS end_time",
+        "CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'CANCELED' ELSE 'SUCCESS' END AS result_state",
+        "props AS state_message",
+        "concat('https://workspace/#job/', user_id, '/run/', event_id) AS run_page_url",
     )
 
 
 def jobs(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("c_custkey")
-    shape = key % 6
-    at = _text("0 ", key % 60, " ", key % 24)
-    schedule = (
-        F.when(shape == 0, _text(at, " * * ?"))
-        .when(shape == 1, _text(at, " ? * MON-FRI"))
-        .when(shape == 2, _text(at, " ? * 2,4"))
-        .when(shape == 3, _text(at, " 15 * ?"))
-        .when(shape == 4, "")
-        .otherwise("bad cron")
+    at = "concat('0 ', c_custkey % 60, ' ', c_custkey % 24)"
+    return _read(spark, sf, "customer").selectExpr(
+        "c_custkey AS job_id",
+        "c_name AS name",
+        f"""CASE c_custkey % 6
+              WHEN 0 THEN concat({at}, ' * * ?')
+              WHEN 1 THEN concat({at}, ' ? * MON-FRI')
+              WHEN 2 THEN concat({at}, ' ? * 2,4')
+              WHEN 3 THEN concat({at}, ' 15 * ?')
+              WHEN 4 THEN ''
+              ELSE 'bad cron' END AS schedule""",
     )
-    return _read(spark, sf, "customer").select(key.alias("job_id"), F.col("c_name").alias("name"), schedule.alias("schedule"))
 
 
 def job_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Jobs rendered as landed JSON pages of 25."""
-    job = F.struct(
-        "job_id",
-        F.struct("name", F.struct(F.col("schedule").alias("quartz_cron_expression")).alias("schedule")).alias("settings"),
-    )
-    pages = jobs(spark, sf).groupBy(F.floor(F.col("job_id") / 25).alias("page"))
-    return pages.agg(F.collect_list(job).alias("jobs")).select(F.to_json(F.struct("jobs")).alias("payload"))
+    job = "named_struct('name', name, 'schedule', named_struct('quartz_cron_expression', schedule))"
+    pages = jobs(spark, sf).selectExpr("job_id div 25 AS page", f"named_struct('job_id', job_id, 'settings', {job}) AS job")
+    listed = pages.groupBy("page").agg(F.collect_list("job").alias("jobs"))
+    return listed.selectExpr("to_json(named_struct('jobs', jobs)) AS payload")
 
 
 def run_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Runs rendered as landed JSON pages; a page spans 100 run ids, so it holds 100 runs at most."""
-    run = F.struct(
-        "run_id", "start_time", "end_time", F.struct("result_state", "state_message").alias("state"), "run_page_url"
-    )
-    pages = runs(spark, sf).groupBy("job_id", F.floor(F.col("run_id") / 100).alias("page"))
-    return pages.agg(F.collect_list(run).alias("runs")).select("job_id", F.to_json(F.struct("runs")).alias("payload"))
+    run = """named_struct('run_id', run_id, 'start_time', start_time, 'end_time', end_time, 'state',
+        named_struct('result_state', result_state, 'state_message', state_message), 'run_page_url', run_page_url)"""
+    pages = runs(spark, sf).selectExpr("job_id", "run_id div 100 AS page", f"{run} AS run")
+    listed = pages.groupBy("job_id", "page").agg(F.collect_list("run").alias("runs"))
+    return listed.selectExpr("job_id", "to_json(named_struct('runs', runs)) AS payload")
 
 
 # --- storage -------------------------------------------------------------------------------------
 
 # A tenth of all files belongs to one table; every other supplier has four tables of growing size.
-
-
-def _storage_schema(supplier: Column) -> Column:
-    return F.when((supplier % 10 == 0) | (supplier % 2 == 1), "raw_schema").otherwise("transform_schema")
-
-
-def _storage_table(supplier: Column, bucket: Column) -> Column:
-    return F.when(supplier % 10 == 0, "s_hot").otherwise(_text("s_", supplier, "_", bucket))
-
-
-def _size_bucket(order: Column) -> Column:
-    slot = order % 16
-    return F.when(slot == 0, 0).when(slot <= 3, 1).when(slot <= 8, 2).otherwise(3)
+_BUCKET = "CASE WHEN l_orderkey % 16 = 0 THEN 0 WHEN l_orderkey % 16 <= 3 THEN 1 WHEN l_orderkey % 16 <= 8 THEN 2 ELSE 3 END"
+_HOT = "{s} % 10 = 0"
+_STORAGE_SCHEMA = "CASE WHEN {s} % 10 = 0 OR {s} % 2 = 1 THEN 'raw_schema' ELSE 'transform_schema' END AS table_schema"
+_STORAGE_TABLE = "CASE WHEN {s} % 10 = 0 THEN 's_hot' ELSE concat('s_', {s}, '_', {b}) END"
 
 
 def files(spark: SparkSession, sf: str) -> DataFrame:
-    supplier, order = F.col("l_suppkey"), F.col("l_orderkey")
-    mb = F.col("l_quantity") * F.when(supplier % 5 == 0, 0.03).when(supplier % 5 == 1, 5.0).otherwise(1.0)
-    table = _storage_table(supplier, _size_bucket(order))
-    return _read(spark, sf, "lineitem").select(
-        _storage_schema(supplier).alias("table_schema"),
-        table.alias("table_name"),
-        _text(table, "/part-", order, "-", F.col("l_linenumber"), ".parquet").alias("file_path"),
-        F.floor(mb * 1048576).alias("size_bytes"),
-        F.col("l_shipdate").alias("modified"),
+    table = _STORAGE_TABLE.format(s="l_suppkey", b=_BUCKET)
+    mb = "l_quantity * CASE l_suppkey % 5 WHEN 0 THEN 0.03D WHEN 1 THEN 5.0D ELSE 1.0D END"
+    return _read(spark, sf, "lineitem").selectExpr(
+        _STORAGE_SCHEMA.format(s="l_suppkey"),
+        f"{table} AS table_name",
+        f"concat({table}, '/part-', l_orderkey, '-', l_linenumber, '.parquet') AS file_path",
+        f"floor({mb} * 1048576) AS size_bytes",
+        "l_shipdate AS modified",
     )
 
 
 def _storage_tables(spark: SparkSession, sf: str) -> DataFrame:
-    supplier = F.col("s_suppkey")
-    buckets = _read(spark, sf, "supplier").select(
-        supplier, F.explode(F.array(*[F.lit(b) for b in range(4)])).alias("bucket")
-    )
-    hot = supplier % 10 == 0
-    return buckets.select(
-        _storage_schema(supplier).alias("table_schema"),
-        _storage_table(supplier, F.col("bucket")).alias("table_name"),
-        F.when(~hot, supplier).alias("supplier"),
+    buckets = _read(spark, sf, "supplier").selectExpr("s_suppkey", "explode(array(0, 1, 2, 3)) AS bucket")
+    return buckets.selectExpr(
+        _STORAGE_SCHEMA.format(s="s_suppkey"),
+        _STORAGE_TABLE.format(s="s_suppkey", b="bucket") + " AS table_name",
+        f"CASE WHEN NOT {_HOT.format(s='s_suppkey')} THEN s_suppkey END AS supplier",
     ).distinct()
 
 
 def table_props(spark: SparkSession, sf: str) -> DataFrame:
-    supplier = F.col("supplier")
-    none = F.array().cast("array<string>")
-    return _storage_tables(spark, sf).select(
+    none = "CAST(array() AS ARRAY<STRING>)"
+    return _storage_tables(spark, sf).selectExpr(
         "table_schema",
         "table_name",
-        F.lit("delta").alias("format"),
-        F.when(supplier % 4 == 0, F.array(F.lit("load_date"))).otherwise(none).alias("partition_columns"),
-        F.when(supplier % 3 == 0, F.array(F.lit("customer_id"))).otherwise(none).alias("clustering_columns"),
+        "'delta' AS format",
+        f"CASE WHEN supplier % 4 = 0 THEN array('load_date') ELSE {none} END AS partition_columns",
+        f"CASE WHEN supplier % 3 = 0 THEN array('customer_id') ELSE {none} END AS clustering_columns",
     )
 
 
 def storage_columns(spark: SparkSession, sf: str) -> DataFrame:
-    supplier, line = F.col("l_suppkey"), F.col("l_linenumber")
-    names = F.array(*[F.lit(c) for c in STORAGE_COLUMNS])
-    hot = supplier % 10 == 0
+    hot = _HOT.format(s="l_suppkey")
     # Grouped on numbers; the names are written once per group.
-    grouped = (
-        _read(spark, sf, "lineitem")
-        .groupBy(
-            F.when(hot, 0).otherwise(supplier).alias("supplier"),
-            F.when(hot, 0).otherwise(_size_bucket(F.col("l_orderkey"))).alias("bucket"),
-            ((supplier + line * (supplier % 5 + 1)) % 10 + 1).cast("int").alias("slot"),
-        )
-        .agg(F.min("l_linenumber").alias("ordinal_position"))
+    numbered = _read(spark, sf, "lineitem").selectExpr(
+        f"CASE WHEN {hot} THEN 0 ELSE l_suppkey END AS supplier",
+        f"CASE WHEN {hot} THEN 0 ELSE {_BUCKET} END AS bucket",
+        "CAST((l_suppkey + l_linenumber * (l_suppkey % 5 + 1)) % 10 + 1 AS INT) AS slot",
+        "l_linenumber",
     )
-    return grouped.select(
-        _storage_schema(F.col("supplier")).alias("table_schema"),
-        _storage_table(F.col("supplier"), F.col("bucket")).alias("table_name"),
-        F.element_at(names, F.col("slot")).alias("column_name"),
+    grouped = numbered.groupBy("supplier", "bucket", "slot").agg(F.min("l_linenumber").alias("ordinal_position"))
+    return grouped.selectExpr(
+        _STORAGE_SCHEMA.format(s="supplier"),
+        _STORAGE_TABLE.format(s="supplier", b="bucket") + " AS table_name",
+        """element_at(array('created_date', 'Customer_Id', 'amount', 'account', 'region',
+                            'load_tmst', 'status', 'plan_number', 'updated_time', 'notes'), slot) AS column_name""",
         "ordinal_position",
     )
 
 
 # --- catalogue -----------------------------------------------------------------------------------
 
-
-def _part_schema() -> Column:
-    return F.when(F.col("p_size") % 2 == 1, "raw_schema").otherwise("transform_schema")
-
-
-def _part_table() -> Column:
-    key, name = F.col("p_partkey"), F.col("p_name")
-    prefix = F.when(key % 11 == 0, "event_log_").when(key % 13 == 0, "__materialization_").otherwise("")
-    joined = F.replace(name, F.lit(" "), F.lit("_"))
-    body = F.when(key % 3 == 0, name).when(key % 3 == 1, joined).otherwise(F.upper(joined))
-    return _text(prefix, body, "_", key, F.when(key % 2 == 0, "_view").otherwise(""))
-
-
-def _part_kind() -> Column:
-    kind = F.col("p_partkey") % 5
-    return (
-        F.when(kind == 0, "MANAGED")
-        .when(kind == 1, "EXTERNAL")
-        .when(kind == 2, "VIEW")
-        .when(kind == 3, "MATERIALIZED_VIEW")
-        .otherwise("STREAMING_TABLE")
-    )
+_CREATED = "TIMESTAMP_NTZ'2023-01-01 00:00:00' AS created"
+_RUN_DAY = "TIMESTAMP_NTZ'2024-01-31 00:00:00'"
+_PART_SCHEMA = "CASE WHEN p_size % 2 = 1 THEN 'raw_schema' ELSE 'transform_schema' END AS table_schema"
+_PART_TABLE = """concat(
+    CASE WHEN p_partkey % 11 = 0 THEN 'event_log_' WHEN p_partkey % 13 = 0 THEN '__materialization_' ELSE '' END,
+    CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', '_') ELSE upper(replace(p_name, ' ', '_')) END,
+    '_', p_partkey, CASE WHEN p_partkey % 2 = 0 THEN '_view' ELSE '' END) AS table_name"""
 
 
 def part_tables(spark: SparkSession, sf: str) -> DataFrame:
-    altered = _ntz("2024-01-31") - _back(F.col("p_size") * 3)
-    kind = _part_kind()
-    return _read(spark, sf, "part").select(
-        _part_schema().alias("table_schema"),
-        _part_table().alias("table_name"),
-        kind.alias("table_type"),
-        F.when(kind != "VIEW", "DELTA").alias("data_source_format"),
-        (altered - _back(F.lit(30))).alias("created"),
-        F.when(F.col("p_partkey") % 50 != 0, altered).alias("last_altered"),
+    return _read(spark, sf, "part").selectExpr(
+        _PART_SCHEMA,
+        _PART_TABLE,
+        """CASE p_partkey % 5 WHEN 0 THEN 'MANAGED' WHEN 1 THEN 'EXTERNAL' WHEN 2 THEN 'VIEW'
+             WHEN 3 THEN 'MATERIALIZED_VIEW' ELSE 'STREAMING_TABLE' END AS table_type""",
+        "CASE WHEN p_partkey % 5 <> 2 THEN 'DELTA' END AS data_source_format",
+        f"{_RUN_DAY} - make_dt_interval(p_size * 3 + 30) AS created",
+        f"CASE WHEN p_partkey % 50 <> 0 THEN {_RUN_DAY} - make_dt_interval(p_size * 3) END AS last_altered",
     )
 
 
 def part_columns(spark: SparkSession, sf: str) -> DataFrame:
-    shape = F.col("p_partkey") % 4
-    name = (
-        F.when(shape == 0, F.col("p_type"))
-        .when(shape == 1, _text("col ", F.col("p_size")))
-        .when(shape == 2, F.lower("p_type"))
-        .otherwise(_text("c_", F.col("p_size")))
-    )
-    return _read(spark, sf, "part").select(
-        _part_schema().alias("table_schema"),
-        _part_table().alias("table_name"),
-        name.alias("column_name"),
-        F.lit("STRING").alias("full_data_type"),
-        F.lit(1).alias("ordinal_position"),
-        F.lit("YES").alias("is_nullable"),
-        F.lit(None).cast("string").alias("comment"),
+    return _read(spark, sf, "part").selectExpr(
+        _PART_SCHEMA,
+        _PART_TABLE,
+        """CASE p_partkey % 4 WHEN 0 THEN p_type WHEN 1 THEN concat('col ', p_size) WHEN 2 THEN lower(p_type)
+             ELSE concat('c_', p_size) END AS column_name""",
+        "'STRING' AS full_data_type",
+        "1 AS ordinal_position",
+        "'YES' AS is_nullable",
+        "CAST(NULL AS STRING) AS comment",
     )
 
 
 def storage_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     """Catalogue rows of the storage tables."""
-    altered = _ntz("2024-01-31") - _back(F.col("supplier").cast("int"))
-    return _storage_tables(spark, sf).select(
+    return _storage_tables(spark, sf).selectExpr(
         "table_schema",
         "table_name",
-        F.lit("MANAGED").alias("table_type"),
-        F.lit("DELTA").alias("data_source_format"),
-        _ntz("2023-01-01").alias("created"),
-        altered.alias("last_altered"),
+        "'MANAGED' AS table_type",
+        "'DELTA' AS data_source_format",
+        _CREATED,
+        f"{_RUN_DAY} - make_dt_interval(CAST(supplier AS INT)) AS last_altered",
     )
 
 
@@ -273,148 +212,123 @@ def platform_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def views(spark: SparkSession, sf: str) -> DataFrame:
-    shape = F.col("doc_id") % 4
-    prefix = (
-        F.when(shape == 0, "SELECT * FROM publish_x.")
-        .when(shape == 1, "SELECT * FROM publishXx.")
-        .when(shape == 2, "SELECT * FROM raw_schema.t ")
-        .otherwise("")
-    )
-    return _read(spark, sf, "documents").select(
-        F.lit("transform_schema").alias("table_schema"),
-        _text("v_", F.col("doc_id")).alias("table_name"),
-        F.concat(prefix, F.col("text")).alias("view_definition"),
+    return _read(spark, sf, "documents").selectExpr(
+        "'transform_schema' AS table_schema",
+        "concat('v_', doc_id) AS table_name",
+        """concat(CASE doc_id % 4 WHEN 0 THEN 'SELECT * FROM publish_x.' WHEN 1 THEN 'SELECT * FROM publishXx.'
+                    WHEN 2 THEN 'SELECT * FROM raw_schema.t ' ELSE '' END, text) AS view_definition""",
     )
 
 
 # --- snapshots -----------------------------------------------------------------------------------
 
-
-def _order_names(customer: Column, parity: Column) -> list[Column]:
-    return [_text("r", customer % 2).alias("table_schema"), _text("tbl_", customer, "_", parity).alias("table_name")]
+_ORDER_SCHEMA = "concat('r', o_custkey % 2) AS table_schema"
+_MONTH = "trunc(CAST(o_orderdate AS DATE), 'month') AS snapshot_date"
 
 
-def order_columns(orders: DataFrame, *more: Column) -> DataFrame:
+def order_columns(orders: DataFrame, *more: str) -> DataFrame:
     """Columns of the tables in ``orders``, one row per (more, schema, table, column)."""
-    slot = F.col("slot")
     # Grouped on numbers; the names are written once per group.
-    grouped = orders.groupBy(*more, "o_custkey", (F.col("o_orderkey") % 8).alias("slot")).agg(
+    numbered = orders.selectExpr(*more, "o_custkey", "o_orderkey % 8 AS slot", "o_orderpriority", "o_orderstatus")
+    keys = numbered.columns[:-2]
+    grouped = numbered.groupBy(*keys).agg(
         F.min("o_orderpriority").alias("full_data_type"), F.max("o_orderstatus").alias("is_nullable")
     )
-    return grouped.select(
-        *grouped.columns[: len(more)],
-        *_order_names(F.col("o_custkey"), slot % 2),
-        _text("col_", slot).alias("column_name"),
+    return grouped.selectExpr(
+        *keys[:-2],
+        _ORDER_SCHEMA,
+        "concat('tbl_', o_custkey, '_', slot % 2) AS table_name",
+        "concat('col_', slot) AS column_name",
         "full_data_type",
-        slot.cast("int").alias("ordinal_position"),
+        "CAST(slot AS INT) AS ordinal_position",
         "is_nullable",
-        F.lit(None).cast("string").alias("comment"),
+        "CAST(NULL AS STRING) AS comment",
     )
 
 
-def order_tables(orders: DataFrame, *more: Column) -> DataFrame:
-    keys = orders.select(*more, "o_custkey", (F.col("o_orderkey") % 2).alias("parity")).distinct()
-    kind = F.col("o_custkey") % 3
-    table_type = F.when(kind == 0, "MANAGED").when(kind == 1, "EXTERNAL").otherwise("VIEW")
-    return keys.select(
-        *keys.columns[: len(more)],
-        *_order_names(F.col("o_custkey"), F.col("parity")),
-        table_type.alias("table_type"),
-        F.when(kind != 2, "DELTA").alias("data_source_format"),
-        _ntz("2023-01-01").alias("created"),
-        _ntz("2024-01-31").alias("last_altered"),
+def order_tables(orders: DataFrame, *more: str) -> DataFrame:
+    keys = orders.selectExpr(*more, "o_custkey", "o_orderkey % 2 AS parity").distinct()
+    return keys.selectExpr(
+        *keys.columns[:-2],
+        _ORDER_SCHEMA,
+        "concat('tbl_', o_custkey, '_', parity) AS table_name",
+        "CASE o_custkey % 3 WHEN 0 THEN 'MANAGED' WHEN 1 THEN 'EXTERNAL' ELSE 'VIEW' END AS table_type",
+        "CASE WHEN o_custkey % 3 <> 2 THEN 'DELTA' END AS data_source_format",
+        _CREATED,
+        f"{_RUN_DAY} AS last_altered",
     )
 
 
 def current_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return _read(spark, sf, "orders").filter(F.col("o_orderdate") >= _ntz(CURRENT_FROM))
+    return _read(spark, sf, "orders").filter(CURRENT)
 
 
 def previous_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return _read(spark, sf, "orders").filter(F.col("o_orderdate") < _ntz(PREVIOUS_UNTIL))
+    return _read(spark, sf, "orders").filter(PREVIOUS)
 
 
 def _stamped(rows: DataFrame, day: date) -> DataFrame:
-    renamed = rows.withColumnRenamed("comment", "col_comment")
-    return renamed.withColumn("snapshot_date", F.lit(day))
+    return rows.withColumnRenamed("comment", "col_comment").withColumn("snapshot_date", F.lit(day))
 
 
 def monthly_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Column snapshots dated by the first day of the order month."""
-    month = F.trunc(F.to_date("o_orderdate"), "month").alias("snapshot_date")
-    return order_columns(_read(spark, sf, "orders"), month).withColumnRenamed("comment", "col_comment")
+    return order_columns(_read(spark, sf, "orders"), _MONTH).withColumnRenamed("comment", "col_comment")
 
 
 def monthly_tables(spark: SparkSession, sf: str) -> DataFrame:
-    month = F.trunc(F.to_date("o_orderdate"), "month").alias("snapshot_date")
-    return order_tables(_read(spark, sf, "orders"), month)
+    return order_tables(_read(spark, sf, "orders"), _MONTH)
 
 
 # --- history, lineage, audit ---------------------------------------------------------------------
 
+# A third of the whole log belongs to one table.
+_HISTORY_SLOT = "CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 997 END"
+
 
-def _history_slot() -> Column:
-    """A third of the whole log belongs to one table."""
-    event = F.col("event_id")
-    return F.when(event % 3 == 0, 0).otherwise(event % 997)
+def _history_events(spark: SparkSession, sf: str) -> DataFrame:
+    return _read(spark, sf, "events").selectExpr("*", f"{_HISTORY_SLOT} AS slot")
 
 
 def history(spark: SparkSession, sf: str) -> DataFrame:
-    slot = _history_slot()
-    kind = F.col("event_type")
-    operation = (
-        F.when(kind == "click", "WRITE")
-        .when(kind == "purchase", "merge")
-        .when(kind == "signup", "OPTIMIZE")
-        .when(kind == "view", "VACUUM END")
-        .otherwise("SET TBLPROPERTIES")
-    )
-    rows = F.floor("value").cast("string")
-    metrics = (
-        F.when(kind == "click", F.create_map(F.lit("numOutputRows"), rows))
-        .when(kind == "purchase", F.create_map(F.lit("numTargetRowsInserted"), rows))
-        .otherwise(F.create_map().cast("map<string,string>"))
-    )
-    return _read(spark, sf, "events").select(
-        F.lit("raw_schema").alias("table_schema"),
-        _text("t_", slot).alias("table_name"),
-        F.col("event_id").alias("version"),
-        (F.col("ts") - _back((slot % 120).cast("int"))).alias("timestamp"),
-        operation.alias("operation"),
-        metrics.alias("operation_metrics"),
+    rows = "CAST(floor(value) AS STRING)"
+    return _history_events(spark, sf).selectExpr(
+        "'raw_schema' AS table_schema",
+        "concat('t_', slot) AS table_name",
+        "event_id AS version",
+        "ts - make_dt_interval(CAST(slot % 120 AS INT)) AS timestamp",
+        """CASE event_type WHEN 'click' THEN 'WRITE' WHEN 'purchase' THEN 'merge' WHEN 'signup' THEN 'OPTIMIZE'
+             WHEN 'view' THEN 'VACUUM END' ELSE 'SET TBLPROPERTIES' END AS operation""",
+        f"""CASE event_type WHEN 'click' THEN map('numOutputRows', {rows})
+              WHEN 'purchase' THEN map('numTargetRowsInserted', {rows})
+              ELSE CAST(map() AS MAP<STRING, STRING>) END AS operation_metrics""",
     )
 
 
 def history_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Catalogue rows of the tables with a history; every seventh is a view."""
-    slot = _history_slot()
-    return _read(spark, sf, "events").select(
-        F.lit("raw_schema").alias("table_schema"),
-        _text("t_", slot).alias("table_name"),
-        F.when(slot % 7 == 3, "VIEW").otherwise("MANAGED").alias("table_type"),
-        F.lit("DELTA").alias("data_source_format"),
-        _ntz("2023-01-01").alias("created"),
-        _ntz("2024-01-31").alias("last_altered"),
-    ).distinct()
-
-
-def _lineage_key() -> list[Column]:
-    """The source table of a line, as numbers. A third of all lines reads the two tables of one part."""
-    order = F.col("l_orderkey")
-    return [F.when(order % 3 == 0, 0).otherwise(F.col("l_partkey")).alias("part"), (order % 2).alias("parity")]
+    return _history_events(spark, sf).select("slot").distinct().selectExpr(
+        "'raw_schema' AS table_schema",
+        "concat('t_', slot) AS table_name",
+        "CASE WHEN slot % 7 = 3 THEN 'VIEW' ELSE 'MANAGED' END AS table_type",
+        "'DELTA' AS data_source_format",
+        _CREATED,
+        f"{_RUN_DAY} AS last_altered",
+    )
 
 
-def _lineage_source(part: Column, parity: Column) -> Column:
-    return _text("source_catalog.r", part % 2, ".tbl_", part, "_", parity)
+# The source table of a line, as numbers. A third of all lines reads the two tables of one part.
+_LINEAGE_KEY = ["CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END AS part", "l_orderkey % 2 AS parity"]
+_LINEAGE_SOURCE = "concat('source_catalog.r', part % 2, '.tbl_', part, '_', parity)"
+_EVENT_DATE = f"date_add(CAST(l_shipdate AS DATE), {SHIP_SHIFT_DAYS})"
 
 
 def access_edges(spark: SparkSession, sf: str) -> DataFrame:
-    flag = F.col("l_returnflag")
-    return _read(spark, sf, "lineitem").select(
-        _lineage_source(*_lineage_key()).alias("source_table_full_name"),
-        F.when(flag == "A", "NOTEBOOK").when(flag == "R", "JOB").otherwise("TABLE").alias("entity_type"),
-        F.col("l_suppkey").cast("string").alias("entity_id"),
-        F.date_add(F.to_date("l_shipdate"), SHIP_SHIFT_DAYS).alias("event_date"),
+    return _read(spark, sf, "lineitem").selectExpr("*", *_LINEAGE_KEY).selectExpr(
+        f"{_LINEAGE_SOURCE} AS source_table_full_name",
+        "CASE l_returnflag WHEN 'A' THEN 'NOTEBOOK' WHEN 'R' THEN 'JOB' ELSE 'TABLE' END AS entity_type",
+        "CAST(l_suppkey AS STRING) AS entity_id",
+        f"{_EVENT_DATE} AS event_date",
     )
 
 
@@ -423,75 +337,64 @@ def lineage_pages(spark: SparkSession, sf: str, days: int | None = None) -> Data
 
     ``days`` keeps the lineage of the last days only, as a service with a short memory answers.
     """
-    supplier = F.col("l_suppkey")
-    flag = F.col("l_returnflag")
     lines = _read(spark, sf, "lineitem")
     if days is not None:
-        shipped = F.date_add(F.to_date("l_shipdate"), SHIP_SHIFT_DAYS)
-        lines = lines.filter(shipped >= F.lit(CONFIG.days_before(days)))
-    kinds = F.when(flag == "A", F.array(F.lit("NOTEBOOK"))).when(flag == "R", F.array(F.lit("JOB")))
-    kinds = kinds.when(F.col("l_linestatus") == "F", F.array(F.lit("DOWNSTREAM"), F.lit("UPSTREAM")))
+        lines = lines.filter(f"{_EVENT_DATE} >= DATE'{CONFIG.days_before(days)}'")
     place = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice"]
-    entities = lines.select(
-        *_lineage_key(),
-        F.explode(kinds.otherwise(F.array(F.lit("DOWNSTREAM")))).alias("kind"),
+    entities = lines.selectExpr(
+        *_LINEAGE_KEY,
+        """explode(CASE WHEN l_returnflag = 'A' THEN array('NOTEBOOK') WHEN l_returnflag = 'R' THEN array('JOB')
+             WHEN l_linestatus = 'F' THEN array('DOWNSTREAM', 'UPSTREAM') ELSE array('DOWNSTREAM') END) AS kind""",
         *place,
     )
     page = latest_per_key(entities, ["part", "parity", "kind"], [F.col(c).asc() for c in place], PAYLOAD_PAGE)
-    kind = F.col("kind")
-    described = page.select(
+    described = page.selectExpr(
         "part",
         "parity",
         "kind",
-        F.struct(
-            *place,
-            F.when(kind == "NOTEBOOK", _text("/Users/u", supplier, "/nb_u", supplier)).alias("path"),
-            F.when(kind == "JOB", _text("Customer#", F.lpad(supplier.cast("string"), 9, "0")))
-            .when(kind != "NOTEBOOK", _text("s_", supplier))
-            .alias("name"),
-            F.when(kind.isin("NOTEBOOK", "JOB"), kind).alias("entity_type"),
-        ).alias("entity"),
+        f"""struct({", ".join(place)},
+              CASE WHEN kind = 'NOTEBOOK' THEN concat('/Users/u', l_suppkey, '/nb_u', l_suppkey) END AS path,
+              CASE WHEN kind = 'JOB' THEN concat('Customer#', lpad(CAST(l_suppkey AS STRING), 9, '0'))
+                   WHEN kind <> 'NOTEBOOK' THEN concat('s_', l_suppkey) END AS name,
+              kind AS entity_type) AS entity""",
     )
-
-    def listed(*wanted: str) -> Column:
-        return F.array_sort(F.collect_list(F.when(kind.isin(*wanted), F.col("entity"))))
-
-    def shaped(entities: str, *fields: str) -> Column:
-        return F.transform(entities, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
-
+    # A page holds at most 20 entities of each of the four kinds.
+    listed = "array_sort(collect_list(entity) FILTER (WHERE kind IN ({kinds})))"
     documents = described.groupBy("part", "parity").agg(
-        listed("DOWNSTREAM").alias("down"), listed("UPSTREAM").alias("up"), listed("NOTEBOOK", "JOB").alias("read")
+        F.expr(listed.format(kinds="'DOWNSTREAM'")).alias("down"),
+        F.expr(listed.format(kinds="'UPSTREAM'")).alias("up"),
+        F.expr(listed.format(kinds="'NOTEBOOK', 'JOB'")).alias("readers"),
     )
-    document = F.struct(
-        shaped("down", "name").alias("downstreams"),
-        shaped("up", "name").alias("upstreams"),
-        shaped("read", "entity_type", "path", "name").alias("entity_lineage"),
+    return documents.selectExpr(
+        f"{_LINEAGE_SOURCE} AS table_name",
+        """to_json(struct(
+             transform(down, e -> struct(e.name)) AS downstreams,
+             transform(up, e -> struct(e.name)) AS upstreams,
+             transform(readers, e -> struct(e.entity_type, e.path, e.name)) AS entity_lineage)) AS payload""",
     )
-    return documents.select(_lineage_source(F.col("part"), F.col("parity")).alias("table_name"), F.to_json(document).alias("payload"))
 
 
 def audit(spark: SparkSession, sf: str) -> DataFrame:
-    user = F.col("user_id")
-    path = F.when(user % 3 == 0, _text("/Repos/r/", user, "/nb_", F.col("event_id")))
-    return _read(spark, sf, "events").select(
-        F.col("ts").alias("event_time"),
-        F.when(F.col("event_type") == "view", "getNotebook").otherwise(F.col("event_type")).alias("action_name"),
-        F.create_map(F.lit("notebookId"), user.cast("string"), F.lit("path"), path).alias("request_params"),
+    path = "CASE WHEN user_id % 3 = 0 THEN concat('/Repos/r/', user_id, '/nb_', event_id) END"
+    return _read(spark, sf, "events").selectExpr(
+        "ts AS event_time",
+        "CASE event_type WHEN 'view' THEN 'getNotebook' ELSE event_type END AS action_name",
+        f"map('notebookId', CAST(user_id AS STRING), 'path', {path}) AS request_params",
     )
 
 
 def workspace_listing(spark: SparkSession, sf: str) -> DataFrame:
-    user = F.col("user_id")
-    clicks = _read(spark, sf, "events").filter(F.col("event_type") == "click")
-    return clicks.select(
-        user.cast("string").alias("object_id"),
-        F.lit("NOTEBOOK").alias("object_type"),
-        F.when(user % 2 == 0, _text("/Users/u", user, "/nb_u", user)).otherwise(_text("/Archive/u", user, "/nb")).alias("path"),
-    ).distinct()
+    clicks = _read(spark, sf, "events").filter("event_type = 'click'").select("user_id").distinct()
+    return clicks.selectExpr(
+        "CAST(user_id AS STRING) AS object_id",
+        "'NOTEBOOK' AS object_type",
+        """CASE WHEN user_id % 2 = 0 THEN concat('/Users/u', user_id, '/nb_u', user_id)
+             ELSE concat('/Archive/u', user_id, '/nb') END AS path""",
+    )
 
 
 def user_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return _read(spark, sf, "events").select(F.col("user_id").cast("string").alias("entity_id")).distinct()
+    return _read(spark, sf, "events").selectExpr("CAST(user_id AS STRING) AS entity_id").distinct()
 
 
 # --- inputs of the two analyses ------------------------------------------------------------------
@@ -543,8 +446,8 @@ def metadata_inputs(spark: SparkSession, sf: str) -> Inputs:
         {
             "tables": partial(tables, current_orders),
             "columns": partial(columns, current_orders),
-            "prev_tables": lambda: _stamped(tables(previous_orders), PREVIOUS),
-            "prev_columns": lambda: _stamped(columns(previous_orders), PREVIOUS),
+            "prev_tables": lambda: _stamped(tables(previous_orders), PREVIOUS_DATE),
+            "prev_columns": lambda: _stamped(columns(previous_orders), PREVIOUS_DATE),
             "views": partial(views, spark, sf),
             "history": partial(history, spark, sf),
             "access_lineage": partial(access_edges, spark, sf),
