@@ -8,7 +8,7 @@ import pytest
 
 from tablewarden import adapters as given
 from tablewarden.adapters import CONFIG
-from tablewarden.operators import jobs, lineage
+from tablewarden.operators import drift, jobs, lineage
 from tablewarden.plans.optimization import OptimizationAnalysis
 from tablewarden.plans.report import optimization_sections
 from tablewarden.registry import QUERIES
@@ -87,3 +87,18 @@ def test_counting_findings_does_not_sort_them(spark):
 def test_a_landed_document_is_parsed_once(rows):
     landed = rows("table_name STRING, payload STRING", ("t", "{}"))
     assert plan(payloads.lineage_from_payload(landed)).count("from_json") == 1
+
+
+def test_each_column_snapshot_is_exchanged_once(spark, rows):
+    tables = "table_schema STRING, table_name STRING, table_type STRING, data_source_format STRING"
+    columns = "table_schema STRING, table_name STRING, column_name STRING, full_data_type STRING, is_nullable STRING"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(drift.schema_diff(rows(tables), rows(tables), rows(columns), rows(columns)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_column = r"Exchange hashpartitioning\(table_schema#\d+, table_name#\d+, column_name#\d+, \d+\)"
+    assert len(re.findall(by_column, text)) == 2
+    # The diff meets the common tables after the full outer join, one part of a key at a time.
+    assert text.index("LeftSemi") < text.index("column_name", text.index("FullOuter", text.index("LeftSemi")))
+    assert "_part" in text
