@@ -14,7 +14,7 @@ from tablewarden.operators import drift, freshness, jobs as job_ops, lineage, ru
 from tablewarden.plans.metadata import MetadataAnalysis
 from tablewarden.plans.optimization import OptimizationAnalysis
 from tablewarden.plans.report import metadata_sections, optimization_sections, report_sections
-from tablewarden.plans.sharing import Share, as_is, materialise_only
+from tablewarden.plans.sharing import Share, as_is, materialise, materialise_only
 from tablewarden.sources import catalog, logs, payloads
 from tablewarden.sources.files import storage_detail
 from tablewarden.state.store import (
@@ -368,8 +368,8 @@ def resolve_jobs(spark, sf):
 # --- the two analyses ----------------------------------------------------------------------------
 
 
-def _optimization(spark: SparkSession, sf: str) -> OptimizationAnalysis:
-    return OptimizationAnalysis(given.optimization_inputs(spark, sf), CONFIG, SINCE)
+def _optimization(spark: SparkSession, sf: str, share: Share = as_is) -> OptimizationAnalysis:
+    return OptimizationAnalysis(given.optimization_inputs(spark, sf), CONFIG, SINCE, share)
 
 
 # What the queries below read more than once.
@@ -481,7 +481,8 @@ def report_sections_optimization(spark, sf):
         "stale_views": F.col("last_altered"),
         "stale_jobs": F.concat_ws(" | ", "schedule_label", "last_run"),
     }
-    return report_sections(optimization_sections(_optimization(spark, sf)), items, notes)
+    analysis = _optimization(spark, sf, materialise)
+    return report_sections(optimization_sections(analysis, items), items, notes)
 
 
 @query
@@ -498,4 +499,4 @@ def report_sections_metadata(spark, sf):
         "transform_names": F.concat_ws(" | ", "table_type", "issue"),
         "governance": F.col("definition_preview"),
     }
-    return report_sections(metadata_sections(_metadata(spark, sf)), items, notes)
+    return report_sections(metadata_sections(_metadata(spark, sf), items), items, notes)
