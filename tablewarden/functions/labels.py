@@ -28,8 +28,8 @@ def risk_level(breaking: Column, n_downstream: Column) -> Column:
 
 def rows_written(metrics: Column) -> Column:
     """First non-empty row count of a write's metrics map; null when there is none."""
-    present = [F.nullif(F.try_element_at(metrics, F.lit(key)), F.lit("")) for key in ("numOutputRows", "numTargetRowsInserted")]
-    return F.coalesce(*present)
+    keys = ("numOutputRows", "numTargetRowsInserted")
+    return F.coalesce(*[F.nullif(F.try_element_at(metrics, F.lit(key)), F.lit("")) for key in keys])
 
 
 def last_segment(path: Column) -> Column:

@@ -125,7 +125,9 @@ METADATA_SECTIONS: dict[str, Callable[[MetadataAnalysis], DataFrame]] = {
 }
 
 
-def optimization_sections(result: OptimizationAnalysis, names: Iterable[str] = OPTIMIZATION_SECTIONS) -> dict[str, DataFrame]:
+def optimization_sections(
+    result: OptimizationAnalysis, names: Iterable[str] = OPTIMIZATION_SECTIONS
+) -> dict[str, DataFrame]:
     return {name: OPTIMIZATION_SECTIONS[name](result) for name in names}
 
 

@@ -494,7 +494,9 @@ def report_sections_metadata(spark, sf):
         "governance": F.col("table_name"),
     }
     notes = {
-        "stale_data": F.concat_ws(" | ", "last_write", "last_op", "rows_written", F.col("days_since").cast("string"), "severity"),
+        "stale_data": F.concat_ws(
+            " | ", "last_write", "last_op", "rows_written", F.col("days_since").cast("string"), "severity"
+        ),
         "raw_columns": F.col("issue"),
         "transform_names": F.concat_ws(" | ", "table_type", "issue"),
         "governance": F.col("definition_preview"),

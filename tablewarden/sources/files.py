@@ -24,7 +24,9 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
             F.col("modificationTime").alias("modified"),
         )
     )
-    below_root = F.split(F.element_at(F.split("file_path", F.concat(F.lit(r"\Q"), F.lit(root.rstrip("/")), F.lit(r"/\E"))), -1), "/")
+    # The root is matched as plain text, wherever the file system puts its scheme.
+    after_root = F.element_at(F.split("file_path", F.lit(rf"\Q{root.rstrip('/')}/\E")), -1)
+    below_root = F.split(after_root, "/")
     return listed.select(
         F.get(below_root, F.lit(0)).alias("table_schema"),
         F.get(below_root, F.lit(1)).alias("table_name"),
