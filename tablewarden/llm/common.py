@@ -31,9 +31,18 @@ def map_texts(df: DataFrame, keep: list[str], text: str, each: Callable[[list[by
     return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
-def with_row_id(docs: DataFrame) -> DataFrame:
-    """Rows numbered by their place in the scan: the same numbers whenever the same files are read again."""
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+def with_row_id(docs: DataFrame, **more: str) -> DataFrame:
+    """(_doc, _row, more): rows as structs, so that no column of theirs can clash with one of an operator's.
+
+    Rows are numbered by their place in the scan: the same numbers whenever the same files are read again.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    return docs.select(whole, F.monotonically_increasing_id().alias("_row"), *[F.col(f"`{c}`").alias(n) for n, c in more.items()])
+
+
+def as_before(rows: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
+    """The rows of ``with_row_id`` with the columns of ``docs``, then ``more``."""
+    return rows.select(*[F.col(f"_doc.`{c}`") for c in docs.columns], *more)
 
 
 def one_bucket_per_set(members: DataFrame, key: str, member: str, extra: dict[str, Column], keep: Column) -> DataFrame:
@@ -62,4 +71,4 @@ def in_blocks(members: DataFrame, picked: DataFrame, key: str, member: str) -> D
     )
 
 
-__all__ = ["BLOCK", "cut_lineage", "in_blocks", "map_texts", "one_bucket_per_set", "spread_join", "table", "with_row_id"]
+__all__ = ["BLOCK", "as_before", "cut_lineage", "in_blocks", "map_texts", "one_bucket_per_set", "spread_join", "table", "with_row_id"]

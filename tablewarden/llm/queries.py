@@ -7,15 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewarden.llm.common import table
+from tablewarden.llm.mil import classify
+from tablewarden.llm.packing import pack
 from tablewarden.llm.simhash import near_duplicates
+from tablewarden.llm.surrogates import pseudonymise
+from tablewarden.llm.tiling import contaminated
+
+# The key of the surrogates; a real run takes its own from a secret store.
+PII_KEY = "tablewarden"
 
 
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, PII_KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
+    "op2_best_fit_packing": best_fit_packing,
+    "op4_benchmark_decontamination": decontamination,
+    "op9_quality_classifier": quality_classifier,
+    "op10_pii_surrogates": pii_surrogates,
 }
 
 # No operator of this package can be written in SQL that DuckDB runs over whole tables: see tests/llm.

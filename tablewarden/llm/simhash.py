@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from tablewarden.llm.common import cut_lineage, in_blocks, map_texts, one_bucket_per_set, spread_join, with_row_id
+from tablewarden.llm.common import as_before, cut_lineage, in_blocks, map_texts, one_bucket_per_set, spread_join, with_row_id
 from tablewarden.llm.components import connected_components
 
 SEED = 42
@@ -133,8 +133,8 @@ def first_of_group(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
     Rows are told apart by their place in the scan, so of repeated rows one stays; a null key is larger than any.
     """
-    numbered = with_row_id(docs)
-    found = _grouped(numbered, key, text, shingle, max_bits, ("_row",))
+    numbered = with_row_id(docs, _key=key, _text=text)
+    found = _grouped(numbered, "_key", "_text", shingle, max_bits, ("_row",))
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
     kept = found.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.row").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").drop("_row")
+    return as_before(numbered.join(kept, "_row", "left_semi"), docs)
