@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from xxhash import xxh64_intdigest
 
 from tablewarden.operators.joins import spread_join
 from tablewarden.state.store import cut_lineage
@@ -31,6 +33,46 @@ def map_texts(df: DataFrame, keep: list[str], text: str, each: Callable[[list[by
     return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
+# Bits of the filters that reject most hashes of a big table before a join: 2 MB, whatever the size of the other table.
+FILTER_BITS = 24
+# Token hashes that a task remembers.
+KNOWN = 1 << 20
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def rolling(tokens: list[str], n: int, known: dict[str, int]) -> np.ndarray:
+    """Karp-Rabin hash of every window of ``n`` tokens, modulo 2**64. ``known`` remembers token hashes."""
+    if len(tokens) < n:
+        return np.zeros(0, np.uint64)
+    if len(known) > KNOWN:
+        known.clear()
+    values = np.empty(len(tokens), np.uint64)
+    for i, token in enumerate(tokens):
+        value = known.get(token)
+        if value is None:
+            value = known[token] = xxh64_intdigest(token)
+        values[i] = value
+    out = np.zeros(len(tokens) - n + 1, np.uint64)
+    for i in range(n):
+        out = out * _BASE + values[i : i + len(out)]
+    return out ^ (out >> np.uint64(29))
+
+
+def filter_bits(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the low bits of all hashes. It is merged in tasks; the driver gets 2**FILTER_BITS bits, never more."""
+    low = F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = hashes.select(low.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS INT))")).alias("bits")).toPandas()
+    bits = np.zeros(1 << FILTER_BITS - 6, np.int64)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return bits.view(np.uint8)
+
+
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes that may be in the bitmap; none that is in it is missed."""
+    slot = (hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    return np.nonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)[0]
+
+
 def with_row_id(docs: DataFrame, **more: str) -> DataFrame:
     """(_doc, _row, more): rows as structs, so that no column of theirs can clash with one of an operator's.
 
@@ -70,5 +112,3 @@ def in_blocks(members: DataFrame, picked: DataFrame, key: str, member: str) -> D
         .drop("_n", "_blocks", "_own", "_other")
     )
 
-
-__all__ = ["BLOCK", "as_before", "cut_lineage", "in_blocks", "map_texts", "one_bucket_per_set", "spread_join", "table", "with_row_id"]

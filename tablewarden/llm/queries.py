@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewarden.llm.chat import conversation_digests
 from tablewarden.llm.common import table
+from tablewarden.llm.divergence import quality_rules
+from tablewarden.llm.license_scan import license_scan as scan_licenses
 from tablewarden.llm.mil import classify
 from tablewarden.llm.packing import pack
+from tablewarden.llm.paragraphs import repeated_passages
 from tablewarden.llm.simhash import near_duplicates
 from tablewarden.llm.surrogates import pseudonymise
 from tablewarden.llm.tiling import contaminated
@@ -25,10 +29,29 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one, number -1, whose texts are control strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    return conversation_digests(rows.unionByName(spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], rows.schema)))
+
+
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,7 +64,11 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op2_best_fit_packing": best_fit_packing,
+    "op3_quality_rules": divergence_rules,
     "op4_benchmark_decontamination": decontamination,
+    "op5_chat_formatting": chat_formatting,
+    "op6_substring_dedup": substring_dedup,
+    "op7_license_scan": license_scan,
     "op9_quality_classifier": quality_classifier,
     "op10_pii_surrogates": pii_surrogates,
 }

@@ -9,16 +9,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from xxhash import xxh64_intdigest
 
-from tablewarden.llm.common import as_before, cut_lineage, with_row_id
+from tablewarden.llm.common import as_before, cut_lineage, filter_bits, passes, rolling, with_row_id
 
 # A tile has this many words at least; a test item is found in a document if its tiles cover this share of its words.
 MIN_MATCH, COVERAGE = 5, 0.8
-# Bits of the filter that rejects most document seeds before the join: 2 MB, whatever the size of the benchmark.
-FILTER_BITS = 24
 _WORD = re.compile(r"[^\W_]+")
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str) -> list[str]:
@@ -26,70 +22,34 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def rolling(tokens: list[str], n: int, known: dict[str, int] | None = None) -> np.ndarray:
-    """Karp-Rabin hash of every window of ``n`` tokens, modulo 2**64. ``known`` remembers token hashes."""
-    if len(tokens) < n:
-        return np.zeros(0, np.uint64)
-    known = {} if known is None else known
-    values = np.empty(len(tokens), np.uint64)
-    for i, token in enumerate(tokens):
-        value = known.get(token)
-        if value is None:
-            value = known[token] = xxh64_intdigest(token)
-        values[i] = value
-    out = np.zeros(len(tokens) - n + 1, np.uint64)
-    for i in range(n):
-        out = out * _BASE + values[i : i + len(out)]
-    return out ^ (out >> np.uint64(29))
-
-
 def _seeds(df: DataFrame, names: list[str], lengths: list[int], bits: np.ndarray | None) -> DataFrame:
-    """(the named columns, _at, _n, _seed): windows of the given lengths whose hash passes the filter, with their words."""
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names] + ["_at INT, _n INT, _seed STRING"])
+    """(the named columns, _at, _n, _seed, _hash): windows of the given lengths whose hash passes the filter, with their words."""
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names] + ["_at INT, _n INT, _seed STRING, _hash BIGINT"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for batch in batches:
-            rows, at, size, seed = [], [], [], []
+            rows, at, size, seed, hashed = [], [], [], [], []
             for row, value in enumerate(batch.column(len(names))):
                 tokens = words(value.as_py() or "")
-                if len(known) > 1 << 20:
-                    known.clear()
                 for n in lengths:
                     hashes = rolling(tokens, n, known)
-                    if bits is None:
-                        found = range(len(hashes))
-                    else:
-                        slot = (hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-                        found = np.nonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)[0].tolist()
-                    for i in found:
+                    signed = hashes.view(np.int64)
+                    for i in range(len(hashes)) if bits is None else passes(bits, hashes).tolist():
                         rows.append(row)
                         at.append(i)
                         size.append(n)
                         seed.append(" ".join(tokens[i : i + n]))
+                        hashed.append(int(signed[i]))
             taken = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i).take(taken) for i in range(len(names))), pa.array(at, pa.int32()), pa.array(size, pa.int32()), pa.array(seed, pa.string())],
-                [*names, "_at", "_n", "_seed"],
+                [*(batch.column(i).take(taken) for i in range(len(names))), pa.array(at, pa.int32()), pa.array(size, pa.int32()), pa.array(seed, pa.string()), pa.array(hashed, pa.int64())],
+                [*names, "_at", "_n", "_seed", "_hash"],
             )
 
     return df.select(*names, "_text").mapInArrow(run, schema)
 
 
-def _filter_bits(seeds: DataFrame) -> np.ndarray:
-    """A bitmap of the hashes of all benchmark seeds, merged in tasks; the driver gets its fixed 2**FILTER_BITS bits."""
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = [int(rolling(s.split(" "), s.count(" ") + 1)[0]) & ((1 << FILTER_BITS) - 1) for s in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([h >> 6 for h in hashes], pa.int64()), pa.array([int(np.uint64(1 << (h & 63)).view(np.int64)) for h in hashes], pa.int64())], ["word", "bits"])
-
-    packed = seeds.select("_seed").distinct().mapInArrow(slots, "word BIGINT, bits BIGINT").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    bits = np.zeros(1 << FILTER_BITS - 6, np.int64)
-    bits[packed["word"].to_numpy(np.int64)] = packed["bits"].to_numpy(np.int64)
-    return bits.view(np.uint8)
-
-
 def tile(pairs: list[tuple[int, int, int]], item_words: int) -> tuple[int, int]:
     """(covered words, tiles) of greedy string tiling.
 
@@ -166,7 +126,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
     for more in own[1:]:
         seeds = seeds.unionByName(more)
     seeds = cut_lineage(seeds)
-    bits = _filter_bits(seeds)
+    bits = filter_bits(seeds, "_hash")
     found = cut_lineage(_seeds(docs.select(*keep, "_row", F.col(text).cast("string").alias("_text")), [*keep, "_row"], lengths, bits))
     matched = found.join(seeds.select("_seed", "_item", F.col("_words").alias("_size"), F.col("_at").alias("_place")), "_seed")
 
