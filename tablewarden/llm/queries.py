@@ -16,6 +16,7 @@ from tablewarden.llm.paragraphs import repeated_passages
 from tablewarden.llm.simhash import near_duplicates
 from tablewarden.llm.surrogates import pseudonymise
 from tablewarden.llm.tiling import contaminated
+from tablewarden.llm.wrappers import extract
 
 # The key of the surrogates; a real run takes its own from a secret store.
 PII_KEY = "tablewarden"
@@ -52,6 +53,10 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat_formatting": chat_formatting,
     "op6_substring_dedup": substring_dedup,
     "op7_license_scan": license_scan,
+    "op8_html_extraction": html_extraction,
     "op9_quality_classifier": quality_classifier,
     "op10_pii_surrogates": pii_surrogates,
 }
