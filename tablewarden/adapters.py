@@ -13,7 +13,6 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewarden.config import WatchConfig
-from tablewarden.operators.topk import latest_per_key
 
 AS_OF = datetime(2024, 1, 31)
 SINCE = date(2024, 1, 30)
@@ -26,10 +25,12 @@ PREVIOUS = "o_orderdate < TIMESTAMP_NTZ'1998-07-01 00:00:00'"
 CURRENT = "o_orderdate >= TIMESTAMP_NTZ'1998-01-01 00:00:00'"
 STATE_AS_OF = date(1998, 6, 1)
 RETENTION_AS_OF = date(2001, 8, 1)
+# Nights whose catalogues share eleven months of orders each.
+NIGHTS = (date(1998, 3, 1), date(1998, 4, 1), date(1998, 5, 1))
 # 2001-08-01, the last order day, falls on the run date.
 SHIP_SHIFT_DAYS = 8218
-# More than the operators keep (15), so their own cap decides.
-PAYLOAD_PAGE = 20
+# A landed lineage page spans so many suppliers, so it holds as many assets of a kind at most.
+PAYLOAD_PAGE = 50
 
 # Stated schemas: reading a table then needs no job that opens its footers.
 GIVEN_SCHEMAS = {
@@ -259,6 +260,12 @@ def order_tables(orders: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def orders_before(spark: SparkSession, sf: str, day: date) -> DataFrame:
+    """The orders of the year before ``day``: the catalogue of one night."""
+    year = F.col("o_orderdate") >= F.lit(datetime(day.year - 1, day.month, day.day)).cast("timestamp_ntz")
+    return _read(spark, sf, "orders").filter(year & (F.col("o_orderdate") < F.lit(datetime(day.year, day.month, day.day)).cast("timestamp_ntz")))
+
+
 def current_orders(spark: SparkSession, sf: str) -> DataFrame:
     return _read(spark, sf, "orders").filter(CURRENT)
 
@@ -332,35 +339,27 @@ def access_edges(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def lineage_pages(spark: SparkSession, sf: str, days: int | None = None) -> DataFrame:
-    """Lineage rendered as one landed JSON document per table, with the first entities of every kind.
-
-    ``days`` keeps the lineage of the last days only, as a service with a short memory answers.
-    """
-    lines = _read(spark, sf, "lineitem")
-    if days is not None:
-        lines = lines.filter(f"{_EVENT_DATE} >= DATE'{CONFIG.days_before(days)}'")
-    place = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice"]
-    entities = lines.selectExpr(
+def lineage_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineage rendered as landed JSON pages: every asset of a table once, over as many pages as it takes."""
+    entities = _read(spark, sf, "lineitem").selectExpr(
         *_LINEAGE_KEY,
         """explode(CASE WHEN l_returnflag = 'A' THEN array('NOTEBOOK') WHEN l_returnflag = 'R' THEN array('JOB')
              WHEN l_linestatus = 'F' THEN array('DOWNSTREAM', 'UPSTREAM') ELSE array('DOWNSTREAM') END) AS kind""",
-        *place,
-    )
-    page = latest_per_key(entities, ["part", "parity", "kind"], [F.col(c).asc() for c in place], PAYLOAD_PAGE)
-    described = page.selectExpr(
+        "l_suppkey",
+    ).distinct()
+    described = entities.selectExpr(
         "part",
         "parity",
         "kind",
-        f"""struct({", ".join(place)},
+        f"l_suppkey div {PAYLOAD_PAGE} AS page",
+        """struct(l_suppkey,
               CASE WHEN kind = 'NOTEBOOK' THEN concat('/Users/u', l_suppkey, '/nb_u', l_suppkey) END AS path,
               CASE WHEN kind = 'JOB' THEN concat('Customer#', lpad(CAST(l_suppkey AS STRING), 9, '0'))
                    WHEN kind <> 'NOTEBOOK' THEN concat('s_', l_suppkey) END AS name,
               kind AS entity_type) AS entity""",
     )
-    # A page holds at most 20 entities of each of the four kinds.
     listed = "array_sort(collect_list(entity) FILTER (WHERE kind IN ({kinds})))"
-    documents = described.groupBy("part", "parity").agg(
+    documents = described.groupBy("part", "parity", "page").agg(
         F.expr(listed.format(kinds="'DOWNSTREAM'")).alias("down"),
         F.expr(listed.format(kinds="'UPSTREAM'")).alias("up"),
         F.expr(listed.format(kinds="'NOTEBOOK', 'JOB'")).alias("readers"),
@@ -384,7 +383,8 @@ def audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def workspace_listing(spark: SparkSession, sf: str) -> DataFrame:
-    clicks = _read(spark, sf, "events").filter("event_type = 'click'").select("user_id").distinct()
+    # Only part of the notebooks is listed, so some ids stay without a path.
+    clicks = _read(spark, sf, "events").filter("event_type = 'click' AND value >= 150").select("user_id").distinct()
     return clicks.selectExpr(
         "CAST(user_id AS STRING) AS object_id",
         "'NOTEBOOK' AS object_type",
@@ -451,7 +451,7 @@ def metadata_inputs(spark: SparkSession, sf: str) -> Inputs:
             "views": partial(views, spark, sf),
             "history": partial(history, spark, sf),
             "access_lineage": partial(access_edges, spark, sf),
-            "lineage_payload": partial(lineage_pages, spark, sf, days=90),
+            "lineage_payload": partial(lineage_pages, spark, sf),
             "audit": partial(audit, spark, sf),
             "workspace_listing": partial(workspace_listing, spark, sf),
             "jobs": partial(jobs, spark, sf),

@@ -66,13 +66,6 @@ class WatchConfig:
     transform_schema: str = "transform_schema"
     schemas: tuple[str, ...] = ("raw_schema", "transform_schema")
     excluded_jobs: tuple[str, ...] = ("exclude_jobs_list",)
-    # (workspace folder, how many levels below it are searched)
-    workspace_roots: tuple[tuple[str, int], ...] = (
-        ("/Repos/repo_path", 4),
-        ("/Users", 3),
-        ("/Repos", 2),
-        ("/Shared", 2),
-    )
     timezone: str = "America/New_York"
     zone_label: str = "ET"
     stale_asset_days: int = 60
@@ -81,7 +74,6 @@ class WatchConfig:
     retention_days: int = 90
     runs_per_job: int = 25
     history_depth: int = 30
-    payload_cap: int = 15
     unclustered_min_mb: float = 100.0
     long_running_min: float = 10.0
     failing_rate: float = 20.0

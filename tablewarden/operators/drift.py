@@ -61,19 +61,24 @@ def changed_columns(curr: DataFrame, prev: DataFrame, common: DataFrame) -> Data
     )
 
 
-def _table_changes(curr: DataFrame, prev: DataFrame) -> DataFrame:
-    def side(snapshot: DataFrame, label: str) -> DataFrame:
-        values = [F.col(c).alias(f"{label}_{c}") for c in _TABLE_VALUES]
-        return snapshot.select(*TABLE_KEY, *values, F.lit(True).alias(f"in_{label}"))
-
-    # Presence is told by the markers, never by a null value.
-    both = side(curr, "curr").join(side(prev, "prev"), TABLE_KEY, "full_outer")
-    only_curr, only_prev = F.col("in_prev").isNull(), F.col("in_curr").isNull()
-    return both.filter(only_curr | only_prev).select(
-        F.when(only_curr, "NEW TABLE").otherwise("REMOVED").alias("change_type"),
+def _presence(curr: DataFrame, prev: DataFrame) -> DataFrame:
+    """Every table of either snapshot with its values in each, null where it is absent; one exchange for both."""
+    sides = [
+        snapshot.select(*TABLE_KEY, F.lit(label).alias("side"), F.struct(*_TABLE_VALUES).alias("values"))
+        for snapshot, label in ((curr, "curr"), (prev, "prev"))
+    ]
+    held = [F.max(F.when(F.col("side") == label, F.col("values"))).alias(label) for label in ("curr", "prev")]
+    return sides[0].unionByName(sides[1]).groupBy(*TABLE_KEY).agg(*held)
+
+
+def _table_changes(presence: DataFrame) -> DataFrame:
+    # The structs tell presence, never a null value inside.
+    created = F.col("prev").isNull()
+    return presence.filter(created | F.col("curr").isNull()).select(
+        F.when(created, "NEW TABLE").otherwise("REMOVED").alias("change_type"),
         *TABLE_KEY,
         F.lit(None).cast("string").alias("column_name"),
-        *[F.when(only_curr, F.col(f"curr_{c}")).otherwise(F.col(f"prev_{c}")).alias(c) for c in _TABLE_VALUES],
+        *[F.coalesce("curr", "prev")[c].alias(c) for c in _TABLE_VALUES],
         *[F.lit(None).cast("string").alias(c) for c in ("old_type", "new_type", "old_nullable", "new_nullable")],
     )
 
@@ -105,12 +110,15 @@ def _column_changes(curr: DataFrame, prev: DataFrame, common: DataFrame) -> Data
 
 
 def schema_diff(curr_t: DataFrame, prev_t: DataFrame, curr_c: DataFrame, prev_c: DataFrame) -> DataFrame:
-    """All five kinds of schema change in one relation; every snapshot is shuffled once per key.
+    """All five kinds of schema change in one relation.
 
-    The inputs hold one row per (schema, table) and per (schema, table, column).
+    The inputs hold one row per (schema, table) and per (schema, table, column). Both uses of the table snapshots read
+    the same columns of one aggregate, so its exchange is made once.
     """
-    columns = _column_changes(curr_c, prev_c, common_tables(curr_t, prev_t))
-    return _table_changes(curr_t, prev_t).select(*DIFF_COLUMNS).unionByName(columns.select(*DIFF_COLUMNS))
+    presence = _presence(curr_t, prev_t)
+    common = presence.filter(F.col("curr").isNotNull() & F.col("prev").isNotNull()).select(*TABLE_KEY)
+    columns = _column_changes(curr_c, prev_c, common)
+    return _table_changes(presence).select(*DIFF_COLUMNS).unionByName(columns.select(*DIFF_COLUMNS))
 
 
 def change_log(

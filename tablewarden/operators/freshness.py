@@ -9,24 +9,24 @@ from tablewarden.functions.labels import NO_VALUE, freshness_severity, rows_writ
 from tablewarden.functions.storage import fqn
 from tablewarden.functions.times import age_days, local_wall_clock, minute_label
 from tablewarden.sources.catalog import TABLE_KEY
-from tablewarden.sources.logs import recent_history
 
 NEVER_WRITTEN_DAYS = 9999
 
 
 def last_writes(history: DataFrame, cfg: WatchConfig) -> DataFrame:
-    """Latest write among the newest entries of every table with a history; null columns when none is a write."""
-    recent = recent_history(history, cfg.history_depth)
+    """Latest write of every table with a history; null columns when no entry is a write.
+
+    One partial aggregate over the whole log: a table with very many entries sends a row per map task.
+    """
     is_write = F.upper(F.coalesce("operation", F.lit(""))).isin(*WRITE_OPERATIONS)
     entry = F.struct(
-        minute_label(local_wall_clock(recent, "timestamp", cfg), cfg).alias("last_write"),
+        minute_label(local_wall_clock(history, "timestamp", cfg), cfg).alias("last_write"),
         F.col("operation").alias("last_op"),
         rows_written(F.col("operation_metrics")).alias("rows_written"),
-        age_days(recent, "timestamp", cfg).alias("days_since"),
+        age_days(history, "timestamp", cfg).alias("days_since"),
     )
-    # Same keys as the window below it: no further shuffle.
     latest = F.max_by(F.when(is_write, entry), F.when(is_write, F.col("version")))
-    return recent.groupBy(*TABLE_KEY).agg(latest.alias("write")).select(*TABLE_KEY, "write.*")
+    return history.groupBy(*TABLE_KEY).agg(latest.alias("write")).select(*TABLE_KEY, "write.*")
 
 
 def data_freshness(history: DataFrame, base: DataFrame, cfg: WatchConfig) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewarden.config import WatchConfig
 from tablewarden.functions.schedule import schedule_label
 from tablewarden.functions.times import et_label, run_minutes, run_ms
+from tablewarden.operators.joins import spread_join
 from tablewarden.operators.topk import latest_per_key
 
-MESSAGE_CHARS = 500
 MS_PER_DAY = 86_400_000
 
 
@@ -101,18 +101,19 @@ def failure_rule(cfg: WatchConfig, since: date) -> Column:
     return _failed() & (F.col("start_time") >= F.lit(cfg.midnight_ms(since)))
 
 
-def period_failures(latest: DataFrame, jobs: DataFrame, cfg: WatchConfig, since: date) -> DataFrame:
-    """Failed runs, among the latest of their job, that started on or after local midnight of ``since``."""
-    failures = latest.filter(failure_rule(cfg, since)).select(
+def period_failures(runs: DataFrame, jobs: DataFrame, cfg: WatchConfig, since: date) -> DataFrame:
+    """All failed runs of known jobs that started on or after local midnight of ``since``, with their whole message."""
+    failures = runs.filter(failure_rule(cfg, since)).select(
         "job_id",
         "run_id",
         "start_time",
-        F.substring(F.coalesce("state_message", F.lit("")), 1, MESSAGE_CHARS).alias("error"),
+        F.coalesce("state_message", F.lit("")).alias("error"),
         F.coalesce("run_page_url", F.lit("")).alias("url"),
         F.bround(run_minutes(F.col("start_time"), F.col("end_time")), 1).alias("duration"),
         et_label(F.col("start_time"), cfg).alias("date"),
     )
-    return failures.join(jobs.select("job_id", F.col("name").alias("job_name")), "job_id")
+    # One job may have most of the failures.
+    return spread_join(failures, jobs.select("job_id", F.col("name").alias("job_name")), ["job_id"], ["run_id"], "inner")
 
 
 def tenths(column: str) -> Column:

@@ -22,14 +22,14 @@ def latest_audit(audit: DataFrame) -> DataFrame:
     return latest_per_key(opens, ["notebook_id"], order, 1)
 
 
-def resolve_notebooks(ids: DataFrame, audit: DataFrame, listing: DataFrame, cfg: WatchConfig) -> DataFrame:
+def resolve_notebooks(ids: DataFrame, audit: DataFrame, listing: DataFrame) -> DataFrame:
     """(entity_id, notebook_path, notebook_name): path from the audit log, else from the listing, else none."""
     from_audit = (
         latest_audit(audit)
         .filter(F.length("notebook_path") > 0)
         .select(F.col("notebook_id").alias("entity_id"), F.col("notebook_path").alias("audit_path"))
     )
-    from_listing = workspace_paths(listing, cfg.workspace_roots).select(
+    from_listing = workspace_paths(listing).select(
         F.col("object_id").alias("entity_id"), F.col("path").alias("listed_path")
     )
     path = F.coalesce("audit_path", "listed_path")

@@ -1,4 +1,4 @@
-"""Naming and governance rules. ``limit`` cuts the listing of a report; totals use the whole result."""
+"""Naming and governance rules. Listing limits belong to the report sections."""
 
 from __future__ import annotations
 
@@ -6,14 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewarden.config import WatchConfig
 from tablewarden.functions.labels import breaks_governance, raw_name_issue, transform_name_issue
-from tablewarden.operators.topk import top_n
 from tablewarden.sources.catalog import view_definitions
 
 
-def _listed(rows: DataFrame, order: list[str], limit: int | None) -> DataFrame:
-    return rows if limit is None else top_n(rows, [F.col(c) for c in order], limit)
-
-
 def raw_table_violations(tables: DataFrame, cfg: WatchConfig) -> DataFrame:
     return (
         tables.filter(F.col("table_schema") == cfg.raw_schema)
@@ -22,29 +17,26 @@ def raw_table_violations(tables: DataFrame, cfg: WatchConfig) -> DataFrame:
     )
 
 
-def raw_column_violations(columns: DataFrame, cfg: WatchConfig, limit: int | None = 50) -> DataFrame:
-    found = (
+def raw_column_violations(columns: DataFrame, cfg: WatchConfig) -> DataFrame:
+    return (
         columns.filter(F.col("table_schema") == cfg.raw_schema)
         .select("table_schema", "table_name", "column_name", raw_name_issue(F.col("column_name")).alias("issue"))
         .filter(F.col("issue").isNotNull())
     )
-    return _listed(found, ["table_name", "column_name"], limit)
 
 
-def transform_name_violations(tables: DataFrame, cfg: WatchConfig, limit: int | None = 50) -> DataFrame:
-    found = (
+def transform_name_violations(tables: DataFrame, cfg: WatchConfig) -> DataFrame:
+    return (
         tables.filter(F.col("table_schema") == cfg.transform_schema)
         .select("table_schema", "table_name", "table_type", transform_name_issue(F.col("table_name")).alias("issue"))
         .filter(F.col("issue").isNotNull())
     )
-    return _listed(found, ["table_name"], limit)
 
 
-def view_governance_violations(views: DataFrame, cfg: WatchConfig, limit: int | None = 30) -> DataFrame:
+def view_governance_violations(views: DataFrame, cfg: WatchConfig) -> DataFrame:
     """Views whose whole definition mentions neither ``publish_`` nor the raw schema."""
-    found = (
+    return (
         view_definitions(views, cfg.transform_schema)
         .filter(breaks_governance(F.col("view_definition"), cfg.raw_schema))
         .select("table_schema", "table_name", "definition_preview")
     )
-    return _listed(found, ["table_name"], limit)

@@ -18,6 +18,7 @@ from tablewarden.functions.storage import (
     small_file_severity,
 )
 from tablewarden.functions.times import local_wall_clock
+from tablewarden.operators.joins import spread_join
 from tablewarden.operators.topk import latest_per_key
 from tablewarden.sources.catalog import TABLE_KEY
 
@@ -101,8 +102,10 @@ def recommend_clustering(detail: DataFrame, columns: DataFrame, cfg: WatchConfig
     """Unclustered large tables with their recommended keys and commands."""
     large = unclustered(detail, cfg)
     keys = F.coalesce("rec_cols", F.array().cast("array<string>"))
+    # Only the columns of these tables are ranked.
+    own = spread_join(columns, large.select(*TABLE_KEY), TABLE_KEY, ["column_name"], "left_semi")
     return (
-        large.join(clustering_keys(columns), TABLE_KEY, "left")
+        large.join(clustering_keys(own), TABLE_KEY, "left")
         .withColumn("rec_cols", keys)
         .withColumn("alter_cmd", cluster_cmd(F.col("fqn"), F.col("rec_cols")))
         .withColumn("opt_cmd", optimize_cmd(F.col("fqn")))

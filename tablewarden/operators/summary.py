@@ -130,7 +130,8 @@ def change_totals(counters: DataFrame) -> DataFrame:
     return counters.select("schema_changes", "standards_issues")
 
 
-def metadata_dashboard(counters: DataFrame, assets: DataFrame, stale: DataFrame) -> DataFrame:
+def metadata_dashboard(counters: DataFrame, assets: DataFrame, stale: DataFrame, compared_with: date | None) -> DataFrame:
+    """The cards, and the date compared with: null on a first run, which then differs from a night without changes."""
     cards = one_row(counters, assets, stale.agg(F.count(F.lit(1)).alias("stale_tables")))
     return cards.select(
         "new_tables",
@@ -140,4 +141,5 @@ def metadata_dashboard(counters: DataFrame, assets: DataFrame, stale: DataFrame)
         "standards_issues",
         "affected_assets",
         "stale_tables",
+        F.lit(compared_with).cast("date").alias("compared_with"),
     )

@@ -159,21 +159,19 @@ SELECT {_SOURCE} AS fqn,
 FROM lineitem
 """
 
-_ENTITIES = f"""
-SELECT {_SOURCE} AS fqn, kind AS asset_kind,
+# A page spans 50 suppliers.
+RELATIONS["payload"] = f"""
+SELECT fqn, asset_kind, asset, row_number() OVER (PARTITION BY fqn, asset_kind, l_suppkey // 50 ORDER BY l_suppkey) AS pos
+FROM (
+SELECT DISTINCT {_SOURCE} AS fqn, kind AS asset_kind, l_suppkey,
        CASE kind WHEN 'NOTEBOOK' THEN '/Users/u' || l_suppkey || '/nb_u' || l_suppkey
                  WHEN 'JOB' THEN 'Customer#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0')
-                 ELSE 's_' || l_suppkey END AS asset,
-       row_number() OVER (PARTITION BY {_SOURCE}, kind
-                          ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_extendedprice) AS pos
+                 ELSE 's_' || l_suppkey END AS asset
 FROM lineitem, (VALUES ('NOTEBOOK'), ('JOB'), ('DOWNSTREAM'), ('UPSTREAM')) AS kinds(kind)
 WHERE CASE kind WHEN 'NOTEBOOK' THEN l_returnflag = 'A' WHEN 'JOB' THEN l_returnflag = 'R'
                 WHEN 'DOWNSTREAM' THEN l_returnflag = 'N' ELSE l_returnflag = 'N' AND l_linestatus = 'F' END
+) AS entities
 """
-_RECENT = "CAST(l_shipdate + to_days(8218) AS DATE) >= DATE '2023-11-02'"
-
-RELATIONS["payload"] = f"SELECT * FROM ({_ENTITIES}) AS entities WHERE pos <= 15"
-RELATIONS["recent_payload"] = f"SELECT * FROM ({_ENTITIES} AND {_RECENT}) AS entities WHERE pos <= 15"
 
 RELATIONS["in_audit"] = """
 SELECT ts AS event_time, CAST(user_id AS VARCHAR) AS notebook_id,
@@ -185,7 +183,7 @@ RELATIONS["in_listing"] = """
 SELECT DISTINCT CAST(user_id AS VARCHAR) AS object_id,
        CASE WHEN user_id % 2 = 0 THEN '/Users/u' || user_id || '/nb_u' || user_id
             ELSE '/Archive/u' || user_id || '/nb' END AS path
-FROM events WHERE event_type = 'click'
+FROM events WHERE event_type = 'click' AND value >= 150
 """
 
 # --- catalogue -------------------------------------------------------------------------------------
@@ -209,6 +207,36 @@ RELATIONS["view_list"] = f"""
 SELECT * FROM platform_tables WHERE table_type IN ('VIEW', 'MATERIALIZED_VIEW') AND {_UNRESERVED}
 """
 
+_NIGHT = "o_orderdate >= make_timestamp(1997, 2 + night, 1, 0, 0, 0) AND o_orderdate < make_timestamp(1998, 2 + night, 1, 0, 0, 0)"
+RELATIONS["night_orders"] = f"SELECT night, orders.* FROM orders, (VALUES (1), (2), (3)) AS nights(night) WHERE {_NIGHT}"
+RELATIONS["night_tables"] = f"SELECT DISTINCT night, {_ORDER_KEY} FROM night_orders"
+RELATIONS["night_columns"] = f"SELECT night, {_ORDER_COLUMNS} FROM night_orders GROUP BY 1, 2, 3, 4"
+RELATIONS["night_table_changes"] = """
+SELECT night, table_schema, table_name FROM night_tables
+WHERE night > 1 AND (night - 1, table_schema, table_name) NOT IN (SELECT (night, table_schema, table_name) FROM night_tables)
+UNION ALL
+SELECT night + 1, table_schema, table_name FROM night_tables
+WHERE night < 3 AND (night + 1, table_schema, table_name) NOT IN (SELECT (night, table_schema, table_name) FROM night_tables)
+"""
+RELATIONS["night_column_changes"] = """
+SELECT night, table_schema, table_name, column_name
+FROM (SELECT * FROM night_columns WHERE night > 1) AS c
+FULL JOIN (SELECT * REPLACE (night + 1 AS night) FROM night_columns WHERE night < 3) AS p
+  USING (night, table_schema, table_name, column_name)
+WHERE (c.full_data_type IS NULL OR p.full_data_type IS NULL
+       OR c.full_data_type <> p.full_data_type OR c.is_nullable <> p.is_nullable)
+  AND (night, table_schema, table_name) IN (SELECT (night, table_schema, table_name) FROM night_tables)
+  AND (night - 1, table_schema, table_name) IN (SELECT (night, table_schema, table_name) FROM night_tables)
+"""
+RELATIONS["nightly"] = """
+SELECT CAST(make_date(1998, 2 + n.night, 1) AS VARCHAR) AS run_date,
+       CASE WHEN n.night > 1 THEN CAST(make_date(1998, 1 + n.night, 1) AS VARCHAR) END AS compared_with,
+       coalesce(t.changes, 0) AS table_changes, coalesce(c.changes, 0) AS column_changes
+FROM (VALUES (1), (2), (3)) AS n(night)
+LEFT JOIN (SELECT night, count(*) AS changes FROM night_table_changes GROUP BY night) AS t ON t.night = n.night
+LEFT JOIN (SELECT night, count(*) AS changes FROM night_column_changes GROUP BY night) AS c ON c.night = n.night
+"""
+
 # --- storage ---------------------------------------------------------------------------------------
 
 RELATIONS["detail"] = """
@@ -319,10 +347,10 @@ FROM labelled_jobs j LEFT JOIN stats s USING (job_id)
 """
 
 RELATIONS["failures"] = f"""
-SELECT r.job_id, r.run_id, r.start_time, substring(r.state_message, 1, 500) AS error, r.run_page_url AS url,
+SELECT r.job_id, r.run_id, r.start_time, r.state_message AS error, r.run_page_url AS url,
        round_even((r.end_time - r.start_time)::DOUBLE / 60000, 1) AS duration,
        {_ET.format(ms="r.start_time")} AS date, j.name AS job_name
-FROM newest_runs r JOIN in_jobs j USING (job_id)
+FROM in_runs r JOIN in_jobs j USING (job_id)
 WHERE r.result_state = 'FAILED' AND r.start_time >= epoch_ms(TIMESTAMP '2024-01-30 05:00:00')
 """
 
@@ -374,7 +402,7 @@ FROM (
   JOIN (SELECT * FROM history_tables WHERE table_type NOT IN ('VIEW', 'MATERIALIZED_VIEW')) b USING (table_schema, table_name)
   LEFT JOIN (
     SELECT *, row_number() OVER (PARTITION BY table_schema, table_name ORDER BY version DESC) AS n
-    FROM newest_history WHERE upper(operation) IN ('WRITE', 'MERGE')
+    FROM in_history WHERE upper(operation) IN ('WRITE', 'MERGE')
   ) w ON w.n = 1 AND w.table_schema = t.table_schema AND w.table_name = t.table_name
 ) AS aged WHERE days_since > 7
 """
@@ -486,7 +514,7 @@ SELECT * EXCLUDE (n) FROM (
   FROM in_audit
 ) AS numbered WHERE n = 1
 """
-RELATIONS["listed"] = "SELECT object_id, path FROM in_listing WHERE left(path, 7) = '/Users/'"
+RELATIONS["listed"] = "SELECT object_id, min(path) AS path FROM in_listing GROUP BY object_id"
 RELATIONS["reads"] = """
 SELECT fqn, entity_type, entity_id, count(*) AS n_reads
 FROM in_edges
@@ -505,12 +533,12 @@ RELATIONS["user_ids"] = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS entity_id F
 RELATIONS["resolved_users"] = _RESOLVED.format(ids="user_ids")
 RELATIONS["resolved_reads"] = _RESOLVED.format(ids="reads")
 RELATIONS["merged"] = f"""
-SELECT fqn, asset_kind, asset FROM recent_payload
+SELECT fqn, asset_kind, asset FROM payload
 WHERE asset_kind IN ('DOWNSTREAM', 'UPSTREAM') AND fqn IN (SELECT fqn FROM changed)
 UNION ALL
 SELECT DISTINCT * FROM (
   SELECT fqn, asset_kind, CASE asset_kind WHEN 'NOTEBOOK' THEN {_LAST.format(p="asset")} ELSE asset END AS asset
-  FROM recent_payload WHERE asset_kind IN ('NOTEBOOK', 'JOB') AND fqn IN (SELECT fqn FROM changed)
+  FROM payload WHERE asset_kind IN ('NOTEBOOK', 'JOB') AND fqn IN (SELECT fqn FROM changed)
   UNION ALL
   SELECT r.fqn, 'NOTEBOOK', n.notebook_name FROM reads r JOIN resolved_reads n USING (entity_id)
   WHERE r.entity_type = 'NOTEBOOK'
@@ -594,8 +622,8 @@ FINAL: dict[str, str] = {
     "previous_snapshot_date": "SELECT CAST(max(snapshot_date) AS VARCHAR) AS prev_date FROM monthly_columns "
     "WHERE snapshot_date < DATE '1998-06-01'",
     "snapshot_at": f"SELECT {_SNAPSHOT_TEXT} FROM monthly_columns WHERE snapshot_date = DATE '1998-06-01'",
-    "snapshot_roundtrip": f"SELECT {_SNAPSHOT_TEXT}, table_type FROM monthly_columns "
-    "LEFT JOIN (SELECT snapshot_date, table_schema, table_name, table_type FROM monthly_tables) AS t "
+    "snapshot_roundtrip": f"SELECT {_SNAPSHOT_TEXT}, table_type, data_source_format, CAST(created AS VARCHAR) AS created, "
+    "CAST(last_altered AS VARCHAR) AS last_altered FROM monthly_columns LEFT JOIN monthly_tables "
     "USING (snapshot_date, table_schema, table_name) WHERE snapshot_date >= DATE '2001-08-01' - 90",
     "storage_detail": "SELECT * EXCLUDE (fqn) FROM detail",
     "small_files": "SELECT * FROM small",
@@ -616,16 +644,18 @@ FINAL: dict[str, str] = {
     "period_failures": "SELECT * FROM failures",
     "schedule_labels": "SELECT job_id, schedule, label FROM labelled_jobs",
     "cost_estimate": "SELECT * FROM cost",
-    "lookback_start": "SELECT CAST(max(CAST(ts - INTERVAL 5 HOUR AS DATE)) AS VARCHAR) AS lookback_start FROM events",
+    "lookback_start": "SELECT CAST(max(CAST(ts - INTERVAL 5 HOUR AS DATE)) AS VARCHAR) AS lookback_start FROM events "
+    "WHERE CAST(ts - INTERVAL 5 HOUR AS DATE) < DATE '2024-01-31'",
+    "nightly_changes": "SELECT * FROM nightly",
     "recent_history": "SELECT table_schema, table_name, version, operation, rows_written, "
     "rtrim(rtrim(strftime(written, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') AS timestamp FROM newest_history",
     "data_freshness": "SELECT * FROM stale_data",
     "raw_table_violations": "SELECT * FROM raw_tables",
-    "raw_column_violations": "SELECT * FROM raw_columns ORDER BY table_name, column_name LIMIT 50",
+    "raw_column_violations": "SELECT * FROM raw_columns",
     "raw_column_violations_all": "SELECT * FROM raw_columns",
-    "transform_name_violations": "SELECT * FROM transform_names ORDER BY table_name LIMIT 50",
+    "transform_name_violations": "SELECT * FROM transform_names",
     "transform_name_violations_all": "SELECT * FROM transform_names",
-    "view_governance_violations": "SELECT * FROM governance ORDER BY table_name LIMIT 30",
+    "view_governance_violations": "SELECT * FROM governance",
     "view_governance_violations_all": "SELECT * FROM governance",
     "lineage_from_payload": "SELECT fqn, asset_kind, pos, asset FROM payload",
     "latest_audit": "SELECT notebook_id, notebook_path, "
@@ -652,7 +682,8 @@ FINAL: dict[str, str] = {
     "metadata_dashboard": "SELECT (SELECT count(*) FROM created_tables) AS new_tables, "
     "(SELECT count(*) FROM dropped_tables) AS removed_tables, (SELECT count(*) FROM created_columns) AS cols_added, "
     "(SELECT count(*) FROM dropped_columns) + (SELECT count(*) FROM altered_columns) AS cols_modified, "
-    "standards_issues, affected_assets, (SELECT count(*) FROM stale_data) AS stale_tables FROM standards, assets",
+    "standards_issues, affected_assets, (SELECT count(*) FROM stale_data) AS stale_tables, '2024-01-30' AS compared_with "
+    "FROM standards, assets",
     "report_sections_optimization": _OPTIMIZATION_REPORT,
     "report_sections_metadata": _METADATA_REPORT,
 }

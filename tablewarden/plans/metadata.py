@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewarden.config import WatchConfig
 from tablewarden.operators import drift, freshness, lineage as lineage_ops, rules, summary as totals
+from tablewarden.operators.joins import spread_join
 from tablewarden.operators.topk import top_n
 from tablewarden.plans.sharing import Share, as_is, materialise
 from tablewarden.sources import catalog
 from tablewarden.sources.logs import access_lineage
 from tablewarden.sources.payloads import lineage_from_payload
-from tablewarden.state.store import COLUMN_SNAPSHOT, TABLE_SNAPSHOT, WatchStore, snapshot_at
+from tablewarden.state.store import COLUMN_SNAPSHOT, TABLE_SNAPSHOT, WatchStore, cut_lineage, snapshot_at
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,7 @@ class MetadataAnalysis:
     prev_columns: DataFrame | None
     cfg: WatchConfig
     share: Share = as_is
+    compared_with: date | None = None
 
     # --- changes ---
 
@@ -55,16 +57,16 @@ class MetadataAnalysis:
 
     @cached_property
     def raw_columns(self) -> DataFrame:
-        return rules.raw_column_violations(self.curr_columns, self.cfg, limit=None)
+        return rules.raw_column_violations(self.curr_columns, self.cfg)
 
     @cached_property
     def transform_names(self) -> DataFrame:
-        return rules.transform_name_violations(self.curr_tables, self.cfg, limit=None)
+        return rules.transform_name_violations(self.curr_tables, self.cfg)
 
     @cached_property
     def governance(self) -> DataFrame:
         # The definitions are the widest text of all inputs: read once.
-        found = rules.view_governance_violations(self.inputs["views"], self.cfg, limit=None)
+        found = rules.view_governance_violations(self.inputs["views"], self.cfg)
         return self.share("governance", found)
 
     @cached_property
@@ -93,12 +95,11 @@ class MetadataAnalysis:
     @cached_property
     def lineage(self) -> DataFrame:
         changed = self.change_summary.select(F.col("fqn").alias("table_name"))
-        pages = self.inputs["lineage_payload"].join(changed, "table_name", "left_semi")
-        payload = lineage_from_payload(pages, self.cfg.payload_cap)
+        # One table may have a large share of all pages.
+        pages = spread_join(self.inputs["lineage_payload"], changed, ["table_name"], ["payload"], "left_semi")
+        payload = lineage_from_payload(pages)
         notebook_ids = self.access.filter(F.col("entity_type") == "NOTEBOOK")
-        notebooks = lineage_ops.resolve_notebooks(
-            notebook_ids, self.inputs["audit"], self.inputs["workspace_listing"], self.cfg
-        )
+        notebooks = lineage_ops.resolve_notebooks(notebook_ids, self.inputs["audit"], self.inputs["workspace_listing"])
         jobs = lineage_ops.resolve_jobs(self.access.filter(F.col("entity_type") == "JOB"), self.inputs["jobs"])
         named = lineage_ops.name_access(self.access, notebooks, jobs)
         return self.share("lineage", lineage_ops.merge_lineage(payload, named))
@@ -129,38 +130,46 @@ class MetadataAnalysis:
 
     @cached_property
     def dashboard(self) -> DataFrame:
-        return totals.metadata_dashboard(self.counters, self.affected_assets, self.stale_data)
+        return totals.metadata_dashboard(self.counters, self.affected_assets, self.stale_data, self.compared_with)
 
 
-def run_metadata(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore) -> MetadataAnalysis:
-    """One nightly run: save today's snapshot, compare it with the greatest earlier date, retain.
+def run_metadata(
+    inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore, report: Callable[[MetadataAnalysis], object]
+) -> MetadataAnalysis:
+    """One nightly run: stage today's snapshot, compare it with the greatest earlier date, report, publish, retain.
 
-    The catalogue is read once. What is compared is the stored snapshot itself, so a repeated run compares
-    and saves the same rows, and no other copy of them is written.
+    ``report`` reads the sections. Today's date is published only after it, so a night that fails leaves the earlier date
+    to compare with, and its changes are reported the next time. The catalogue is read once: what is compared is the
+    staged copy in the shared folder, and the same rows are saved.
     """
     store.ensure_tables()
     today = cfg.run_date
     previous = store.previous_date(today)
-    store.save_snapshot(catalog.current_column_snapshot(inputs["columns"], cfg), COLUMN_SNAPSHOT, today)
-    store.save_snapshot(catalog.current_table_snapshot(inputs["tables"], cfg), TABLE_SNAPSHOT, today)
-    for table in (COLUMN_SNAPSHOT, TABLE_SNAPSHOT):
-        # A save is already written at the advisory size; only a date fragmented otherwise is rewritten.
-        store.compact_snapshot(table, store.fragmented_dates(table, [today]))
+    staged = {
+        COLUMN_SNAPSHOT: cut_lineage(catalog.current_column_snapshot(inputs["columns"], cfg)),
+        TABLE_SNAPSHOT: cut_lineage(catalog.current_table_snapshot(inputs["tables"], cfg)),
+    }
 
-    def stored(table: str, day: date | None) -> DataFrame | None:
-        return None if day is None else snapshot_at(store.table(table), day)
+    def stored(table: str) -> DataFrame | None:
+        return None if previous is None else snapshot_at(store.table(table), previous)
 
     analysis = MetadataAnalysis(
         inputs,
-        stored(TABLE_SNAPSHOT, today),
-        stored(COLUMN_SNAPSHOT, today),
-        stored(TABLE_SNAPSHOT, previous),
-        stored(COLUMN_SNAPSHOT, previous),
+        staged[TABLE_SNAPSHOT],
+        staged[COLUMN_SNAPSHOT],
+        stored(TABLE_SNAPSHOT),
+        stored(COLUMN_SNAPSHOT),
         cfg,
         share=materialise,
+        compared_with=previous,
     )
     # The diff is the only section that reads the earlier date: it is taken before that date may go.
     _ = analysis.diff
-    for table in (COLUMN_SNAPSHOT, TABLE_SNAPSHOT):
+    report(analysis)
+    # The table snapshot, whose dates tell the earlier runs, comes last.
+    for table, rows in staged.items():
+        store.save_snapshot(rows, table, today)
+        store.compact_snapshot(table, store.fragmented_dates(table, [today]))
+    for table in staged:
         store.apply_retention(table, today, cfg.retention_days)
     return analysis

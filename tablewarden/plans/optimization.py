@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tablewarden.config import WatchConfig
 from tablewarden.operators import jobs as job_ops, storage as storage_ops, summary as totals
@@ -39,7 +39,9 @@ class OptimizationAnalysis:
     @cached_property
     def detail(self) -> DataFrame:
         inventory = table_inventory(self.inputs["tables"], self.cfg.schemas)
-        stored = storage_detail(self.inputs["files"], self.inputs["table_props"])
+        # Filtered here, since a filter above the full outer join would not reach the file inventory.
+        watched = F.col("table_schema").isin(*self.cfg.schemas)
+        stored = storage_detail(self.inputs["files"].filter(watched), self.inputs["table_props"].filter(watched))
         return self.share("detail", storage_ops.table_detail(inventory, stored))
 
     @cached_property
@@ -69,7 +71,7 @@ class OptimizationAnalysis:
 
     @cached_property
     def period_failures(self) -> DataFrame:
-        return job_ops.period_failures(self.latest_runs, self.inputs["jobs"], self.cfg, self.since)
+        return job_ops.period_failures(self.inputs["runs"], self.inputs["jobs"], self.cfg, self.since)
 
     @cached_property
     def stale_tables(self) -> DataFrame:
@@ -106,10 +108,16 @@ class OptimizationAnalysis:
         return totals.run_summary(self.counters, self.cfg.run_date)
 
 
-def run_optimization(inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore) -> OptimizationAnalysis:
-    """One nightly run: look back to the last one, analyse, and record the run as the last step."""
+def run_optimization(
+    inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore, report: Callable[[OptimizationAnalysis], object]
+) -> OptimizationAnalysis:
+    """One nightly run: look back to the last one, analyse, report, and record the run as the last step.
+
+    ``report`` reads the sections. If it fails the run is not recorded, so the next one looks back as far.
+    """
     store.ensure_tables()
     since = store.lookback_start(cfg.run_date)
     analysis = OptimizationAnalysis(inputs, cfg, since, share=materialise)
-    store.append_tracker(analysis.run_summary, cfg)
+    report(analysis)
+    store.save_tracker(analysis.run_summary, cfg)
     return analysis

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewarden.operators.freshness import freshness_order
 from tablewarden.operators.storage import small_file_order, unclustered_order
-from tablewarden.operators.topk import ranked_top_n, top_n
+from tablewarden.operators.topk import latest_per_key, ranked_top_n, top_n
 from tablewarden.plans.metadata import MetadataAnalysis
 from tablewarden.plans.optimization import OptimizationAnalysis
 
@@ -22,6 +22,7 @@ STALE_DATA_ROWS = 50
 RAW_COLUMN_ROWS = 50
 TRANSFORM_NAME_ROWS = 50
 GOVERNANCE_ROWS, GOVERNANCE_PREVIEW_CHARS = 30, 120
+ASSETS_PER_KIND = 15
 
 _TABLE = ["table_schema", "table_name"]
 _COLUMN = [*_TABLE, "column_name"]
@@ -110,7 +111,9 @@ METADATA_SECTIONS: dict[str, Callable[[MetadataAnalysis], DataFrame]] = {
         "fqn", "change_summary", "n_downstream", "n_notebooks", "n_jobs", "risk"
     ),
     "change_items": lambda r: top_n(r.changes, _by("fqn", "change_type", "col")),
-    "lineage_items": lambda r: top_n(r.lineage, _by("fqn", "asset_kind", "asset")),
+    "lineage_items": lambda r: top_n(
+        latest_per_key(r.lineage, ["fqn", "asset_kind"], _by("asset"), ASSETS_PER_KIND), _by("fqn", "asset_kind", "asset")
+    ),
     "affected_distinct": lambda r: r.affected_distinct,
     "stale_data": _stale_data,
     "raw_tables": lambda r: top_n(r.raw_tables, _by("table_name")).select("table_name", "issue"),

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime, time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +14,7 @@ from tablewarden import adapters as given
 from tablewarden.adapters import CONFIG, DRIFT_CONFIG, SINCE
 from tablewarden.functions.schedule import schedule_label
 from tablewarden.operators import drift, freshness, jobs as job_ops, lineage, rules, storage
-from tablewarden.plans.metadata import MetadataAnalysis
+from tablewarden.plans.metadata import MetadataAnalysis, run_metadata
 from tablewarden.plans.optimization import OptimizationAnalysis
 from tablewarden.plans.report import metadata_sections, optimization_sections, report_sections
 from tablewarden.plans.sharing import Share, as_is, materialise, materialise_only
@@ -21,6 +24,7 @@ from tablewarden.state.store import (
     COLUMN_SNAPSHOT,
     TABLE_SNAPSHOT,
     WatchStore,
+    cut_lineage,
     lookback_start,
     previous_snapshot_date,
     shared_folder,
@@ -141,6 +145,13 @@ def _fresh_store(spark: SparkSession) -> WatchStore:
     return store
 
 
+def _read_and_drop(store: WatchStore, result: DataFrame) -> DataFrame:
+    """The result kept in the shared folder, where Spark cleans up after itself; the store's own files go."""
+    kept = cut_lineage(result)
+    store.drop()
+    return kept
+
+
 @query
 def snapshot_roundtrip(spark, sf):
     """Save all dates, save them again, apply retention, compact, read back both tables."""
@@ -151,12 +162,32 @@ def snapshot_roundtrip(spark, sf):
         store.save_snapshot(snapshot_at(rows(spark, sf), as_of), table, as_of)
         store.apply_retention(table, as_of, CONFIG.retention_days)
         store.compact_snapshot(table, store.snapshot_dates(table))
-    tables = store.table(TABLE_SNAPSHOT).select("snapshot_date", *catalog.TABLE_KEY, "table_type")
-    kept = store.table(COLUMN_SNAPSHOT).join(tables, ["snapshot_date", *catalog.TABLE_KEY], "left")
-    return _text_dates(kept, "snapshot_date").select(
-        "snapshot_date", *catalog.COLUMN_KEY, "table_type", "full_data_type", "is_nullable", "col_comment",
-        F.col("ordinal_position").cast("bigint").alias("ordinal_position"),
+    kept = store.table(COLUMN_SNAPSHOT).join(store.table(TABLE_SNAPSHOT), ["snapshot_date", *catalog.TABLE_KEY], "left")
+    read = _text_dates(kept, "snapshot_date", "created", "last_altered").select(
+        "snapshot_date", *catalog.COLUMN_KEY, "table_type", "data_source_format", "created", "last_altered",
+        "full_data_type", "is_nullable", "col_comment", F.col("ordinal_position").cast("bigint").alias("ordinal_position"),
     )
+    return _read_and_drop(store, read)
+
+
+@query
+def nightly_changes(spark, sf):
+    """Three nights of the metadata run over one store: what each night's report counts, and the date it compares with."""
+    store = _fresh_store(spark)
+    nights: list[DataFrame] = []
+    for day in given.NIGHTS:
+        orders = given.orders_before(spark, sf, day)
+        inputs = {"tables": given.order_tables(orders), "columns": given.order_columns(orders)}
+
+        def report(analysis: MetadataAnalysis) -> None:
+            kinds = F.count_if(F.col("change_type").isin("NEW TABLE", "REMOVED")), F.count_if(F.col("column_name").isNotNull())
+            counted = analysis.diff.agg(kinds[0].alias("table_changes"), kinds[1].alias("column_changes"))
+            dates = (F.lit(analysis.cfg.run_date), F.lit(analysis.compared_with).cast("date"))
+            nights.append(cut_lineage(counted.select(dates[0].alias("run_date"), dates[1].alias("compared_with"), "*")))
+
+        run_metadata(inputs, replace(DRIFT_CONFIG, as_of=datetime.combine(day, time())), store, report)
+    store.drop()
+    return _text_dates(reduce(DataFrame.unionByName, nights), "run_date", "compared_with")
 
 
 # --- storage -------------------------------------------------------------------------------------
@@ -254,7 +285,7 @@ def stale_jobs(spark, sf):
 
 @query
 def period_failures(spark, sf):
-    return job_ops.period_failures(_latest(spark, sf), given.jobs(spark, sf), CONFIG, SINCE)
+    return job_ops.period_failures(given.runs(spark, sf), given.jobs(spark, sf), CONFIG, SINCE)
 
 
 @query
@@ -304,29 +335,19 @@ def raw_column_violations(spark, sf):
     return rules.raw_column_violations(given.part_columns(spark, sf), CONFIG)
 
 
-@query
-def raw_column_violations_all(spark, sf):
-    return rules.raw_column_violations(given.part_columns(spark, sf), CONFIG, limit=None)
-
-
 @query
 def transform_name_violations(spark, sf):
     return rules.transform_name_violations(given.part_tables(spark, sf), CONFIG)
 
 
-@query
-def transform_name_violations_all(spark, sf):
-    return rules.transform_name_violations(given.part_tables(spark, sf), CONFIG, limit=None)
-
-
 @query
 def view_governance_violations(spark, sf):
     return rules.view_governance_violations(given.views(spark, sf), CONFIG)
 
 
-@query
-def view_governance_violations_all(spark, sf):
-    return rules.view_governance_violations(given.views(spark, sf), CONFIG, limit=None)
+# Listings are cut in the report sections only: the rules have no limit, under either name.
+for _name in ("raw_column_violations", "transform_name_violations", "view_governance_violations"):
+    QUERIES[f"{_name}_all"] = QUERIES[_name]
 
 
 # --- lineage -------------------------------------------------------------------------------------
@@ -334,7 +355,7 @@ def view_governance_violations_all(spark, sf):
 
 @query
 def lineage_from_payload(spark, sf):
-    return payloads.lineage_from_payload(given.lineage_pages(spark, sf), CONFIG.payload_cap)
+    return payloads.lineage_from_payload(given.lineage_pages(spark, sf))
 
 
 @query
@@ -344,14 +365,12 @@ def latest_audit(spark, sf):
 
 @query
 def workspace_paths(spark, sf):
-    return logs.workspace_paths(given.workspace_listing(spark, sf), CONFIG.workspace_roots)
+    return logs.workspace_paths(given.workspace_listing(spark, sf))
 
 
 @query
 def resolve_notebooks(spark, sf):
-    return lineage.resolve_notebooks(
-        given.user_ids(spark, sf), given.audit(spark, sf), given.workspace_listing(spark, sf), CONFIG
-    )
+    return lineage.resolve_notebooks(given.user_ids(spark, sf), given.audit(spark, sf), given.workspace_listing(spark, sf))
 
 
 @query
@@ -387,6 +406,7 @@ def _metadata(spark: SparkSession, sf: str, share: Share = as_is) -> MetadataAna
         inputs["prev_columns"],
         DRIFT_CONFIG,
         share,
+        given.PREVIOUS_DATE,
     )
 
 
@@ -407,10 +427,11 @@ def run_summary(spark, sf):
 
 @query
 def tracker_roundtrip(spark, sf):
-    """Append the run summary to the tracker as JSON and read it back."""
+    """Write the run summary to the tracker as JSON, twice for one date, and read it back."""
     store = _fresh_store(spark)
-    store.append_tracker(_optimization(spark, sf).run_summary, CONFIG)
-    return store.tracker_history().drop("created_at")
+    for _ in range(2):
+        store.save_tracker(_optimization(spark, sf).run_summary, CONFIG)
+    return _read_and_drop(store, store.tracker_history().drop("created_at"))
 
 
 @query
@@ -455,7 +476,7 @@ def affected_distinct(spark, sf):
 
 @query
 def metadata_dashboard(spark, sf):
-    return _metadata(spark, sf, _DASHBOARD_READS).dashboard
+    return _text_dates(_metadata(spark, sf, _DASHBOARD_READS).dashboard, "compared_with")
 
 
 @query

@@ -62,6 +62,6 @@ COLUMN_SNAPSHOT_DDL = (
 )
 TABLE_SNAPSHOT_DDL = (
     "table_schema STRING, table_name STRING, table_type STRING, data_source_format STRING, "
-    "created TIMESTAMP, last_altered TIMESTAMP, snapshot_date DATE"
+    "created TIMESTAMP_NTZ, last_altered TIMESTAMP_NTZ, snapshot_date DATE"
 )
-TRACKER_DDL = "run_date DATE, analysis_json STRING, created_at TIMESTAMP"
+TRACKER_DDL = "analysis_json STRING, created_at TIMESTAMP, run_date DATE"

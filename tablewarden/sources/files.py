@@ -25,7 +25,8 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
         )
     )
     # The root is matched as plain text, wherever the file system puts its scheme.
-    after_root = F.element_at(F.split("file_path", F.lit(rf"\Q{root.rstrip('/')}/\E")), -1)
+    # Only its first occurrence counts: a folder below it may repeat its name.
+    after_root = F.element_at(F.split("file_path", F.lit(rf"\Q{root.rstrip('/')}/\E"), 2), -1)
     below_root = F.split(after_root, "/")
     return listed.select(
         F.get(below_root, F.lit(0)).alias("table_schema"),

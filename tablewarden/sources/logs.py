@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tablewarden.config import WatchConfig
@@ -47,12 +45,6 @@ def audit_notebook_opens(audit: DataFrame) -> DataFrame:
     )
 
 
-def workspace_paths(listing: DataFrame, roots: Sequence[tuple[str, int]]) -> DataFrame:
-    """Object id to path, for objects no deeper below a root folder than that root's depth."""
-    path = F.col("path")
-    inside = F.lit(False)
-    for root, depth in roots:
-        prefix = root.rstrip("/") + "/"
-        levels = F.size(F.split(path, "/")) - F.lit(prefix.count("/"))
-        inside = inside | (path.startswith(prefix) & (levels <= depth))
-    return listing.filter(inside).select("object_id", "path")
+def workspace_paths(listing: DataFrame) -> DataFrame:
+    """Object id to path for every listed object; of an object listed twice, the first path by name."""
+    return listing.groupBy("object_id").agg(F.min("path").alias("path"))

@@ -41,17 +41,16 @@ def runs_from_payload(raw: DataFrame) -> DataFrame:
     )
 
 
-def lineage_from_payload(raw: DataFrame, cap: int = 15) -> DataFrame:
-    """First ``cap`` assets of every kind, in payload order, as (fqn, asset_kind, pos, asset)."""
+def lineage_from_payload(raw: DataFrame) -> DataFrame:
+    """All assets of every page, with their place among those of their kind, as (fqn, asset_kind, pos, asset)."""
     page = _parsed(raw, LINEAGE_PAGE)
 
     def entities(kind: str) -> Column:
         return F.filter("page.entity_lineage", lambda e: e["entity_type"] == kind)
 
     def assets(kind: str, items: Column, field: str) -> Column:
-        first = F.slice(F.coalesce(items, F.array()), 1, cap)
         return F.transform(
-            first,
+            F.coalesce(items, F.array()),
             lambda item, pos: F.struct(
                 F.lit(kind).alias("asset_kind"),
                 (pos + 1).cast("bigint").alias("pos"),

@@ -46,8 +46,8 @@ def previous_snapshot_date(snapshot: DataFrame, as_of: date) -> DataFrame:
 
 
 def lookback_start(tracker: DataFrame, as_of: date) -> DataFrame:
-    """One row: the latest run date in the tracker, else ``as_of``."""
-    return tracker.agg(F.coalesce(F.max("run_date"), F.lit(as_of)).alias("lookback_start"))
+    """One row: the latest run date before ``as_of``, else ``as_of``. A repeated run looks back as far as the first."""
+    return tracker.filter(F.col("run_date") < F.lit(as_of)).agg(F.coalesce(F.max("run_date"), F.lit(as_of)).alias("lookback_start"))
 
 
 class WatchStore:
@@ -65,6 +65,9 @@ class WatchStore:
         return self.spark.table(self.name(table))
 
     def ensure_tables(self) -> None:
+        """Create what is missing. On a cluster the store needs a ``location`` that all executors share."""
+        if self.location is None and not self.spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("give the store a location that all executors share")
         place = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`{place}")
         for table, ddl in ((COLUMN_SNAPSHOT, COLUMN_SNAPSHOT_DDL), (TABLE_SNAPSHOT, TABLE_SNAPSHOT_DDL)):
@@ -73,16 +76,20 @@ class WatchStore:
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet "
                 "OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (snapshot_date)"
             )
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(TRACKER)} ({TRACKER_DDL}) USING parquet")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name(TRACKER)} ({TRACKER_DDL}) USING parquet "
+            "OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (run_date)"
+        )
 
     def save_snapshot(self, df: DataFrame, table: str, day: date | None = None) -> None:
         """Replace the dates in ``df``, matching columns by name.
 
-        ``day`` names the run date, whose old rows go first: an empty ``df`` brings no partition that would
-        replace them. ``df`` must then not read that date of the same table.
+        ``day`` names the only date of ``df``. The insert replaces its partition in one step; only an empty
+        ``df``, which brings no partition, drops the date instead.
         """
-        if day is not None:
+        if day is not None and df.isEmpty():
             self._drop_dates(table, [day])
+            return
         # One output file per date until it outgrows the advisory partition size. A single date is spread
         # without a key: keyed by its date, all rows would meet in one partition first.
         rows = df.hint("rebalance", "snapshot_date") if day is None else df.hint("rebalance")
@@ -126,14 +133,18 @@ class WatchStore:
     def lookback_start(self, as_of: date) -> date:
         return lookback_start(self.table(TRACKER), as_of).first().lookback_start
 
-    def append_tracker(self, summary: DataFrame, cfg: WatchConfig) -> None:
-        """Append the one-row run summary as a JSON document."""
+    def save_tracker(self, summary: DataFrame, cfg: WatchConfig) -> None:
+        """Write the one-row run summary as a JSON document, in place of an earlier one of the same run date."""
         entry = summary.select(
             F.lit(cfg.run_date).alias("run_date"),
             F.to_json(F.struct(*summary.columns)).alias("analysis_json"),
             F.timestamp_millis(F.lit(cfg.as_of_ms)).alias("created_at"),
         )
-        self.spark.sql(f"INSERT INTO {self.name(TRACKER)} BY NAME SELECT * FROM {{entry}}", entry=entry)
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(TRACKER)} BY NAME SELECT * FROM {{entry}}", entry=entry)
+
+    def drop(self) -> None:
+        """Drop the database with all tables and files."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
 
     def tracker_history(self) -> DataFrame:
         """Run summaries of the tracker, parsed back into columns."""

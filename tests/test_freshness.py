@@ -40,14 +40,18 @@ def test_almost_eight_days_are_seven(checked):
     assert checked(entry(1, 8 - 1 / 1440)) == []
 
 
-def test_no_write_among_the_newest_30(checked):
-    history = [entry(1, 400)] + [entry(v, 1, "OPTIMIZE") for v in range(2, 32)]
-    found = checked(*history)
+def test_no_write_in_the_log(checked):
+    found = checked(*[entry(v, 1, "OPTIMIZE") for v in range(1, 32)])
     assert [(r.days_since, r.severity, r.last_write, r.last_op, r.rows_written) for r in found] == [
         (9999, "CRITICAL", "No writes found", "—", "—")
     ]
 
 
+def test_write_at_entry_31_is_found(checked):
+    history = [entry(1, 40)] + [entry(v, 1, "OPTIMIZE") for v in range(2, 32)]
+    assert [(r.days_since, r.severity, r.last_op) for r in checked(*history)] == [(40, "HIGH", "WRITE")]
+
+
 def test_write_at_entry_30_is_found(checked):
     history = [entry(1, 20, "merge")] + [entry(v, 1, "OPTIMIZE") for v in range(2, 31)]
     found = checked(*history)

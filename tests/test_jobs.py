@@ -86,11 +86,17 @@ def test_period_failures_start_at_local_midnight(rows, cfg):
     )
     found = jobs.period_failures(runs, rows(JOBS, (1, "one", "")), cfg, date(2024, 1, 30)).orderBy("run_id").collect()
     assert [(r.run_id, len(r.error), r.date) for r in found] == [
-        (2, 500, "2024-01-30 00:00 ET"),
+        (2, 600, "2024-01-30 00:00 ET"),
         (4, 0, "2024-01-30 00:00 ET"),
     ]
 
 
+def test_all_failures_of_a_job_are_reported(rows, cfg):
+    midnight = 1_706_590_800_000
+    runs = rows(RUNS, *[run(1, i, state="FAILED", start=midnight + i) for i in range(40)])
+    assert jobs.period_failures(runs, rows(JOBS, (1, "one", "")), cfg, date(2024, 1, 30)).count() == 40
+
+
 def test_look_back_is_a_local_midnight_in_summer_too():
     summer = WatchConfig(as_of=datetime(2024, 7, 2))
     assert summer.midnight_ms(date(2024, 7, 1)) == 1_719_806_400_000

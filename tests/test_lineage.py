@@ -56,34 +56,21 @@ def test_notebook_resolution_order(rows, cfg):
         ("4", "NOTEBOOK", "/Usersx/a"),
         ("5", "DIRECTORY", "/Shared/x/"),
     )
-    resolved = lineage.resolve_notebooks(ids, audit, listing, cfg)
+    resolved = lineage.resolve_notebooks(ids, audit, listing)
     assert collected(resolved.select("entity_id", "notebook_name")) == [
         ("1", "new"),
         ("2", "two"),
-        ("3", "Notebook #3"),
-        ("4", "Notebook #4"),
+        ("3", "too_deep"),
+        ("4", "a"),
         ("5", "x"),
         ("6", "Notebook #6"),
     ]
-    assert collected(lineage.unresolved_ids(ids, resolved)) == [("3",), ("4",), ("6",)]
-
-
-@pytest.mark.parametrize(
-    ("path", "found"),
-    [
-        ("/Repos/repo_path/a/b/c/d", True),
-        ("/Repos/repo_path/a/b/c/d/e", False),
-        ("/Repos/a/b", True),
-        ("/Repos/a/b/c", False),
-        ("/Users/a/b/c", True),
-        ("/Users/a/b/c/d", False),
-        ("/Shared/a", True),
-        ("/Users", False),
-        ("/Else/a", False),
-    ],
-)
-def test_workspace_depth(rows, cfg, path, found):
-    assert workspace_paths(rows(LISTING, ("1", "NOTEBOOK", path)), cfg.workspace_roots).count() == int(found)
+    assert collected(lineage.unresolved_ids(ids, resolved)) == [("6",)]
+
+
+def test_every_listed_object_has_one_path(rows):
+    listing = rows(LISTING, ("1", "NOTEBOOK", "/Archive/a/b/c/d/e/f"), ("2", "NOTEBOOK", "/Users"), ("2", "NOTEBOOK", "/Else/a"))
+    assert collected(workspace_paths(listing)) == [("1", "/Archive/a/b/c/d/e/f"), ("2", "/Else/a")]
 
 
 def test_audit_parameters_as_json_text(rows):
@@ -140,7 +127,7 @@ def test_impact(rows):
     }
 
 
-def test_lineage_payload_caps_and_order(rows):
+def test_lineage_payload_is_whole_and_in_order(rows):
     document = {
         "downstreams": [{"name": f"d{i}"} for i in range(20)],
         "upstreams": None,
@@ -149,10 +136,11 @@ def test_lineage_payload_caps_and_order(rows):
         + [{"entity_type": "JOB"}],
     }
     raw = rows("table_name STRING, payload STRING", ("t", json.dumps(document)), ("broken", "{oops"), ("none", None), ("empty", "{}"))
+    assert lineage_from_payload(raw.unionByName(raw)).count() == 2 * lineage_from_payload(raw).count()
     found = lineage_from_payload(raw)
     assert found.filter(F.col("fqn") != "t").count() == 0
     by_kind = {k: [r.asset for r in found.filter(F.col("asset_kind") == k).orderBy("pos").collect()] for k in ("DOWNSTREAM", "UPSTREAM", "NOTEBOOK", "JOB")}
-    assert by_kind == {"DOWNSTREAM": [f"d{i}" for i in range(15)], "UPSTREAM": [], "NOTEBOOK": [f"/n{i}" for i in range(15)], "JOB": ["j", ""]}
+    assert by_kind == {"DOWNSTREAM": [f"d{i}" for i in range(20)], "UPSTREAM": [], "NOTEBOOK": [f"/n{i}" for i in range(16)], "JOB": ["j", ""]}
 
 
 def test_jobs_pages(rows):

@@ -17,7 +17,7 @@ from tablewarden.sources.files import storage_detail
 
 SF = "/root/testdata/sf0.001"
 # These act while they are built; their plans are plain table reads.
-STATEFUL = {"snapshot_roundtrip", "tracker_roundtrip"}
+STATEFUL = {"snapshot_roundtrip", "tracker_roundtrip", "nightly_changes"}
 
 
 def plan(df) -> str:
@@ -61,7 +61,7 @@ def test_access_log_is_counted_before_the_semi_join(spark, rows):
 
 def test_filters_reach_the_scan(spark):
     scan = next(line for line in plan(given.workspace_listing(spark, SF)).splitlines() if "FileScan" in line)
-    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in scan
+    assert "PushedFilters: [IsNotNull(event_type), IsNotNull(value), EqualTo(event_type,click)" in scan
 
 
 def test_stored_snapshot_is_read_by_partition(spark, store):
@@ -73,7 +73,20 @@ def test_stored_snapshot_is_read_by_partition(spark, store):
 
 
 def test_capped_sections_use_a_top_n(spark):
-    assert "TakeOrderedAndProject" in plan(QUERIES["view_governance_violations"](spark, SF))
+    assert "TakeOrderedAndProject" in plan(QUERIES["report_sections_metadata"](spark, SF))
+    assert "TakeOrderedAndProject" not in plan(QUERIES["view_governance_violations"](spark, SF))
+
+
+def test_schemas_are_filtered_before_files_are_aggregated(spark):
+    text = plan(OptimizationAnalysis(given.optimization_inputs(spark, SF), CONFIG, given.SINCE).detail)
+    lines = text.splitlines()
+    counted = next(i for i, line in enumerate(lines) if "partial_sum(size_bytes" in line)
+    assert any("Filter" in line and "raw_schema" in line for line in lines[counted:])
+
+
+def test_only_columns_of_large_tables_are_ranked(spark):
+    text = plan(QUERIES["recommend_clustering"](spark, SF))
+    assert text.index("WindowGroupLimit") < text.index("LeftSemi")
 
 
 def test_counting_findings_does_not_sort_them(spark):
@@ -99,6 +112,9 @@ def test_each_column_snapshot_is_exchanged_once(spark, rows):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     by_column = r"Exchange hashpartitioning\(table_schema#\d+, table_name#\d+, column_name#\d+, \d+\)"
     assert len(re.findall(by_column, text)) == 2
+    # Both table snapshots go through one exchange; in the final plan its second use is a reuse.
+    by_table = r"Exchange hashpartitioning\(table_schema#\d+, table_name#\d+, \d+\)"
+    assert len(re.findall(by_table, text)) == 2
     # The diff meets the common tables after the full outer join, one part of a key at a time.
     assert text.index("LeftSemi") < text.index("column_name", text.index("FullOuter", text.index("LeftSemi")))
     assert "_part" in text

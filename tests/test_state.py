@@ -108,8 +108,7 @@ def test_inventories(rows, cfg):
 
 def test_listing_limits_do_not_touch_totals(rows, cfg):
     columns = rows(COLUMNS, *[("raw_schema", f"t{i:03}", "Bad", "INT", 1, "YES", None) for i in range(60)])
-    assert rules.raw_column_violations(columns, cfg).count() == 50
-    assert rules.raw_column_violations(columns, cfg, limit=None).count() == 60
+    assert rules.raw_column_violations(columns, cfg).count() == 60
 
 
 def optimization_inputs(rows):
@@ -134,7 +133,7 @@ def optimization_inputs(rows):
 
 
 def test_optimization_run_is_tracked_and_looked_back_to(rows, store, cfg):
-    first = run_optimization(optimization_inputs(rows), cfg, store)
+    first = run_optimization(optimization_inputs(rows), cfg, store, lambda a: a.totals.collect())
     assert first.since == cfg.run_date
     document = json.loads(store.table(TRACKER).first().analysis_json)
     assert document == {
@@ -142,8 +141,11 @@ def test_optimization_run_is_tracked_and_looked_back_to(rows, store, cfg):
         "missing_cluster": 1, "long_running_jobs": 1, "failing_jobs": 1, "period_failures": 0, "stale_tables": 1,
         "stale_views": 1, "stale_jobs": 1, "est_monthly_cost": 0.7, "est_savings": 0.21,
     }
-    second = run_optimization(optimization_inputs(rows), WatchConfig(as_of=datetime(2024, 2, 3)), store)
+    second = run_optimization(optimization_inputs(rows), WatchConfig(as_of=datetime(2024, 2, 3)), store, lambda a: a.totals.collect())
     assert second.since == date(2024, 1, 31)
+    # A repeated run looks back as far as the first and replaces its row.
+    again = run_optimization(optimization_inputs(rows), WatchConfig(as_of=datetime(2024, 2, 3)), store, lambda a: None)
+    assert again.since == date(2024, 1, 31)
     assert [r.run_date for r in store.tracker_history().orderBy("run_date").collect()] == ["2024-01-31", "2024-02-03"]
 
     earlier = WatchConfig(as_of=datetime(2024, 1, 30))
@@ -173,10 +175,11 @@ def metadata_inputs(rows, *columns, tables=("t",)):
 
 
 def test_state_loop_over_three_dates_with_a_gap(rows, store):
-    def run(day, *columns, **more):
-        return run_metadata(metadata_inputs(rows, *columns, **more), WatchConfig(as_of=datetime(2024, *day)), store)
+    def run(day, *columns, report=lambda a: a.diff.collect(), **more):
+        return run_metadata(metadata_inputs(rows, *columns, **more), WatchConfig(as_of=datetime(2024, *day)), store, report)
 
     baseline = run((4, 1), ("a", "INT"))
+    assert baseline.dashboard.first().compared_with is None
     assert baseline.diff.count() == 0
     assert tuple(baseline.totals.first()) == (0, 1)
 
@@ -185,7 +188,7 @@ def test_state_loop_over_three_dates_with_a_gap(rows, store):
     rated = {r.fqn: r for r in second.impact.collect()}["source_catalog.raw_schema.t"]
     assert (rated.risk, rated.n_downstream, rated.n_notebooks) == ("CRITICAL", 3, 1)
     assert [r.asset for r in second.lineage.filter("asset_kind = 'NOTEBOOK'").collect()] == ["nb"]
-    assert tuple(second.dashboard.first()) == (0, 0, 1, 1, 1, 4, 1)
+    assert tuple(second.dashboard.first()) == (0, 0, 1, 1, 1, 4, 1, date(2024, 4, 1))
 
     # A day is missed; the comparison is with the greatest earlier date. Repeating the day changes nothing.
     for _ in range(2):
@@ -201,3 +204,48 @@ def test_state_loop_over_three_dates_with_a_gap(rows, store):
     sections = {name: df.collect() for name, df in metadata_sections(late).items()}
     assert [r.table_name for r in sections["removed_tables"]] == ["extra"]
     assert sections["stale_data"][0].severity == "CRITICAL" and sections["governance"][0].table_name == "v_view"
+
+
+def test_a_failed_night_is_reported_by_the_next(rows, store):
+    def run(day, *columns, report=lambda a: a.diff.collect()):
+        return run_metadata(metadata_inputs(rows, *columns), WatchConfig(as_of=datetime(2024, 4, day)), store, report)
+
+    def fail(analysis):
+        raise OSError("no report")
+
+    run(1, ("a", "INT"))
+    with pytest.raises(OSError, match="no report"):
+        run(2, ("a", "INT"), ("b", "INT"), report=fail)
+    assert store.snapshot_dates(TABLE_SNAPSHOT) == [date(2024, 4, 1)]
+    third = run(3, ("a", "INT"), ("b", "INT"))
+    assert [(r.change_type, r.column_name) for r in third.diff.collect()] == [("COL ADDED", "b")]
+    assert third.compared_with == date(2024, 4, 1)
+
+
+def test_repeated_tables_are_kept_once(rows, cfg):
+    tables = rows(TABLES, ("raw_schema", "t", "MANAGED", "DELTA", None, datetime(2024, 1, 1)), ("raw_schema", "t", "VIEW", None, None, datetime(2024, 1, 2)), ("raw_schema", "t", "VIEW", None, None, datetime(2024, 1, 2)))
+    assert [(r.table_type, r.last_altered) for r in current_table_snapshot(tables, cfg).collect()] == [("VIEW", datetime(2024, 1, 2))]
+
+
+def test_an_empty_snapshot_replaces_its_date(rows, store):
+    day = rows(TABLES, ("raw_schema", "t", "MANAGED", "DELTA", None, None)).withColumn("snapshot_date", F.lit(DAY))
+    store.save_snapshot(day, TABLE_SNAPSHOT, DAY)
+    store.save_snapshot(day.limit(0), TABLE_SNAPSHOT, DAY)
+    assert store.snapshot_dates(TABLE_SNAPSHOT) == []
+
+
+def test_job_sections_are_ordered(rows, cfg):
+    from tablewarden.plans.optimization import OptimizationAnalysis
+
+    ms = 1_706_600_000_000
+    spent = {1: (20, 1), 2: (40, 2), 3: (40, 0), 4: (15, 2)}
+    inputs = optimization_inputs(rows) | {
+        "jobs": rows("job_id BIGINT, name STRING, schedule STRING", *[(i, f"j{i}", "") for i in spent]),
+        "runs": rows(
+            "job_id BIGINT, run_id BIGINT, start_time BIGINT, end_time BIGINT, result_state STRING, state_message STRING, run_page_url STRING",
+            *[(i, n, ms, ms + m * 60_000, "FAILED" if n < bad else "SUCCESS", "", "") for i, (m, bad) in spent.items() for n in range(2)],
+        ),
+    }
+    sections = optimization_sections(OptimizationAnalysis(inputs, cfg, cfg.run_date), ["long_running", "failing"])
+    assert [r.job_id for r in sections["long_running"].collect()] == [2, 3, 1, 4]
+    assert [r.job_id for r in sections["failing"].collect()] == [2, 4, 1]

@@ -41,6 +41,14 @@ def test_file_inventory_reads_the_listing(spark, tmp_path):
     assert sorted(tuple(r) for r in found.collect()) == [("raw", "a", 3, 6), ("raw", "b", 1, 1)]
 
 
+def test_file_inventory_below_a_folder_that_repeats_the_root(spark, tmp_path):
+    folder = tmp_path / "raw" / "t" / str(tmp_path).lstrip("/") / "deep"
+    folder.mkdir(parents=True)
+    (folder / "part.bin").write_bytes(b"x")
+    found = file_inventory(spark, f"file:{tmp_path}").collect()
+    assert [(r.table_schema, r.table_name) for r in found] == [("raw", "t")]
+
+
 def test_small_files_are_ordered_by_severity_then_files(rows, cfg):
     detail = rows(
         DETAIL,
