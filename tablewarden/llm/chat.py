@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from xxhash import xxh64_intdigest
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,9 @@ LAYOUTS = (
 # Names of roles that other layouts use.
 ROLE_NAMES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "chatgpt": "assistant"}
 
+# The seed of Spark's own hash, so that fingerprints taken on either side are equal.
+SEED = 42
+_TURNS = "array<struct<turn: bigint, role: string, text: string>>"
 _TYPES = r"VOID|BOOLEAN|BIGINT|DOUBLE|FLOAT|STRING|BINARY|DATE|TIMESTAMP(?:_NTZ)?|DECIMAL\(\d+,\s*\d+\)|VARIANT"
 
 
@@ -73,24 +77,58 @@ def canonical_turns(records: DataFrame, key: str, payload: str) -> DataFrame:
     is lost unseen. A null role or text is empty. Absent or null fixed fields and empty arrays give no turn.
     """
     parsed = records.select(F.col(f"`{key}`").alias("_id"), F.try_parse_json(F.col(f"`{payload}`")).alias("_record")).withColumn("_print", fingerprint(F.col("_record")))
-    turn_type = "array<struct<turn: bigint, role: string, text: string>>"
-    get = lambda path, kind: F.try_variant_get("_record", f"$.{path}", kind)
-    name, turns = F.lit(None).cast("string"), F.lit(None).cast(turn_type)
+    name, turns = F.lit(None).cast("string"), F.lit(None).cast(_TURNS)
     for layout in LAYOUTS:
         fits = F.col("_print").isin([F.xxhash64(F.lit(s)) for s in _shapes(layout)])
-        if layout.turns:
-            given = get(layout.turns, f"array<struct<{layout.role}: string, {layout.text}: string>>")
-            made = _numbered(given, layout)
-            if "system" in layout.optional:
-                made = F.concat(F.when(get("system", "string").isNotNull(), F.array(F.struct(F.lit(-1).cast("bigint").alias("turn"), F.lit("system").alias("role"), get("system", "string").alias("text")))).otherwise(F.array().cast(turn_type)), made)
-        elif layout.fixed:
-            parts = [(r, F.array_join(F.filter(F.array(*[get(f, "string") for f in fields]), lambda x: x.isNotNull() & (x != "")), "\n\n"), [get(f, "string") for f in fields]) for r, fields in layout.fixed]
-            every = F.array(*[F.struct(F.lit(i).cast("bigint").alias("turn"), F.when(F.coalesce(*there).isNotNull(), F.lit(r)).alias("role"), text.alias("text")) for i, (r, text, there) in enumerate(parts)])
-            made = F.filter(every, lambda t: t["role"].isNotNull())
-        else:
-            made = F.array(F.struct(get(layout.turn, "bigint").alias("turn"), get(layout.role, "string").alias("role"), get(layout.text, "string").alias("text")))
-        name, turns = F.when(fits, layout.name).otherwise(name), F.when(fits, made.cast(turn_type)).otherwise(turns)
-    held = parsed.select("_id", name.alias("layout"), turns.alias("_turns"))
+        made = _turns(layout, lambda path, kind: F.try_variant_get("_record", f"$.{path}", kind), layout.optional)
+        name, turns = F.when(fits, layout.name).otherwise(name), F.when(fits, made).otherwise(turns)
+    return _named(parsed.select("_id", name.alias("layout"), turns.alias("_turns")))
+
+
+def canonical_table(table: DataFrame, key: str) -> DataFrame:
+    """The same from a table with typed columns beside ``key``: all its rows have the paths of its schema.
+
+    Raises if no layout has them.
+    """
+    paths = []
+    for f in table.drop(key).schema:
+        inner = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else None
+        paths += [f"{f.name}[].{g.name}" for g in inner] if isinstance(inner, T.StructType) else [f.name]
+    prints = {xxh64_intdigest(s, seed=SEED): layout for layout in LAYOUTS for s in _shapes(layout)}
+    layout = prints.get(xxh64_intdigest(_shape(tuple(paths)), seed=SEED))
+    if layout is None:
+        raise ValueError(f"no layout has the fields {sorted(paths)}")
+    there = tuple(p for p in layout.optional if p in paths)
+
+    def get(path: str, kind: str) -> Column:
+        plain = F.col(f"`{path}`") if path in table.columns else F.lit(None)
+        return plain if kind.startswith("array") else plain.cast(kind)
+
+    return _named(table.select(F.col(f"`{key}`").alias("_id"), F.lit(layout.name).alias("layout"), _turns(layout, get, there).alias("_turns")))
+
+
+def _turns(layout: Layout, get: Callable[[str, str], Column], optional: tuple[str, ...]) -> Column:
+    """The turns of one record by a layout; ``get`` reads a path as a type."""
+    turn = lambda i, role, text: F.struct(i.cast("bigint").alias("turn"), role.cast("string").alias("role"), text.cast("string").alias("text"))
+    if layout.turns:
+        made = _numbered(get(layout.turns, f"array<struct<{layout.role}: string, {layout.text}: string>>"), layout)
+        if "system" in optional:
+            system = get("system", "string")
+            made = F.concat(F.when(system.isNotNull(), F.array(turn(F.lit(-1), F.lit("system"), system))).otherwise(F.array().cast(_TURNS)), made.cast(_TURNS))
+    elif layout.fixed:
+        every = []
+        for i, (role, fields) in enumerate(layout.fixed):
+            parts = [get(f, "string") for f in fields]
+            text = F.array_join(F.filter(F.array(*parts), lambda x: x.isNotNull() & (x != "")), "\n\n")
+            every.append(turn(F.lit(i), F.when(F.coalesce(*parts).isNotNull(), F.lit(role)), text))
+        made = F.filter(F.array(*every), lambda t: t["role"].isNotNull())
+    else:
+        made = F.array(turn(get(layout.turn, "bigint"), get(layout.role, "string"), get(layout.text, "string")))
+    return made.cast(_TURNS)
+
+
+def _named(held: DataFrame) -> DataFrame:
+    """One row per turn with the roles' own names; a record without a layout is one row."""
     known = held.filter("layout IS NOT NULL").select("_id", "layout", F.explode("_turns").alias("_t")).select("_id", "layout", "_t.*")
     role = F.coalesce("role", F.lit(""))
     for other, own in ROLE_NAMES.items():
@@ -99,12 +137,6 @@ def canonical_turns(records: DataFrame, key: str, payload: str) -> DataFrame:
     return known.select("_id", "layout", "turn", role.alias("role"), F.coalesce("text", F.lit("")).alias("text")).unionByName(lost)
 
 
-def as_records(table: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(_id, _payload): rows of any nested table as JSON records; null fields stay, so that they count as paths."""
-    body = F.to_json(F.struct(*[F.col(f"`{f}`") for f in fields]), {"ignoreNullFields": "false"})
-    return table.select(F.col(f"`{key}`").alias("_id"), body.alias("_payload"))
-
-
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 # Control strings of common chat templates, none of which may come out of a text.
 CONTROLS = [OPEN, CLOSE, "<|endoftext|>", "<|im_sep|>", "<|system|>", "<|user|>", "<|assistant|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
@@ -195,5 +227,4 @@ def conversation_digests(rows: DataFrame, key: str = "conv_id", turn: str = "tur
     gives an empty result.
     """
     plain = rows.select(F.col(key).alias("_key"), F.col(turn).cast("bigint").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
-    turns = canonical_turns(as_records(plain, "_key", ["role", "text", "turn"]), "_id", "_payload")
-    return read_back(format_turns(turns)).withColumnRenamed("_id", key)
+    return read_back(format_turns(canonical_table(plain, "_key"))).withColumnRenamed("_id", key)

@@ -73,20 +73,34 @@ def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.nonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)[0]
 
 
-def with_row_id(docs: DataFrame, **more: str) -> DataFrame:
-    """(_doc, _row, more): rows as structs, so that no column of theirs can clash with one of an operator's.
+def packed(docs: DataFrame, **more: str | Column) -> DataFrame:
+    """(_doc, more): rows as structs, so that no column of theirs can clash with one of an operator's."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    return docs.select(whole, *[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(n) for n, c in more.items()])
+
 
-    Rows are numbered by their place in the scan: the same numbers whenever the same files are read again.
+def content_key(*columns: str) -> dict[str, Column]:
+    """_k1 and _k2, 128 bits of hash of the columns. They tell contents apart when the same rows are read a second time.
+
+    A row's number would not: the scan may be cut otherwise after an executor is lost or added.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
-    return docs.select(whole, F.monotonically_increasing_id().alias("_row"), *[F.col(f"`{c}`").alias(n) for n, c in more.items()])
+    named = [F.col(f"`{c}`") for c in columns]
+    return {"_k1": F.xxhash64(*named), "_k2": F.xxhash64(F.lit("second"), *named)}
+
+
+CONTENT = ["_k1", "_k2"]
 
 
 def as_before(rows: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
-    """The rows of ``with_row_id`` with the columns of ``docs``, then ``more``."""
+    """The rows of ``packed`` with the columns of ``docs``, then ``more``."""
     return rows.select(*[F.col(f"_doc.`{c}`") for c in docs.columns], *more)
 
 
+def in_all_tasks(df: DataFrame, *keys: str) -> DataFrame:
+    """Dealt by key to all shuffle partitions. Groups of few bytes and much work would otherwise be merged into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def one_bucket_per_set(members: DataFrame, key: str, member: str, extra: dict[str, Column], keep: Column) -> DataFrame:
     """Of the buckets with two or more members that satisfy ``keep``: ``key`` and the count ``_n``, one key for
     each set of members. Counts and set hashes are partial aggregates, so a hot bucket sends a row per map task."""

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tablewarden.llm.common import as_before, with_row_id
+from tablewarden.llm.common import as_before, packed
 
 PASSAGE = 64
 # Labelled rows that the driver fits on: a documented bound, taken by the smallest hashes of the keys.
@@ -194,5 +194,5 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, in place: no row is shuffled."""
     model = train(docs, labels, key, text)
-    whole = with_row_id(docs, _t=text)
+    whole = packed(docs, _t=text)
     return as_before(score(whole, model, ["_doc"], "_t", threshold), docs)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from tablewarden.llm.common import cut_lineage, filter_bits, in_blocks, one_bucket_per_set, passes, rolling, spread_join, with_row_id
+from tablewarden.llm.common import cut_lineage, filter_bits, in_blocks, one_bucket_per_set, passes, rolling, spread_join
 from tablewarden.llm.components import connected_components
 
 # Paragraphs of fewer words are no passages. Two are near-equal if their sets of five-word shingles are this similar.
@@ -100,7 +100,8 @@ def repeated_passages(
     node and never paired. Null and empty texts have no paragraphs; a null key is larger than any other; repeated rows
     repeat their paragraphs; other columns are ignored; an empty table gives an empty result.
     """
-    given = with_row_id(docs, _id=key, _text=text).select("_id", "_row", F.col("_text").cast("string").alias("_text"))
+    # Rows are numbered and their paragraphs stored in one pass: the numbers are never made a second time.
+    given = docs.select(F.col(key).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(text).cast("string").alias("_text"))
     kind = docs.schema[key].dataType.simpleString()
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from tablewarden.llm.common import as_before, cut_lineage, in_blocks, map_texts, one_bucket_per_set, spread_join, with_row_id
+from tablewarden.llm.common import (
+    CONTENT,
+    as_before,
+    content_key,
+    cut_lineage,
+    in_blocks,
+    map_texts,
+    one_bucket_per_set,
+    packed,
+    spread_join,
+)
 from tablewarden.llm.components import connected_components
 
 SEED = 42
@@ -131,10 +141,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 def first_of_group(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The row with the smallest key of every component, with the columns of ``docs``.
 
-    Rows are told apart by their place in the scan, so of repeated rows one stays; a null key is larger than any.
+    A null key is larger than any. Of rows that repeat a key and its text any one stays.
     """
-    numbered = with_row_id(docs, _key=key, _text=text)
-    found = _grouped(numbered, "_key", "_text", shingle, max_bits, ("_row",))
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    kept = found.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.row").alias("_row"))
-    return as_before(numbered.join(kept, "_row", "left_semi"), docs)
+    whole = packed(docs, _key=key, _text=text, **content_key(key, text))
+    found = cut_lineage(_grouped(whole, "_key", "_text", shingle, max_bits, ("_k1", "_k2")))
+    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), *CONTENT)
+    best = found.groupBy("root").agg(F.min(order).alias("best")).select("best._k1", "best._k2")
+    kept = whole.join(best, CONTENT, "left_semi")
+    if found.groupBy(*CONTENT).count().filter("count > 1").isEmpty():
+        return as_before(kept, docs)
+    return as_before(kept.dropDuplicates(CONTENT), docs)

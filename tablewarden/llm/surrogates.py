@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewarden.llm.common import as_before, cut_lineage, spread_join, with_row_id
+from tablewarden.llm.common import CONTENT, as_before, content_key, cut_lineage, packed, spread_join
 
 # What introduces a secret, titles by gender, names by script and gender.
 SECRET_WORDS = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
@@ -179,8 +179,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_
     rows stay repeated; other columns are kept; an empty table gives an empty result.
     """
     matches = F.coalesce(F.regexp_extract_all("_text", F.lit(ENTITY), F.lit(0)), F.array().cast("array<string>"))
-    hits = with_row_id(docs, _text=text).withColumn("_hits", matches)
-    spotted = cut_lineage(hits.filter(F.size("_hits") > 0).select("_row", F.posexplode("_hits").alias("_at", "_match")))
+    hits = packed(docs, _text=text, **content_key(text)).withColumn("_hits", matches)
+    # Equal texts are looked at once.
+    spotted = cut_lineage(hits.filter(F.size("_hits") > 0).select(*CONTENT, F.posexplode("_hits").alias("_at", "_match")).distinct())
     lead = F.regexp_extract("_match", LEAD, 1)
     parts = spotted.select("_match").distinct().withColumn("kind", _kind(F.col("_match"))).withColumn(
         "lead", F.when(F.col("kind").isin("secret", "person"), lead).otherwise("")
@@ -190,13 +191,15 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_
     entities = parts.groupBy("kind", "value").agg(F.min("lead").alias("lead"))
     given = parts.join(assign(entities, key), ["kind", "value"]).select("_match", F.concat("lead", "surrogate").alias("_new"))
     replaced = (
-        spread_join(spotted, given, ["_match"], ["_row", "_at"], "inner")
-        .groupBy("_row")  # bounded by the entities of one text
+        spread_join(spotted, given, ["_match"], [*CONTENT, "_at"], "inner")
+        .groupBy(*CONTENT)  # bounded by the entities of one text
         .agg(F.sort_array(F.collect_list(F.struct("_at", "_new"))).alias("_news"))
-        .select("_row", F.col("_news._new").alias("_news"))
+        .select(*CONTENT, F.col("_news._new").alias("_news"))
     )
     between = F.split("_text", ENTITY, -1)
     woven = F.array_join(F.flatten(F.zip_with(between, F.array_append("_news", F.lit("")), lambda a, b: F.array(a, b))), "")
-    changed = hits.filter(F.size("_hits") > 0).join(replaced, "_row").withColumn("_doc", F.col("_doc").withField(f"`{text}`", woven))
+    # One text may be that of very many rows.
+    found = spread_join(hits.filter(F.size("_hits") > 0), replaced, CONTENT, ["_doc"], "inner")
+    changed = found.withColumn("_doc", F.col("_doc").withField(f"`{text}`", woven))
     clean = hits.filter(F.size("_hits") == 0)
     return as_before(clean.unionByName(changed.drop("_news")), docs, F.size("_hits").alias(count))

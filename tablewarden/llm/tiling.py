@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tablewarden.llm.common import as_before, cut_lineage, filter_bits, passes, rolling, with_row_id
+from tablewarden.llm.common import CONTENT, as_before, content_key, cut_lineage, filter_bits, packed, passes, rolling, spread_join
 
 # A tile has this many words at least; a test item is found in a document if its tiles cover this share of its words.
 MIN_MATCH, COVERAGE = 5, 0.8
@@ -98,10 +98,11 @@ def tile(pairs: list[tuple[int, int, int]], item_words: int) -> tuple[int, int]:
     return covered, tiles
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH) -> DataFrame:
-    """``keep``, _row, _item, covered, tiles, item_words for every row and item that share a seed of ``min_match`` words.
+def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH) -> DataFrame:
+    """``ids``, _item, covered, tiles, item_words for every text and item that share a seed of ``min_match`` words.
 
-    Items of fewer words are seeds as a whole; items without a word match nothing. ``_row`` tells rows apart.
+    Items of fewer words are seeds as a whole; items without a word match nothing. ``ids`` tell texts apart; rows with equal
+    ``ids`` and equal texts are looked at once.
     """
     items = (
         benchmark.select(F.col(item).alias("_item"), F.col(item_text).cast("string").alias("_text"))
@@ -127,18 +128,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
         seeds = seeds.unionByName(more)
     seeds = cut_lineage(seeds)
     bits = filter_bits(seeds, "_hash")
-    found = cut_lineage(_seeds(docs.select(*keep, "_row", F.col(text).cast("string").alias("_text")), [*keep, "_row"], lengths, bits))
+    found = cut_lineage(_seeds(docs.select(*ids, F.col(text).cast("string").alias("_text")), ids, lengths, bits).distinct())
     matched = found.join(seeds.select("_seed", "_item", F.col("_words").alias("_size"), F.col("_at").alias("_place")), "_seed")
 
     def greedy(rows: pd.DataFrame) -> pd.DataFrame:
         first = rows.iloc[:1]
         size = int(first["_size"].iloc[0])
         covered, tiles = tile(list(zip(rows["_at"].tolist(), rows["_place"].tolist(), rows["_n"].tolist())), size)
-        return first[[*keep, "_row", "_item"]].assign(covered=covered, tiles=tiles, item_words=size)
+        return first[[*ids, "_item"]].assign(covered=covered, tiles=tiles, item_words=size)
 
-    schema = ", ".join([f"`{c}` {found.schema[c].dataType.simpleString()}" for c in [*keep, "_row"]] + [f"_item {kind}, covered INT, tiles INT, item_words INT"])
-    # A group is one row and one item: it is bounded by the length of that row's text.
-    return matched.groupBy("_row", "_item").applyInPandas(greedy, schema)
+    schema = ", ".join([f"`{c}` {found.schema[c].dataType.simpleString()}" for c in ids] + [f"_item {kind}, covered INT, tiles INT, item_words INT"])
+    # A group is one text and one item: it is bounded by the length of that text.
+    return matched.groupBy(*ids, "_item").applyInPandas(greedy, schema)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
@@ -148,13 +149,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     rows are judged one by one; of a repeated item id the largest text counts; items without id are not looked for;
     other columns are ignored; empty tables give an empty result.
     """
-    rows = with_row_id(docs, _id=key, _t=text)
-    found = overlaps(rows, benchmark, ["_id"], "_t", item, item_text).filter(F.col("covered") >= coverage * F.col("item_words"))
+    # Numbers that are made and stored in one pass; repeated rows stay apart.
+    rows = docs.select(F.col(key).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_t"))
+    found = overlaps(rows, benchmark, ["_id", "_row"], "_t", item, item_text).filter(F.col("covered") >= coverage * F.col("item_words"))
     return found.select(F.col("_id").alias(key), F.col("_item").alias(item), "covered", "tiles", "item_words", (F.col("covered") / F.col("item_words")).alias("coverage"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``docs`` in which no test item is found."""
-    numbered = with_row_id(docs, _t=text)
-    found = overlaps(numbered, benchmark, [], "_t", item, item_text).filter(F.col("covered") >= coverage * F.col("item_words"))
-    return as_before(numbered.join(found.select("_row").distinct(), "_row", "left_anti"), docs)
+    whole = packed(docs, _t=text, **content_key(text))
+    found = overlaps(whole, benchmark, CONTENT, "_t", item, item_text).filter(F.col("covered") >= coverage * F.col("item_words"))
+    # One text may be that of very many rows.
+    return as_before(spread_join(whole, found.select(*CONTENT).distinct(), CONTENT, ["_doc"], "left_anti"), docs)

@@ -3,9 +3,10 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pytest
 from hypothesis import given, settings, strategies as st
 
-from tablewarden.llm.chat import CONTROLS, canonical_turns, conversation_digests, format_turns, parse_turn, unescape
+from tablewarden.llm.chat import CONTROLS, canonical_table, canonical_turns, conversation_digests, format_turns, parse_turn, unescape
 from tablewarden.llm.queries import QUERIES
 from tablewarden.llm.common import table
 
@@ -78,3 +79,14 @@ def test_layouts(spark):
     pair = [("user", "u"), ("assistant", "a")]
     told = [("system", "s"), *pair]
     assert got == {0: pair, 1: pair, 2: told, 3: pair, 4: pair, 5: pair, 6: pair, 7: told, 8: [None], 9: [None], 90: [None], 91: [None]}
+
+
+def test_typed_tables(rows):
+    pair = [(1, "user", "u"), (1, "assistant", "a")]
+    read = lambda df: [(r._id, r.role, r.text) for r in canonical_table(df, "k").orderBy("turn").collect()]
+    assert read(rows("k INT, messages ARRAY<STRUCT<content: STRING, role: STRING>>", (1, [("u", "user"), ("a", "assistant")]))) == pair
+    assert read(rows("k INT, conversations ARRAY<STRUCT<from: STRING, value: STRING>>", (1, [("human", "u"), ("gpt", "a")]), (2, None))) == pair
+    assert read(rows("k INT, output STRING, instruction STRING, input STRING", (1, "a", "u", None))) == pair
+    assert read(rows("k INT, turn INT, role STRING, text STRING", (1, 0, "user", "u"), (1, 1, "assistant", "a"))) == pair
+    with pytest.raises(ValueError, match="no layout"):
+        canonical_table(rows("k INT, x STRING"), "k")
