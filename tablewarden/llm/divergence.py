@@ -147,7 +147,10 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
     counted = cut_lineage(measures(docs, key, text, lang).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | repeats))
     # One row for each of a fixed set of languages and the rest: at most five rows.
     judged = counted.join(F.broadcast(references(counted)), "_lang", "left").select(
-        "*", distance(F.col("_kinds"), F.col("_ref_kinds")).alias("char_distance"), distance(F.col("_common"), F.col("_ref_common")).alias("word_distance")
+        "*",
+        # Rounded, so that the order of the bins does not show.
+        F.round(distance(F.col("_kinds"), F.col("_ref_kinds")), 6).alias("char_distance"),
+        F.round(distance(F.col("_common"), F.col("_ref_common")), 6).alias("word_distance"),
     )
     strange = ((F.col("_chars") >= CHAR_GUARD) & (F.col("char_distance") > CHAR_DISTANCE)) | ((F.col("n_words") >= WORD_GUARD) & (F.col("word_distance") > WORD_DISTANCE))
     return judged.select(

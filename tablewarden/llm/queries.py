@@ -78,6 +78,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": quality_classifier,
     "op10_pii_surrogates": pii_surrogates,
 }
-
-# No operator of this package can be written in SQL that DuckDB runs over whole tables: see tests/llm.
-ORACLE_SQL: dict[str, str] = {}
