@@ -11,8 +11,9 @@ from collections.abc import Iterator
 Filling = tuple[tuple[int, int], ...]  # (size, times) with sizes descending
 Plan = list[tuple[Filling, int]]
 
-# Limits of the search, not of the data: fillings tried at a node, nodes visited, items around the largest one.
-BRANCHES, NODES, DEPTH = 3, 4000, 6
+# Limits of the search, not of the data: fillings tried at a node, nodes visited, items around the largest one, and steps
+# spent on one node's exact fillings before the greedy one is taken.
+BRANCHES, NODES, DEPTH, STEPS = 3, 4000, 6, 20_000
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -59,7 +60,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     return [(filling, times) for bins in open_bins.values() for filling, times in bins.items() if times]
 
 
-def _exact(target: int, sizes: list[int], at: int, counts: dict[int, int], reach: int, items: int) -> Iterator[list[int]]:
+def _exact(target: int, sizes: list[int], at: int, counts: dict[int, int], reach: int, items: int, steps: list[int]) -> Iterator[list[int]]:
     """Multisets of sizes that sum to ``target``, large items first, so that dominated ones come last."""
     if target == 0:
         yield []
@@ -68,14 +69,15 @@ def _exact(target: int, sizes: list[int], at: int, counts: dict[int, int], reach
         return
     for i in range(at, len(sizes)):
         size = sizes[i]
+        steps[0] -= 1
+        if size * items < target or steps[0] < 0:
+            return
         if size > target:
             continue
-        if size * items < target:
-            return
         if counts[size]:
             counts[size] -= 1
             try:
-                for rest in _exact(target - size, sizes, i, counts, reach, items - 1):
+                for rest in _exact(target - size, sizes, i, counts, reach, items - 1, steps):
                     yield [size, *rest]
             finally:
                 counts[size] += 1
@@ -91,10 +93,13 @@ def fillings(room: int, counts: dict[int, int], most_waste: int) -> Iterator[tup
             reach |= reach << span
             span *= 2
         reach &= (1 << room + 1) - 1
+    steps = [STEPS]
     for waste in range(min(most_waste, room) + 1):
+        if steps[0] < 0:
+            break
         if reach >> (room - waste) & 1:
             for items in range(1 if room > waste else 0, DEPTH + 1):
-                for found in _exact(room - waste, sizes, 0, counts, reach, items):
+                for found in _exact(room - waste, sizes, 0, counts, reach, items, steps):
                     if len(found) == items:
                         yield waste, found
                         break
