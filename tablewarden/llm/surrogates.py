@@ -21,18 +21,23 @@ SYLLABLES_CYRILLIC = "ба бел бо ва вер во да дор ка кол
 _TITLES = "(?:" + "|".join([*MALE_TITLES, *FEMALE_TITLES, *OPEN_TITLES]) + ")"
 _NAME = r"\p{Lu}[\p{L}'’\-]+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}\-]{1,63}+(?:\.[\p{L}\p{N}\-]{1,63}+)+"
-SECRET = rf"(?i:\b{SECRET_WORDS} ?[=:] ?[\"']?)[A-Za-z0-9+/_\-]{{8,}}"
-ACCESS_KEY = r"\b(?:AKIA|ASIA)[A-Z0-9]{12,}\b|\bghp_[A-Za-z0-9]{20,}\b|\bsk-[A-Za-z0-9]{16,}\b"
-PERSON = rf"(?<![\p{{L}}\p{{N}}]){_TITLES}\.? {_NAME}(?: {_NAME})?"
-ADDRESS = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)"
-SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
-PHONE = r"\+\d{1,3} ?\(\d{2,4}\) ?\d{3,4}[ \-]\d{3,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\+\d{1,3}(?:[ \-]\d{2,4}){2,4}(?![\d.])|(?<![\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])"
-ACCOUNT = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
-CARD = r"(?<![\d\-])\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}(?!\d)|(?<!\d)\d{13,19}(?!\d)"
+EMAIL = r"[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}\-]{1,63}+(?:\.[\p{L}\p{N}\-]{1,63}+)+"
+SECRET = rf"(?i:{SECRET_WORDS} ?[=:] ?[\"']?)[A-Za-z0-9+/_\-]{{8,}}"
+ACCESS_KEY = r"(?:AKIA|ASIA)[A-Z0-9]{12,}\b|ghp_[A-Za-z0-9]{20,}\b|sk-[A-Za-z0-9]{16,}\b"
+PERSON = rf"{_TITLES}\.? {_NAME}(?: {_NAME})?"
+ADDRESS = rf"(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)"
+SSN = r"(?<!-)\d{3}-\d{2}-\d{4}(?![\d\-])"
+PHONE = r"\+\d{1,3} ?\(\d{2,4}\) ?\d{3,4}[ \-]\d{3,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\+\d{1,3}(?:[ \-]\d{2,4}){2,4}(?![\d.])|(?<!-)\d{3}-\d{3}-\d{4}(?![\d\-])"
+ACCOUNT = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
+CARD = r"(?<!-)\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}(?!\d)|\d{13,19}(?!\d)"
 # In this order: the first that fits at a place is the entity.
 KINDS = {"email": EMAIL, "secret": SECRET, "key": ACCESS_KEY, "person": PERSON, "address": ADDRESS, "ssn": SSN, "phone": PHONE, "account": ACCOUNT, "card": CARD}
-ENTITY = "|".join(f"(?:{p})" for p in KINDS.values())
+# What a kind can begin with; an alternative is only tried there.
+_BEGINS = {"secret": "[PpSsTtAa]", "key": "[Ags]", "person": "[" + "".join(sorted({t[0] for t in [*MALE_TITLES, *FEMALE_TITLES, *OPEN_TITLES]})) + "]", "address": "[0-9]", "ssn": "[0-9]", "phone": r"[0-9+(]", "account": "[A-Z]", "card": "[0-9]"}
+# An entity begins where no word goes on: not after a Latin letter or digit, and an e-mail not after any part of one.
+ENTITY = (
+    r"(?<![A-Za-z0-9])(?:(?<![\p{L}\p{N}._%+\-])" + EMAIL + "|" + "|".join(f"(?={_BEGINS[k]})(?:{p})" for k, p in KINDS.items() if k != "email") + ")"
+)
 # What stays of a match before the value itself.
 LEAD = rf"^((?i:{SECRET_WORDS} ?[=:] ?[\"']?)|{_TITLES}\.? )"
 
