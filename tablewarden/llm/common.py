@@ -40,18 +40,21 @@ KNOWN = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def rolling(tokens: list[str], n: int, known: dict[str, int]) -> np.ndarray:
-    """Karp-Rabin hash of every window of ``n`` tokens, modulo 2**64. ``known`` remembers token hashes."""
+class TokenHashes(dict):
+    """Token to hash, made when first asked for and remembered for a while."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > KNOWN:
+            self.clear()
+        value = self[token] = xxh64_intdigest(token)
+        return value
+
+
+def rolling(tokens: list[str], n: int, known: TokenHashes) -> np.ndarray:
+    """Karp-Rabin hash of every window of ``n`` tokens, modulo 2**64."""
     if len(tokens) < n:
         return np.zeros(0, np.uint64)
-    if len(known) > KNOWN:
-        known.clear()
-    values = np.empty(len(tokens), np.uint64)
-    for i, token in enumerate(tokens):
-        value = known.get(token)
-        if value is None:
-            value = known[token] = xxh64_intdigest(token)
-        values[i] = value
+    values = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
     out = np.zeros(len(tokens) - n + 1, np.uint64)
     for i in range(n):
         out = out * _BASE + values[i : i + len(out)]
@@ -101,6 +104,36 @@ def in_all_tasks(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def link_groups(df: DataFrame, key: str, each: Callable[[list[pa.Array]], list[tuple[int, int]]]) -> DataFrame:
+    """(a, b): what ``each`` links within every group of ``key``, from the group's other columns.
+
+    Groups are dealt to all partitions, sorted and streamed: one is held at a time, without the cost of a frame for each.
+    """
+    others = [c for c in df.columns if c != key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def linked(part: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
+            columns = [part.column(i + 1).combine_chunks() for i in range(len(others))]
+            ends = [e for lo, hi in zip(bounds[:-1], bounds[1:]) for e in each([c.slice(lo, hi - lo) for c in columns])]
+            a, b = np.array(ends, np.int64).reshape(-1, 2).T
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            keys = held.column(0).to_numpy()
+            cuts = np.nonzero(keys[1:] != keys[:-1])[0] + 1
+            if len(cuts):
+                # The last group may go on in the next batch.
+                yield linked(held.slice(0, cuts[-1]), np.concatenate(([0], cuts)))
+                held = held.slice(cuts[-1])
+        if held is not None and held.num_rows:
+            yield linked(held, np.array([0, held.num_rows]))
+
+    return in_all_tasks(df, key).sortWithinPartitions(key).select(key, *others).mapInArrow(run, "a BIGINT, b BIGINT")
+
+
 def one_bucket_per_set(members: DataFrame, key: str, member: str, extra: dict[str, Column], keep: Column) -> DataFrame:
     """Of the buckets with two or more members that satisfy ``keep``: ``key`` and the count ``_n``, one key for
     each set of members. Counts and set hashes are partial aggregates, so a hot bucket sends a row per map task."""

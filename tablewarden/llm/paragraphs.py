@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from tablewarden.llm.common import cut_lineage, filter_bits, in_blocks, one_bucket_per_set, passes, rolling, spread_join
+from tablewarden.llm.common import TokenHashes, cut_lineage, filter_bits, in_blocks, link_groups, one_bucket_per_set, passes, rolling, spread_join
 from tablewarden.llm.components import connected_components
 
 # Paragraphs of fewer words are no passages. Two are near-equal if their sets of five-word shingles are this similar.
@@ -20,6 +20,7 @@ BANDS, ROWS = 16, 4
 CHUNK = 1 << 12
 
 
+@lru_cache(maxsize=4)
 def _constants(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(6)
     return rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, np.uint64)
@@ -38,34 +39,51 @@ def paragraphs(text: str, least: int) -> Iterator[tuple[int, list[str], int]]:
             yield number, words, xxh64_intdigest(" ".join(words))
 
 
-def shingles(words: list[str], n: int, known: dict[str, int]) -> np.ndarray:
+def shingles(words: list[str], n: int, known: TokenHashes) -> np.ndarray:
     """Distinct hashes of the windows of ``n`` words; of fewer words the whole is one."""
     return np.unique(rolling(words, min(n, len(words)), known))
 
 
-def band_keys(hashes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key for each band of the MinHash signature; the bits left after multiply and shift decide the minimum."""
+def band_keys(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """64-bit keys, a row of ``bands`` for each set: the hashed MinHash values of a band. Sets may repeat their members."""
     a, b = _constants(bands * rows)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), CHUNK):
-        mixed = hashes[at : at + CHUNK, None] * a + b
-        least = np.minimum(least, ((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0))
-    key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
-    for part in least.reshape(bands, rows).T:
-        key = (key ^ part) * np.uint64(0x9FB21C651E98DF25)
-        key ^= key >> np.uint64(28)
-    return key
+    out = np.empty((len(sets), bands), np.uint64)
+    at = 0
+    while at < len(sets):
+        to, size = at, 0
+        while to < len(sets) and (to == at or size + len(sets[to]) <= CHUNK):
+            size += len(sets[to])
+            to += 1
+        if size > CHUNK:
+            # One very long paragraph, in parts.
+            parts = [sets[at][i : i + CHUNK] for i in range(0, size, CHUNK)]
+            least = np.min([(p[:, None] * a + b).min(axis=0) for p in parts], axis=0)[None]
+        else:
+            starts = np.concatenate(([0], np.cumsum([len(x) for x in sets[at : to - 1]], dtype=np.int64))).astype(np.int64)
+            least = np.minimum.reduceat(np.concatenate(sets[at:to])[:, None] * a + b, starts, axis=0)
+        key = np.arange(1, bands + 1, dtype=np.uint64)[None]
+        for part in least.reshape(to - at, bands, rows).transpose(2, 0, 1):
+            key = (key ^ part) * np.uint64(0x9FB21C651E98DF25)
+            key = key ^ (key >> np.uint64(28))
+        out[at:to] = key
+        at = to
+    return out
 
 
 def _verify(similarity: float):
-    """Local components of a block pair: every paragraph reached is compared with those not reached yet."""
+    """Local components of a block pair: every paragraph reached is compared with those not reached yet.
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("_pid")
-        ids = group["_pid"].to_numpy(np.int64)
-        sets = [np.asarray(s, np.int64) for s in group["_set"]]
+    Counts of shared shingles come from the places of a paragraph's shingles among all of the group's, so only paragraphs
+    that share one cost anything.
+    """
+
+    def run(columns: list) -> list[tuple[int, int]]:
+        ids, first = np.unique(columns[0].to_numpy(), return_index=True)
+        sets = [columns[1][int(i)].values.to_numpy() for i in first]
         sizes = np.array([len(s) for s in sets])
         flat, owner = np.concatenate(sets), np.repeat(np.arange(len(ids)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
         waiting = np.ones(len(ids), bool)
         ends: list[tuple[int, int]] = []
         for seed in range(len(ids)):
@@ -73,18 +91,15 @@ def _verify(similarity: float):
                 continue
             waiting[seed] = False
             queue = [seed]
-            while queue and len(flat):
+            while queue and waiting.any():
                 one = queue.pop()
-                shared = np.bincount(owner[np.isin(flat, sets[one])], minlength=len(ids))
-                near = waiting & (shared >= similarity * (sizes + sizes[one] - shared)) & (shared > 0)
-                found = np.nonzero(near)[0]
-                if len(found):
-                    ends.extend((int(ids[seed]), int(ids[x])) for x in found)
-                    queue.extend(found.tolist())
-                    waiting[found] = False
-                    left = waiting[owner]
-                    flat, owner = flat[left], owner[left]
-        return pd.DataFrame(ends, columns=["a", "b"], dtype="int64")
+                lo, hi = np.searchsorted(flat, sets[one]), np.searchsorted(flat, sets[one], side="right")
+                shared = np.bincount(np.concatenate([owner[x:y] for x, y in zip(lo.tolist(), hi.tolist())]), minlength=len(ids))
+                found = np.nonzero(waiting & (shared >= similarity * (sizes + sizes[one] - shared)) & (shared > 0))[0].tolist()
+                ends.extend((int(ids[seed]), int(ids[x])) for x in found)
+                queue.extend(found)
+                waiting[found] = False
+        return ends
 
     return run
 
@@ -105,18 +120,18 @@ def repeated_passages(
     kind = docs.schema[key].dataType.simpleString()
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = TokenHashes()
         for batch in batches:
-            at, number, count, pids, keys = [], [], [], [], []
+            at, number, count, pids, sets = [], [], [], [], []
             for row, value in enumerate(batch.column(2)):
                 for n, words, pid in paragraphs(value.as_py() or "", least):
                     at.append(row)
                     number.append(n)
                     count.append(len(words))
                     pids.append(pid)
-                    keys.append(band_keys(shingles(words, SHINGLE, known), bands, rows))
+                    sets.append(rolling(words, min(SHINGLE, len(words)), known))
             taken = pa.array(at, pa.int64())
-            flat = pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64())
+            flat = pa.array(band_keys(sets, bands, rows).view(np.int64).ravel(), pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(range(0, bands * (len(at) + 1), bands), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(number, pa.int32()), pa.array(count, pa.int32()), pa.array(np.array(pids, np.uint64).view(np.int64)), lists],
@@ -131,7 +146,7 @@ def repeated_passages(
     bits = filter_bits(dealt, "_pid")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = TokenHashes()
         for batch in batches:
             pids, made = [], []
             for value in batch.column(0):
@@ -143,7 +158,7 @@ def repeated_passages(
 
     # The words of the paragraphs that meet another one, read again rather than stored for all.
     spelled = given.select("_text").mapInArrow(sets, "_pid BIGINT, _set ARRAY<BIGINT>").groupBy("_pid").agg(F.first("_set").alias("_set"))
-    edges = dealt.join(spelled, "_pid").groupBy("_g").applyInPandas(_verify(similarity), "a BIGINT, b BIGINT")
+    edges = link_groups(dealt.join(spelled, "_pid").select("_g", "_pid", "_set"), "_g", _verify(similarity))
     roots = connected_components(edges).select(F.col("node").alias("_pid"), "root")
     classes = found.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_number").alias("number"))).alias("_first"))
     rooted = classes.join(roots, "_pid", "left").withColumn("root", F.coalesce("root", "_pid"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
@@ -15,6 +14,7 @@ from tablewarden.llm.common import (
     content_key,
     cut_lineage,
     in_blocks,
+    link_groups,
     map_texts,
     one_bucket_per_set,
     packed,
@@ -82,8 +82,8 @@ def signatures(prints: DataFrame, max_bits: int) -> DataFrame:
 def _link(max_bits: int):
     """Local components of a block pair: every fingerprint reached scans those not reached yet."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rest = np.unique(rows["_fp"].to_numpy(np.int64))
+    def run(columns: list) -> list[tuple[int, int]]:
+        rest = np.unique(columns[0].to_numpy())
         ends: list[tuple[int, int]] = []
         while len(rest):
             first, rest = int(rest[0]), rest[1:]
@@ -95,7 +95,7 @@ def _link(max_bits: int):
                     ends.extend((first, x) for x in found)
                     queue.extend(found)
                     rest = rest[~near]
-        return pd.DataFrame(ends, columns=["a", "b"], dtype="int64")
+        return ends
 
     return run
 
@@ -112,7 +112,7 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
         spelled.withColumn("_bit", F.col("_bit").cast("int")), "_key", "_fp", {"_wild": F.max("_wild"), "_low": F.min("_bit"), "_high": F.max("_bit")}, both
     )
     dealt = in_blocks(spelled.select("_key", "_fp"), cut_lineage(picked), "_key", "_fp").select("_g", "_fp")
-    return dealt.groupBy("_g").applyInPandas(_link(max_bits), "a BIGINT, b BIGINT")
+    return link_groups(dealt, "_g", _link(max_bits))
 
 
 def _grouped(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int, keep: tuple[str, ...]) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tablewarden.llm.common import CONTENT, as_before, content_key, cut_lineage, filter_bits, packed, passes, rolling, spread_join
+from tablewarden.llm.common import CONTENT, TokenHashes, as_before, content_key, cut_lineage, filter_bits, in_all_tasks, packed, passes, rolling, spread_join
 
 # A tile has this many words at least; a test item is found in a document if its tiles cover this share of its words.
 MIN_MATCH, COVERAGE = 5, 0.8
@@ -27,7 +27,7 @@ def _seeds(df: DataFrame, names: list[str], lengths: list[int], bits: np.ndarray
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names] + ["_at INT, _n INT, _seed STRING, _hash BIGINT"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = TokenHashes()
         for batch in batches:
             rows, at, size, seed, hashed = [], [], [], [], []
             for row, value in enumerate(batch.column(len(names))):
@@ -139,7 +139,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], text: str =
 
     schema = ", ".join([f"`{c}` {found.schema[c].dataType.simpleString()}" for c in ids] + [f"_item {kind}, covered INT, tiles INT, item_words INT"])
     # A group is one text and one item: it is bounded by the length of that text.
-    return matched.groupBy(*ids, "_item").applyInPandas(greedy, schema)
+    return in_all_tasks(matched, *ids, "_item").groupBy(*ids, "_item").applyInPandas(greedy, schema)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
