@@ -14,6 +14,7 @@ from tablewarden.llm.mil import classify
 from tablewarden.llm.packing import pack
 from tablewarden.llm.paragraphs import repeated_passages
 from tablewarden.llm.simhash import near_duplicates
+from tablewarden.llm.spans import repeated_spans as spans_again
 from tablewarden.llm.surrogates import pseudonymise
 from tablewarden.llm.tiling import contaminated
 from tablewarden.llm.wrappers import extract
@@ -49,6 +50,10 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans_again(table(spark, sf_dir, "documents"))
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": decontamination,
     "op5_chat_formatting": chat_formatting,
     "op6_substring_dedup": substring_dedup,
+    "op6_repeated_spans": repeated_spans,
     "op7_license_scan": license_scan,
     "op8_html_extraction": html_extraction,
     "op9_quality_classifier": quality_classifier,
