@@ -7,13 +7,15 @@ too: every step repeats a filling until one of its sizes runs short.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 Filling = tuple[tuple[int, int], ...]  # (size, times) with sizes descending
 Plan = list[tuple[Filling, int]]
 
-# Limits of the search, not of the data: fillings tried at a node, nodes visited, items around the largest one, and steps
-# spent on one node's exact fillings before the greedy one is taken.
-BRANCHES, NODES, DEPTH, STEPS = 3, 4000, 6, 20_000
+# The limit of a search, not of the data: nodes visited and dominated fillings. The first searches take few branches at a node, so
+# that they come back to the large items too, the last one all. The first has fillings by waste alone, without the greedy one early and
+# the dominance test: where few items fit a bin, near-equal fillings matter.
+NODES, SEARCHES = 4000, ((2, False), (3, True), (None, True))
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -60,64 +62,109 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     return [(filling, times) for bins in open_bins.values() for filling, times in bins.items() if times]
 
 
-def _exact(target: int, sizes: list[int], at: int, counts: dict[int, int], reach: int, items: int, steps: list[int]) -> Iterator[list[int]]:
-    """Multisets of sizes that sum to ``target``, large items first, so that dominated ones come last."""
+def _exact(target: int, sizes: list[int], at: int, counts: dict[int, int], reach: list[int]) -> Iterator[Filling]:
+    """Fillings of the sizes from place ``at`` on that sum to ``target``, large items first, so that dominated ones come last.
+
+    ``reach`` has the sums that the sizes from each place on can make, so every way taken ends in a filling.
+    """
     if target == 0:
-        yield []
-        return
-    if not items or not reach >> target & 1:
+        yield ()
         return
     for i in range(at, len(sizes)):
         size = sizes[i]
-        steps[0] -= 1
-        if size * items < target or steps[0] < 0:
+        for times in range(min(counts[size], target // size), 0, -1):
+            if reach[i + 1] >> (target - times * size) & 1:
+                for rest in _exact(target - times * size, sizes, i + 1, counts, reach):
+                    yield ((size, times), *rest)
+        if not reach[i + 1] >> target & 1:
             return
-        if size > target:
-            continue
-        if counts[size]:
-            counts[size] -= 1
-            try:
-                for rest in _exact(target - size, sizes, i, counts, reach, items - 1, steps):
-                    yield [size, *rest]
-            finally:
-                counts[size] += 1
 
 
-def fillings(room: int, counts: dict[int, int], most_waste: int) -> Iterator[tuple[int, list[int]]]:
-    """(waste, items) for a bin with ``room`` left, least waste first. The greedy filling comes after the exact ones."""
+def fillings(room: int, counts: dict[int, int], most_waste: int, early: bool = True) -> Iterator[tuple[int, Filling]]:
+    """(waste, items) for a bin with ``room`` left: the first with least waste, with ``early`` the greedy one, then all others by waste."""
     sizes = sorted((s for s, n in counts.items() if n and s <= room), reverse=True)
-    reach = 1
-    for s in sizes:
-        span = s
-        for _ in range(min(counts[s], room // s).bit_length()):
-            reach |= reach << span
-            span *= 2
-        reach &= (1 << room + 1) - 1
-    steps = [STEPS]
-    for waste in range(min(most_waste, room) + 1):
-        if steps[0] < 0:
-            break
-        if reach >> (room - waste) & 1:
-            for items in range(1 if room > waste else 0, DEPTH + 1):
-                for found in _exact(room - waste, sizes, 0, counts, reach, items, steps):
-                    if len(found) == items:
-                        yield waste, found
-                        break
+    every = (1 << room + 1) - 1
+    reach = [1]
+    for s in reversed(sizes):
+        # Multiples of a size, up to its count, as sums of powers of two and a rest.
+        sums, left, step = reach[-1], min(counts[s], room // s), 1
+        while left:
+            step = min(step, left)
+            sums |= sums << s * step
+            left, step = left - step, 2 * step
+        reach.append(sums & every)
+    reach.reverse()
     left, greedy = room, []
     for s in sizes:
-        take = min(counts[s], left // s)
-        greedy += [s] * take
-        left -= take * s
-    if left <= most_waste:
-        yield left, greedy
+        if s <= left:
+            greedy.append((s, min(counts[s], left // s)))
+            left -= s * greedy[-1][1]
+    first = early
+    for waste in range(min(most_waste, room) + 1):
+        if reach[0] >> (room - waste) & 1:
+            for found in _exact(room - waste, sizes, 0, counts, reach):
+                if first or not early or found != tuple(greedy):
+                    yield waste, found
+                if first and left <= most_waste and found != tuple(greedy):
+                    yield left, tuple(greedy)
+                first = False
+
+
+def dominates(a: Filling, b: Filling) -> bool:
+    """Whether first-fit finds a place in the items of ``a`` for all items of ``b``; then a packing with ``b`` is no better (Martello and Toth)."""
+    rooms = [[s, n] for s, n in a]
+    for size, n in b:
+        i = 0
+        while n:
+            while i < len(rooms) and rooms[i][0] < size:
+                i += 1
+            if i == len(rooms):
+                return False
+            room, times = rooms[i]
+            each = min(room // size, n)
+            used = min(times, n // each)
+            n -= used * each
+            rooms[i : i + 1] = [r for r in ([room, times - used], [room - each * size, used]) if r[0] and r[1]]
+            i = 0
+    return True
 
 
 def bins(plan: Plan) -> int:
     return sum(times for _, times in plan)
 
 
+def _branches(left: dict[int, int], allowed: int, capacity: int, spent: list[int], known: int, dominance: bool) -> Iterator[tuple[int, Filling, int]]:
+    """(waste, filling, times) around the largest item left, each as often as it goes and then once. With ``dominance``, dominated fillings are left out.
+
+    The first ``known`` branches were made before and are not counted again.
+    """
+    largest = max(left)
+    rest = dict(left)
+    rest[largest] -= 1
+    again: list[tuple[int, Filling]] = []
+    for waste, items in fillings(capacity - largest, rest, allowed, dominance):
+        if dominance and any(dominates(other, items) for _, other in again):
+            spent[0] += len(again) >= known
+            if spent[0] > NODES:
+                return
+            continue
+        again.append((waste, items))
+        yield waste, *_around(largest, items, left, allowed, waste)
+    for waste, items in again:
+        filling, times = _around(largest, items, left, allowed, waste)
+        if times > 1:
+            yield waste, filling, 1
+
+
+def _around(largest: int, items: Filling, left: dict[int, int], allowed: int, waste: int) -> tuple[Filling, int]:
+    need = dict(items)
+    need[largest] = need.get(largest, 0) + 1
+    times = min(left[s] // n for s, n in need.items())
+    return tuple(sorted(need.items(), reverse=True)), min(times, max(1, allowed // waste)) if waste else times
+
+
 def complete_bins(counts: dict[int, int], capacity: int) -> Plan:
-    """Branch and bound around the largest item left. Stops at the lower bound or after ``NODES`` nodes.
+    """Branch and bound around the largest item left. Stops at the lower bound or after the ``SEARCHES`` of ``NODES`` nodes each.
 
     A branch is cut when its waste exceeds what the incumbent minus one bin would allow.
     """
@@ -125,47 +172,27 @@ def complete_bins(counts: dict[int, int], capacity: int) -> Plan:
     total = sum(s * n for s, n in counts.items())
     least = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
-    seen = 0
-
-    def walk(left: dict[int, int], plan: Plan, waste: int) -> bool:
-        """Depth first with an own stack of branch iterators, so deep plans need no recursion."""
-        nonlocal best, seen
-        stack = [(left, plan, waste, None)]
-        while stack:
-            left, plan, waste, tries = stack.pop()
+    for width, dominance in SEARCHES:
+        spent = [0]
+        # Depth first with an own stack, so deep plans need no recursion. A node's branches are made again when it is come back
+        # to (their number taken is kept), so that the stack stays small.
+        stack: list[tuple[dict[int, int], Plan, int, int]] = [(counts, [], 0, 0)]
+        while stack and bins(best) > least and spent[0] <= NODES:
+            left, plan, waste, taken = stack.pop()
             allowed = (bins(best) - 1) * capacity - total - waste
-            if allowed < 0:
+            if allowed < 0 or width and taken >= width:
                 continue
             if not left:
                 best = plan
-                if bins(best) <= least:
-                    return True
-                continue
-            largest = max(left)
-            if tries is None:
-                seen += 1
-                rest = dict(left)
-                rest[largest] -= 1
-                tries = [0, fillings(capacity - largest, rest, allowed)]
-            if tries[0] >= BRANCHES or seen > NODES:
                 continue
-            step = next(tries[1], None)
+            spent[0] += not taken
+            step = next(islice(_branches(left, allowed, capacity, spent, taken, dominance), taken, None), None)
             if step is None:
                 continue
-            tries[0] += 1
-            stack.append((left, plan, waste, tries))
-            extra, items = step
-            need: dict[int, int] = {}
-            for s in [largest, *items]:
-                need[s] = need.get(s, 0) + 1
-            times = min(left[s] // n for s, n in need.items())
-            if extra:
-                times = min(times, max(1, allowed // extra))
-            after = {s: n - times * need.get(s, 0) for s, n in left.items()}
-            filling = tuple(sorted(need.items(), reverse=True))
-            stack.append(({s: n for s, n in after.items() if n}, [*plan, (filling, times)], waste + extra * times, None))
-        return False
-
-    if bins(best) > least:
-        walk(counts, [], 0)
+            stack.append((left, plan, waste, taken + 1))
+            extra, filling, times = step
+            after = dict(left)
+            for s, n in filling:
+                after[s] -= times * n
+            stack.append(({s: n for s, n in after.items() if n}, [*plan, (filling, times)], waste + extra * times, 0))
     return best

@@ -108,3 +108,14 @@ def test_odd_rows(spark, rows):
     assert sum(r.length for r in got) == 1 + 1 + 2 * (len(encode("word " * 3000)) + 1) + 2
     check_bins(got, 1024)
     assert pack(docs.limit(0)).count() == 0
+
+
+def test_plans_of_many_short_documents_reach_the_lower_bound():
+    for counts, capacity in (({129: 4000, 127: 4000}, 1024), ({65: 800, 63: 800}, 1024), ({s: 8 for s in range(90, 180, 2)}, 1024), ({37: 500, 26: 300, 11: 70}, 1024)):
+        plan = complete_bins(dict(counts), capacity)
+        used = Counter()
+        for filling, times in plan:
+            assert sum(s * n for s, n in filling) <= capacity
+            for s, n in filling:
+                used[s] += n * times
+        assert used == counts and bins(plan) == lower_bound(counts, capacity)
