@@ -101,35 +101,39 @@ def tile(pairs: list[tuple[int, int, int]], item_words: int) -> tuple[int, int]:
 def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH) -> DataFrame:
     """``ids``, _item, covered, tiles, item_words for every text and item that share a seed of ``min_match`` words.
 
-    Items of fewer words are seeds as a whole; items without a word match nothing. ``ids`` tell texts apart; rows with equal
+    Every distinct text of an item is looked for by itself; a text without an item id too, with a null ``_item``, unless an item has
+    the same text. Items of fewer words are seeds as a whole; items without a word match nothing. ``ids`` tell texts apart; rows with equal
     ``ids`` and equal texts are looked at once.
     """
     items = (
         benchmark.select(F.col(item).alias("_item"), F.col(item_text).cast("string").alias("_text"))
-        .filter(F.col("_item").isNotNull())
-        .groupBy("_item")
-        .agg(F.max("_text").alias("_text"))
+        .filter(F.col("_text").isNotNull())
+        .distinct()
     )
+    named = items.filter(F.col("_item").isNotNull())
+    unnamed = items.filter(F.col("_item").isNull()).join(named.select("_text").distinct(), "_text", "left_anti").select("_item", "_text")
+    # A passage of an item is told apart by the hash of its text.
+    items = named.unionByName(unnamed).withColumn("_passage", F.xxhash64("_text"))
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [len(words(t or "")) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int32())], ["_item", "_text", "_words"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int32())], ["_item", "_text", "_passage", "_words"])
 
     kind = benchmark.schema[item].dataType.simpleString()
-    items = cut_lineage(items.mapInArrow(sized, f"_item {kind}, _text STRING, _words INT").filter("_words > 0"))
+    items = cut_lineage(items.mapInArrow(sized, f"_item {kind}, _text STRING, _passage BIGINT, _words INT").filter("_words > 0"))
     # At most ``min_match`` numbers.
     lengths = sorted(r[0] for r in items.select(F.least("_words", F.lit(min_match))).distinct().collect())
-    own = [_seeds(items.filter(F.least("_words", F.lit(min_match)) == n), ["_item", "_words"], [n], None) for n in lengths]
+    own = [_seeds(items.filter(F.least("_words", F.lit(min_match)) == n), ["_item", "_passage", "_words"], [n], None) for n in lengths]
     if not own:
-        own = [_seeds(items, ["_item", "_words"], [min_match], None)]
+        own = [_seeds(items, ["_item", "_passage", "_words"], [min_match], None)]
     seeds = own[0]
     for more in own[1:]:
         seeds = seeds.unionByName(more)
     seeds = cut_lineage(seeds)
     bits = filter_bits(seeds, "_hash")
     found = cut_lineage(_seeds(docs.select(*ids, F.col(text).cast("string").alias("_text")), ids, lengths, bits).distinct())
-    matched = found.join(seeds.select("_seed", "_item", F.col("_words").alias("_size"), F.col("_at").alias("_place")), "_seed")
+    matched = found.join(seeds.select("_seed", "_item", "_passage", F.col("_words").alias("_size"), F.col("_at").alias("_place")), "_seed")
 
     def greedy(rows: pd.DataFrame) -> pd.DataFrame:
         first = rows.iloc[:1]
@@ -138,15 +142,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], text: str =
         return first[[*ids, "_item"]].assign(covered=covered, tiles=tiles, item_words=size)
 
     schema = ", ".join([f"`{c}` {found.schema[c].dataType.simpleString()}" for c in ids] + [f"_item {kind}, covered INT, tiles INT, item_words INT"])
-    # A group is one text and one item: it is bounded by the length of that text.
-    return in_all_tasks(matched, *ids, "_item").groupBy(*ids, "_item").applyInPandas(greedy, schema)
+    # A group is one text and one passage of an item: it is bounded by the length of that text.
+    return in_all_tasks(matched, *ids, "_item", "_passage").groupBy(*ids, "_item", "_passage").applyInPandas(greedy, schema)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
-    """``key``, item, covered, tiles, item_words, coverage: a row for every document row and test item found in it.
+    """``key``, item, covered, tiles, item_words, coverage: a row for every document row and test item's text found in it.
 
     Documents in which no item is found have no row. Null and empty texts hold no item; a null key is kept; repeated
-    rows are judged one by one; of a repeated item id the largest text counts; items without id are not looked for;
+    rows are judged one by one; of a repeated item id every distinct text is an item; texts without id that no item has are looked for, with a null id;
     other columns are ignored; empty tables give an empty result.
     """
     # Numbers that are made and stored in one pass; repeated rows stay apart.

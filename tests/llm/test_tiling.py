@@ -79,3 +79,12 @@ def test_reordered_short_and_odd_rows(rows):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6]
     assert contaminated(docs, bench.limit(0)).count() == 0 and contaminated(docs.limit(0), bench).count() == 0
     assert without_leaks(docs, bench.limit(0)).count() == 8
+
+
+def test_every_benchmark_text_is_looked_for(rows):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(12)) for w in "abc")
+    bench = rows("item_id BIGINT, text STRING", (1, one), (1, two), (1, two), (None, three), (None, one))
+    docs = rows("doc_id BIGINT, text STRING", (1, one), (2, two), (3, three), (4, "clean words only in this one text"))
+    got = sorted(((r.doc_id, r.item_id, r.covered) for r in contaminated(docs, bench).collect()), key=str)
+    assert got == [(1, 1, 12), (2, 1, 12), (3, None, 12)]
+    assert [r.doc_id for r in without_leaks(docs, bench).collect()] == [4]
