@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tablewarden.llm import divergence as rules
+from tablewarden.llm import centroids as lloyd, divergence as rules, ownership as owned
 from tablewarden.llm.chat import CLOSE, CONTROLS, OPEN
 from tablewarden.llm.license_scan import PHRASES, TEMPLATES, tokens
 
@@ -134,4 +134,77 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
-ORACLE_SQL = {"op3_quality_rules": _rules(), "op5_chat_formatting": _chat(), "op7_license_scan": _licenses()}
+def _secrets() -> str:
+    """Matches by pattern, places as running sums over a text's pieces, owners as distinct counts."""
+    matches = "\n  UNION ALL ".join(
+        f"SELECT row, {_quoted(k.name)} AS kind, {_quoted(k.pattern)} AS pattern, {k.value} AS part, regexp_extract_all(t, {_quoted(k.pattern)}) AS hits, string_split_regex(t, {_quoted(k.pattern)}) AS gaps FROM given"
+        for k in owned.KINDS
+    )
+    values = " ".join(f"WHEN {_quoted(k.name)} THEN regexp_extract(hit, {_quoted(k.pattern)}, {k.value})" for k in owned.KINDS if k.value)
+    names = lambda kinds: ", ".join(_quoted(k.name) for k in kinds)
+    order = f"list_position([{', '.join(map(_quoted, owned.ORDER))}], kind)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in owned.BASE)
+    return f"""
+WITH given AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS t FROM documents
+), matched AS (
+  {matches}
+), each AS (
+  SELECT row, kind, unnest(range(len(hits))) AS nth, unnest(hits) AS hit, unnest([length(g) FOR g IN gaps[1:len(hits)]]) AS gap FROM matched WHERE len(hits) > 0
+), valued AS (
+  SELECT *, CASE kind {values} ELSE hit END AS value,
+         CAST(sum(gap + length(hit)) OVER (PARTITION BY row, kind ORDER BY nth) AS BIGINT) AS stop FROM each
+), spans AS MATERIALIZED (
+  SELECT row, CASE WHEN kind = 'assign' AND length(value) < {owned.LEAST_ASSIGNED} THEN '{owned.SHORT}' ELSE kind END AS kind, stop - length(hit) AS start, stop, value,
+         length(value) >= {owned.LEAST_LIVE} AND len(list_distinct(string_split(value, ''))) >= {owned.LEAST_DIFFERENT} AND regexp_matches(value, '[A-Za-z]')
+         AND regexp_matches(value, '[0-9]') AND NOT regexp_matches(value, '{owned.either_case(owned.EXAMPLE_WORDS)}') AS live
+  FROM valued
+), owners AS (
+  SELECT value, count(DISTINCT source) AS n_owners FROM spans JOIN given USING (row) GROUP BY value
+), judged AS (
+  SELECT row, kind, start, {order} AS place, kind IN ({names(owned.BASE)}) AS base, kind || ':' || start || ':' || stop AS told,
+         live AND n_owners < {owned.COPIED_OWNERS} AS own, n_owners >= {owned.COPIED_OWNERS} AS copied
+  FROM spans JOIN owners USING (value)
+), of_text AS (
+  SELECT row, {counts}, string_agg(told, ',' ORDER BY start, place) FILTER (base) AS base_spans,
+         string_agg(told, ',' ORDER BY start, place) FILTER (base OR own) AS spans, count(*) FILTER (own) AS n_live, count(*) FILTER (copied) AS n_copied
+  FROM judged GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base_spans, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM given LEFT JOIN of_text USING (row)"""
+
+
+def _clusters() -> str:
+    """The rounds spelled out; every vector meets every centroid, component by component."""
+    steps = []
+    for r in range(lloyd.ROUNDS + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+  SELECT row, min({{'d': d, 'c': c}}) AS best FROM (
+    SELECT row, c, CAST(sum((parts.x - c{r}.x) * (parts.x - c{r}.x)) AS BIGINT) AS d FROM parts JOIN c{r} USING (i) GROUP BY row, c) GROUP BY row
+)""")
+        if r < lloyd.ROUNDS:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, c{r}.x) AS x FROM c{r} LEFT JOIN (
+    SELECT best.c AS c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM near{r} JOIN parts USING (row) GROUP BY best.c, i) USING (c, i)
+)""")
+    last = lloyd.ROUNDS
+    return f"""
+WITH given AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {lloyd.SIZE} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {lloyd.SIZE}
+), parts AS MATERIALIZED (
+  SELECT row, unnest(range({lloyd.SIZE})) AS i, unnest([CAST(floor({lloyd.SCALE} * x::DOUBLE) AS BIGINT) FOR x IN embedding]) AS x FROM given
+), seeds AS (
+  SELECT row, row_number() OVER (ORDER BY sha256('{lloyd.SEED}:' || vec_id), embedding) - 1 AS c FROM given WHERE vec_id IS NOT NULL
+), c0 AS MATERIALIZED (
+  SELECT c, i, x FROM seeds JOIN parts USING (row) WHERE c < {lloyd.CENTROIDS}
+), {", ".join(steps)}, told AS (
+  SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{last} GROUP BY c
+)
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near{last} JOIN given USING (row) JOIN told ON c = best.c"""
+
+
+ORACLE_SQL = {"op11_secret_scan": _secrets(), "op12_centroid_clustering": _clusters(), "op3_quality_rules": _rules(), "op5_chat_formatting": _chat(), "op7_license_scan": _licenses()}

@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewarden.llm.alignment import aligned_tokens
+from tablewarden.llm.centroids import clusters
 from tablewarden.llm.chat import conversation_digests
 from tablewarden.llm.common import table
 from tablewarden.llm.divergence import quality_rules
 from tablewarden.llm.license_scan import license_scan as scan_licenses
 from tablewarden.llm.mil import classify
+from tablewarden.llm.ownership import secrets
 from tablewarden.llm.packing import pack
 from tablewarden.llm.paragraphs import repeated_passages
 from tablewarden.llm.simhash import near_duplicates
@@ -71,6 +74,19 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs, PII_KEY)
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source owns its documents; each document is a repository of its own."""
+    return secrets(table(spark, sf_dir, "documents"))
+
+
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op2_best_fit_packing": best_fit_packing,
@@ -83,4 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": html_extraction,
     "op9_quality_classifier": quality_classifier,
     "op10_pii_surrogates": pii_surrogates,
+    "op11_secret_scan": secret_scan,
+    "op12_centroid_clustering": centroid_clustering,
+    "op13_token_alignment": token_alignment,
 }
