@@ -7,7 +7,7 @@ expressions. The SQL twins are in ``oracle.py``.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -92,12 +92,37 @@ def job_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return pages_of(runs(spark, sf)).drop("page")
+
+
+def pages_of(given: DataFrame) -> DataFrame:
     """Runs rendered as landed JSON pages; a page spans 100 run ids, so it holds 100 runs at most."""
     run = """named_struct('run_id', run_id, 'start_time', start_time, 'end_time', end_time, 'state',
         named_struct('result_state', result_state, 'state_message', state_message), 'run_page_url', run_page_url)"""
-    pages = runs(spark, sf).selectExpr("job_id", "run_id div 100 AS page", f"{run} AS run")
+    pages = given.selectExpr("job_id", "run_id div 100 AS page", f"{run} AS run")
     listed = pages.groupBy("job_id", "page").agg(F.collect_list("run").alias("runs"))
-    return listed.selectExpr("job_id", "to_json(named_struct('runs', runs)) AS payload")
+    return listed.selectExpr("job_id", "page", "to_json(named_struct('runs', runs)) AS payload")
+
+
+def run_nights(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Two nights of landed run pages. The first ends in a day whose runs are still open; the second brings that day again."""
+    given = runs(spark, sf)
+    first, last = (F.lit(int(datetime(2024, 1, d, tzinfo=timezone.utc).timestamp() * 1000)) for d in (20, 21))
+    is_open = F.col("start_time") >= first
+    opened = given.filter(F.col("start_time") < last).select(
+        "job_id", "run_id", "start_time", F.when(is_open, F.lit(0)).otherwise(F.col("end_time")).alias("end_time"),
+        F.when(~is_open, F.col("result_state")).alias("result_state"), "state_message", "run_page_url",
+    )
+    return [pages_of(night).drop("page") for night in (opened, given.filter(is_open))]
+
+
+def damaged_run_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Run pages of which some are cut, empty, missing, of another shape or without their job."""
+    return pages_of(runs(spark, sf)).selectExpr(
+        "CASE WHEN page % 11 <> 5 THEN job_id END AS job_id",
+        """CASE page % 11 WHEN 1 THEN substring(payload, 1, length(payload) div 2) WHEN 2 THEN '' WHEN 3 THEN NULL
+             WHEN 4 THEN '{"runs": [7]}' ELSE payload END AS payload""",
+    )
 
 
 # --- storage -------------------------------------------------------------------------------------
@@ -312,6 +337,12 @@ def history(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def history_nights(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Three landings of the log. Versions are dealt round, so later landings bring older entries, and the second some again."""
+    whole, third = history(spark, sf), F.col("version") % 3
+    return [whole.filter(third == 0), whole.filter((third == 1) | (F.col("version") % 6 == 0)), whole.filter(third == 2)]
+
+
 def history_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Catalogue rows of the tables with a history; every seventh is a view."""
     return _history_events(spark, sf).select("slot").distinct().selectExpr(
@@ -373,6 +404,19 @@ def lineage_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def table_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineage among the tables of the orders, rendered as landed pages: many hops down to a few shared tables, which form cycles."""
+    target = "CASE WHEN o_custkey < 10 THEN 9 - o_custkey WHEN o_orderkey % 2 = 0 THEN o_custkey div 2 ELSE o_custkey div 3 END"
+    edges = _read(spark, sf, "orders").selectExpr(
+        "concat('source_catalog.r', o_custkey % 2, '.tbl_', o_custkey, '_', o_orderkey % 2) AS table_name",
+        f"{target} AS target",
+        "o_orderkey div 2 % 2 AS parity",
+        "o_orderkey div 1000 AS page",
+    )
+    listed = edges.groupBy("table_name", "page").agg(F.collect_set(F.expr("named_struct('name', concat('source_catalog.r', target % 2, '.tbl_', target, '_', parity))")).alias("downstreams"))
+    return listed.selectExpr("table_name", "to_json(named_struct('downstreams', downstreams)) AS payload")
+
+
 def audit(spark: SparkSession, sf: str) -> DataFrame:
     path = "CASE WHEN user_id % 3 = 0 THEN concat('/Repos/r/', user_id, '/nb_', event_id) END"
     return _read(spark, sf, "events").selectExpr(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 SPREAD = 8
+# A set of keys is broadcast up to this many rows and bytes of text.
+BROADCAST_ROWS, BROADCAST_BYTES = 1 << 20, 64 << 20
 
 
 def spread_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str) -> DataFrame:
@@ -24,3 +26,16 @@ def spread_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by
         .join(lookup.withColumn("_part", copies), [*on, "_part"], how)
         .drop("_part")
     )
+
+
+def keep_keys(rows: DataFrame, keys: DataFrame, on: str, spread_by: Sequence[str]) -> DataFrame:
+    """The rows whose string ``on`` is among the distinct ``keys`` (one column of that name).
+
+    The keys are counted and measured first, so they should be stored. A set within the limits is broadcast: the rows are
+    then filtered where they are scanned, and what is dropped is neither exchanged nor parsed. A larger set is joined by
+    exchange, every key split into parts.
+    """
+    size = keys.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(on)), F.lit(0)).alias("bytes")).first()
+    if size.rows <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(keys), on, "left_semi")
+    return spread_join(rows, keys, [on], spread_by, "left_semi")

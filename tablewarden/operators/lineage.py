@@ -13,6 +13,7 @@ from tablewarden.operators.drift import change_summary
 from tablewarden.operators.joins import spread_join
 from tablewarden.operators.topk import latest_per_key
 from tablewarden.sources.logs import audit_notebook_opens, workspace_paths
+from tablewarden.sources.payloads import REJECTED
 
 
 def latest_audit(audit: DataFrame) -> DataFrame:
@@ -68,29 +69,31 @@ def name_access(access: DataFrame, notebooks: DataFrame, jobs: DataFrame) -> Dat
 
 
 def merge_lineage(payload: DataFrame, access: DataFrame) -> DataFrame:
-    """Union of both lineage sources. Notebooks and jobs are distinct; up- and downstream come from the payload.
+    """Union of both lineage sources. Notebooks and jobs are distinct; all other kinds come from the payload, repeats included.
 
-    Notebook paths are cut to the last segment first, so that a notebook known to both sources counts once.
+    Notebook paths are cut to the last segment first, so that a notebook known to both sources counts once. One aggregate over
+    one reading of the payload: its documents are parsed once.
     """
     is_notebook = F.col("asset_kind") == "NOTEBOOK"
     asset = F.when(is_notebook, last_segment(F.col("asset"))).otherwise(F.col("asset"))
     listed = payload.select("fqn", "asset_kind", asset.alias("asset"))
-    readers = F.col("asset_kind").isin("NOTEBOOK", "JOB")
-    return listed.filter(~readers).unionByName(listed.filter(readers).unionByName(access).distinct())
+    counted = listed.unionByName(access).groupBy("fqn", "asset_kind", "asset").agg(F.count(F.lit(1)).alias("_n"))
+    times = F.when(F.col("asset_kind").isin("NOTEBOOK", "JOB"), F.lit(1).cast("bigint")).otherwise(F.col("_n"))
+    return counted.select("fqn", "asset_kind", "asset", F.explode(F.sequence(F.lit(1).cast("bigint"), times))).drop("col")
 
 
 def lineage_counts(lineage: DataFrame) -> DataFrame:
     """Number of assets of every kind per table."""
-    kinds = {"n_downstream": "DOWNSTREAM", "n_upstream": "UPSTREAM", "n_notebooks": "NOTEBOOK", "n_jobs": "JOB"}
+    kinds = {"n_downstream": "DOWNSTREAM", "n_upstream": "UPSTREAM", "n_notebooks": "NOTEBOOK", "n_jobs": "JOB", "n_rejected": REJECTED}
     return lineage.groupBy("fqn").agg(
         *[F.count_if(F.col("asset_kind") == kind).alias(name) for name, kind in kinds.items()]
     )
 
 
 def rated_impact(summary: DataFrame, lineage: DataFrame) -> DataFrame:
-    """A change summary with its asset counts and risk level."""
+    """A change summary with its asset counts and risk level. Where documents were rejected, the counts and the risk are lower bounds."""
     joined = summary.join(lineage_counts(lineage), "fqn", "left")
-    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_downstream", "n_upstream", "n_notebooks", "n_jobs")]
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_downstream", "n_upstream", "n_notebooks", "n_jobs", "n_rejected")]
     rated = joined.select("fqn", "change_summary", "n_changes", "breaking", *counts)
     return rated.withColumn("risk", risk_level(F.col("breaking"), F.col("n_downstream")))
 
@@ -112,3 +115,8 @@ def affected_distinct(lineage: DataFrame) -> DataFrame:
         F.count_if(F.col("asset_kind") == "NOTEBOOK").alias("notebooks"),
         F.count_if(F.col("asset_kind") == "JOB").alias("jobs"),
     )
+
+
+def rejected_assets(lineage: DataFrame) -> DataFrame:
+    """One row: documents of changed tables that could not be read."""
+    return lineage.agg(F.count_if(F.col("asset_kind") == REJECTED).alias("rejected_documents"))

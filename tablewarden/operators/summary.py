@@ -130,9 +130,11 @@ def change_totals(counters: DataFrame) -> DataFrame:
     return counters.select("schema_changes", "standards_issues")
 
 
-def metadata_dashboard(counters: DataFrame, assets: DataFrame, stale: DataFrame, compared_with: date | None) -> DataFrame:
-    """The cards, and the date compared with: null on a first run, which then differs from a night without changes."""
-    cards = one_row(counters, assets, stale.agg(F.count(F.lit(1)).alias("stale_tables")))
+def metadata_dashboard(
+    counters: DataFrame, assets: DataFrame, rejected: DataFrame, stale: DataFrame, compared_with: date | None
+) -> DataFrame:
+    """The cards, the number of documents that could not be read, and the date compared with: null on a first run, which then differs from a night without changes."""
+    cards = one_row(counters, assets, rejected, stale.agg(F.count(F.lit(1)).alias("stale_tables")))
     return cards.select(
         "new_tables",
         "removed_tables",
@@ -141,5 +143,6 @@ def metadata_dashboard(counters: DataFrame, assets: DataFrame, stale: DataFrame,
         "standards_issues",
         "affected_assets",
         "stale_tables",
+        "rejected_documents",
         F.lit(compared_with).cast("date").alias("compared_with"),
     )

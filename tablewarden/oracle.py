@@ -548,16 +548,36 @@ SELECT DISTINCT * FROM (
 ) AS readers
 """
 RELATIONS["rated"] = """
-SELECT fqn, change_summary, n_changes, breaking, n_downstream, n_upstream, n_notebooks, n_jobs,
+SELECT fqn, change_summary, n_changes, breaking, n_downstream, n_upstream, n_notebooks, n_jobs, n_rejected,
        CASE WHEN breaking AND n_downstream >= 3 THEN 'CRITICAL' WHEN breaking AND n_downstream >= 1 THEN 'HIGH'
             WHEN n_downstream >= 1 THEN 'MEDIUM' ELSE 'LOW' END AS risk
 FROM (
   SELECT c.*, count(*) FILTER (asset_kind = 'DOWNSTREAM') AS n_downstream,
          count(*) FILTER (asset_kind = 'UPSTREAM') AS n_upstream,
-         count(*) FILTER (asset_kind = 'NOTEBOOK') AS n_notebooks, count(*) FILTER (asset_kind = 'JOB') AS n_jobs
+         count(*) FILTER (asset_kind = 'NOTEBOOK') AS n_notebooks, count(*) FILTER (asset_kind = 'JOB') AS n_jobs,
+         count(*) FILTER (asset_kind = 'REJECTED') AS n_rejected
   FROM changed c LEFT JOIN merged m USING (fqn) GROUP BY ALL
 ) AS counted
 """
+_HOP = "'source_catalog.r' || ({k} % 2) || '.tbl_' || {k} || '_' || {p}"
+_HOP_TARGET = "(CASE WHEN o_custkey < 10 THEN 9 - o_custkey WHEN o_orderkey % 2 = 0 THEN o_custkey // 2 ELSE o_custkey // 3 END)"
+RELATIONS["hop_edges"] = f"""
+SELECT DISTINCT {_HOP.format(k="o_custkey", p="(o_orderkey % 2)")} AS fqn, {_HOP.format(k=_HOP_TARGET, p="(o_orderkey // 2 % 2)")} AS asset
+FROM orders
+"""
+# Paths of any length, shortest last; on the given tables none of the shortest has more than 30 edges.
+RELATIONS["walks"] = """
+SELECT fqn, asset, 1 AS distance FROM changed JOIN hop_edges USING (fqn)
+UNION
+SELECT w.fqn, e.asset, w.distance + 1 FROM walks w JOIN hop_edges e ON e.fqn = w.asset WHERE w.distance < 30
+"""
+RELATIONS["hops"] = "SELECT fqn, asset, min(distance) AS distance FROM walks WHERE asset <> fqn GROUP BY 1, 2"
+RELATIONS["landed_pages"] = """
+SELECT DISTINCT CASE WHEN page % 11 <> 5 THEN job_id END AS key, job_id, page,
+       CASE page % 11 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'empty document' WHEN 3 THEN 'no document' WHEN 4 THEN 'unexpected shape'
+         WHEN 5 THEN 'no key' END AS reason
+FROM (SELECT user_id AS job_id, event_id // 100 AS page FROM events) AS numbered
+"""
 RELATIONS["assets"] = "SELECT count(*) AS affected_assets FROM merged WHERE asset_kind <> 'UPSTREAM'"
 
 # --- queries ---------------------------------------------------------------------------------------
@@ -642,6 +662,17 @@ FINAL: dict[str, str] = {
     "failing_jobs": "SELECT *, n_failed || '/' || n_runs AS failed_of_total FROM summary WHERE fail_rate > 20",
     "stale_jobs": f"SELECT * FROM summary WHERE {_STALE_JOB}",
     "period_failures": "SELECT * FROM failures",
+    "streamed_period_failures": "SELECT * FROM failures",
+    "streamed_freshness": "SELECT * FROM stale_data",
+    "rejected_documents": "SELECT 'runs' AS source, CAST(key AS VARCHAR) AS key, reason, count(*) AS documents FROM landed_pages "
+    "WHERE reason IS NOT NULL GROUP BY ALL",
+    "landing_totals": "SELECT 'runs' AS source, count(*) AS landed, count(*) - count(reason) AS accepted, count(reason) AS rejected, "
+    "count(*) FILTER (reason = 'no document') AS no_document, count(*) FILTER (reason = 'empty document') AS empty_document, "
+    "count(*) FILTER (reason = 'not JSON') AS not_json, count(*) FILTER (reason = 'unexpected shape') AS unexpected_shape, "
+    "count(*) FILTER (reason = 'no key') AS no_key FROM landed_pages",
+    "downstream_hops": "SELECT * FROM hops",
+    "impact_depth": "SELECT c.fqn, change_summary, breaking, count(*) FILTER (distance = 1) AS n_direct, count(distance) AS n_reached, "
+    "coalesce(max(distance), 0) AS deepest FROM changed c LEFT JOIN hops USING (fqn) GROUP BY ALL",
     "schedule_labels": "SELECT job_id, schedule, label FROM labelled_jobs",
     "cost_estimate": "SELECT * FROM cost",
     "lookback_start": "SELECT CAST(max(CAST(ts - INTERVAL 5 HOUR AS DATE)) AS VARCHAR) AS lookback_start FROM events "
@@ -682,7 +713,7 @@ FINAL: dict[str, str] = {
     "metadata_dashboard": "SELECT (SELECT count(*) FROM created_tables) AS new_tables, "
     "(SELECT count(*) FROM dropped_tables) AS removed_tables, (SELECT count(*) FROM created_columns) AS cols_added, "
     "(SELECT count(*) FROM dropped_columns) + (SELECT count(*) FROM altered_columns) AS cols_modified, "
-    "standards_issues, affected_assets, (SELECT count(*) FROM stale_data) AS stale_tables, '2024-01-30' AS compared_with "
+    "standards_issues, affected_assets, (SELECT count(*) FROM stale_data) AS stale_tables, 0::BIGINT AS rejected_documents, '2024-01-30' AS compared_with "
     "FROM standards, assets",
     "report_sections_optimization": _OPTIMIZATION_REPORT,
     "report_sections_metadata": _METADATA_REPORT,
@@ -692,12 +723,15 @@ FINAL: dict[str, str] = {
 def _needed(sql: str) -> list[str]:
     """Relations that ``sql`` reads, each after the ones it reads itself."""
     order: list[str] = []
+    open_: list[str] = []  # a recursive relation reads itself
 
     def visit(text: str) -> None:
         for name in re.findall(r"\b(?:FROM|JOIN|,)\s+(\w+)|^\s+(\w+)\s*$", text, flags=re.MULTILINE):
             relation = name[0] or name[1]
-            if relation in RELATIONS and relation not in order:
+            if relation in RELATIONS and relation not in order and relation not in open_:
+                open_.append(relation)
                 visit(RELATIONS[relation])
+                open_.remove(relation)
                 if relation not in order:
                     order.append(relation)
 
@@ -710,5 +744,6 @@ def oracle_sql() -> dict[str, str]:
     for name, final in FINAL.items():
         relations = _needed(final)
         prologue = ",\n".join(f"{r} AS ({RELATIONS[r].strip()})" for r in relations)
-        queries[name] = f"WITH {prologue}\n{final}" if relations else final
+        recursive = "RECURSIVE " if "walks" in relations else ""
+        queries[name] = f"WITH {recursive}{prologue}\n{final}" if relations else final
     return queries

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewarden.config import WatchConfig
 from tablewarden.operators import drift, freshness, lineage as lineage_ops, rules, summary as totals
-from tablewarden.operators.joins import spread_join
+from tablewarden.operators.joins import keep_keys
 from tablewarden.operators.topk import top_n
 from tablewarden.plans.sharing import Share, as_is, materialise
 from tablewarden.sources import catalog
@@ -89,15 +89,13 @@ class MetadataAnalysis:
 
     @cached_property
     def access(self) -> DataFrame:
-        changed = self.change_summary.select("fqn")
-        return self.share("access", access_lineage(self.inputs["access_lineage"], changed, self.cfg))
+        return self.share("access", access_lineage(self.inputs["access_lineage"], self.change_summary, self.cfg))
 
     @cached_property
     def lineage(self) -> DataFrame:
         changed = self.change_summary.select(F.col("fqn").alias("table_name"))
         # One table may have a large share of all pages.
-        pages = spread_join(self.inputs["lineage_payload"], changed, ["table_name"], ["payload"], "left_semi")
-        payload = lineage_from_payload(pages)
+        payload = lineage_from_payload(keep_keys(self.inputs["lineage_payload"], changed, "table_name", ["payload"]), mark_rejected=True)
         notebook_ids = self.access.filter(F.col("entity_type") == "NOTEBOOK")
         notebooks = lineage_ops.resolve_notebooks(notebook_ids, self.inputs["audit"], self.inputs["workspace_listing"])
         jobs = lineage_ops.resolve_jobs(self.access.filter(F.col("entity_type") == "JOB"), self.inputs["jobs"])
@@ -116,6 +114,10 @@ class MetadataAnalysis:
     def affected_distinct(self) -> DataFrame:
         return lineage_ops.affected_distinct(self.lineage)
 
+    @cached_property
+    def rejected_assets(self) -> DataFrame:
+        return lineage_ops.rejected_assets(self.lineage)
+
     # --- totals ---
 
     @cached_property
@@ -130,7 +132,7 @@ class MetadataAnalysis:
 
     @cached_property
     def dashboard(self) -> DataFrame:
-        return totals.metadata_dashboard(self.counters, self.affected_assets, self.stale_data, self.compared_with)
+        return totals.metadata_dashboard(self.counters, self.affected_assets, self.rejected_assets, self.stale_data, self.compared_with)
 
 
 def run_metadata(

@@ -108,7 +108,7 @@ METADATA_SECTIONS: dict[str, Callable[[MetadataAnalysis], DataFrame]] = {
     "removed_columns": _changes("COL REMOVED", _COLUMN, "old_type", "old_nullable"),
     "changed_columns": _changes("TYPE CHANGE", _COLUMN, "old_type", "new_type", "old_nullable", "new_nullable"),
     "impact": lambda r: top_n(r.impact, _by("fqn")).select(
-        "fqn", "change_summary", "n_downstream", "n_notebooks", "n_jobs", "risk"
+        "fqn", "change_summary", "n_downstream", "n_notebooks", "n_jobs", "n_rejected", "risk"
     ),
     "change_items": lambda r: top_n(r.changes, _by("fqn", "change_type", "col")),
     "lineage_items": lambda r: top_n(

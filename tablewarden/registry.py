@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablewarden import adapters as given
 from tablewarden.adapters import CONFIG, DRIFT_CONFIG, SINCE
 from tablewarden.functions.schedule import schedule_label
-from tablewarden.operators import drift, freshness, jobs as job_ops, lineage, rules, storage
+from tablewarden.operators import drift, freshness, hops, jobs as job_ops, lineage, rules, storage
 from tablewarden.plans.metadata import MetadataAnalysis, run_metadata
 from tablewarden.plans.optimization import OptimizationAnalysis
 from tablewarden.plans.report import metadata_sections, optimization_sections, report_sections
@@ -22,6 +22,7 @@ from tablewarden.sources import catalog, logs, payloads
 from tablewarden.sources.files import storage_detail
 from tablewarden.state.store import (
     COLUMN_SNAPSHOT,
+    RUNS,
     TABLE_SNAPSHOT,
     WatchStore,
     cut_lineage,
@@ -30,6 +31,8 @@ from tablewarden.state.store import (
     shared_folder,
     snapshot_at,
 )
+from tablewarden.streaming.freshness import follow_history, last_write_state
+from tablewarden.streaming.runs import follow_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -288,6 +291,30 @@ def period_failures(spark, sf):
     return job_ops.period_failures(given.runs(spark, sf), given.jobs(spark, sf), CONFIG, SINCE)
 
 
+@query
+def streamed_period_failures(spark, sf):
+    """Failures from runs that landed in two nights, the first with open runs, the second with some delivered again."""
+    store = _fresh_store(spark)
+    landing, offsets = f"{store.location}/landing", f"{store.location}/offsets"
+    for night in given.run_nights(spark, sf):
+        night.write.mode("append").parquet(landing)
+        # Twice: the second call starts from the checkpoint and finds nothing new.
+        for _ in range(2):
+            follow_runs(spark, landing, offsets, store.database, store.location)
+    found = job_ops.period_failures(store.fresh(RUNS).drop("run_day"), given.jobs(spark, sf), CONFIG, SINCE)
+    return _read_and_drop(store, found)
+
+
+@query
+def rejected_documents(spark, sf):
+    return payloads.rejected_documents(given.damaged_run_pages(spark, sf), "runs").groupBy("source", "key", "reason").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query
+def landing_totals(spark, sf):
+    return payloads.landing_totals(given.damaged_run_pages(spark, sf), "runs")
+
+
 @query
 def schedule_labels(spark, sf):
     return given.jobs(spark, sf).select("job_id", "schedule", schedule_label(F.col("schedule")).alias("label"))
@@ -322,6 +349,18 @@ def data_freshness(spark, sf):
     return freshness.data_freshness(given.history(spark, sf), base, CONFIG)
 
 
+@query
+def streamed_freshness(spark, sf):
+    """The same findings from state that took over the log in three landings, with late and repeated entries."""
+    store = _fresh_store(spark)
+    landing, offsets = f"{store.location}/landing", f"{store.location}/offsets"
+    for night in given.history_nights(spark, sf):
+        night.write.mode("append").parquet(landing)
+        follow_history(spark, landing, offsets, store.database, store.location)
+    base = catalog.base_tables(given.history_tables(spark, sf))
+    return _read_and_drop(store, freshness.stale_writes(last_write_state(store), base, CONFIG))
+
+
 # --- rules ---------------------------------------------------------------------------------------
 
 
@@ -392,6 +431,7 @@ def _optimization(spark: SparkSession, sf: str, share: Share = as_is) -> Optimiz
 
 
 # What the queries below read more than once.
+_ACCESS_READS = materialise_only("change_summary")
 _LINEAGE_READS = materialise_only("change_summary", "access")
 _DASHBOARD_READS = materialise_only("diff", "governance", "change_summary", "access")
 
@@ -451,7 +491,7 @@ def change_totals(spark, sf):
 
 @query
 def access_lineage(spark, sf):
-    return _metadata(spark, sf).access
+    return _metadata(spark, sf, _ACCESS_READS).access
 
 
 @query
@@ -464,6 +504,22 @@ def impact_risk(spark, sf):
     return _metadata(spark, sf, _LINEAGE_READS).impact
 
 
+def _hops(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    summary = _metadata(spark, sf, _ACCESS_READS).change_summary
+    edges = hops.downstream_edges(payloads.lineage_from_payload(given.table_pages(spark, sf)))
+    return summary, hops.downstream_hops(edges, summary)
+
+
+@query
+def downstream_hops(spark, sf):
+    return _hops(spark, sf)[1]
+
+
+@query
+def impact_depth(spark, sf):
+    return hops.impact_depth(*_hops(spark, sf))
+
+
 @query
 def affected_assets(spark, sf):
     return _metadata(spark, sf, _LINEAGE_READS).affected_assets

@@ -65,3 +65,8 @@ TABLE_SNAPSHOT_DDL = (
     "created TIMESTAMP_NTZ, last_altered TIMESTAMP_NTZ, snapshot_date DATE"
 )
 TRACKER_DDL = "analysis_json STRING, created_at TIMESTAMP, run_date DATE"
+RUNS_DDL = (
+    "run_id BIGINT, job_id BIGINT, start_time BIGINT, end_time BIGINT, result_state STRING, state_message STRING, "
+    "run_page_url STRING, run_day DATE"
+)
+LAST_WRITES_DDL = "table_schema STRING, table_name STRING, version BIGINT, timestamp {instant}, last_op STRING, rows_written STRING, bucket INT"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tablewarden.config import WatchConfig
-from tablewarden.operators.joins import spread_join
+from tablewarden.operators.joins import keep_keys
 from tablewarden.operators.topk import latest_per_key
 from tablewarden.sources.catalog import TABLE_KEY
 
@@ -20,17 +20,15 @@ def recent_history(history: DataFrame, depth: int = 30) -> DataFrame:
 def access_lineage(edges: DataFrame, changed: DataFrame, cfg: WatchConfig) -> DataFrame:
     """Who read the changed tables in the last days: one row per (table, entity) with its read count.
 
-    The log is counted down to distinct edges before the semi join, so that neither a table nor an entity
-    that fills the log is shuffled row by row.
+    ``changed`` holds each table once, stored. Reads of other tables are dropped before anything is exchanged, and the rest is
+    counted down per map task, so neither a table nor an entity that fills the log is shuffled row by row.
     """
     recent = edges.filter(
         (F.col("event_date") >= F.lit(cfg.days_before(cfg.lineage_days)))
         & F.col("entity_type").isin(*LINEAGE_ENTITIES)
-    )
-    distinct_edges = recent.groupBy(
-        F.col("source_table_full_name").alias("fqn"), "entity_type", "entity_id"
-    ).agg(F.count(F.lit(1)).alias("n_reads"))
-    return spread_join(distinct_edges, changed.select("fqn").distinct(), ["fqn"], ["entity_id"], "left_semi")
+    ).select(F.col("source_table_full_name").alias("fqn"), "entity_type", "entity_id")
+    kept = keep_keys(recent, changed.select("fqn"), "fqn", ["entity_id"])
+    return kept.groupBy("fqn", "entity_type", "entity_id").agg(F.count(F.lit(1)).alias("n_reads"))
 
 
 def audit_notebook_opens(audit: DataFrame) -> DataFrame:

@@ -1,24 +1,72 @@
 """Landed JSON responses, one document per row in the string column ``payload``.
 
-Every schema is explicit. A document that cannot be parsed yields no rows, as an unanswered call did.
+Every schema is explicit. A document that cannot be read gives no rows but a reason, so that what was lost can be counted
+and shown: every landed document is either accepted or rejected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablewarden.schemas import JOBS_PAGE, LINEAGE_PAGE, RUNS_PAGE
 
+_BROKEN = "_broken"
+REJECTED = "REJECTED"
+# The page schema of a landed source and the column that says whose answer a page is.
+SOURCES = {"jobs": (JOBS_PAGE, None), "runs": (RUNS_PAGE, "job_id"), "lineage": (LINEAGE_PAGE, "table_name")}
+
+
+def checked_pages(raw: DataFrame, source: str) -> DataFrame:
+    """``raw`` with ``page``, the parsed document, and ``reason``, why it is rejected: null for an accepted one.
+
+    One parse. A document with a field of another type than stated is rejected as a whole, and one without its key too.
+    """
+    schema, key = SOURCES[source]
+    spelled = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+    page = F.from_json("payload", spelled, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
+    is_json = F.try_parse_json("payload").isNotNull()
+    reason = F.when(F.col("payload").isNull(), "no document").when(F.trim("payload") == "", "empty document")
+    reason = reason.when(F.col("page").isNull() | F.col(f"page.{_BROKEN}").isNotNull(), F.when(is_json, "unexpected shape").otherwise("not JSON"))
+    if key is not None:
+        reason = F.when(F.col(key).isNull(), "no key").otherwise(reason)
+    return raw.withColumn("page", page).withColumn("reason", reason)
+
+
+def _taken(items: Column) -> Column:
+    """The items of an accepted page, none of a rejected one. A filter on the reason would be pushed below the parse and repeat it."""
+    return F.when(F.col("reason").isNull(), items)
+
+
+def rejected_documents(raw: DataFrame, source: str) -> DataFrame:
+    """(source, file, key, reason, n_chars) of every document that is not accepted; ``file`` where ``raw`` names it."""
+    key = SOURCES[source][1]
+    lost = checked_pages(raw, source).filter(F.col("reason").isNotNull())
+    return lost.select(
+        F.lit(source).alias("source"),
+        (F.col("file") if "file" in raw.columns else F.lit(None)).cast("string").alias("file"),
+        (F.lit(None) if key is None else F.col(key)).cast("string").alias("key"),
+        "reason",
+        F.coalesce(F.length("payload"), F.lit(0)).cast("bigint").alias("n_chars"),
+    )
+
 
-def _parsed(raw: DataFrame, schema) -> DataFrame:
-    return raw.withColumn("page", F.from_json("payload", schema))
+def landing_totals(raw: DataFrame, source: str) -> DataFrame:
+    """One row: documents landed, accepted and rejected, and those rejected by reason; one pass."""
+    reasons = {"no_document": "no document", "empty_document": "empty document", "not_json": "not JSON", "unexpected_shape": "unexpected shape", "no_key": "no key"}
+    return checked_pages(raw, source).agg(
+        F.lit(source).alias("source"),
+        F.count(F.lit(1)).alias("landed"),
+        F.count_if(F.col("reason").isNull()).alias("accepted"),
+        F.count_if(F.col("reason").isNotNull()).alias("rejected"),
+        *[F.count_if(F.col("reason") == text).alias(name) for name, text in reasons.items()],
+    )
 
 
 def jobs_from_payload(raw: DataFrame, excluded: Sequence[str]) -> DataFrame:
     """Jobs of all pages but the excluded names; a nameless job is labelled by its id."""
-    job = _parsed(raw, JOBS_PAGE).select(F.explode("page.jobs").alias("job"))
+    job = checked_pages(raw, "jobs").select(F.explode(_taken(F.col("page.jobs"))).alias("job"))
     name = F.col("job.settings.name")
     return job.filter(~F.coalesce(name, F.lit("")).isin(*excluded)).select(
         F.col("job.job_id").alias("job_id"),
@@ -29,7 +77,7 @@ def jobs_from_payload(raw: DataFrame, excluded: Sequence[str]) -> DataFrame:
 
 def runs_from_payload(raw: DataFrame) -> DataFrame:
     """Runs of all pages. The job id comes with the landed row, since a page is the answer for one job."""
-    run = _parsed(raw, RUNS_PAGE).select("job_id", F.explode("page.runs").alias("run"))
+    run = checked_pages(raw, "runs").select("job_id", F.explode(_taken(F.col("page.runs"))).alias("run"))
     return run.select(
         "job_id",
         F.col("run.run_id").alias("run_id"),
@@ -41,9 +89,13 @@ def runs_from_payload(raw: DataFrame) -> DataFrame:
     )
 
 
-def lineage_from_payload(raw: DataFrame) -> DataFrame:
-    """All assets of every page, with their place among those of their kind, as (fqn, asset_kind, pos, asset)."""
-    page = _parsed(raw, LINEAGE_PAGE)
+def lineage_from_payload(raw: DataFrame, mark_rejected: bool = False) -> DataFrame:
+    """All assets of every page, with their place among those of their kind, as (fqn, asset_kind, pos, asset).
+
+    With ``mark_rejected`` a rejected document of a table is one row of kind REJECTED, whose asset is the reason: the table's
+    lineage may then lack assets.
+    """
+    page = checked_pages(raw, "lineage")
 
     def entities(kind: str) -> Column:
         return F.filter("page.entity_lineage", lambda e: e["entity_type"] == kind)
@@ -64,4 +116,8 @@ def lineage_from_payload(raw: DataFrame) -> DataFrame:
         assets("NOTEBOOK", entities("NOTEBOOK"), "path"),
         assets("JOB", entities("JOB"), "name"),
     )
+    found = _taken(found)
+    if mark_rejected:
+        marked = F.array(F.struct(F.lit(REJECTED).alias("asset_kind"), F.lit(1).cast("bigint").alias("pos"), F.col("reason").alias("asset")))
+        found = F.coalesce(found, marked)
     return page.select(F.col("table_name").alias("fqn"), F.explode(found).alias("found")).select("fqn", "found.*")

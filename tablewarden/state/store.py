@@ -8,11 +8,13 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewarden.config import WatchConfig
-from tablewarden.schemas import COLUMN_SNAPSHOT_DDL, RUN_SUMMARY, TABLE_SNAPSHOT_DDL, TRACKER_DDL
+from tablewarden.schemas import COLUMN_SNAPSHOT_DDL, LAST_WRITES_DDL, RUN_SUMMARY, RUNS_DDL, TABLE_SNAPSHOT_DDL, TRACKER_DDL
 
 COLUMN_SNAPSHOT = "metadata_column_snapshot"
 TABLE_SNAPSHOT = "metadata_table_snapshot"
 TRACKER = "optimization_run_tracker"
+RUNS = "job_runs"
+LAST_WRITES = "table_last_writes"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -64,23 +66,40 @@ class WatchStore:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def fresh(self, table: str) -> DataFrame:
+        """The table as it is now, also if another session has written to it."""
+        self.spark.catalog.refreshTable(self.name(table))
+        return self.table(table)
+
     def ensure_tables(self) -> None:
         """Create what is missing. On a cluster the store needs a ``location`` that all executors share."""
         if self.location is None and not self.spark.sparkContext.master.startswith("local"):
             raise RuntimeError("give the store a location that all executors share")
         place = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`{place}")
-        for table, ddl in ((COLUMN_SNAPSHOT, COLUMN_SNAPSHOT_DDL), (TABLE_SNAPSHOT, TABLE_SNAPSHOT_DDL)):
-            # The table option makes every overwrite replace only the partitions it brings.
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet "
-                "OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (snapshot_date)"
-            )
+        for table, ddl, part in (
+            (COLUMN_SNAPSHOT, COLUMN_SNAPSHOT_DDL, "snapshot_date"),
+            (TABLE_SNAPSHOT, TABLE_SNAPSHOT_DDL, "snapshot_date"),
+            (TRACKER, TRACKER_DDL, "run_date"),
+            (RUNS, RUNS_DDL, "run_day"),
+        ):
+            self._ensure(table, ddl, part)
+
+    def ensure_last_writes(self, instant: str) -> None:
+        """The state of last writes, whose times have the type of the log's."""
+        self._ensure(LAST_WRITES, LAST_WRITES_DDL.format(instant=instant), "bucket")
+
+    def _ensure(self, table: str, ddl: str, part: str) -> None:
+        # The table option makes every overwrite replace only the partitions it brings.
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name(TRACKER)} ({TRACKER_DDL}) USING parquet "
-            "OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (run_date)"
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet "
+            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({part})"
         )
 
+    def overwrite(self, rows: DataFrame, table: str) -> None:
+        """Replace the partitions that ``rows`` brings, matching columns by name."""
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
+
     def save_snapshot(self, df: DataFrame, table: str, day: date | None = None) -> None:
         """Replace the dates in ``df``, matching columns by name.
 
@@ -93,7 +112,7 @@ class WatchStore:
         # One output file per date until it outgrows the advisory partition size. A single date is spread
         # without a key: keyed by its date, all rows would meet in one partition first.
         rows = df.hint("rebalance", "snapshot_date") if day is None else df.hint("rebalance")
-        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
+        self.overwrite(rows, table)
 
     def snapshot_dates(self, table: str) -> list[date]:
         """Stored dates, from the catalogue: one entry per retained day, no data is read."""
@@ -140,7 +159,7 @@ class WatchStore:
             F.to_json(F.struct(*summary.columns)).alias("analysis_json"),
             F.timestamp_millis(F.lit(cfg.as_of_ms)).alias("created_at"),
         )
-        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(TRACKER)} BY NAME SELECT * FROM {{entry}}", entry=entry)
+        self.overwrite(entry, TRACKER)
 
     def drop(self) -> None:
         """Drop the database with all tables and files."""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tablewarden.operators import joins
 from tablewarden.operators.joins import SPREAD, spread_join
 from tablewarden.operators.topk import latest_per_key
 
@@ -53,3 +54,15 @@ def test_latest_per_key_of_a_hot_key(edges):
     rows = [tuple(r) for r in edges.collect()]
     expected = [pair for key in {k for k, _ in rows} for pair in sorted((r for r in rows if r[0] == key), reverse=True)[:5]]
     assert found == sorted(expected)
+
+
+def test_keys_within_the_limits_are_broadcast_and_others_exchanged(rows, monkeypatch):
+    given = rows("k STRING, v INT", ("a", 1), ("a", 2), ("b", 3), (None, 4))
+    keys = rows("k STRING", ("a",), ("c",))
+    for limit, broadcast in ((10, True), (1, False)):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+        found = joins.keep_keys(given, keys, "k", ["v"])
+        assert sorted(r.v for r in found.collect()) == [1, 2]
+        assert ("strategy=broadcast" in found._jdf.queryExecution().optimizedPlan().toString()) == broadcast
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    assert joins.keep_keys(given, keys.limit(0), "k", ["v"]).count() == 0

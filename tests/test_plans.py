@@ -9,6 +9,7 @@ import pytest
 from tablewarden import adapters as given
 from tablewarden.adapters import CONFIG
 from tablewarden.operators import drift, jobs, lineage
+from tablewarden.operators.joins import keep_keys
 from tablewarden.plans.optimization import OptimizationAnalysis
 from tablewarden.plans.report import optimization_sections
 from tablewarden.registry import QUERIES
@@ -17,7 +18,7 @@ from tablewarden.sources.files import storage_detail
 
 SF = "/root/testdata/sf0.001"
 # These act while they are built; their plans are plain table reads.
-STATEFUL = {"snapshot_roundtrip", "tracker_roundtrip", "nightly_changes"}
+STATEFUL = {"snapshot_roundtrip", "tracker_roundtrip", "nightly_changes", "streamed_freshness", "streamed_period_failures"}
 
 
 def plan(df) -> str:
@@ -54,9 +55,21 @@ def test_files_are_aggregated_before_they_meet_the_properties(spark):
     assert re.search(r"FileScan parquet \[l_orderkey#\d+L,l_suppkey#\d+L,l_quantity#\d+\]", scan)
 
 
-def test_access_log_is_counted_before_the_semi_join(spark, rows):
+def test_reads_of_other_tables_are_dropped_before_the_exchange(spark, rows):
     text = plan(logs.access_lineage(given.access_edges(spark, SF), rows("fqn STRING", ("x",)), CONFIG))
-    assert text.index("LeftSemi") < text.index("partial_count")
+    # From the top of the plan down: the exchange of counted edges, their count, the semi join with the changed tables.
+    assert text.index("Exchange hashpartitioning(fqn") < text.index("partial_count") < text.index("BroadcastHashJoin") and "LeftSemi" in text
+
+
+def test_documents_of_other_tables_are_neither_exchanged_nor_parsed(spark, rows, tmp_path):
+    """Landed pages as they are stored: the payload is read, filtered and parsed in one stage."""
+    given.lineage_pages(spark, SF).write.parquet(str(tmp_path / "pages"))
+    pages = keep_keys(spark.read.parquet(str(tmp_path / "pages")), rows("table_name STRING", ("x",)), "table_name", ["payload"])
+    access = rows("fqn STRING, asset_kind STRING, asset STRING", ("x", "JOB", "j"))
+    text = plan(lineage.merge_lineage(payloads.lineage_from_payload(pages, mark_rejected=True), access))
+    assert text.count("from_json") == 1 and text.count("FileScan") == 1
+    assert text.index("Exchange hashpartitioning(fqn") < text.index("partial_count") < text.index("from_json") < text.index("LeftSemi") < text.index("FileScan")
+    assert all("payload" not in line for line in text.splitlines() if "Exchange hashpartitioning" in line)
 
 
 def test_filters_reach_the_scan(spark):

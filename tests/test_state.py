@@ -188,7 +188,7 @@ def test_state_loop_over_three_dates_with_a_gap(rows, store):
     rated = {r.fqn: r for r in second.impact.collect()}["source_catalog.raw_schema.t"]
     assert (rated.risk, rated.n_downstream, rated.n_notebooks) == ("CRITICAL", 3, 1)
     assert [r.asset for r in second.lineage.filter("asset_kind = 'NOTEBOOK'").collect()] == ["nb"]
-    assert tuple(second.dashboard.first()) == (0, 0, 1, 1, 1, 4, 1, date(2024, 4, 1))
+    assert tuple(second.dashboard.first()) == (0, 0, 1, 1, 1, 4, 1, 0, date(2024, 4, 1))
 
     # A day is missed; the comparison is with the greatest earlier date. Repeating the day changes nothing.
     for _ in range(2):
