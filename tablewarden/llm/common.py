@@ -36,7 +36,7 @@ def map_texts(df: DataFrame, keep: list[str], text: str, each: Callable[[list[by
 # Bits of the filters that reject most hashes of a big table before a join: 2 MB, whatever the size of the other table.
 FILTER_BITS = 24
 # Token hashes that a task remembers.
-KNOWN = 1 << 20
+KNOWN = 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,11 +145,11 @@ def one_bucket_per_set(members: DataFrame, key: str, member: str, extra: dict[st
     return buckets.groupBy("_n", "_x").agg(F.min(key).alias(key)).select(key, "_n")
 
 
-def in_blocks(members: DataFrame, picked: DataFrame, key: str, member: str) -> DataFrame:
+def in_blocks(members: DataFrame, picked: DataFrame, key: str, member: str, block: int = BLOCK) -> DataFrame:
     """Members of the picked buckets with the block pair ``_g`` in which they meet. Every two members of a bucket
     meet in one block pair, and no pair holds more than about two blocks."""
     found = spread_join(members, picked, [key], [member], "inner")
-    blocks = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
+    blocks = F.ceil(F.col("_n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), member), F.col("_blocks")).cast("int")
     return (
         found.withColumn("_blocks", blocks)
