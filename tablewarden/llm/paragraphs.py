@@ -1,16 +1,16 @@
-"""Repeated passages: near-equal paragraphs by MinHash banding, verified by exact Jaccard similarity."""
+"""Repeated passages: near-equal paragraphs and passages across lines by MinHash banding, verified by exact Jaccard similarity."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from xxhash import xxh64_intdigest
 
-from tablewarden.llm.common import TokenHashes, cut_lineage, filter_bits, in_blocks, link_groups, one_bucket_per_set, passes, rolling, spread_join
+from tablewarden.llm.common import FILTER_BITS, TokenHashes, cut_lineage, filter_bits, in_blocks, link_groups, one_bucket_per_set, passes, rolling, spread_join
 from tablewarden.llm.components import connected_components
 
 # Paragraphs of fewer words are no passages. Two are near-equal if their sets of five-word shingles are this similar.
@@ -18,6 +18,14 @@ MIN_WORDS, SHINGLE, SIMILARITY = 50, 5, 0.8
 # Paragraphs as similar as that meet in a band with probability 1 - (1 - 0.8**4)**16 = 0.9998, more similar ones more surely.
 BANDS, ROWS = 16, 4
 CHUNK = 1 << 12
+# A border is the least of so many shingle hashes in a row.
+SPREAD = 10
+# Texts that are held at once; passages whose words a task remembers to have told; members of a bucket that meet in one group.
+SLICE, TOLD, PART = 128, 1 << 17, 1024
+# Up to so many anchors the filter of 2**FILTER_BITS bits rejects most others: one bit in eight is set at most.
+MOST_FILTERED = 1 << FILTER_BITS - 3
+_FORTH, _MIX = np.uint64(0xD1342543DE82EF95), np.uint64(0x9FB21C651E98DF25)
+_BACK = np.uint64(pow(int(_FORTH), -1, 1 << 64))
 
 
 @lru_cache(maxsize=4)
@@ -31,12 +39,74 @@ def recall(similarity: float, bands: int = BANDS, rows: int = ROWS) -> float:
     return 1 - (1 - similarity**rows) ** bands
 
 
-def paragraphs(text: str, least: int) -> Iterator[tuple[int, list[str], int]]:
-    """(number, lower-cased words, identity) of every line with at least ``least`` words. Equal words, equal identity."""
-    for number, line in enumerate(text.split("\n")):
-        words = line.lower().split()
-        if len(words) >= least:
-            yield number, words, xxh64_intdigest(" ".join(words))
+@dataclass(frozen=True)
+class Passages:
+    """The passages of a text as word ranges, told apart by ``name``; only passages of one ``group`` are compared.
+
+    Lines of at least ``least`` words form one group. All other passages lie across lines: they begin at a content-defined
+    border, end behind the first border that is far enough, and form a group with those that begin with the same words, so
+    that neighbours that overlap are not taken for copies.
+    """
+
+    start: np.ndarray
+    end: np.ndarray
+    name: np.ndarray
+    group: np.ndarray
+
+
+@dataclass(frozen=True)
+class Borders:
+    """A text's lower-cased words, the hash of every shingle of them, and the shingles at which a border lies."""
+
+    tokens: np.ndarray
+    hashes: np.ndarray
+    at: np.ndarray
+    lines: list[tuple[int, int]]
+
+
+def borders(text: str, least: int, known: TokenHashes) -> Borders:
+    """A border is the least shingle hash of ``SPREAD`` in a row. Equal words have equal borders, but for those near their ends."""
+    words: list[str] = []
+    lines = []
+    for line in text.lower().split("\n"):
+        own = line.split()
+        if len(own) >= least:
+            lines.append((len(words), len(words) + len(own)))
+        words += own
+    tokens = rolling(words, 1, known)
+    hashes = rolling(words, SHINGLE, known)
+    if len(hashes) < SPREAD:
+        return Borders(tokens, hashes, np.zeros(0, np.int64), lines)
+    least_of = np.lib.stride_tricks.sliding_window_view(hashes, SPREAD).argmin(axis=1)
+    return Borders(tokens, hashes, np.unique(least_of + np.arange(len(least_of))), lines)
+
+
+def passages(found: Borders, least: int, repeated: Callable[[np.ndarray], np.ndarray]) -> Passages:
+    """The passages that can occur again: those that begin at a border whose words do, and lines that hold such a border.
+
+    Of ``least`` words in a row the first SPREAD and the last SPREAD shingles each hold a border, and the passage that begins at
+    the first ends at the last or before: it lies in those words and is the same wherever they stand.
+    """
+    again = repeated(found.hashes[found.at])
+    reach = np.searchsorted(found.at, found.at + least - SHINGLE - 2 * SPREAD + 2)
+    whole = again & (reach < len(found.at))
+    start, last = found.at[whole], found.at[reach[whole]]
+    marked = np.concatenate(([0], np.cumsum(again)))
+    inside = [(a, b) for a, b in found.lines if marked[np.searchsorted(found.at, b - SHINGLE, side="right")] > marked[np.searchsorted(found.at, a)]]
+    begin = np.concatenate((start, np.array([a for a, _ in inside], np.int64)))
+    end = np.concatenate((last + SHINGLE, np.array([b for _, b in inside], np.int64)))
+    group = np.concatenate((found.hashes[start], np.zeros(len(inside), np.uint64)))
+    return Passages(begin, end, _range_hashes(found.tokens, begin, end) ^ group, group)
+
+
+def _range_hashes(tokens: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of word ranges from one running polynomial: sums up to a place, shifted back by the inverse of the base."""
+    n = len(tokens)
+    powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _FORTH, np.uint64))))
+    back = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _BACK, np.uint64))))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tokens * powers[:n], dtype=np.uint64)))
+    mixed = (sums[end] - sums[begin]) * back[begin] * _MIX + (end - begin).astype(np.uint64)
+    return mixed ^ (mixed >> np.uint64(31))
 
 
 def shingles(words: list[str], n: int, known: TokenHashes) -> np.ndarray:
@@ -107,65 +177,93 @@ def _verify(similarity: float):
 def repeated_passages(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """``key``, paragraph, n_words, cluster_id, n_members, kept_doc, kept_paragraph, removed: a row for every paragraph that
-    occurs again, exactly or nearly, in this or another document.
+    """``key``, start, n_words, cluster_id, n_members, kept_doc, kept_start, removed: a row for every passage that occurs again,
+    exactly or nearly, in this or another document.
 
-    Paragraphs are the lines of a text, numbered from 0. A cluster is a component of links of at least ``similarity``; its
-    first member (smallest key, then row, then paragraph) stays and the others are to be removed. Equal paragraphs are one
-    node and never paired. Null and empty texts have no paragraphs; a null key is larger than any other; repeated rows
-    repeat their paragraphs; other columns are ignored; an empty table gives an empty result.
+    Words are numbered from 0. Passages are the lines of at least ``least`` words and, over all line breaks, word ranges
+    between content-defined borders (see ``Passages``); they overlap, so that every run of ``least`` words that occurs again
+    holds one. A cluster is a component of links of at least ``similarity``; its first member (smallest key, then row, then
+    start) stays and the others are to be removed. Equal passages are one node and never paired. Null and empty texts have no
+    passages; a null key is larger than any other; repeated rows repeat their passages; other columns are ignored; an empty
+    table gives an empty result.
     """
-    # Rows are numbered and their paragraphs stored in one pass: the numbers are never made a second time.
+    # Rows are numbered and their passages stored in one pass: the numbers are never made a second time.
     given = docs.select(F.col(key).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(text).cast("string").alias("_text"))
     kind = docs.schema[key].dataType.simpleString()
 
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TokenHashes()
         for batch in batches:
-            at, number, count, pids, sets = [], [], [], [], []
-            for row, value in enumerate(batch.column(2)):
-                for n, words, pid in paragraphs(value.as_py() or "", least):
-                    at.append(row)
-                    number.append(n)
-                    count.append(len(words))
-                    pids.append(pid)
-                    sets.append(rolling(words, min(SHINGLE, len(words)), known))
-            taken = pa.array(at, pa.int64())
-            flat = pa.array(band_keys(sets, bands, rows).view(np.int64).ravel(), pa.int64())
-            lists = pa.ListArray.from_arrays(pa.array(range(0, bands * (len(at) + 1), bands), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(number, pa.int32()), pa.array(count, pa.int32()), pa.array(np.array(pids, np.uint64).view(np.int64)), lists],
-                ["_id", "_row", "_number", "_words", "_pid", "_bands"],
-            )
-
-    found = cut_lineage(given.mapInArrow(occurrences, f"_id {kind}, _row BIGINT, _number INT, _words INT, _pid BIGINT, _bands ARRAY<BIGINT>"))
-    distinct = found.groupBy("_pid").agg(F.first("_bands").alias("_bands"))
-    members = cut_lineage(distinct).select("_pid", F.explode("_bands").alias("_key"))
-    picked = cut_lineage(one_bucket_per_set(members, "_key", "_pid", {}, F.lit(True)))
-    dealt = cut_lineage(in_blocks(members, picked, "_key", "_pid").select("_g", "_pid"))
-    bits = filter_bits(dealt, "_pid")
+            for lo in range(0, batch.num_rows, SLICE):
+                made = [found.hashes[found.at] for v in batch.column(0).slice(lo, SLICE) for found in [borders(v.as_py() or "", least, known)]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made).view(np.int64))], ["_anchor"])
+
+    counted = given.select("_text").mapInArrow(anchors, "_anchor BIGINT").groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n"))
+    again = cut_lineage(counted.filter("_n > 1").select("_anchor"))
+    size = again.count()
+    # The filter is made for the number of anchors; too many for it are joined.
+    bits = filter_bits(again, "_anchor") if size <= MOST_FILTERED else None
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, told = TokenHashes(), set()
+
+        def repeated(hashes: np.ndarray) -> np.ndarray:
+            held = np.ones(len(hashes), bool)
+            if bits is not None:
+                held[:] = False
+                held[passes(bits, hashes)] = True
+            return held
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = TokenHashes()
         for batch in batches:
-            pids, made = [], []
-            for value in batch.column(0):
-                for _, words, pid in paragraphs(value.as_py() or "", least):
-                    if len(passes(bits, np.array([pid], np.uint64))):
-                        pids.append(pid)
-                        made.append(shingles(words, SHINGLE, known).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(pids, np.uint64).view(np.int64)), pa.array(made, pa.list_(pa.int64()))], ["_pid", "_set"])
-
-    # The words of the paragraphs that meet another one, read again rather than stored for all.
-    spelled = given.select("_text").mapInArrow(sets, "_pid BIGINT, _set ARRAY<BIGINT>").groupBy("_pid").agg(F.first("_set").alias("_set"))
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                at, columns, sets = [], [], []
+                for row, value in enumerate(part.column(2)):
+                    found = borders(value.as_py() or "", least, known)
+                    own = passages(found, least, repeated)
+                    at += [row] * len(own.start)
+                    columns.append(own)
+                    for a, b, name in zip(own.start.tolist(), own.end.tolist(), own.name.tolist()):
+                        # A task tells the words of a passage once; what it has told is forgotten now and then.
+                        if name in told:
+                            sets.append(None)
+                            continue
+                        if len(told) >= TOLD:
+                            told.clear()
+                        told.add(name)
+                        sets.append(np.unique(found.hashes[a : b - SHINGLE + 1]))
+                start, end, name, group = (np.concatenate([getattr(c, f) for c in columns]) for f in ("start", "end", "name", "group"))
+                fresh = np.array([s is not None for s in sets], bool)
+                keys = band_keys([s for s in sets if s is not None], bands, rows) ^ group[fresh][:, None]
+                width = np.where(fresh, bands, 0)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(width))).astype(np.int32)), pa.array(keys.view(np.int64).ravel()), mask=pa.array(~fresh))
+                taken = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(taken), part.column(1).take(taken), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), pa.array(name.view(np.int64)),
+                        pa.array(group.view(np.int64)), lists, pa.array([None if s is None else s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    ],
+                    ["_id", "_row", "_start", "_words", "_pid", "_group", "_bands", "_set"],
+                )
+
+    found = given.mapInArrow(occurrences, f"_id {kind}, _row BIGINT, _start INT, _words INT, _pid BIGINT, _group BIGINT, _bands ARRAY<BIGINT>, _set ARRAY<BIGINT>")
+    if bits is None:
+        lines = F.col("_group") == 0
+        found = found.filter(lines).unionByName(spread_join(found.filter(~lines), again.select(F.col("_anchor").alias("_group")), ["_group"], ["_row", "_start"], "left_semi"))
+    found = cut_lineage(found.drop("_group"))
+    told = found.filter("_set IS NOT NULL")
+    members = cut_lineage(told.groupBy("_pid").agg(F.first("_bands").alias("_bands"))).select("_pid", F.explode("_bands").alias("_key"))
+    picked = cut_lineage(one_bucket_per_set(members, "_key", "_pid", {}, F.lit(True)))
+    dealt = cut_lineage(in_blocks(members, picked, "_key", "_pid", PART).select("_g", "_pid"))
+    spelled = spread_join(told.select("_pid", "_set"), dealt.select("_pid").distinct(), ["_pid"], ["_set"], "left_semi").groupBy("_pid").agg(F.first("_set").alias("_set"))
     edges = link_groups(dealt.join(spelled, "_pid").select("_g", "_pid", "_set"), "_g", _verify(similarity))
     roots = connected_components(edges).select(F.col("node").alias("_pid"), "root")
-    classes = found.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_number").alias("number"))).alias("_first"))
+    classes = found.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_start").alias("start"))).alias("_first"))
     rooted = classes.join(roots, "_pid", "left").withColumn("root", F.coalesce("root", "_pid"))
     clusters = rooted.groupBy("root").agg(F.sum("_n").alias("n_members"), F.min("_first").alias("_kept")).filter("n_members > 1")
     of_pid = spread_join(rooted.select("_pid", "root"), clusters, ["root"], ["_pid"], "inner")
-    stays = (F.col("_row") == F.col("_kept.row")) & (F.col("_number") == F.col("_kept.number"))
-    return spread_join(found.drop("_bands"), of_pid, ["_pid"], ["_row"], "inner").select(
-        F.col("_id").alias(key), F.col("_number").alias("paragraph"), F.col("_words").alias("n_words"), F.col("root").alias("cluster_id"), "n_members",
-        F.col("_kept.id").alias("kept_doc"), F.col("_kept.number").alias("kept_paragraph"), (~stays).alias("removed"),
+    stays = (F.col("_row") == F.col("_kept.row")) & (F.col("_start") == F.col("_kept.start"))
+    return spread_join(found.drop("_bands", "_set"), of_pid, ["_pid"], ["_row"], "inner").select(
+        F.col("_id").alias(key), F.col("_start").alias("start"), F.col("_words").alias("n_words"), F.col("root").alias("cluster_id"), "n_members",
+        F.col("_kept.id").alias("kept_doc"), F.col("_kept.start").alias("kept_start"), (~stays).alias("removed"),
     )
