@@ -16,7 +16,7 @@ from tablewarden.config import WatchConfig
 
 AS_OF = datetime(2024, 1, 31)
 SINCE = date(2024, 1, 30)
-PREVIOUS_DATE = date(2024, 1, 30)
+PREVIOUS_DATE, NEXT_DATE = date(2024, 1, 30), date(2024, 2, 1)
 CONFIG = WatchConfig(as_of=AS_OF, excluded_jobs=("Customer#000000007",))
 DRIFT_CONFIG = WatchConfig(as_of=AS_OF, schemas=("raw_schema", "transform_schema", "r0", "r1"))
 

@@ -625,6 +625,12 @@ _SNAPSHOT_TEXT = """CAST(snapshot_date AS VARCHAR) AS snapshot_date, table_schem
 
 FINAL: dict[str, str] = {
     "schema_diff": "SELECT * FROM diff",
+    "schema_diff_by_digest": "SELECT * FROM diff",
+    "interval_snapshots": " UNION ALL ".join(
+        f"SELECT '{day}' AS snapshot_date, table_schema, table_name, column_name, full_data_type, CAST(ordinal_position AS BIGINT) AS ordinal_position, "
+        f"is_nullable, NULL::VARCHAR AS col_comment, table_type, data_source_format FROM {when}_columns JOIN {when}_tables USING (table_schema, table_name)"
+        for day, when in (("2024-01-30", "prev"), ("2024-01-31", "curr"), ("2024-02-01", "curr"))
+    ),
     "new_tables": "SELECT * FROM created_tables",
     "removed_tables": "SELECT * FROM dropped_tables",
     "common_tables": "SELECT * FROM kept_tables",

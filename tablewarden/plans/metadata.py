@@ -17,6 +17,7 @@ from tablewarden.plans.sharing import Share, as_is, materialise
 from tablewarden.sources import catalog
 from tablewarden.sources.logs import access_lineage
 from tablewarden.sources.payloads import lineage_from_payload
+from tablewarden.state.intervals import Intervals
 from tablewarden.state.store import COLUMN_SNAPSHOT, TABLE_SNAPSHOT, WatchStore, cut_lineage, snapshot_at
 
 
@@ -136,13 +137,18 @@ class MetadataAnalysis:
 
 
 def run_metadata(
-    inputs: Mapping[str, DataFrame], cfg: WatchConfig, store: WatchStore, report: Callable[[MetadataAnalysis], object]
+    inputs: Mapping[str, DataFrame],
+    cfg: WatchConfig,
+    store: WatchStore,
+    report: Callable[[MetadataAnalysis], object],
+    intervals: bool = False,
 ) -> MetadataAnalysis:
     """One nightly run: stage today's snapshot, compare it with the greatest earlier date, report, publish, retain.
 
     ``report`` reads the sections. Today's date is published only after it, so a night that fails leaves the earlier date
     to compare with, and its changes are reported the next time. The catalogue is read once: what is compared is the
-    staged copy in the shared folder, and the same rows are saved.
+    staged copy in the shared folder, and the same rows are saved. With ``intervals`` they are also merged into the validity
+    intervals, which keep a row once for as long as it stays the same.
     """
     store.ensure_tables()
     today = cfg.run_date
@@ -174,4 +180,9 @@ def run_metadata(
         store.compact_snapshot(table, store.fragmented_dates(table, [today]))
     for table in staged:
         store.apply_retention(table, today, cfg.retention_days)
+    if intervals:
+        for kept, table in ((Intervals.of_columns(store), COLUMN_SNAPSHOT), (Intervals.of_tables(store), TABLE_SNAPSHOT)):
+            kept.ensure()
+            kept.merge(staged[table], today)
+            kept.apply_retention(today, cfg.retention_days)
     return analysis

@@ -31,6 +31,7 @@ from tablewarden.state.store import (
     shared_folder,
     snapshot_at,
 )
+from tablewarden.state.intervals import Intervals, digest_diff
 from tablewarden.streaming.freshness import follow_history, last_write_state
 from tablewarden.streaming.runs import follow_runs
 
@@ -193,6 +194,38 @@ def nightly_changes(spark, sf):
     return _text_dates(reduce(DataFrame.unionByName, nights), "run_date", "compared_with")
 
 
+def _interval_nights(spark: SparkSession, sf: str, store: WatchStore, *nights: tuple) -> tuple[Intervals, Intervals]:
+    """Both relations with the catalogue of each night (day, orders) merged."""
+    tables, columns = Intervals.of_tables(store), Intervals.of_columns(store)
+    for day, orders in nights:
+        for kept, rows in ((tables, given.order_tables(orders)), (columns, given.order_columns(orders).withColumnRenamed("comment", "col_comment"))):
+            kept.ensure()
+            kept.merge(rows, day)
+    return tables, columns
+
+
+@query
+def interval_snapshots(spark, sf):
+    """Three nights read back from intervals: two that differ and one without changes."""
+    store = _fresh_store(spark)
+    prev, curr = given.previous_orders(spark, sf), given.current_orders(spark, sf)
+    nights = ((given.PREVIOUS_DATE, prev), (given.AS_OF.date(), curr), (given.NEXT_DATE, curr))
+    tables, columns = _interval_nights(spark, sf, store, *nights)
+    days = [columns.at(day).join(tables.at(day).drop("created", "last_altered"), catalog.TABLE_KEY).withColumn("snapshot_date", F.lit(day)) for day, _ in nights]
+    read = _text_dates(reduce(DataFrame.unionByName, days), "snapshot_date").withColumn("ordinal_position", F.col("ordinal_position").cast("bigint"))
+    return _read_and_drop(store, read)
+
+
+@query
+def schema_diff_by_digest(spark, sf):
+    """The diff of two nights from the buckets whose digests differ."""
+    store = _fresh_store(spark)
+    tables, columns = _interval_nights(spark, sf, store, (given.PREVIOUS_DATE, given.previous_orders(spark, sf)))
+    curr = given.current_orders(spark, sf)
+    found = digest_diff(tables, columns, given.order_tables(curr), given.order_columns(curr).withColumnRenamed("comment", "col_comment"), given.AS_OF.date())
+    return _read_and_drop(store, found)
+
+
 # --- storage -------------------------------------------------------------------------------------
 
 

@@ -70,3 +70,4 @@ RUNS_DDL = (
     "run_page_url STRING, run_day DATE"
 )
 LAST_WRITES_DDL = "table_schema STRING, table_name STRING, version BIGINT, timestamp {instant}, last_op STRING, rows_written STRING, bucket INT"
+DIGEST_DDL = "bucket INT, n_rows BIGINT, digest BIGINT, digest_2 BIGINT, night DATE"

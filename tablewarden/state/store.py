@@ -83,13 +83,14 @@ class WatchStore:
             (TRACKER, TRACKER_DDL, "run_date"),
             (RUNS, RUNS_DDL, "run_day"),
         ):
-            self._ensure(table, ddl, part)
+            self.ensure(table, ddl, part)
 
     def ensure_last_writes(self, instant: str) -> None:
         """The state of last writes, whose times have the type of the log's."""
-        self._ensure(LAST_WRITES, LAST_WRITES_DDL.format(instant=instant), "bucket")
+        self.ensure(LAST_WRITES, LAST_WRITES_DDL.format(instant=instant), "bucket")
 
-    def _ensure(self, table: str, ddl: str, part: str) -> None:
+    def ensure(self, table: str, ddl: str, part: str) -> None:
+        """Create one table, partitioned by the columns ``part``."""
         # The table option makes every overwrite replace only the partitions it brings.
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet "
@@ -100,24 +101,28 @@ class WatchStore:
         """Replace the partitions that ``rows`` brings, matching columns by name."""
         self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
-    def save_snapshot(self, df: DataFrame, table: str, day: date | None = None) -> None:
+    def save_snapshot(self, df: DataFrame, table: str, day: date | None = None, part: str = "snapshot_date") -> None:
         """Replace the dates in ``df``, matching columns by name.
 
         ``day`` names the only date of ``df``. The insert replaces its partition in one step; only an empty
         ``df``, which brings no partition, drops the date instead.
         """
         if day is not None and df.isEmpty():
-            self._drop_dates(table, [day])
+            self._drop_dates(table, [day], part)
             return
         # One output file per date until it outgrows the advisory partition size. A single date is spread
         # without a key: keyed by its date, all rows would meet in one partition first.
-        rows = df.hint("rebalance", "snapshot_date") if day is None else df.hint("rebalance")
+        rows = df.hint("rebalance", part) if day is None else df.hint("rebalance")
         self.overwrite(rows, table)
 
-    def snapshot_dates(self, table: str) -> list[date]:
-        """Stored dates, from the catalogue: one entry per retained day, no data is read."""
+    def partitions(self, table: str) -> list[dict[str, str]]:
+        """Stored partitions, from the catalogue: no data is read."""
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
-        return sorted(date.fromisoformat(row.partition.split("=", 1)[1]) for row in listed)
+        return [dict(part.split("=", 1) for part in row.partition.split("/")) for row in listed]
+
+    def snapshot_dates(self, table: str) -> list[date]:
+        """Stored dates: one entry per retained day."""
+        return sorted(date.fromisoformat(part["snapshot_date"]) for part in self.partitions(table))
 
     def previous_date(self, as_of: date) -> date | None:
         return max((d for d in self.snapshot_dates(TABLE_SNAPSHOT) if d < as_of), default=None)
@@ -127,10 +132,12 @@ class WatchStore:
         cutoff = as_of - timedelta(days=days)
         self._drop_dates(table, [d for d in self.snapshot_dates(table) if d < cutoff])
 
-    def _drop_dates(self, table: str, days: list[date]) -> None:
-        if days:
-            specs = ", ".join(f"PARTITION (snapshot_date = DATE '{d.isoformat()}')" for d in days)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {specs}")
+    def _drop_dates(self, table: str, days: list[date], part: str = "snapshot_date") -> None:
+        self.drop_partitions(table, [f"{part} = DATE '{d.isoformat()}'" for d in days])
+
+    def drop_partitions(self, table: str, specs: list[str]) -> None:
+        if specs:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
 
     def compact_snapshot(self, table: str, days: list[date]) -> None:
         """Rewrite the files of the given dates at the advisory size; the rows stay the same."""

@@ -18,7 +18,7 @@ from tablewarden.sources.files import storage_detail
 
 SF = "/root/testdata/sf0.001"
 # These act while they are built; their plans are plain table reads.
-STATEFUL = {"snapshot_roundtrip", "tracker_roundtrip", "nightly_changes", "streamed_freshness", "streamed_period_failures"}
+STATEFUL = {"snapshot_roundtrip", "tracker_roundtrip", "nightly_changes", "streamed_freshness", "streamed_period_failures", "interval_snapshots", "schema_diff_by_digest"}
 
 
 def plan(df) -> str:
