@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewarden.llm.common import FILTER_BITS, TokenHashes, cut_lineage, filter_bits, in_blocks, link_groups, one_bucket_per_set, passes, rolling, spread_join
 from tablewarden.llm.components import connected_components
@@ -22,6 +22,8 @@ CHUNK = 1 << 12
 SPREAD = 10
 # Texts that are held at once; passages whose words a task remembers to have told; members of a bucket that meet in one group.
 SLICE, TOLD, PART = 128, 1 << 17, 1024
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 # Up to so many anchors the filter of 2**FILTER_BITS bits rejects most others: one bit in eight is set at most.
 MOST_FILTERED = 1 << FILTER_BITS - 3
 _FORTH, _MIX = np.uint64(0xD1342543DE82EF95), np.uint64(0x9FB21C651E98DF25)
@@ -39,74 +41,85 @@ def recall(similarity: float, bands: int = BANDS, rows: int = ROWS) -> float:
     return 1 - (1 - similarity**rows) ** bands
 
 
+@dataclass(frozen=True)
+class Borders:
+    """A text's words as hashes, the hash of every shingle of them, the shingles at which a border lies, and the long lines."""
+
+    tokens: np.ndarray
+    hashes: np.ndarray
+    at: np.ndarray
+    lines: np.ndarray
+
+
 @dataclass(frozen=True)
 class Passages:
     """The passages of a text as word ranges, told apart by ``name``; only passages of one ``group`` are compared.
 
-    Lines of at least ``least`` words form one group. All other passages lie across lines: they begin at a content-defined
-    border, end behind the first border that is far enough, and form a group with those that begin with the same words, so
-    that neighbours that overlap are not taken for copies.
+    Long lines form group 0. All other passages lie across lines: they begin at a border, end with the first border that is far
+    enough, and form a group with those that begin and end with the same words, so that neighbours that overlap are not taken
+    for copies.
     """
 
     start: np.ndarray
     end: np.ndarray
     name: np.ndarray
     group: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
 
 
-@dataclass(frozen=True)
-class Borders:
-    """A text's lower-cased words, the hash of every shingle of them, and the shingles at which a border lies."""
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    return tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, base, np.uint64)))) for base in (_FORTH, _BACK))
 
-    tokens: np.ndarray
-    hashes: np.ndarray
-    at: np.ndarray
-    lines: list[tuple[int, int]]
-
-
-def borders(text: str, least: int, known: TokenHashes) -> Borders:
-    """A border is the least shingle hash of ``SPREAD`` in a row. Equal words have equal borders, but for those near their ends."""
-    words: list[str] = []
-    lines = []
-    for line in text.lower().split("\n"):
-        own = line.split()
-        if len(own) >= least:
-            lines.append((len(words), len(words) + len(own)))
-        words += own
-    tokens = rolling(words, 1, known)
-    hashes = rolling(words, SHINGLE, known)
-    if len(hashes) < SPREAD:
-        return Borders(tokens, hashes, np.zeros(0, np.int64), lines)
-    least_of = np.lib.stride_tricks.sliding_window_view(hashes, SPREAD).argmin(axis=1)
-    return Borders(tokens, hashes, np.unique(least_of + np.arange(len(least_of))), lines)
+
+def range_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of ``values`` from one running polynomial: sums up to a place, shifted back by the inverse of the base."""
+    forth, back = _powers(1 << max(16, len(values).bit_length()))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * forth[: len(values)], dtype=np.uint64)))
+    mixed = ((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64)) * _MIX
+    return mixed ^ (mixed >> np.uint64(31))
+
+
+def borders(text: str, least: int) -> Borders:
+    """Words stand between ASCII white space and are lower-cased. A border is the least shingle hash of ``SPREAD`` in a row.
+
+    Equal words have equal borders, but for those near their ends.
+    """
+    data = np.frombuffer(text.lower().encode(), np.uint8)
+    solid = np.concatenate((np.zeros(1, bool), ~_SPACE[data], np.zeros(1, bool)))
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    begin, end = edges[::2], edges[1::2]
+    tokens = range_hashes(data.astype(np.uint64), begin, end)
+    ends = np.concatenate(([0], np.searchsorted(begin, np.flatnonzero(data == 10)), [len(begin)]))
+    long = np.flatnonzero(np.diff(ends) >= least)
+    lines = np.stack((ends[long], ends[long + 1]), axis=1)
+    if len(tokens) < SHINGLE + SPREAD - 1:
+        return Borders(tokens, np.zeros(0, np.uint64), np.zeros(0, np.int64), lines)
+    hashes = range_hashes(tokens, np.arange(len(tokens) - SHINGLE + 1), np.arange(SHINGLE, len(tokens) + 1))
+    chosen = np.lib.stride_tricks.sliding_window_view(hashes, SPREAD).argmin(axis=1) + np.arange(len(hashes) - SPREAD + 1)
+    return Borders(tokens, hashes, chosen[np.concatenate((np.ones(1, bool), chosen[1:] != chosen[:-1]))], lines)
 
 
 def passages(found: Borders, least: int, repeated: Callable[[np.ndarray], np.ndarray]) -> Passages:
-    """The passages that can occur again: those that begin at a border whose words do, and lines that hold such a border.
+    """The passages that can occur again: those between borders whose words do, and lines that hold such a border.
 
     Of ``least`` words in a row the first SPREAD and the last SPREAD shingles each hold a border, and the passage that begins at
-    the first ends at the last or before: it lies in those words and is the same wherever they stand.
+    the first ends with the last or before: it lies in those words and is the same wherever they stand.
     """
     again = repeated(found.hashes[found.at])
     reach = np.searchsorted(found.at, found.at + least - SHINGLE - 2 * SPREAD + 2)
-    whole = again & (reach < len(found.at))
+    whole = again & np.append(again, False)[reach]
     start, last = found.at[whole], found.at[reach[whole]]
     marked = np.concatenate(([0], np.cumsum(again)))
-    inside = [(a, b) for a, b in found.lines if marked[np.searchsorted(found.at, b - SHINGLE, side="right")] > marked[np.searchsorted(found.at, a)]]
-    begin = np.concatenate((start, np.array([a for a, _ in inside], np.int64)))
-    end = np.concatenate((last + SHINGLE, np.array([b for _, b in inside], np.int64)))
-    group = np.concatenate((found.hashes[start], np.zeros(len(inside), np.uint64)))
-    return Passages(begin, end, _range_hashes(found.tokens, begin, end) ^ group, group)
-
-
-def _range_hashes(tokens: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of word ranges from one running polynomial: sums up to a place, shifted back by the inverse of the base."""
-    n = len(tokens)
-    powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _FORTH, np.uint64))))
-    back = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _BACK, np.uint64))))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tokens * powers[:n], dtype=np.uint64)))
-    mixed = (sums[end] - sums[begin]) * back[begin] * _MIX + (end - begin).astype(np.uint64)
-    return mixed ^ (mixed >> np.uint64(31))
+    inside = marked[np.searchsorted(found.at, found.lines[:, 1] - SHINGLE, side="right")] > marked[np.searchsorted(found.at, found.lines[:, 0])]
+    lines = found.lines[inside]
+    none = np.zeros(len(lines), np.uint64)
+    first_hash, last_hash = (np.concatenate((found.hashes[x], none)) for x in (start, last))
+    group = first_hash * _MIX ^ last_hash
+    begin, end = np.concatenate((start, lines[:, 0])), np.concatenate((last + SHINGLE, lines[:, 1]))
+    return Passages(begin, end, range_hashes(found.tokens, begin, end) ^ group, group, first_hash, last_hash)
 
 
 def shingles(words: list[str], n: int, known: TokenHashes) -> np.ndarray:
@@ -174,6 +187,33 @@ def _verify(similarity: float):
     return run
 
 
+class _Among:
+    """Whether hashes are among those of a stored table: by a bitmap in the tasks up to a measured size, by a join beyond it."""
+
+    def __init__(self, hashes: DataFrame, column: str):
+        self._hashes, self._column = hashes, column
+        self.bits = filter_bits(hashes, column) if hashes.count() <= MOST_FILTERED else None
+
+    def __getstate__(self) -> dict:
+        return {"bits": self.bits}
+
+    def marks(self, hashes: np.ndarray) -> np.ndarray:
+        """True for all that are among them, and for few others; for all if they are joined."""
+        held = np.full(len(hashes), self.bits is None)
+        if self.bits is not None:
+            held[passes(self.bits, hashes)] = True
+        return held
+
+    def exactly(self, rows: DataFrame, column: str, spread_by: list[str], besides: Column | None = None) -> DataFrame:
+        """The rows that ``marks`` would keep, or those of ``besides``, where the bitmap was too large."""
+        if self.bits is not None:
+            return rows
+        wanted = self._hashes.select(F.col(self._column).alias(column))
+        if besides is None:
+            return spread_join(rows, wanted, [column], spread_by, "left_semi")
+        return rows.filter(besides).unionByName(spread_join(rows.filter(~besides), wanted, [column], spread_by, "left_semi"))
+
+
 def repeated_passages(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -191,79 +231,86 @@ def repeated_passages(
     given = docs.select(F.col(key).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(text).cast("string").alias("_text"))
     kind = docs.schema[key].dataType.simpleString()
 
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = TokenHashes()
+    def each_slice(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[Borders]]]:
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
-                made = [found.hashes[found.at] for v in batch.column(0).slice(lo, SLICE) for found in [borders(v.as_py() or "", least, known)]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made).view(np.int64))], ["_anchor"])
+                part = batch.slice(lo, SLICE)
+                yield part, [borders(v.as_py() or "", least) for v in part.column(column)]
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, found in each_slice(batches, 0):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f.hashes[f.at] for f in found]).view(np.int64))], ["_anchor"])
 
     counted = given.select("_text").mapInArrow(anchors, "_anchor BIGINT").groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n"))
     again = cut_lineage(counted.filter("_n > 1").select("_anchor"))
-    size = again.count()
-    # The filter is made for the number of anchors; too many for it are joined.
-    bits = filter_bits(again, "_anchor") if size <= MOST_FILTERED else None
+    repeated = _Among(again, "_anchor")
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, told = TokenHashes(), set()
-
-        def repeated(hashes: np.ndarray) -> np.ndarray:
-            held = np.ones(len(hashes), bool)
-            if bits is not None:
-                held[:] = False
-                held[passes(bits, hashes)] = True
-            return held
-
-        for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
-                at, columns, sets = [], [], []
-                for row, value in enumerate(part.column(2)):
-                    found = borders(value.as_py() or "", least, known)
-                    own = passages(found, least, repeated)
-                    at += [row] * len(own.start)
-                    columns.append(own)
-                    for a, b, name in zip(own.start.tolist(), own.end.tolist(), own.name.tolist()):
-                        # A task tells the words of a passage once; what it has told is forgotten now and then.
-                        if name in told:
-                            sets.append(None)
-                            continue
+        for part, found in each_slice(batches, 2):
+            own = [passages(f, least, repeated.marks) for f in found]
+            taken = pa.array(np.repeat(np.arange(len(own)), [len(o.start) for o in own]))
+            start, end, *hashes = (np.concatenate([getattr(o, f) for o in own]) for f in ("start", "end", "name", "group", "first", "last"))
+            arrays = [part.column(0).take(taken), part.column(1).take(taken), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), *(pa.array(h.view(np.int64)) for h in hashes)]
+            yield pa.RecordBatch.from_arrays(arrays, ["_id", "_row", "_start", "_words", "_pid", "_group", "_first", "_last"])
+
+    found = given.mapInArrow(occurrences, f"_id {kind}, _row BIGINT, _start INT, _words INT, _pid BIGINT, _group BIGINT, _first BIGINT, _last BIGINT")
+    for end in ("_first", "_last"):
+        found = repeated.exactly(found, end, ["_row", "_start"], F.col("_group") == 0)
+    found = cut_lineage(found.drop("_first", "_last"))
+    # Where all passages of a group are equal there is nothing to compare.
+    mixed = found.groupBy("_group").agg(F.min("_pid").alias("_low"), F.max("_pid").alias("_high")).filter("_low <> _high").select("_group")
+    compared = _Among(cut_lineage(mixed), "_group")
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[int] = set()
+        for _, found in each_slice(batches, 0):
+            names, groups, sets = [], [], []
+            for f in found:
+                own = passages(f, least, repeated.marks)
+                for i in np.flatnonzero(compared.marks(own.group)).tolist():
+                    # A task tells a passage once; what it has told is forgotten now and then.
+                    if (name := int(own.name[i])) not in told:
                         if len(told) >= TOLD:
                             told.clear()
                         told.add(name)
-                        sets.append(np.unique(found.hashes[a : b - SHINGLE + 1]))
-                start, end, name, group = (np.concatenate([getattr(c, f) for c in columns]) for f in ("start", "end", "name", "group"))
-                fresh = np.array([s is not None for s in sets], bool)
-                keys = band_keys([s for s in sets if s is not None], bands, rows) ^ group[fresh][:, None]
-                width = np.where(fresh, bands, 0)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(width))).astype(np.int32)), pa.array(keys.view(np.int64).ravel()), mask=pa.array(~fresh))
-                taken = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(taken), part.column(1).take(taken), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), pa.array(name.view(np.int64)),
-                        pa.array(group.view(np.int64)), lists, pa.array([None if s is None else s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                    ],
-                    ["_id", "_row", "_start", "_words", "_pid", "_group", "_bands", "_set"],
-                )
-
-    found = given.mapInArrow(occurrences, f"_id {kind}, _row BIGINT, _start INT, _words INT, _pid BIGINT, _group BIGINT, _bands ARRAY<BIGINT>, _set ARRAY<BIGINT>")
-    if bits is None:
-        lines = F.col("_group") == 0
-        found = found.filter(lines).unionByName(spread_join(found.filter(~lines), again.select(F.col("_anchor").alias("_group")), ["_group"], ["_row", "_start"], "left_semi"))
-    found = cut_lineage(found.drop("_group"))
-    told = found.filter("_set IS NOT NULL")
+                        names.append(name)
+                        groups.append(own.group[i])
+                        sets.append(f.hashes[own.start[i] : own.end[i] - SHINGLE + 1])
+            keys = band_keys(sets, bands, rows) ^ np.array(groups, np.uint64)[:, None]
+            lists = pa.ListArray.from_arrays(pa.array(range(0, bands * len(names) + 1, bands), pa.int32()), pa.array(keys.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(np.array(groups, np.uint64).view(np.int64)), lists], ["_pid", "_group", "_bands"])
+
+    told = compared.exactly(given.select("_text").mapInArrow(banded, "_pid BIGINT, _group BIGINT, _bands ARRAY<BIGINT>"), "_group", ["_pid"])
     members = cut_lineage(told.groupBy("_pid").agg(F.first("_bands").alias("_bands"))).select("_pid", F.explode("_bands").alias("_key"))
     picked = cut_lineage(one_bucket_per_set(members, "_key", "_pid", {}, F.lit(True)))
     dealt = cut_lineage(in_blocks(members, picked, "_key", "_pid", PART).select("_g", "_pid"))
-    spelled = spread_join(told.select("_pid", "_set"), dealt.select("_pid").distinct(), ["_pid"], ["_set"], "left_semi").groupBy("_pid").agg(F.first("_set").alias("_set"))
-    edges = link_groups(dealt.join(spelled, "_pid").select("_g", "_pid", "_set"), "_g", _verify(similarity))
+    wanted = _Among(cut_lineage(dealt.select("_pid").distinct()), "_pid")
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[int] = set()
+        for _, found in each_slice(batches, 0):
+            names, sets = [], []
+            for f in found:
+                own = passages(f, least, repeated.marks)
+                for i in np.flatnonzero(compared.marks(own.group) & wanted.marks(own.name)).tolist():
+                    if (name := int(own.name[i])) not in told:
+                        if len(told) >= TOLD:
+                            told.clear()
+                        told.add(name)
+                        names.append(name)
+                        sets.append(np.unique(f.hashes[own.start[i] : own.end[i] - SHINGLE + 1]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], ["_pid", "_set"])
+
+    # The words of the passages that meet another one, read again rather than stored for all.
+    sets = wanted.exactly(given.select("_text").mapInArrow(spelled, "_pid BIGINT, _set ARRAY<BIGINT>"), "_pid", ["_set"]).groupBy("_pid").agg(F.first("_set").alias("_set"))
+    edges = link_groups(dealt.join(sets, "_pid").select("_g", "_pid", "_set"), "_g", _verify(similarity))
     roots = connected_components(edges).select(F.col("node").alias("_pid"), "root")
     classes = found.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_start").alias("start"))).alias("_first"))
     rooted = classes.join(roots, "_pid", "left").withColumn("root", F.coalesce("root", "_pid"))
     clusters = rooted.groupBy("root").agg(F.sum("_n").alias("n_members"), F.min("_first").alias("_kept")).filter("n_members > 1")
     of_pid = spread_join(rooted.select("_pid", "root"), clusters, ["root"], ["_pid"], "inner")
     stays = (F.col("_row") == F.col("_kept.row")) & (F.col("_start") == F.col("_kept.start"))
-    return spread_join(found.drop("_bands", "_set"), of_pid, ["_pid"], ["_row"], "inner").select(
+    return spread_join(found.drop("_group"), of_pid, ["_pid"], ["_row"], "inner").select(
         F.col("_id").alias(key), F.col("_start").alias("start"), F.col("_words").alias("n_words"), F.col("root").alias("cluster_id"), "n_members",
         F.col("_kept.id").alias("kept_doc"), F.col("_kept.start").alias("kept_start"), (~stays).alias("removed"),
     )

@@ -6,35 +6,44 @@ from collections import Counter, defaultdict
 import numpy as np
 
 from tablewarden.llm import paragraphs as own
-from tablewarden.llm.common import TokenHashes, rolling, table
+from tablewarden.llm.common import TokenHashes, table
 from tablewarden.llm.paragraphs import band_keys, borders, passages, recall, repeated_passages, shingles
 from tablewarden.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
 
+def number(word):
+    data = np.frombuffer(word.encode(), np.uint8).astype(np.uint64)
+    return own.range_hashes(data, np.array([0]), np.array([len(data)]))[0]
+
+
 def slow(docs, least=50):
-    """{(doc, start, words): (kept, members)}: all passages of all texts, paired where they share a shingle and a group."""
-    known = TokenHashes()
-    parts = []
+    """{(doc, start, words): (kept, members)}: all passages between borders whose words occur again, and lines with such a border."""
+    all_cuts, seen = {}, Counter()
     for i in docs:
-        text = (docs[i] or "").lower()
-        words = text.split()
-        at = 0
-        for line in text.split("\n"):
-            n = len(line.split())
-            if n >= least:
-                parts.append((i, at, n, None))
-            at += n
-        hashes = rolling(words, own.SHINGLE, known).tolist()
+        words = (docs[i] or "").lower().split()
+        # Borders depend on the operator's hashes of single words and shingles; all else is compared as words.
+        ids = np.array([number(w) for w in words], np.uint64)
+        n = len(words) - own.SHINGLE + 1
+        hashes = own.range_hashes(ids, np.arange(n), np.arange(n) + own.SHINGLE).tolist() if n > 0 else []
         cuts = set()
         for k in range(len(hashes) - own.SPREAD + 1):
             window = hashes[k : k + own.SPREAD]
             cuts.add(k + window.index(min(window)))
-        cuts = sorted(cuts)
-        for n, a in enumerate(cuts):
-            far = [b for b in cuts[n:] if b >= a + least - own.SHINGLE - 2 * own.SPREAD + 2][:1]
-            parts += [(i, a, b + own.SHINGLE - a, tuple(words[a : a + own.SHINGLE])) for b in far]
+        all_cuts[i] = [(c, tuple(words[c : c + own.SHINGLE])) for c in sorted(cuts)]
+        seen.update(shingle for _, shingle in all_cuts[i])
+    parts = []
+    for i in docs:
+        cuts, at = all_cuts[i], 0
+        for line in (docs[i] or "").lower().split("\n"):
+            n = len(line.split())
+            if n >= least and any(at <= c <= at + n - own.SHINGLE and seen[x] > 1 for c, x in cuts):
+                parts.append((i, at, n, None))
+            at += n
+        for k, (a, first) in enumerate(cuts):
+            far = [(b, last) for b, last in cuts[k:] if b >= a + least - own.SHINGLE - 2 * own.SPREAD + 2][:1]
+            parts += [(i, a, b + own.SHINGLE - a, (first, last)) for b, last in far if seen[first] > 1 and seen[last] > 1]
     spelled = {i: (docs[i] or "").lower().split() for i in docs}
     sets = [frozenset(tuple(spelled[i][k : k + 5]) for k in range(a, a + n - 4)) for i, a, n, _ in parts]
     root = list(range(len(parts)))
@@ -132,11 +141,11 @@ def test_more_anchors_than_the_filter_holds_are_joined(spark, monkeypatch):
 
 def test_passages_of_equal_words_are_equal_wherever_they_stand():
     rng = random.Random(2)
-    known, seen = TokenHashes(), set()
+    seen = set()
     passage = [str(rng.random()) for _ in range(70)]
     for before in (0, 1, 7, 40):
         words = [str(rng.random()) for _ in range(before)] + passage + [str(rng.random()) for _ in range(before)]
-        got = passages(borders(wrapped(words, 11), 50, known), 50, lambda h: np.ones(len(h), bool))
+        got = passages(borders(wrapped(words, 11), 50), 50, lambda h: np.ones(len(h), bool))
         seen.add(frozenset(n for a, b, n in zip(got.start.tolist(), got.end.tolist(), got.name.tolist()) if a >= before + 10 and b <= before + 60))
     assert len(seen) == 1 and len(seen.pop()) >= 1
 
