@@ -19,6 +19,8 @@ from tablewarden.llm.common import cut_lineage
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID, LENGTH = 2, 1024
+# Fixed value: the added token that the vocabulary's JSON form declares; inside a text it is one id, as its library reads it.
+SPECIAL = {"<|endoftext|>": 50256}
 PIECE_DDL = "piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 
 _LOOKAHEAD = r"\s+(?!\S)|\s+"
@@ -34,13 +36,13 @@ def _encodings(ranks: str) -> tuple[tiktoken.Encoding, tiktoken.Encoding]:
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     patterns = public_tokenizers.PATTERN, public_tokenizers.PATTERN.replace(_LOOKAHEAD, r"\s")
-    return tuple(tiktoken.Encoding(f"byte_bpe_{i}", pat_str=p, mergeable_ranks=table, special_tokens={}) for i, p in enumerate(patterns))
+    return tuple(tiktoken.Encoding(f"byte_bpe_{i}", pat_str=p, mergeable_ranks=table, special_tokens=SPECIAL) for i, p in enumerate(patterns))
 
 
 def encode(text: str, ranks: str = RANKS) -> np.ndarray:
-    """Ids as little-endian uint32; the strings of special tokens are ordinary text."""
+    """Ids as little-endian uint32; the string of the added token is that token."""
     own, plain = _encodings(ranks)
-    return (own if _TWO_SPACES.search(text) else plain).encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+    return (own if _TWO_SPACES.search(text) else plain).encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
 
 
 def cuts(n: int, length: int) -> list[tuple[int, int]]:

@@ -21,7 +21,6 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -31,6 +30,10 @@ def test_ids_equal_the_tokenizers_library(reference, text):
     assert encode(text).tolist() == reference(text)
 
 
+def test_the_added_token_is_one_id():
+    assert encode("a<|endoftext|>b").tolist() == [64, 50256, 65]
+
+
 def check_bins(rows, length):
     found = defaultdict(list)
     for r in rows:
