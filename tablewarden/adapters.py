@@ -146,6 +146,19 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+LAKE = "s3://lake/warehouse"
+
+
+def listings(spark: SparkSession, sf: str) -> DataFrame:
+    """Two nightly listings of all files as an object store lands them. The older lacks some files; both hold log files beside the data."""
+    given = files(spark, sf).selectExpr("*", "explode(array(DATE'2024-01-30', DATE'2024-01-31')) AS listed_on")
+    named = "concat('s3://lake/', CASE WHEN size_bytes % 7 = 0 THEN 'archive' ELSE 'warehouse' END, '/', table_schema, '/'"
+    log = "regexp_replace(file_path, '/part-', '/_log/')"
+    return given.filter("listed_on = DATE'2024-01-31' OR size_bytes % 3 > 0").selectExpr(
+        f"{named}, CASE WHEN size_bytes % 5 = 0 THEN {log} ELSE file_path END) AS path", "size_bytes", "modified", "listed_on"
+    )
+
+
 def _storage_tables(spark: SparkSession, sf: str) -> DataFrame:
     buckets = _read(spark, sf, "supplier").selectExpr("s_suppkey", "explode(array(0, 1, 2, 3)) AS bucket")
     return buckets.selectExpr(

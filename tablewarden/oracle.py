@@ -41,10 +41,11 @@ _LINE_TABLE = f"""
        {_STORAGE_SCHEMA.format(s="l_suppkey")} AS table_schema,
        {_STORAGE_TABLE.format(s="l_suppkey", b="(" + _BUCKET + ")")} AS table_name"""
 
+_LINE_BYTES = """CAST(floor(l_quantity * CASE l_suppkey % 5 WHEN 0 THEN 0.03::DOUBLE WHEN 1 THEN 5.0::DOUBLE ELSE 1.0::DOUBLE END
+                  * 1048576) AS BIGINT)"""
 RELATIONS["in_files"] = f"""
 SELECT {_LINE_TABLE},
-       CAST(floor(l_quantity * CASE l_suppkey % 5 WHEN 0 THEN 0.03::DOUBLE WHEN 1 THEN 5.0::DOUBLE ELSE 1.0::DOUBLE END
-                  * 1048576) AS BIGINT) AS size_bytes
+       {_LINE_BYTES} AS size_bytes
 FROM lineitem
 """
 
@@ -651,6 +652,9 @@ FINAL: dict[str, str] = {
     "snapshot_roundtrip": f"SELECT {_SNAPSHOT_TEXT}, table_type, data_source_format, CAST(created AS VARCHAR) AS created, "
     "CAST(last_altered AS VARCHAR) AS last_altered FROM monthly_columns LEFT JOIN monthly_tables "
     "USING (snapshot_date, table_schema, table_name) WHERE snapshot_date >= DATE '2001-08-01' - 90",
+    "file_inventory": f"""SELECT table_schema, table_name, 's3://lake/warehouse/' || table_schema || '/' || table_name || '/part-' || l_orderkey || '-' || l_linenumber
+      || '.parquet' AS file_path, size_bytes, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS modified
+      FROM (SELECT l_orderkey, l_linenumber, l_shipdate, {_LINE_TABLE}, {_LINE_BYTES} AS size_bytes FROM lineitem) AS f WHERE size_bytes % 7 <> 0 AND size_bytes % 5 <> 0""",
     "storage_detail": "SELECT * EXCLUDE (fqn) FROM detail",
     "small_files": "SELECT * FROM small",
     "unclustered": "SELECT * FROM large_unclustered",

@@ -19,7 +19,7 @@ from tablewarden.plans.optimization import OptimizationAnalysis
 from tablewarden.plans.report import metadata_sections, optimization_sections, report_sections
 from tablewarden.plans.sharing import Share, as_is, materialise, materialise_only
 from tablewarden.sources import catalog, logs, payloads
-from tablewarden.sources.files import storage_detail
+from tablewarden.sources.files import landed_inventory, storage_detail
 from tablewarden.state.store import (
     COLUMN_SNAPSHOT,
     RUNS,
@@ -238,6 +238,11 @@ def storage_detail_query(spark, sf):
     return _joined(_storage(spark, sf), "partition_columns", "clustering_columns")
 
 
+@query
+def file_inventory(spark, sf):
+    return _text_dates(landed_inventory(given.listings(spark, sf), given.LAKE), "modified")
+
+
 @query
 def small_files(spark, sf):
     return storage.small_files(_storage(spark, sf), CONFIG)

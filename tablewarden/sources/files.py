@@ -8,11 +8,26 @@ from tablewarden.functions.storage import avg_file_mb, size_mb
 from tablewarden.sources.catalog import TABLE_KEY
 
 
+def _below_root(listed: DataFrame, root: str) -> DataFrame:
+    """Listed files (file_path, size_bytes, modified) with the schema and table that their folders below ``root`` name."""
+    # The root is matched as plain text, wherever the file system puts its scheme.
+    # Only its first occurrence counts: a folder below it may repeat its name.
+    after_root = F.element_at(F.split("file_path", F.lit(rf"\Q{root.rstrip('/')}/\E"), 2), -1)
+    below_root = F.split(after_root, "/")
+    return listed.select(
+        F.get(below_root, F.lit(0)).alias("table_schema"),
+        F.get(below_root, F.lit(1)).alias("table_name"),
+        "file_path",
+        "size_bytes",
+        "modified",
+    )
+
+
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row per data file under ``root/<schema>/<table>/``; only the listing is read, never the content.
 
-    Spark keeps a listing on the driver, so this serves one schema or table folder at a time. Beyond a few
-    million files, read the inventory that the object store lands as a table.
+    Spark keeps a listing on the driver, so this serves one schema or table folder at a time. Beyond a few million files
+    use ``landed_inventory``.
     """
     listed = (
         spark.read.format("binaryFile")
@@ -24,17 +39,21 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
             F.col("modificationTime").alias("modified"),
         )
     )
-    # The root is matched as plain text, wherever the file system puts its scheme.
-    # Only its first occurrence counts: a folder below it may repeat its name.
-    after_root = F.element_at(F.split("file_path", F.lit(rf"\Q{root.rstrip('/')}/\E"), 2), -1)
-    below_root = F.split(after_root, "/")
-    return listed.select(
-        F.get(below_root, F.lit(0)).alias("table_schema"),
-        F.get(below_root, F.lit(1)).alias("table_name"),
-        "file_path",
-        "size_bytes",
-        "modified",
-    )
+    return _below_root(listed, root)
+
+
+def landed_inventory(listing: DataFrame, root: str) -> DataFrame:
+    """The rows of ``file_inventory`` from the listings that an object store lands as a table (path, size_bytes, modified, listed_on).
+
+    Only the newest listing under ``root`` counts, whose date is one row that is broadcast; the listing is read by tasks and never
+    held by the driver. As in a folder listing, files and folders whose names begin with a dot or an underscore are left out.
+    """
+    prefix = f"{root.rstrip('/')}/"
+    under = listing.filter(F.col("path").startswith(prefix))
+    newest = F.broadcast(under.agg(F.max("listed_on").alias("listed_on")))
+    hidden = F.substring("path", len(prefix) + 1, 1 << 30).rlike(r"(^|/)[._]")
+    listed = under.filter(~hidden).join(newest, "listed_on", "left_semi")
+    return _below_root(listed.withColumnRenamed("path", "file_path"), root)
 
 
 def storage_detail(files: DataFrame, props: DataFrame) -> DataFrame:

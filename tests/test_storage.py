@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.operators import storage
 from tablewarden.operators.topk import top_n
+from tablewarden.sources import files
 from tablewarden.sources.files import file_inventory, storage_detail
 
 FILES = "table_schema STRING, table_name STRING, file_path STRING, size_bytes BIGINT"
@@ -110,3 +111,23 @@ def test_stale_assets_by_local_date_of_an_instant(rows, cfg):
     texts = rows("n STRING, s STRING", ("old", "2023-12-02 04:59:00"), ("new", "2023-12-02 05:00:00"))
     views = texts.select(F.lit("s").alias("table_schema"), F.col("n").alias("table_name"), F.col("s").cast("timestamp").alias("last_altered"))
     assert [r.table_name for r in storage.stale_views(views, cfg).collect()] == ["old"]
+
+
+def test_landed_listings_give_what_a_folder_listing_gives(spark, rows, tmp_path):
+    root = tmp_path / "lake"
+    for name in ("s/t/part-1.parquet", "s/t/part-2.parquet", "s/t/_delta_log/0.json", "s/u/x=1/.part.crc", "s/u/x=1/part.parquet", "lake/t/part.parquet"):
+        place = root / name
+        place.parent.mkdir(parents=True, exist_ok=True)
+        place.write_bytes(b"12345")
+    listed = [(r.file_path, r.size_bytes, r.modified) for r in files.file_inventory(spark, str(root)).collect()]
+    more = [(f"file:{root}/s/t/_delta_log/0.json", 5, None), (f"file:{root}/s/u/x=1/.part.crc", 5, None), ("file:/elsewhere/s/t/part.parquet", 5, None)]
+    gone = [(f"file:{root}/s/t/part-0.parquet", 9, None)]
+    landed = rows(
+        "path STRING, size_bytes BIGINT, modified TIMESTAMP, listed_on STRING",
+        *[(*f, d) for f in [*listed, *more] for d in ("2024-01-01", "2024-01-02")], *[(*f, "2024-01-01") for f in gone], ("file:/elsewhere/a/b/c", 1, None, "2024-01-03"),
+    )
+    scheme = listed[0][0].split(str(root))[0]
+    shown = files.landed_inventory(landed, f"{scheme}{root}/")
+    want = files.file_inventory(spark, str(root))
+    assert shown.columns == want.columns and sorted(map(tuple, shown.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert shown.count() == 4 and files.landed_inventory(landed.limit(0), "file:/x").count() == 0
