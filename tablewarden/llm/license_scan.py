@@ -15,7 +15,7 @@ _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 # Phrases whose places are counted, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Notices in template markup: [[...]] may be left out, {{n}} stands for one to n words of any kind. All other words
+# Notices in template markup (a text that begins like one is accepted, whatever follows; whole bodies are below): [[...]] may be left out, {{n}} stands for one to n words of any kind. All other words
 # must be there in this order; case, punctuation and line breaks do not matter.
 TEMPLATES = [
     ("mit", "[[this {{4}} is]] released under the [[terms of the]] MIT license"),
@@ -38,8 +38,69 @@ TEMPLATES = [
     ),
     ("proprietary", "copyright {{6}} all rights reserved"),
     ("public-domain", "[[this {{3}} is]] [[released]] into the public domain"),
+    ("lgpl", "this {{3}} is licensed under the GNU lesser general public license [[version {{2}}]]"),
+    ("lgpl", "free software you can redistribute it and or modify it under the terms of the GNU lesser general public license [[as published by the free software foundation]]"),
+    ("mpl", "subject to the terms of the Mozilla public license [[v {{2}}]] [[version {{2}}]]"),
+    ("epl", "made available under the terms of the Eclipse public license [[v {{2}}]] [[{{2}}]]"),
 ]
 
+_NO_WARRANTY = (
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability "
+    "fitness for a particular purpose and [[noninfringement]] [[non infringement]] in no event shall {{12}} be liable for any claim damages or other liability whether in an "
+    "action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+)
+_SOLE_RISK = (
+    "the software is provided as is and {{12}} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness "
+    "in no event shall {{12}} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+    "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"
+)
+
+# Whole license bodies, from the first word of the grant to the last of the disclaimer. A body in which a mandatory
+# word is altered, left out or added is not accepted; its opening may still be, as a notice above.
+BODIES = [
+    (
+        "mit-text",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files [[the software]] "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+        "copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software "
+        + _NO_WARRANTY,
+    ),
+    (
+        "bsd-text",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "[[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "[[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation "
+        "and or other materials provided with the distribution [[ [[3]] neither the name of {{12}} nor the names of {{6}} contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission ]] this software is provided by {{12}} as is and any express or implied warranties including "
+        "but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{12}} be liable for any direct "
+        "indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or "
+        "business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way "
+        "out of the use of this software even if advised of the possibility of such damage",
+    ),
+    (
+        "isc-text",
+        "permission to use copy modify [[and]] [[or]] distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies " + _SOLE_RISK,
+    ),
+    ("0bsd-text", "permission to use copy modify [[and]] [[or]] distribute this software for any purpose with or without fee is hereby granted " + _SOLE_RISK),
+    (
+        "unlicense-text",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in "
+        "source code form or as a compiled binary for any purpose commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or "
+        "authors of this software dedicate any and all copyright interest in the software to the public domain we make this dedication for the benefit of the public at large and "
+        "to the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+        "software under copyright law " + _NO_WARRANTY,
+    ),
+    (
+        "apache-text",
+        "licensed under the Apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at "
+        "{{8}} unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions "
+        "of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    ),
+]
+TEMPLATES += BODIES
+
 
 def tokens(text: bytes | None) -> list[bytes]:
     """Lower-cased words; a null text has none."""

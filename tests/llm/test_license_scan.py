@@ -5,7 +5,7 @@ import re
 import pytest
 
 from tablewarden.llm.common import table
-from tablewarden.llm.license_scan import PHRASES, compile_template, license_scan, scan, tokens
+from tablewarden.llm.license_scan import BODIES, PHRASES, compile_template, license_scan, scan, tokens
 from tablewarden.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -71,3 +71,77 @@ def test_odd_rows(rows):
     got = sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in license_scan(docs).collect()), key=str)
     assert got == sorted([(None, 4, 2, 0, 2, "cc-by"), *[(1, 0, 0, None, None, "")] * 3, (2, 50001, 1, 49999, 49999, "cc-by")], key=str)
     assert license_scan(docs.limit(0)).count() == 0
+
+
+# A body as it is published: numbered clauses, names, quotes and line breaks.
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.{third}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE
+LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+THIRD = "\n3. Neither the name of the Example Group nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        (MIT, "mit-text"),
+        ("MIT License\n\nCopyright (c) 2020 A. Person\n\n" + MIT + "\n\nMore words.", "mit-text"),
+        (BSD.format(third=""), "bsd-text"),
+        (BSD.format(third=THIRD), "bsd-text"),
+    ],
+)
+def test_whole_bodies(text, label):
+    assert label in scan(text.encode())["labels"].split(",")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        MIT.replace("without restriction", "without commercial restriction"),
+        MIT.replace("use, copy, modify", "use, copy"),
+        MIT.replace(" The above copyright", " No fee may be charged. The above copyright").replace("\nThe above copyright", "\nNo fee may be charged. The above copyright"),
+        MIT[: len(MIT) // 2],
+        BSD.format(third=THIRD.replace("without specific", "with or without specific")),
+        BSD.format(third="").replace("are permitted provided that", "are permitted for non-commercial purposes only provided that"),
+        "Redistribution and use in source and binary forms, with or without modification, are permitted for non-commercial purposes only after payment",
+    ],
+)
+def test_altered_bodies_are_rejected(text):
+    assert not [x for x in scan(text.encode())["labels"].split(",") if x.endswith("-text")]
+
+
+def test_every_body_accepts_itself_and_no_part_of_itself():
+    for label, markup in BODIES:
+        words = re.sub(r"\{\{\d+\}\}", "someone", re.sub(r"\[\[|\]\]", "", markup)).split()
+        assert label in scan(" ".join(words).encode())["labels"].split(","), label
+        for left_out in (0, len(words) // 3, len(words) - 1):
+            rest = [w for i, w in enumerate(words) if i != left_out]
+            assert label not in scan(" ".join(rest).encode())["labels"].split(",") or words[left_out] in ("1", "2", "3"), (label, words[left_out])
+
+
+def test_other_notices():
+    assert scan(b"This library is licensed under the GNU Lesser General Public License, version 2.1.")["labels"] == "gpl,lgpl"
+    assert scan(b"subject to the terms of the Mozilla Public License, v. 2.0.")["labels"] == "mpl"
