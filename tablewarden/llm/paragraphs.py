@@ -222,7 +222,8 @@ def repeated_passages(
 
     Words are numbered from 0. Passages are the lines of at least ``least`` words and, over all line breaks, word ranges
     between content-defined borders (see ``Passages``); they overlap, so that every run of ``least`` words that occurs again
-    holds one. A cluster is a component of links of at least ``similarity``; its first member (smallest key, then row, then
+    holds one. Lines meet by their bands, the others by the words at both of their ends; what meets is compared exactly. A
+    cluster is a component of links of at least ``similarity``; its first member (smallest key, then row, then
     start) stays and the others are to be removed. Equal passages are one node and never paired. Null and empty texts have no
     passages; a null key is larger than any other; repeated rows repeat their passages; other columns are ignored; an empty
     table gives an empty result.
@@ -245,43 +246,45 @@ def repeated_passages(
     again = cut_lineage(counted.filter("_n > 1").select("_anchor"))
     repeated = _Among(again, "_anchor")
 
+    def fresh(told: set[int], own: Passages, where: np.ndarray) -> list[int]:
+        """Places of the passages that a task has not told yet; what it has told is forgotten now and then."""
+        out = []
+        for i in np.flatnonzero(where).tolist():
+            if (name := int(own.name[i])) not in told:
+                if len(told) >= TOLD:
+                    told.clear()
+                told.add(name)
+                out.append(i)
+        return out
+
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[int] = set()
         for part, found in each_slice(batches, 2):
             own = [passages(f, least, repeated.marks) for f in found]
+            sets, shown = [], []
+            for f, o in zip(found, own):
+                new = np.zeros(len(o.start), bool)
+                new[places := fresh(told, o, o.group == 0)] = True
+                shown.append(new)
+                sets += [f.hashes[o.start[i] : o.end[i] - SHINGLE + 1] for i in places]
+            keys = band_keys(sets, bands, rows)
+            new = np.concatenate(shown)
+            ends = np.concatenate(([0], np.cumsum(np.where(new, bands, 0)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()), mask=pa.array(~new))
             taken = pa.array(np.repeat(np.arange(len(own)), [len(o.start) for o in own]))
             start, end, *hashes = (np.concatenate([getattr(o, f) for o in own]) for f in ("start", "end", "name", "group", "first", "last"))
             arrays = [part.column(0).take(taken), part.column(1).take(taken), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), *(pa.array(h.view(np.int64)) for h in hashes)]
-            yield pa.RecordBatch.from_arrays(arrays, ["_id", "_row", "_start", "_words", "_pid", "_group", "_first", "_last"])
+            yield pa.RecordBatch.from_arrays([*arrays, lists], ["_id", "_row", "_start", "_words", "_pid", "_group", "_first", "_last", "_bands"])
 
-    found = given.mapInArrow(occurrences, f"_id {kind}, _row BIGINT, _start INT, _words INT, _pid BIGINT, _group BIGINT, _first BIGINT, _last BIGINT")
+    found = given.mapInArrow(occurrences, f"_id {kind}, _row BIGINT, _start INT, _words INT, _pid BIGINT, _group BIGINT, _first BIGINT, _last BIGINT, _bands ARRAY<BIGINT>")
     for end in ("_first", "_last"):
         found = repeated.exactly(found, end, ["_row", "_start"], F.col("_group") == 0)
     found = cut_lineage(found.drop("_first", "_last"))
-    # Where all passages of a group are equal there is nothing to compare.
-    mixed = found.groupBy("_group").agg(F.min("_pid").alias("_low"), F.max("_pid").alias("_high")).filter("_low <> _high").select("_group")
-    compared = _Among(cut_lineage(mixed), "_group")
-
-    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: set[int] = set()
-        for _, found in each_slice(batches, 0):
-            names, groups, sets = [], [], []
-            for f in found:
-                own = passages(f, least, repeated.marks)
-                for i in np.flatnonzero(compared.marks(own.group)).tolist():
-                    # A task tells a passage once; what it has told is forgotten now and then.
-                    if (name := int(own.name[i])) not in told:
-                        if len(told) >= TOLD:
-                            told.clear()
-                        told.add(name)
-                        names.append(name)
-                        groups.append(own.group[i])
-                        sets.append(f.hashes[own.start[i] : own.end[i] - SHINGLE + 1])
-            keys = band_keys(sets, bands, rows) ^ np.array(groups, np.uint64)[:, None]
-            lists = pa.ListArray.from_arrays(pa.array(range(0, bands * len(names) + 1, bands), pa.int32()), pa.array(keys.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(np.array(groups, np.uint64).view(np.int64)), lists], ["_pid", "_group", "_bands"])
-
-    told = compared.exactly(given.select("_text").mapInArrow(banded, "_pid BIGINT, _group BIGINT, _bands ARRAY<BIGINT>"), "_group", ["_pid"])
-    members = cut_lineage(told.groupBy("_pid").agg(F.first("_bands").alias("_bands"))).select("_pid", F.explode("_bands").alias("_key"))
+    told = found.filter("_bands IS NOT NULL").groupBy("_pid").agg(F.first("_bands").alias("_bands")).select("_pid", F.explode("_bands").alias("_key"))
+    # A line meets others by its bands; a passage across lines those with the same ends, where they are not all equal.
+    across = found.filter("_group <> 0").select("_pid", "_group").distinct()
+    mixed = across.groupBy("_group").agg(F.min("_pid").alias("_low"), F.max("_pid").alias("_high")).filter("_low <> _high").select("_group")
+    members = cut_lineage(told.unionByName(spread_join(across, mixed, ["_group"], ["_pid"], "inner").select("_pid", F.col("_group").alias("_key"))))
     picked = cut_lineage(one_bucket_per_set(members, "_key", "_pid", {}, F.lit(True)))
     dealt = cut_lineage(in_blocks(members, picked, "_key", "_pid", PART).select("_g", "_pid"))
     wanted = _Among(cut_lineage(dealt.select("_pid").distinct()), "_pid")
@@ -292,13 +295,9 @@ def repeated_passages(
             names, sets = [], []
             for f in found:
                 own = passages(f, least, repeated.marks)
-                for i in np.flatnonzero(compared.marks(own.group) & wanted.marks(own.name)).tolist():
-                    if (name := int(own.name[i])) not in told:
-                        if len(told) >= TOLD:
-                            told.clear()
-                        told.add(name)
-                        names.append(name)
-                        sets.append(np.unique(f.hashes[own.start[i] : own.end[i] - SHINGLE + 1]).view(np.int64))
+                for i in fresh(told, own, wanted.marks(own.name)):
+                    names.append(own.name[i])
+                    sets.append(np.unique(f.hashes[own.start[i] : own.end[i] - SHINGLE + 1]).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], ["_pid", "_set"])
 
     # The words of the passages that meet another one, read again rather than stored for all.
@@ -306,11 +305,15 @@ def repeated_passages(
     edges = link_groups(dealt.join(sets, "_pid").select("_g", "_pid", "_set"), "_g", _verify(similarity))
     roots = connected_components(edges).select(F.col("node").alias("_pid"), "root")
     classes = found.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_start").alias("start"))).alias("_first"))
-    rooted = classes.join(roots, "_pid", "left").withColumn("root", F.coalesce("root", "_pid"))
-    clusters = rooted.groupBy("root").agg(F.sum("_n").alias("n_members"), F.min("_first").alias("_kept")).filter("n_members > 1")
-    of_pid = spread_join(rooted.select("_pid", "root"), clusters, ["root"], ["_pid"], "inner")
+    # Only the passages that are linked to different ones take part in components; all others are clusters by themselves.
+    rooted = classes.join(roots, "_pid", "left")
+    linked = rooted.filter("root IS NOT NULL")
+    clusters = linked.groupBy("root").agg(F.sum("_n").alias("n_members"), F.min("_first").alias("_kept"))
+    of_pid = spread_join(linked.select("_pid", "root"), clusters, ["root"], ["_pid"], "inner").select("_pid", "root", "n_members", "_kept")
+    alone = rooted.filter("root IS NULL AND _n > 1").select("_pid", F.col("_pid").alias("root"), F.col("_n").alias("n_members"), F.col("_first").alias("_kept"))
+    of_pid = of_pid.unionByName(alone)
     stays = (F.col("_row") == F.col("_kept.row")) & (F.col("_start") == F.col("_kept.start"))
-    return spread_join(found.drop("_group"), of_pid, ["_pid"], ["_row"], "inner").select(
+    return spread_join(found.drop("_group", "_bands"), of_pid, ["_pid"], ["_row"], "inner").select(
         F.col("_id").alias(key), F.col("_start").alias("start"), F.col("_words").alias("n_words"), F.col("root").alias("cluster_id"), "n_members",
         F.col("_kept.id").alias("kept_doc"), F.col("_kept.start").alias("kept_start"), (~stays).alias("removed"),
     )
