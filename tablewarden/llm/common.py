@@ -61,18 +61,18 @@ def rolling(tokens: list[str], n: int, known: TokenHashes) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def filter_bits(hashes: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of the low bits of all hashes. It is merged in tasks; the driver gets 2**FILTER_BITS bits, never more."""
-    low = F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+def filter_bits(hashes: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bitmap of the low bits of all hashes. It is merged in tasks; the driver gets 2**bits bits, never more."""
+    low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     words = hashes.select(low.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS INT))")).alias("bits")).toPandas()
-    bits = np.zeros(1 << FILTER_BITS - 6, np.int64)
-    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return bits.view(np.uint8)
+    out = np.zeros(1 << bits - 6, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out.view(np.uint8)
 
 
 def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Places of the hashes that may be in the bitmap; none that is in it is missed."""
-    slot = (hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    slot = (hashes & np.uint64(8 * len(bits) - 1)).astype(np.int64)
     return np.nonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)[0]
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewarden.llm.common import FILTER_BITS, TokenHashes, cut_lineage, filter_bits, in_blocks, link_groups, one_bucket_per_set, passes, rolling, spread_join
+from tablewarden.llm.common import TokenHashes, cut_lineage, filter_bits, in_blocks, link_groups, one_bucket_per_set, passes, rolling, spread_join
 from tablewarden.llm.components import connected_components
 
 # Paragraphs of fewer words are no passages. Two are near-equal if their sets of five-word shingles are this similar.
@@ -24,8 +24,8 @@ SPREAD = 10
 SLICE, TOLD, PART = 128, 1 << 17, 1024
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-# Up to so many anchors the filter of 2**FILTER_BITS bits rejects most others: one bit in eight is set at most.
-MOST_FILTERED = 1 << FILTER_BITS - 3
+# A bitmap has eight bits or more for each of its hashes; it has 2**27 bits (16 MB in a task) at most.
+MOST_FILTERED = 1 << 24
 _FORTH, _MIX = np.uint64(0xD1342543DE82EF95), np.uint64(0x9FB21C651E98DF25)
 _BACK = np.uint64(pow(int(_FORTH), -1, 1 << 64))
 
@@ -192,7 +192,8 @@ class _Among:
 
     def __init__(self, hashes: DataFrame, column: str):
         self._hashes, self._column = hashes, column
-        self.bits = filter_bits(hashes, column) if hashes.count() <= MOST_FILTERED else None
+        size = hashes.count()
+        self.bits = filter_bits(hashes, column, max(16, (size * 8 - 1).bit_length())) if size <= MOST_FILTERED else None
 
     def __getstate__(self) -> dict:
         return {"bits": self.bits}
@@ -313,7 +314,8 @@ def repeated_passages(
     alone = rooted.filter("root IS NULL AND _n > 1").select("_pid", F.col("_pid").alias("root"), F.col("_n").alias("n_members"), F.col("_first").alias("_kept"))
     of_pid = of_pid.unionByName(alone)
     stays = (F.col("_row") == F.col("_kept.row")) & (F.col("_start") == F.col("_kept.start"))
-    return spread_join(found.drop("_group", "_bands"), of_pid, ["_pid"], ["_row"], "inner").select(
+    # Both sides are exchanged for this join, so that adaptive execution can split a passage that stands in very many texts.
+    return found.drop("_group", "_bands").join(of_pid, "_pid").select(
         F.col("_id").alias(key), F.col("_start").alias("start"), F.col("_words").alias("n_words"), F.col("root").alias("cluster_id"), "n_members",
         F.col("_kept.id").alias("kept_doc"), F.col("_kept.start").alias("kept_start"), (~stays).alias("removed"),
     )
