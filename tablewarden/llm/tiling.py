@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tablewarden.llm.common import CONTENT, TokenHashes, as_before, content_key, cut_lineage, filter_bits, in_all_tasks, packed, passes, rolling, spread_join
 
@@ -98,9 +98,30 @@ def tile(pairs: list[tuple[int, int, int]], item_words: int) -> tuple[int, int]:
     return covered, tiles
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH) -> DataFrame:
+def _candidates(found: DataFrame, seeds: DataFrame, ids: list[str], min_match: int, coverage: float) -> DataFrame:
+    """(ids, _passage) of the texts that may hold ``coverage`` of a passage.
+
+    Tiles that cover so many words hold a fifth as many seeds of the passage (``min_match`` = 5), so of all seeds but that many, less
+    one, some seed is among them. Those left out are the ones that most texts and passages share: an opening that thousands of
+    items have in common joins nothing by itself.
+    """
+    used = found.groupBy("_seed").agg(F.count(F.lit(1)).alias("_texts"))
+    shared = seeds.groupBy("_seed").agg(F.count(F.lit(1)).alias("_items"))
+    own = seeds.select("_passage", "_seed", "_at", "_words").distinct().join(shared, "_seed").join(used, "_seed", "left")
+    weight = F.coalesce("_texts", F.lit(0)) * F.col("_items")
+    held = F.greatest(F.col("_words") - F.lit(min_match) + 1, F.lit(1))
+    needed = F.greatest(F.ceil(F.col("_words") * F.lit(coverage) / F.lit(min_match)), F.lit(1))
+    # The seeds of one passage: bounded by its length.
+    rank = F.row_number().over(W.partitionBy("_passage").orderBy(weight, "_at"))
+    rare = own.withColumn("_rank", rank).filter(F.col("_rank") <= held - needed + 1).select("_seed", "_passage")
+    return found.select(*ids, "_seed").join(rare, "_seed").select(*ids, "_passage").distinct()
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH, coverage: float = 0.0) -> DataFrame:
     """``ids``, _item, covered, tiles, item_words for every text and item that share a seed of ``min_match`` words.
 
+    With ``coverage`` only those are looked at whose tiles may cover that share of the item, see ``_candidates``.
+
     Every distinct text of an item is looked for by itself; a text without an item id too, with a null ``_item``, unless an item has
     the same text. Items of fewer words are seeds as a whole; items without a word match nothing. ``ids`` tell texts apart; rows with equal
     ``ids`` and equal texts are looked at once.
@@ -133,7 +154,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], text: str =
     seeds = cut_lineage(seeds)
     bits = filter_bits(seeds, "_hash")
     found = cut_lineage(_seeds(docs.select(*ids, F.col(text).cast("string").alias("_text")), ids, lengths, bits).distinct())
-    matched = found.join(seeds.select("_seed", "_item", "_passage", F.col("_words").alias("_size"), F.col("_at").alias("_place")), "_seed")
+    places = seeds.select("_seed", "_item", "_passage", F.col("_words").alias("_size"), F.col("_at").alias("_place"))
+    if coverage:
+        near = _candidates(found, seeds, ids, min_match, coverage)
+        # A pair brings the seeds of its passage, and meets those that its text holds.
+        held = found.select(*[F.col(c).alias(f"_own{i}") for i, c in enumerate(ids)], F.col("_seed").alias("_found"), "_at", "_n")
+        same = [F.col(c).eqNullSafe(F.col(f"_own{i}")) for i, c in enumerate(ids)]
+        matched = near.join(places, "_passage").join(held, [*same, F.col("_seed") == F.col("_found")]).select(*ids, "_item", "_passage", "_size", "_place", "_at", "_n")
+    else:
+        matched = found.join(places, "_seed")
 
     def greedy(rows: pd.DataFrame) -> pd.DataFrame:
         first = rows.iloc[:1]
@@ -155,13 +184,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """
     # Numbers that are made and stored in one pass; repeated rows stay apart.
     rows = docs.select(F.col(key).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_t"))
-    found = overlaps(rows, benchmark, ["_id", "_row"], "_t", item, item_text).filter(F.col("covered") >= coverage * F.col("item_words"))
+    found = overlaps(rows, benchmark, ["_id", "_row"], "_t", item, item_text, coverage=coverage).filter(F.col("covered") >= coverage * F.col("item_words"))
     return found.select(F.col("_id").alias(key), F.col("_item").alias(item), "covered", "tiles", "item_words", (F.col("covered") / F.col("item_words")).alias("coverage"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``docs`` in which no test item is found."""
     whole = packed(docs, _t=text, **content_key(text))
-    found = overlaps(whole, benchmark, CONTENT, "_t", item, item_text).filter(F.col("covered") >= coverage * F.col("item_words"))
+    found = overlaps(whole, benchmark, CONTENT, "_t", item, item_text, coverage=coverage).filter(F.col("covered") >= coverage * F.col("item_words"))
     # One text may be that of very many rows.
     return as_before(spread_join(whole, found.select(*CONTENT).distinct(), CONTENT, ["_doc"], "left_anti"), docs)

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 from tablewarden.llm.common import table
 from tablewarden.llm.queries import QUERIES
-from tablewarden.llm.tiling import contaminated, tile, without_leaks, words
+from tablewarden.llm import tiling
+from tablewarden.llm.tiling import contaminated, overlaps, tile, without_leaks, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -81,6 +82,30 @@ def test_reordered_short_and_odd_rows(rows):
     assert without_leaks(docs, bench.limit(0)).count() == 8
 
 
+def test_pairs_that_cannot_be_covered_are_not_looked_at(rows):
+    """Items with one opening: a text with that opening meets none of them, and what covers an item is never lost."""
+    import random
+
+    rng = random.Random(9)
+    opening = [f"o{i}" for i in range(8)]
+    items = [[*opening, *(f"q{k}w{i}" for i in range(rng.randint(25, 40)))] for k in range(40)] + [[f"s{k}" for k in range(n)] for n in range(1, 8)]
+    texts = [opening, [*opening, "and", "so", "on"]]
+    for item in items:
+        cut = rng.randint(0, len(item))
+        texts.append([*item[cut:], "x", "y", *item[:cut]])
+        texts.append([w if rng.random() < 0.93 else "changed" for w in item])
+        texts.append(item[: len(item) * 4 // 5])
+    bench = rows("item_id BIGINT, text STRING", *[(k, " ".join(i)) for k, i in enumerate(items)])
+    docs = rows("doc_id BIGINT, text STRING", *[(k, " ".join(t)) for k, t in enumerate(texts)])
+    for coverage in (0.5, 0.8, 1.0):
+        every = overlaps(docs, bench, ["doc_id"]).filter(f"covered >= {coverage} * item_words")
+        pruned = overlaps(docs, bench, ["doc_id"], coverage=coverage)
+        assert sorted(map(tuple, pruned.filter(f"covered >= {coverage} * item_words").collect())) == sorted(map(tuple, every.collect())) != []
+        # The opening holds four seeds; all are left out where more are needed to cover an item of 33 words or more.
+        assert coverage < 0.8 or pruned.filter("doc_id < 2").count() == 0
+    assert tiling.MIN_MATCH == 5 and overlaps(docs, bench, ["doc_id"]).filter("doc_id < 2").count() == 80
+
+
 def test_every_benchmark_text_is_looked_for(rows):
     one, two, three = (" ".join(f"{w}{i}" for i in range(12)) for w in "abc")
     bench = rows("item_id BIGINT, text STRING", (1, one), (1, two), (1, two), (None, three), (None, one))
