@@ -112,6 +112,9 @@ def passages(found: Borders, least: int, repeated: Callable[[np.ndarray], np.nda
     reach = np.searchsorted(found.at, found.at + least - SHINGLE - 2 * SPREAD + 2)
     whole = again & np.append(again, False)[reach]
     start, last = found.at[whole], found.at[reach[whole]]
+    # Of passages of one text that begin with the same words and share their end the longest stands for all.
+    longest = np.sort(np.unique(found.hashes[start] * _MIX ^ last.astype(np.uint64), return_index=True)[1])
+    start, last = start[longest], last[longest]
     marked = np.concatenate(([0], np.cumsum(again)))
     inside = marked[np.searchsorted(found.at, found.lines[:, 1] - SHINGLE, side="right")] > marked[np.searchsorted(found.at, found.lines[:, 0])]
     lines = found.lines[inside]

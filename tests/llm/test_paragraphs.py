@@ -41,8 +41,12 @@ def slow(docs, least=50):
             if n >= least and any(at <= c <= at + n - own.SHINGLE and seen[x] > 1 for c, x in cuts):
                 parts.append((i, at, n, None))
             at += n
+        shared = set()
         for k, (a, first) in enumerate(cuts):
             far = [(b, last) for b, last in cuts[k:] if b >= a + least - own.SHINGLE - 2 * own.SPREAD + 2][:1]
+            if far and (far[0][0], first) in shared:
+                continue
+            shared.update((b, first) for b, _ in far)
             parts += [(i, a, b + own.SHINGLE - a, (first, last)) for b, last in far if seen[first] > 1 and seen[last] > 1]
     spelled = {i: (docs[i] or "").lower().split() for i in docs}
     sets = [frozenset(tuple(spelled[i][k : k + 5]) for k in range(a, a + n - 4)) for i, a, n, _ in parts]
