@@ -18,8 +18,9 @@ MIN_WORDS, SHINGLE, SIMILARITY = 50, 5, 0.8
 # Paragraphs as similar as that meet in a band with probability 1 - (1 - 0.8**4)**16 = 0.9998, more similar ones more surely.
 BANDS, ROWS = 16, 4
 CHUNK = 1 << 12
-# A border is the least of so many shingle hashes in a row.
-SPREAD = 10
+# A border is the least of so many shingle hashes in a row. The wider, the fewer passages and the shorter: of 50 words in a row, one
+# of 24 words or more is found.
+SPREAD = 14
 # Texts that are held at once; passages whose words a task remembers to have told; members of a bucket that meet in one group.
 SLICE, TOLD, PART = 128, 1 << 17, 1024
 _SPACE = np.zeros(256, bool)
@@ -288,7 +289,7 @@ def repeated_passages(
     # A line meets others by its bands; a passage across lines those with the same ends, where they are not all equal.
     across = found.filter("_group <> 0").select("_pid", "_group").distinct()
     mixed = across.groupBy("_group").agg(F.min("_pid").alias("_low"), F.max("_pid").alias("_high")).filter("_low <> _high").select("_group")
-    members = cut_lineage(told.unionByName(spread_join(across, mixed, ["_group"], ["_pid"], "inner").select("_pid", F.col("_group").alias("_key"))))
+    members = cut_lineage(told.unionByName(across.join(mixed, "_group").select("_pid", F.col("_group").alias("_key"))))
     picked = cut_lineage(one_bucket_per_set(members, "_key", "_pid", {}, F.lit(True)))
     dealt = cut_lineage(in_blocks(members, picked, "_key", "_pid", PART).select("_g", "_pid"))
     wanted = _Among(cut_lineage(dealt.select("_pid").distinct()), "_pid")
