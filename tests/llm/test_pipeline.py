@@ -43,3 +43,18 @@ def test_stages_keep_the_columns_of_documents(spark):
     docs = table(spark, SF, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).schema.names == docs.schema.names
+
+
+def test_odd_rows_and_empty_tables(spark, rows, tmp_path):
+    def land(name, *documents):
+        folder = tmp_path / name
+        rows("doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT", *documents).coalesce(1).write.parquet(str(folder / "documents.parquet"))
+        rows("doc_id BIGINT, quality INT, toxic INT").coalesce(1).write.parquet(str(folder / "labels.parquet"))
+        rows("item_id BIGINT, text STRING", (None, None), (1, "")).coalesce(1).write.parquet(str(folder / "benchmark.parquet"))
+        return str(folder)
+
+    one, two = "a text of some words that nobody else has written down", "quite another text with words of its own in it"
+    given = [(1, one, "en", None, None), (1, one, None, "s", 3), (4, None, None, None, None), (3, "", "en", "s", 0), (None, two, "en", "s", 1)]
+    out = corpus_pipeline.run(spark, land("odd", *given)).collect()
+    assert sorted((str(r.doc_id), r.length) for r in out) == sorted([("1", len(encode(one)) + 1), ("3", 1), ("None", len(encode(two)) + 1)])
+    assert corpus_pipeline.run(spark, land("none")).count() == 0
