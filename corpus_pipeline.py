@@ -49,7 +49,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage but the last is written to the shared folder and read again."""
+    """All stages over ``documents``; every stage but the last is written to the shared folder and read again.
+
+    Null and empty texts are documents like any other: the classifier scores them, at most one of them stays after the
+    near-duplicates, and it packs as the end id alone. Of rows that repeat an id and text one stays; a null id is kept.
+    Without usable labels the classifier keeps all; an empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
