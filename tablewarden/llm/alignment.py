@@ -17,7 +17,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tablewarden.llm.common import cut_lineage, in_all_tasks, spread_join
+from tablewarden.llm.common import bounded_batches, cut_lineage, in_all_tasks, spread_join
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -174,7 +174,7 @@ def aligned_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", ran
     to the blocks that hold the pair, and each block is finished with its own pairs only.
     """
     kind = docs.schema[key].dataType.simpleString()
-    given = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
+    given = bounded_batches(docs).select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
     shift, low = bits(byte_level(ranks)) + bits(piece_level(model)), bits(piece_level(model))
     stored = f"_id {kind}, _block BIGINT, _whole BOOLEAN, n_a BIGINT, n_b BIGINT, n_groups BIGINT, n_links BIGINT, groups_sha256 STRING, _pairs ARRAY<BIGINT>"
     names = [c.split()[0] for c in stored.split(", ")]

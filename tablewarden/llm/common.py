@@ -20,6 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of texts that go to a Python worker at once. The session's default, 10,000, are some 30 MB on both sides, twice with whole rows.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session now hands rows to Python in batches of ``BATCH_ROWS`` at most; a smaller setting of its own stays."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def map_texts(df: DataFrame, keep: list[str], text: str, each: Callable[[list[bytes | None]], dict], ddl: str) -> DataFrame:
     """``keep`` and the columns that ``each`` makes of a batch's texts (UTF-8 bytes or None), a row for a row."""
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema] + [ddl])
@@ -30,7 +42,7 @@ def map_texts(df: DataFrame, keep: list[str], text: str, each: Callable[[list[by
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(v) if not isinstance(v, pa.Array) else v for v in made.values()]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *made])
 
-    return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return bounded_batches(df).select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 # Bits of the filters that reject most hashes of a big table before a join: 2 MB, whatever the size of the other table.

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tablewarden.llm.common import as_before, packed
+from tablewarden.llm.common import as_before, bounded_batches, packed
 
 PASSAGE = 64
 # Labelled rows that the driver fits on: a documented bound, taken by the smallest hashes of the keys.
@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             made = [passages(t).ravel() for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.list_(pa.float32()))], ["_id", "_label", "_bag"])
 
-    found = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text")).join(F.broadcast(chosen), "_id")
+    found = bounded_batches(docs).select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text")).join(F.broadcast(chosen), "_id")
     kind = docs.schema[key].dataType.simpleString()
     # Repeated rows of a chosen key are fitted once.
     got = found.mapInArrow(bags, f"_id {kind}, _label INT, _bag ARRAY<FLOAT>").dropDuplicates(["_id"]).orderBy("_id").toPandas()
@@ -175,7 +175,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", le
             out = pa.RecordBatch.from_arrays(arrays, [*keep, "_score"])
             yield out if least is None else out.filter(pa.array(got >= least))
 
-    return docs.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return bounded_batches(docs).select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

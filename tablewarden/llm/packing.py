@@ -15,7 +15,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tablewarden.llm.binplan import Plan, complete_bins
-from tablewarden.llm.common import cut_lineage
+from tablewarden.llm.common import bounded_batches, cut_lineage
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID, LENGTH = 2, 1024
@@ -70,7 +70,7 @@ def pieces(docs: DataFrame, key: str, text: str, ranks: str, length: int) -> Dat
             arrays = [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *arrays], ["_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text")).mapInArrow(run, f"_id {kind}, {PIECE_DDL}")
+    return bounded_batches(docs).select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text")).mapInArrow(run, f"_id {kind}, {PIECE_DDL}")
 
 
 def places(plan: Plan) -> list[tuple[int, int, int, int, int, int]]:

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewarden.llm.common import TokenHashes, cut_lineage, filter_bits, in_blocks, link_groups, one_bucket_per_set, passes, rolling, spread_join
+from tablewarden.llm.common import TokenHashes, bounded_batches, cut_lineage, filter_bits, in_blocks, link_groups, one_bucket_per_set, passes, rolling, spread_join
 from tablewarden.llm.components import connected_components
 
 # Paragraphs of fewer words are no passages. Two are near-equal if their sets of five-word shingles are this similar.
@@ -234,7 +234,7 @@ def repeated_passages(
     table gives an empty result.
     """
     # Rows are numbered and their passages stored in one pass: the numbers are never made a second time.
-    given = docs.select(F.col(key).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(text).cast("string").alias("_text"))
+    given = bounded_batches(docs).select(F.col(key).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(text).cast("string").alias("_text"))
     kind = docs.schema[key].dataType.simpleString()
 
     def each_slice(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[Borders]]]:

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tablewarden.llm.common import CONTENT, TokenHashes, as_before, content_key, cut_lineage, filter_bits, in_all_tasks, packed, passes, rolling, spread_join
+from tablewarden.llm.common import CONTENT, TokenHashes, as_before, bounded_batches, content_key, cut_lineage, filter_bits, in_all_tasks, packed, passes, rolling, spread_join
 
 # A tile has this many words at least; a test item is found in a document if its tiles cover this share of its words.
 MIN_MATCH, COVERAGE = 5, 0.8
@@ -47,7 +47,7 @@ def _seeds(df: DataFrame, names: list[str], lengths: list[int], bits: np.ndarray
                 [*names, "_at", "_n", "_seed", "_hash"],
             )
 
-    return df.select(*names, "_text").mapInArrow(run, schema)
+    return bounded_batches(df).select(*names, "_text").mapInArrow(run, schema)
 
 
 def tile(pairs: list[tuple[int, int, int]], item_words: int) -> tuple[int, int]:
