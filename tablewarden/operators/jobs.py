@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewarden.config import WatchConfig
 from tablewarden.functions.schedule import schedule_label
 from tablewarden.functions.times import et_label, run_minutes, run_ms
-from tablewarden.operators.joins import spread_join
 from tablewarden.operators.topk import latest_per_key
 
 MS_PER_DAY = 86_400_000
@@ -112,8 +111,9 @@ def period_failures(runs: DataFrame, jobs: DataFrame, cfg: WatchConfig, since: d
         F.bround(run_minutes(F.col("start_time"), F.col("end_time")), 1).alias("duration"),
         et_label(F.col("start_time"), cfg).alias("date"),
     )
-    # One job may have most of the failures.
-    return spread_join(failures, jobs.select("job_id", F.col("name").alias("job_name")), ["job_id"], ["run_id"], "inner")
+    # Joined without copies of the jobs: a few jobs are broadcast as they are, many are exchanged, where AQE splits a job with most of
+    # the failures.
+    return failures.join(jobs.select("job_id", F.col("name").alias("job_name")), "job_id")
 
 
 def tenths(column: str) -> Column:

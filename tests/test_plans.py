@@ -115,6 +115,21 @@ def test_a_landed_document_is_parsed_once(rows):
     assert plan(payloads.lineage_from_payload(landed)).count("from_json") == 1
 
 
+def test_failures_meet_each_job_once(spark, rows):
+    """A broadcast of copied jobs takes a task's memory several times over."""
+    given_jobs = given.jobs(spark, SF)
+    found = jobs.period_failures(given.runs(spark, SF), given_jobs, CONFIG, given.SINCE)
+    assert "Generate" not in plan(found) and "_part" not in plan(found)
+    held = rows("job_id BIGINT, name STRING", (1, "one"), (None, "none"))
+    runs = rows(
+        "job_id BIGINT, run_id BIGINT, start_time BIGINT, end_time BIGINT, result_state STRING, state_message STRING, run_page_url STRING",
+        *[(job, run, CONFIG.as_of_ms, 0, "FAILED", "x", "") for job, run in ((1, 1), (1, 1), (1, None), (2, 2), (None, 3))],
+    )
+    kept = jobs.period_failures(runs, held, CONFIG, given.SINCE).collect()
+    # Every run of a known job, one without an id too.
+    assert sorted((r.job_name, r.run_id or 0) for r in kept) == [("one", 0), ("one", 1), ("one", 1)]
+
+
 def test_each_column_snapshot_is_exchanged_once(spark, rows):
     tables = "table_schema STRING, table_name STRING, table_type STRING, data_source_format STRING"
     columns = "table_schema STRING, table_name STRING, column_name STRING, full_data_type STRING, is_nullable STRING"
