@@ -385,35 +385,24 @@ def access_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 def lineage_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Lineage rendered as landed JSON pages: every asset of a table once, over as many pages as it takes."""
-    entities = _read(spark, sf, "lineitem").selectExpr(
+    # Grouped on numbers by one exchange; the names are written once the documents are made. Kind 3 is listed in both directions.
+    lines = _read(spark, sf, "lineitem").selectExpr(
         *_LINEAGE_KEY,
-        """explode(CASE WHEN l_returnflag = 'A' THEN array('NOTEBOOK') WHEN l_returnflag = 'R' THEN array('JOB')
-             WHEN l_linestatus = 'F' THEN array('DOWNSTREAM', 'UPSTREAM') ELSE array('DOWNSTREAM') END) AS kind""",
-        "l_suppkey",
-    ).distinct()
-    described = entities.selectExpr(
-        "part",
-        "parity",
-        "kind",
         f"l_suppkey div {PAYLOAD_PAGE} AS page",
-        """struct(l_suppkey,
-              CASE WHEN kind = 'NOTEBOOK' THEN concat('/Users/u', l_suppkey, '/nb_u', l_suppkey) END AS path,
-              CASE WHEN kind = 'JOB' THEN concat('Customer#', lpad(CAST(l_suppkey AS STRING), 9, '0'))
-                   WHEN kind <> 'NOTEBOOK' THEN concat('s_', l_suppkey) END AS name,
-              kind AS entity_type) AS entity""",
-    )
-    listed = "array_sort(collect_list(entity) FILTER (WHERE kind IN ({kinds})))"
-    documents = described.groupBy("part", "parity", "page").agg(
-        F.expr(listed.format(kinds="'DOWNSTREAM'")).alias("down"),
-        F.expr(listed.format(kinds="'UPSTREAM'")).alias("up"),
-        F.expr(listed.format(kinds="'NOTEBOOK', 'JOB'")).alias("readers"),
+        """named_struct('id', l_suppkey, 'kind', CASE WHEN l_returnflag = 'A' THEN 2 WHEN l_returnflag = 'R' THEN 1
+             WHEN l_linestatus = 'F' THEN 3 ELSE 4 END) AS entry""",
     )
+    # In order of the suppliers, and of one supplier the job first.
+    documents = lines.groupBy("part", "parity", "page").agg(F.array_sort(F.collect_set("entry")).alias("entries"))
     return documents.selectExpr(
         f"{_LINEAGE_SOURCE} AS table_name",
-        """to_json(struct(
-             transform(down, e -> struct(e.name)) AS downstreams,
-             transform(up, e -> struct(e.name)) AS upstreams,
-             transform(readers, e -> struct(e.entity_type, e.path, e.name)) AS entity_lineage)) AS payload""",
+        """to_json(named_struct(
+             'downstreams', transform(array_distinct(filter(entries, e -> e.kind >= 3).id), id -> named_struct('name', concat('s_', id))),
+             'upstreams', transform(filter(entries, e -> e.kind = 3), e -> named_struct('name', concat('s_', e.id))),
+             'entity_lineage', transform(filter(entries, e -> e.kind <= 2), e -> named_struct(
+               'entity_type', if(e.kind = 1, 'JOB', 'NOTEBOOK'),
+               'path', if(e.kind = 2, concat('/Users/u', e.id, '/nb_u', e.id), NULL),
+               'name', if(e.kind = 1, concat('Customer#', lpad(CAST(e.id AS STRING), 9, '0')), NULL))))) AS payload""",
     )
 
 

@@ -28,14 +28,17 @@ def spread_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by
     )
 
 
-def keep_keys(rows: DataFrame, keys: DataFrame, on: str, spread_by: Sequence[str]) -> DataFrame:
+def keep_keys(rows: DataFrame, keys: DataFrame, on: str, spread_by: Sequence[str] | None = None) -> DataFrame:
     """The rows whose string ``on`` is among the distinct ``keys`` (one column of that name).
 
     The keys are counted and measured first, so they should be stored. A set within the limits is broadcast: the rows are
     then filtered where they are scanned, and what is dropped is neither exchanged nor parsed. A larger set is joined by
-    exchange, every key split into parts.
+    exchange: as it is, both sides exchanged right below the join, where AQE splits a skewed partition, or with ``spread_by``
+    every key split into parts, for which all keys are copied.
     """
     size = keys.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(on)), F.lit(0)).alias("bytes")).first()
     if size.rows <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES:
         return rows.join(F.broadcast(keys), on, "left_semi")
+    if spread_by is None:
+        return rows.join(keys, on, "left_semi")
     return spread_join(rows, keys, [on], spread_by, "left_semi")

@@ -95,8 +95,8 @@ class MetadataAnalysis:
     @cached_property
     def lineage(self) -> DataFrame:
         changed = self.change_summary.select(F.col("fqn").alias("table_name"))
-        # One table may have a large share of all pages.
-        payload = lineage_from_payload(keep_keys(self.inputs["lineage_payload"], changed, "table_name", ["payload"]), mark_rejected=True)
+        # A catalogue may have millions of changed tables: they are not copied for the join.
+        payload = lineage_from_payload(keep_keys(self.inputs["lineage_payload"], changed, "table_name"), mark_rejected=True)
         notebook_ids = self.access.filter(F.col("entity_type") == "NOTEBOOK")
         notebooks = lineage_ops.resolve_notebooks(notebook_ids, self.inputs["audit"], self.inputs["workspace_listing"])
         jobs = lineage_ops.resolve_jobs(self.access.filter(F.col("entity_type") == "JOB"), self.inputs["jobs"])

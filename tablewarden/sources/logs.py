@@ -27,7 +27,7 @@ def access_lineage(edges: DataFrame, changed: DataFrame, cfg: WatchConfig) -> Da
         (F.col("event_date") >= F.lit(cfg.days_before(cfg.lineage_days)))
         & F.col("entity_type").isin(*LINEAGE_ENTITIES)
     ).select(F.col("source_table_full_name").alias("fqn"), "entity_type", "entity_id")
-    kept = keep_keys(recent, changed.select("fqn"), "fqn", ["entity_id"])
+    kept = keep_keys(recent, changed.select("fqn"), "fqn")
     return kept.groupBy("fqn", "entity_type", "entity_id").agg(F.count(F.lit(1)).alias("n_reads"))
 
 

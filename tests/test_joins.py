@@ -66,3 +66,17 @@ def test_keys_within_the_limits_are_broadcast_and_others_exchanged(rows, monkeyp
         assert ("strategy=broadcast" in found._jdf.queryExecution().optimizedPlan().toString()) == broadcast
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
     assert joins.keep_keys(given, keys.limit(0), "k", ["v"]).count() == 0
+
+
+def test_many_keys_are_exchanged_without_copies(spark, rows, monkeypatch):
+    given = rows("k STRING, v INT", ("a", 1), ("a", 2), ("b", 3), (None, 4))
+    keys = rows("k STRING", ("a",), ("c",), (None,))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = joins.keep_keys(given, keys, "k")
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.v for r in found.collect()) == [1, 2]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Generate" not in text and text.count("Exchange hashpartitioning(k") == 2

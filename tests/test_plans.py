@@ -146,3 +146,21 @@ def test_each_column_snapshot_is_exchanged_once(spark, rows):
     # The diff meets the common tables after the full outer join, one part of a key at a time.
     assert text.index("LeftSemi") < text.index("column_name", text.index("FullOuter", text.index("LeftSemi")))
     assert "_part" in text
+
+
+def test_lineage_pages_are_made_by_one_exchange(spark, tmp_path):
+    assert plan(given.lineage_pages(spark, SF)).count("Exchange ") == 1
+    # One supplier in every kind, twice in one of them; a line without a supplier is on a page of its own.
+    lines = [(3, 5, 7, "A", "F"), (6, 9, 7, "R", "O"), (9, 9, 7, "N", "F"), (12, 9, 7, "N", "O"), (15, 9, 7, "N", "O"), (21, 9, None, "R", "O"), (1, 5, 60, "N", "O")]
+    ddl = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_returnflag STRING, l_linestatus STRING"
+    spark.createDataFrame(lines, ddl).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = payloads.lineage_from_payload(given.lineage_pages(spark, str(tmp_path)))
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("source_catalog.r0.tbl_0_0", "DOWNSTREAM", 1, "s_7"),
+        ("source_catalog.r0.tbl_0_0", "JOB", 1, "Customer#000000007"),
+        ("source_catalog.r0.tbl_0_1", "DOWNSTREAM", 1, "s_7"),
+        ("source_catalog.r0.tbl_0_1", "JOB", 1, ""),
+        ("source_catalog.r0.tbl_0_1", "NOTEBOOK", 1, "/Users/u7/nb_u7"),
+        ("source_catalog.r0.tbl_0_1", "UPSTREAM", 1, "s_7"),
+        ("source_catalog.r1.tbl_5_1", "DOWNSTREAM", 1, "s_60"),
+    ]
