@@ -383,26 +383,47 @@ def access_edges(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _listed(bits: str, below: str) -> str:
+    """The suppliers of a page whose bits are set, in order; ``below`` holds those of negative keys. Null on the page of no key."""
+
+    def suppliers(word: str, sign: str) -> str:
+        lowest = f"bit_count(({word} & -{word}) - 1)"
+        # The upper end may be one too high, which the test of the bit leaves out.
+        places = f"filter(sequence({lowest}, CAST(log2({word}) + 1e-9 AS INT)), i -> shiftright({word}, i) & 1L = 1L)"
+        one, many = f"array(page * {PAYLOAD_PAGE} {sign} {lowest})", f"transform({places}, i -> page * {PAYLOAD_PAGE} {sign} i)"
+        return f"WHEN {word} & ({word} - 1) = 0 THEN {one} ELSE {many} END"
+
+    above = f"CASE WHEN {bits} = 0 THEN CAST(array() AS ARRAY<BIGINT>) {suppliers(bits, '+')}"
+    return f"CASE WHEN {below} = 0 THEN {above} ELSE concat(reverse(CASE {suppliers(below, '-')}), {above}) END"
+
+
 def lineage_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Lineage rendered as landed JSON pages: every asset of a table once, over as many pages as it takes."""
-    # Grouped on numbers by one exchange; the names are written once the documents are made. Kind 3 is listed in both directions.
+    # Grouped on numbers by one exchange. The suppliers of a page are bits of one number per kind (of another below zero), buffers
+    # of fixed size; the names are written once the documents are made. Kind 3 is listed in both directions.
     lines = _read(spark, sf, "lineitem").selectExpr(
         *_LINEAGE_KEY,
         f"l_suppkey div {PAYLOAD_PAGE} AS page",
-        """named_struct('id', l_suppkey, 'kind', CASE WHEN l_returnflag = 'A' THEN 2 WHEN l_returnflag = 'R' THEN 1
-             WHEN l_linestatus = 'F' THEN 3 ELSE 4 END) AS entry""",
+        f"CAST(coalesce(l_suppkey % {PAYLOAD_PAGE}, 0) AS INT) AS place",
+        """CASE WHEN l_returnflag = 'A' THEN 2 WHEN l_returnflag = 'R' THEN 1 WHEN l_linestatus = 'F' THEN 3 ELSE 4 END AS kind""",
     )
+    bits = "bit_or(CASE WHEN kind = {kind} AND {side} THEN shiftleft(1L, abs(place)) ELSE 0L END) AS {name}{kind}"
+    sides = {"bits": "place >= 0", "below": "place < 0"}
+    words = [bits.format(kind=kind, side=side, name=name) for kind in (1, 2, 3, 4) for name, side in sides.items()]
+    documents = lines.groupBy("part", "parity", "page").agg(*[F.expr(word) for word in words])
+    jobs, notebooks = (f"transform({_listed(f'bits{kind}', f'below{kind}')}, id -> named_struct('id', id, 'kind', {kind}))" for kind in (1, 2))
+    entity = """named_struct('entity_type', if(e.kind = 1, 'JOB', 'NOTEBOOK'), 'path', if(e.kind = 2, concat('/Users/u', e.id, '/nb_u', e.id), NULL),
+        'name', if(e.kind = 1, concat('Customer#', lpad(CAST(e.id AS STRING), 9, '0')), NULL))"""
+    names = "CASE WHEN {any} = 0 THEN CAST(array() AS ARRAY<STRUCT<name: STRING>>) ELSE transform({ids}, id -> named_struct('name', concat('s_', id))) END"
+    both = documents.selectExpr("*", "bits3 | bits4 AS bits5", "below3 | below4 AS below5")
     # In order of the suppliers, and of one supplier the job first.
-    documents = lines.groupBy("part", "parity", "page").agg(F.array_sort(F.collect_set("entry")).alias("entries"))
-    return documents.selectExpr(
+    return both.selectExpr(
         f"{_LINEAGE_SOURCE} AS table_name",
-        """to_json(named_struct(
-             'downstreams', transform(array_distinct(filter(entries, e -> e.kind >= 3).id), id -> named_struct('name', concat('s_', id))),
-             'upstreams', transform(filter(entries, e -> e.kind = 3), e -> named_struct('name', concat('s_', e.id))),
-             'entity_lineage', transform(filter(entries, e -> e.kind <= 2), e -> named_struct(
-               'entity_type', if(e.kind = 1, 'JOB', 'NOTEBOOK'),
-               'path', if(e.kind = 2, concat('/Users/u', e.id, '/nb_u', e.id), NULL),
-               'name', if(e.kind = 1, concat('Customer#', lpad(CAST(e.id AS STRING), 9, '0')), NULL))))) AS payload""",
+        f"""to_json(named_struct(
+             'downstreams', {names.format(any='bits5 | below5', ids=_listed('bits5', 'below5'))},
+             'upstreams', {names.format(any='bits3 | below3', ids=_listed('bits3', 'below3'))},
+             'entity_lineage', CASE WHEN bits1 | below1 | bits2 | below2 = 0 THEN CAST(array() AS ARRAY<STRUCT<entity_type: STRING, path: STRING, name: STRING>>)
+               ELSE transform(sort_array(concat({jobs}, {notebooks})), e -> {entity}) END)) AS payload""",
     )
 
 

@@ -33,7 +33,7 @@ def rows_written(metrics: Column) -> Column:
 
 
 def last_segment(path: Column) -> Column:
-    return F.element_at(F.split(F.regexp_replace(path, "/+$", ""), "/"), -1)
+    return F.substring_index(F.regexp_replace(path, "/+$", ""), "/", -1)
 
 
 def notebook_label(notebook_id: Column, path: Column) -> Column:

@@ -97,27 +97,23 @@ def lineage_from_payload(raw: DataFrame, mark_rejected: bool = False) -> DataFra
     """
     page = checked_pages(raw, "lineage")
 
-    def entities(kind: str) -> Column:
-        return F.filter("page.entity_lineage", lambda e: e["entity_type"] == kind)
-
-    def assets(kind: str, items: Column, field: str) -> Column:
-        return F.transform(
-            F.coalesce(items, F.array()),
-            lambda item, pos: F.struct(
-                F.lit(kind).alias("asset_kind"),
-                (pos + 1).cast("bigint").alias("pos"),
-                F.coalesce(item[field], F.lit("")).alias("asset"),
-            ),
+    def entities(kind: str, field: str) -> Column:
+        return F.filter("page.entity_lineage", lambda e: e["entity_type"] == kind)[field]
+
+    def listed(kind: str, names: Column) -> Column:
+        return F.struct(F.lit(kind).alias("asset_kind"), names.alias("names"))
+
+    # Lists of names by kind, exploded twice: no list of all assets of a page is built.
+    kinds = _taken(
+        F.array(
+            listed("DOWNSTREAM", F.col("page.downstreams.name")),
+            listed("UPSTREAM", F.col("page.upstreams.name")),
+            listed("NOTEBOOK", entities("NOTEBOOK", "path")),
+            listed("JOB", entities("JOB", "name")),
         )
-
-    found = F.concat(
-        assets("DOWNSTREAM", F.col("page.downstreams"), "name"),
-        assets("UPSTREAM", F.col("page.upstreams"), "name"),
-        assets("NOTEBOOK", entities("NOTEBOOK"), "path"),
-        assets("JOB", entities("JOB"), "name"),
     )
-    found = _taken(found)
     if mark_rejected:
-        marked = F.array(F.struct(F.lit(REJECTED).alias("asset_kind"), F.lit(1).cast("bigint").alias("pos"), F.col("reason").alias("asset")))
-        found = F.coalesce(found, marked)
-    return page.select(F.col("table_name").alias("fqn"), F.explode(found).alias("found")).select("fqn", "found.*")
+        kinds = F.coalesce(kinds, F.array(listed(REJECTED, F.array("reason"))))
+    found = page.select(F.col("table_name").alias("fqn"), F.explode(kinds).alias("found"))
+    placed = found.select("fqn", "found.asset_kind", F.posexplode("found.names").alias("place", "name"))
+    return placed.select("fqn", "asset_kind", (F.col("place") + 1).cast("bigint").alias("pos"), F.coalesce("name", F.lit("")).alias("asset"))

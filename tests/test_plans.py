@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 import pytest
@@ -72,6 +73,49 @@ def test_documents_of_other_tables_are_neither_exchanged_nor_parsed(spark, rows,
     assert all("payload" not in line for line in text.splitlines() if "Exchange hashpartitioning" in line)
 
 
+def test_lineage_pages_are_made_in_buffers_of_fixed_size(spark):
+    text = plan(given.lineage_pages(spark, SF))
+    assert "ObjectHashAggregate" not in text and text.count("Exchange") == 1
+
+
+def test_lineage_pages_list_every_asset_once(spark, tmp_path):
+    """Suppliers below zero, at both ends of a page, of the largest keys and without a key."""
+    suppliers = [None, 0, 1, 49, 50, 51, 99, -1, -2, -49, -50, -51, 2**63 - 1, -(2**63)]
+    kinds = [("A", "F"), ("R", "F"), ("N", "F"), ("N", "O"), (None, None)]
+    lines = [(order, part, s, flag, status) for order in (1, 2, 3, 3) for part in (7, None) for s in suppliers for flag, status in kinds[: 2 + order]]
+    ddl = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_returnflag STRING, l_linestatus STRING"
+    spark.createDataFrame(lines, ddl).write.parquet(str(tmp_path / "lineitem.parquet"))
+    expected = {}
+    for order, part, s, flag, status in lines:
+        part = 0 if order % 3 == 0 else part
+        page = None if s is None else abs(s) // given.PAYLOAD_PAGE * (1 if s >= 0 else -1)
+        expected.setdefault((part, order % 2, page), set()).add((s is not None, s or 0, {"A": 2, "R": 1}.get(flag, 3 if status == "F" else 4)))
+
+    def document(entries):
+        def named(*wanted):
+            return [{"name": f"s_{s}"} if known else {} for known, s in sorted({(k, s) for k, s, kind in entries if kind in wanted})]
+
+        readers = [(known, s, kind) for known, s, kind in sorted(entries) if kind <= 2]
+        of_kind = {1: lambda s: {"name": f"Customer#{str(s)[:9].rjust(9, '0')}"}, 2: lambda s: {"path": f"/Users/u{s}/nb_u{s}"}}
+        listed = [{"entity_type": "JOB" if kind == 1 else "NOTEBOOK", **(of_kind[kind](s) if known else {})} for known, s, kind in readers]
+        return {"downstreams": named(3, 4), "upstreams": named(3), "entity_lineage": listed}
+
+    found = [(r.table_name, json.loads(r.payload)) for r in given.lineage_pages(spark, str(tmp_path)).collect()]
+    named = {key: None if key[0] is None else f"source_catalog.r{key[0] % 2}.tbl_{key[0]}_{key[1]}" for key in expected}
+    wanted = [(named[key], document(entries)) for key, entries in expected.items()]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+
+
+def test_presence_of_tables_is_made_once(spark):
+    text = plan(QUERIES["schema_diff"](spark, SF))
+    # Both readings of the presence of tables are the same exchange, so it is made once.
+    made = [line for line in text.splitlines() if "partial_max(CASE WHEN (side#" in line]
+    numbers = re.compile(r"#\d+L?")
+    assert len({numbers.sub("", line).strip(" +-:") for line in made}) == 1
+    below = [text[at : text.index("Union", at)] for at in (m.start() for m in re.finditer(r"partial_max\(CASE WHEN \(side#", text))]
+    assert all("isnotnull(table_name" not in part for part in below)
+
+
 def test_filters_reach_the_scan(spark):
     scan = next(line for line in plan(given.workspace_listing(spark, SF)).splitlines() if "FileScan" in line)
     assert "PushedFilters: [IsNotNull(event_type), IsNotNull(value), EqualTo(event_type,click)" in scan
