@@ -30,8 +30,13 @@ def common_tables(curr: DataFrame, prev: DataFrame) -> DataFrame:
 
 
 def _within(rows: DataFrame, common: DataFrame) -> DataFrame:
-    """Column rows of the common tables; one table may own a large share of them."""
-    return spread_join(rows, common, TABLE_KEY, ["column_name"], "left_semi")
+    """Column rows of the common tables; one table may own a large share of them.
+
+    Joined on the key as one struct, which is never null, so nothing is filtered below ``common``: an aggregate that is read
+    elsewhere too is made once.
+    """
+    named = rows.filter(F.col("table_schema").isNotNull() & F.col("table_name").isNotNull()).withColumn("_table", F.struct(*TABLE_KEY))
+    return spread_join(named, common.select(F.struct(*TABLE_KEY).alias("_table")), ["_table"], ["column_name"], "left_semi").drop("_table")
 
 
 def added_columns(curr: DataFrame, prev: DataFrame, common: DataFrame) -> DataFrame:

@@ -80,3 +80,14 @@ def test_many_keys_are_exchanged_without_copies(spark, rows, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Generate" not in text and text.count("Exchange hashpartitioning(k") == 2
+
+
+def test_many_keys_are_hashed_and_rows_not_sorted(spark, rows, monkeypatch):
+    given = rows("k STRING, v INT", ("a", 1), ("a", 2), ("b", 3), (None, 4))
+    keys = rows("k STRING", ("a",), ("c",), (None,))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    for limit, hashed in ((1 << 30, True), (1, False)):
+        monkeypatch.setattr(joins, "HASHED_BYTES", limit)
+        found = joins.keep_keys(given, keys, "k")
+        assert sorted(r.v for r in found.collect()) == [1, 2]
+        assert ("strategy=shuffle_hash" in found._jdf.queryExecution().optimizedPlan().toString()) == hashed
