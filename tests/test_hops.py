@@ -77,19 +77,29 @@ def test_first_hop_is_what_the_risk_rating_counts(rows):
 
 
 def stored_bytes(spark):
-    return sum(p.stat().st_size for p in Path(urlparse(spark.sparkContext.getCheckpointDir()).path).rglob("*") if p.is_file())
+    """Of all checkpoints of the session, which has a folder for them from the first one on."""
+    folder = spark.sparkContext.getCheckpointDir()
+    return sum(p.stat().st_size for p in Path(urlparse(folder).path).rglob("*") if p.is_file()) if folder else 0
 
 
 def test_pairs_are_not_stored(spark, rows):
     """200 roots times 501 assets are many times the 700 edges."""
     edges = rows("fqn STRING, asset STRING", *[(f"r{i}", "hub") for i in range(200)], *[("hub", f"leaf{i}") for i in range(500)])
     roots = rows("fqn STRING", *[(f"r{i}",) for i in range(200)])
-    assert downstream_hops(edges, roots, max_hops=1).count() == 200
     before = stored_bytes(spark)
     assert downstream_hops(edges, roots).count() == 200 * 501
     assert stored_bytes(spark) - before < 1 << 17
 
 
+def test_depth_of_many_pairs_without_storing_them(spark, rows):
+    edges = rows("fqn STRING, asset STRING", *[(f"r{i}", "hub") for i in range(200)], *[("hub", f"leaf{i}") for i in range(500)])
+    summary = rows("fqn STRING, change_summary STRING, breaking BOOLEAN", *[(f"r{i}", "NAMING", False) for i in range(200)], ("z", "NAMING", False))
+    before = stored_bytes(spark)
+    found = impact_depth(summary, downstream_hops(edges, summary)).collect()
+    assert sorted((r.fqn, r.n_direct, r.n_reached, r.deepest) for r in found) == sorted([("z", 0, 0, 0), *[(f"r{i}", 1, 501, 2) for i in range(200)]])
+    assert stored_bytes(spark) - before < 1 << 17
+
+
 def test_graphs_too_large_to_hold(reached, monkeypatch):
     """The rounds of joins find the same, whether the edges or the names exceed the limit."""
     rng = random.Random(5)
